@@ -369,7 +369,7 @@ def _scored(source: str) -> str:
 
 _KEYS = "product_id, style, age_sales_category, age_category, sales_category, forecast_method"
 _fragment("evaluation", ("latest", "user_sales"), f"""evaluation_sums AS (
-  SELECT {_KEYS}, CAST(sum(u.sales_units) AS BIGINT) AS sales_units, sum(forecast) AS forecast
+  SELECT {_KEYS}, CAST(sum(u.sales_units) AS BIGINT) AS sales_units, round(sum(forecast), 9) AS forecast
   FROM latest JOIN user_sales u USING (product_id, date) GROUP BY ALL),
 evaluation AS ({_scored('evaluation_sums')})""")
 _fragment("validation", ("latest", "user_life"), f"""validation_rows AS (

@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from shelfcast.functions import accuracy
 from shelfcast.functions.categories import AGE_CATEGORIES
 
+# Sums of forecasts are rounded here before they are binned.  The last bits of such a sum depend on the
+# order rows arrive in, and a retried task must not move a product across a bin edge.
+SUM_DIGITS = 9
+
 EVALUATION_KEYS = ("product_id", "style", "age_sales_category", "age_category", "sales_category",
                    "forecast_method")
 
@@ -47,7 +51,8 @@ def evaluation_table(forecast: DataFrame, features: DataFrame, first: date | Non
                      last: date | None = None) -> DataFrame:
     """Actual and forecast units per product, its forecast categories and method, with bins."""
     totals = join_actuals(forecast, features, first, last).groupBy(*EVALUATION_KEYS).agg(
-        F.sum("sales_units").alias("sales_units"), F.sum("forecast").alias("forecast"))
+        F.sum("sales_units").alias("sales_units"),
+        F.round(F.sum("forecast"), SUM_DIGITS).alias("forecast"))
     return add_bias_and_error(totals)
 
 
