@@ -7,8 +7,9 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from shelfcast.operators.eligibility import SNAPSHOT_COLUMNS
 from shelfcast.operators.features import build_features
@@ -43,25 +44,37 @@ RUNS = (
 PARTIAL_RUN = 2
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table.  Its schema is read from a file footer once, not on every query."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def _daily(facts: DataFrame) -> DataFrame:
-    # Money is summed as decimals, which is exact in any order.
-    return daily_sales(facts).withColumn("sales_amount", F.col("sales_amount").cast("double"))
+    # Money is summed in whole cents, which is exact in any order.
+    return daily_sales(facts).withColumn("sales_amount", F.col("sales_amount") / 100.0)
 
 
-def _money(name: str):
-    return F.col(name).cast("decimal(12,2)")
+def _money(name: str) -> Column:
+    return F.round(F.col(name) * 100).cast("long")
 
 
-def part_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Part sales as stored: one row per part and day it shipped on."""
-    daily = _daily(table(spark, sf_dir, "lineitem").select(
+def part_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part sales line by line, money in cents."""
+    return table(spark, sf_dir, "lineitem").select(
         F.col("l_partkey").alias("product_id"), F.col("l_shipdate").cast("date").alias("day"),
         F.col("l_quantity").cast("long").alias("units_sold"),
-        _money("l_extendedprice").alias("sales_amount")))
+        _money("l_extendedprice").alias("sales_amount"))
+
+
+def part_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part sales as stored: one row per part and day it shipped on."""
+    daily = _daily(part_facts(spark, sf_dir))
     return daily.select((F.col("product_id") * 100000 + F.unix_date("day")).alias("id"), "product_id",
                         F.concat(F.lit("SP-"), "product_id").alias("shopify_product_id"),
                         "day", "units_sold", "sales_amount")
@@ -69,15 +82,13 @@ def part_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def brand_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Brand sales on every day of the table."""
-    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
-    daily = _daily(table(spark, sf_dir, "lineitem").join(part, "l_partkey").select(
-        F.col("p_brand").alias("product_id"), F.col("l_shipdate").cast("date").alias("day"),
-        F.col("l_quantity").cast("long").alias("units_sold"),
-        _money("l_extendedprice").alias("sales_amount")))
-    return densify(daily, *_table_days(spark, sf_dir, "lineitem", "l_shipdate"))
+    brands = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("product_id"), "p_brand")
+    daily = _daily(part_facts(spark, sf_dir).join(brands, "product_id").select(
+        F.col("p_brand").alias("product_id"), "day", "units_sold", "sales_amount"))
+    return densify(daily, *table_days(spark, sf_dir, "lineitem", "l_shipdate"))
 
 
-def _table_days(spark: SparkSession, sf_dir: str, name: str, column: str):
+def table_days(spark: SparkSession, sf_dir: str, name: str, column: str):
     return day_range(table(spark, sf_dir, name).select(F.col(column).cast("date").alias("day")))
 
 
@@ -91,7 +102,7 @@ def user_sales(spark: SparkSession, sf_dir: str, purchases_only: bool = True,
         F.col("user_id").alias("product_id"), F.col("ts").cast("date").alias("day"),
         F.when(counted, 1).otherwise(0).cast("long").alias("units_sold"),
         F.when(counted, _money("value")).otherwise(0).alias("sales_amount")))
-    return densify(daily, *_table_days(spark, sf_dir, "events", "ts")) if dense else daily
+    return densify(daily, *table_days(spark, sf_dir, "events", "ts")) if dense else daily
 
 
 def part_products(spark: SparkSession, sf_dir: str) -> DataFrame:

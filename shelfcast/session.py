@@ -18,6 +18,8 @@ RECOMMENDED = {
     # (product_id, date), so that join can keep the partitioning it has.
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Recording the Python call site of every column expression slows plan building.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
