@@ -81,20 +81,17 @@ def part_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def brand_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Brand sales on every day of the table."""
+    """Brand sales on every day from the history start to the table's last day."""
     brands = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("product_id"), "p_brand")
     daily = _daily(part_facts(spark, sf_dir).join(brands, "product_id").select(
         F.col("p_brand").alias("product_id"), "day", "units_sold", "sales_amount"))
-    return densify(daily, *table_days(spark, sf_dir, "lineitem", "l_shipdate"))
-
-
-def table_days(spark: SparkSession, sf_dir: str, name: str, column: str):
-    return day_range(table(spark, sf_dir, name).select(F.col(column).cast("date").alias("day")))
+    _, last = day_range(part_facts(spark, sf_dir))
+    return densify(daily, ITEM.history_start, last)
 
 
 def user_sales(spark: SparkSession, sf_dir: str, purchases_only: bool = True,
                dense: bool = True) -> DataFrame:
-    """Units per user: purchases, or all events.  Dense, every user has every day of the table."""
+    """Units per user: purchases, or all events.  Dense, every user has every day of the run."""
     events = table(spark, sf_dir, "events")
     counted = F.col("event_type") == "purchase" if purchases_only else F.lit(True)
     facts = events if dense else events.where(counted)
@@ -102,7 +99,7 @@ def user_sales(spark: SparkSession, sf_dir: str, purchases_only: bool = True,
         F.col("user_id").alias("product_id"), F.col("ts").cast("date").alias("day"),
         F.when(counted, 1).otherwise(0).cast("long").alias("units_sold"),
         F.when(counted, _money("value")).otherwise(0).alias("sales_amount")))
-    return densify(daily, *table_days(spark, sf_dir, "events", "ts")) if dense else daily
+    return densify(daily, USER.history_start, USER.forecast_end) if dense else daily
 
 
 def part_products(spark: SparkSession, sf_dir: str) -> DataFrame:

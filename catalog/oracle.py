@@ -40,13 +40,13 @@ _fragment("part_sales", (), """part_sales AS (
          CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS DOUBLE) AS sales_amount
   FROM lineitem GROUP BY l_partkey, CAST(l_shipdate AS DATE))""")
 
-_fragment("brand_sales", (), """brand_sold AS (
+_fragment("brand_sales", (), f"""brand_sold AS (
   SELECT p_brand AS product_id, CAST(l_shipdate AS DATE) AS date, sum(l_quantity) AS units,
          sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS amount
   FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2),
 brand_days AS (
   SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS date
-  FROM (SELECT min(CAST(l_shipdate AS DATE)) AS lo, max(CAST(l_shipdate AS DATE)) AS hi FROM lineitem)),
+  FROM (SELECT DATE '{fx.ITEM.history_start}' AS lo, max(CAST(l_shipdate AS DATE)) AS hi FROM lineitem)),
 brand_sales AS (
   SELECT b.product_id, d.date, CAST(coalesce(s.units, 0) AS BIGINT) AS sales_units,
          CAST(coalesce(s.amount, 0) AS DOUBLE) AS sales_amount
@@ -60,8 +60,8 @@ def _user_fragment(name: str, counted: str) -> None:
          sum(CAST(value AS DECIMAL(12,2))) FILTER ({counted}) AS amount
   FROM events GROUP BY 1, 2),
 {name}_days AS (
-  SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS date
-  FROM (SELECT min(CAST(ts AS DATE)) AS lo, max(CAST(ts AS DATE)) AS hi FROM events)),
+  SELECT CAST(unnest(generate_series(DATE '{fx.USER.history_start}', DATE '{fx.USER.forecast_end}',
+                                    INTERVAL 1 DAY)) AS DATE) AS date),
 {name} AS (
   SELECT u.product_id, d.date, CAST(coalesce(s.units, 0) AS BIGINT) AS sales_units,
          CAST(coalesce(s.amount, 0) AS DOUBLE) AS sales_amount

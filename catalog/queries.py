@@ -240,8 +240,7 @@ brand_training = _training(fx.brand_features, fx.ITEM)
 
 
 def part_training(spark, sf):
-    first, _ = fx.table_days(spark, sf, "lineitem", "l_shipdate")
-    return tr.training_from_sales(fx.part_facts(spark, sf), fx.part_products(spark, sf), fx.ITEM, first)
+    return tr.training_from_sales(fx.part_facts(spark, sf), fx.part_products(spark, sf), fx.ITEM)
 
 
 def training_window(spark, sf):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,29 +65,27 @@ def training_window(qualified: DataFrame, settings: Settings) -> DataFrame:
                        (F.col("position") - 1 - F.col("total") + n).alias("t"), n.alias("n"))
 
 
-def training_from_sales(sales: DataFrame, products: DataFrame, settings: Settings,
-                        panel_start: date | Column) -> DataFrame:
+def training_from_sales(sales: DataFrame, products: DataFrame, settings: Settings) -> DataFrame:
     """The same training rows straight from sales facts, without a dense panel.
 
-    Equal to densifying every product from ``panel_start``, adding lifecycle features, qualifying
+    Equal to densifying every product from the history start, adding lifecycle features, qualifying
     and cutting the training window.  Only three things about a product reach the forecast: its first
     sale, its recent units, and its last days.  Days older than the longest look-back therefore
     collapse into one bucket per product before the shuffle, so what is shuffled grows with products
     and not with years of history, and only eligible products are spread out again.
     """
-    end, start = F.lit(settings.history_end), panel_start
-    start = F.lit(start) if isinstance(start, date) else start
     reach = max(settings.longest_look_back, settings.recent_rows)
-    recent_from = settings.history_end - timedelta(days=reach - 1)
+    bucket_from = settings.history_end - timedelta(days=reach - 1)
+    recent_from = settings.history_end - timedelta(days=settings.recent_rows - 1)
+    end = F.lit(settings.history_end)
     day, units = F.col("day"), F.col("units_sold")
-    bucket = F.when((day >= F.lit(recent_from)) & (day <= end), day)
-    daily = sales.where(day >= start).groupBy("product_id", bucket.alias("bucket")).agg(
+    bucket = F.when((day >= F.lit(bucket_from)) & (day <= end), day)
+    daily = sales.where(day >= F.lit(settings.history_start)).groupBy("product_id", bucket.alias("bucket")).agg(
         F.sum(units).alias("units"), F.min(F.when(units > 0, day)).alias("sold_on"))
 
-    window_start = F.greatest(F.lit(settings.history_end - timedelta(days=settings.recent_rows - 1)), start)
     per_product = daily.groupBy("product_id").agg(
         F.min("sold_on").alias("first_sale"),
-        F.coalesce(F.sum(F.when(F.col("bucket") >= window_start, F.col("units"))),
+        F.coalesce(F.sum(F.when(F.col("bucket") >= F.lit(recent_from), F.col("units"))),
                    F.lit(0)).alias("recent_sales_units"),
         # At most one entry per day of the look-back.
         F.map_from_entries(F.collect_list(F.when(
@@ -106,7 +104,8 @@ def training_from_sales(sales: DataFrame, products: DataFrame, settings: Setting
         F.col("age_category").alias("on_forecast_age_category"),
         F.col("sales_category").alias("on_forecast_sales_category"))
     styled = with_rules(eligible.join(product_styles(products), "product_id", "left"), settings)
-    n = F.least(F.datediff(end, start) + 1, F.col("look_back"))
+    panel_days = (settings.history_end - settings.history_start).days + 1
+    n = F.least(F.lit(panel_days), F.col("look_back"))
     spread = styled.select(*PRODUCT_COLUMNS, "units_by_day", n.alias("n"),
                            F.posexplode(F.sequence(F.date_sub(end, n - 1), end)).alias("t", "date"))
     return spread.select(

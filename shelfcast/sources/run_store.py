@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +21,8 @@ RUN_SCHEMA = T.StructType([
     T.StructField("run_id", T.IntegerType()),
 ])
 
+FILE_COLUMNS = {"files": "bigint", "bytes": "bigint", "last_modified": "timestamp"}
+
 
 def write_run(forecast: DataFrame, path: str, run_id: int) -> None:
     """Store one run next to the others.  Runs a job.
@@ -32,39 +35,43 @@ def write_run(forecast: DataFrame, path: str, run_id: int) -> None:
      .partitionBy("run_id").parquet(path))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+def _read(spark: SparkSession, path: str, schema: T.StructType | None = None, **options: str) -> DataFrame:
+    """The Parquet table at ``path``, or an empty one of the standard columns if there is none yet."""
+    reader = spark.read.options(**options)
+    try:
+        return (reader.schema(schema) if schema else reader).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], RUN_SCHEMA)
 
 
-def read_runs(spark: SparkSession, path: str) -> DataFrame:
+def read_runs(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Every stored run.  Columns are matched by name; a column a run lacks is null.
 
-    With no store yet, an empty table of the standard columns.
+    Without ``schema`` the columns are collected from the footers of all files, by a job on the
+    executors; give it once the runs are many.
     """
-    if not _exists(spark, path):
-        return spark.createDataFrame([], RUN_SCHEMA)
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    return _read(spark, path, schema, mergeSchema="true")
 
 
 def read_run(spark: SparkSession, path: str, run_id: int) -> DataFrame:
-    """One run, empty if it was never stored.  Only its folder is read."""
-    return read_runs(spark, path).where(F.col("run_id") == run_id)
+    """One run, empty if it was never stored.  Only its folder is listed and read."""
+    return _read(spark, f"{path.rstrip('/')}/run_id={run_id}", basePath=path)
 
 
 def list_runs(spark: SparkSession, path: str) -> DataFrame:
     """One row per run, ascending: rows, date span, files, bytes and last change."""
-    if not _exists(spark, path):
-        runs = read_runs(spark, path)
-        return run_summary(runs).select(
-            "*", F.lit(0).cast("long").alias("files"), F.lit(0).cast("long").alias("bytes"),
-            F.lit(None).cast("timestamp").alias("last_modified"))
-    runs = read_runs(spark, path).select(
+    runs = _read(spark, path, RUN_SCHEMA)
+    if not runs.inputFiles():
+        return run_summary(runs).select("*", *[
+            F.lit(None).cast(kind).alias(name) for name, kind in FILE_COLUMNS.items()])
+    # A first pass per file keeps each file's size from being counted once per row.
+    per_file = runs.select(
         "run_id", "date", F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_size").alias("size"),
-        F.col("_metadata.file_modification_time").alias("modified"))
-    # A first pass per file keeps each file's size from being counted once per row.
-    per_file = runs.groupBy("run_id", "file").agg(
+        F.col("_metadata.file_modification_time").alias("modified")
+    ).groupBy("run_id", "file").agg(
         F.count(F.lit(1)).alias("rows"), F.min("date").alias("first"), F.max("date").alias("last"),
         F.max("size").alias("size"), F.max("modified").alias("modified"))
     return per_file.groupBy("run_id").agg(
@@ -75,4 +82,4 @@ def list_runs(spark: SparkSession, path: str) -> DataFrame:
 
 def stored_next_run_id(spark: SparkSession, path: str) -> int:
     """The number the next run should take.  Runs a job that reads run folders, not columns."""
-    return next_run_id(read_runs(spark, path)).first()["next_run_id"]
+    return next_run_id(_read(spark, path, RUN_SCHEMA)).first()["next_run_id"]
