@@ -315,12 +315,12 @@ _CATEGORIES = "p.product_id, p.age_sales_category, p.age_category, p.sales_categ
 
 
 def _croston_select(prefix: str) -> str:
-    return (f"SELECT {_CATEGORIES}, 'croston' AS forecast_method, h.date, round(c.value, 6) AS forecast "
+    return (f"SELECT {_CATEGORIES}, 'croston' AS forecast_method, h.date, round(c.value + 1e-9, 6) AS forecast "
             f"FROM {prefix}_products p JOIN {prefix}_croston c USING (product_id) CROSS JOIN {prefix}_horizon h")
 
 
 def _trend_select(prefix: str) -> str:
-    return (f"SELECT {_CATEGORIES}, 'trend_weekday' AS forecast_method, v.date, round(v.value, 6) AS forecast "
+    return (f"SELECT {_CATEGORIES}, 'trend_weekday' AS forecast_method, v.date, round(v.value + 1e-9, 6) AS forecast "
             f"FROM {prefix}_products p JOIN {prefix}_trend v USING (product_id)")
 
 
@@ -349,7 +349,7 @@ runs AS (
 _fragment("latest", ("runs",), """latest AS (
   SELECT * FROM runs r WHERE run_id = (SELECT max(run_id) FROM runs o WHERE o.date = r.date))""")
 
-# Evaluation
+# Evaluation.  Adding zero turns a rounded negative zero into zero, which Spark's round always gives.
 
 
 def _bin(method: str, value: str) -> str:
@@ -549,11 +549,11 @@ SELECT r.rule""", 1),
     "runs_union": _sql("SELECT * REPLACE (CASE WHEN run_id = 1 THEN NULL ELSE style END AS style) FROM runs",
                        "runs"),
     "latest_run_per_date": _sql("SELECT * FROM latest", "latest"),
-    "evaluation_table": _sql("SELECT * REPLACE (round(forecast, 6) AS forecast, round(bias, 4) AS bias, "
-                             "round(error, 6) AS error) FROM evaluation", "evaluation"),
-    "validation_table": _sql("SELECT * REPLACE (round(bias, 4) AS bias, round(error, 6) AS error) "
+    "evaluation_table": _sql("SELECT * REPLACE (round(forecast, 6) AS forecast, round(bias, 4) + CAST(0 AS DOUBLE) AS bias, "
+                             "round(error, 6) + CAST(0 AS DOUBLE) AS error) FROM evaluation", "evaluation"),
+    "validation_table": _sql("SELECT * REPLACE (round(bias, 4) + CAST(0 AS DOUBLE) AS bias, round(error, 6) + CAST(0 AS DOUBLE) AS error) "
                              "FROM validation", "validation"),
-    "bias_error": _sql("SELECT product_id, date, run_id, round(bias, 4) AS bias, round(error, 6) AS error "
+    "bias_error": _sql("SELECT product_id, date, run_id, round(bias, 4) + CAST(0 AS DOUBLE) AS bias, round(error, 6) + CAST(0 AS DOUBLE) AS error "
                        "FROM scored_days", "scored_days"),
     "bias_bins": _sql("SELECT product_id, date, run_id, bias_bin FROM scored_days", "scored_days"),
     "error_bins": _sql("SELECT product_id, date, bias_bin, error_bin FROM scored_brands", "scored_brands"),
@@ -571,7 +571,7 @@ CROSS JOIN (SELECT CAST(sum(c) AS DOUBLE) AS products, CAST(sum(u) AS DOUBLE) AS
                                        "WHERE sales_category = '07| High Winning'"),
     "business_daily": _sql(
         """SELECT date, sales_units, round(forecast, 6) AS forecast,
-  round(CASE WHEN sales_units > 0 THEN (forecast - sales_units) / sales_units END, 4) AS bias
+  round(CASE WHEN sales_units > 0 THEN (forecast - sales_units) / sales_units END, 4) + CAST(0 AS DOUBLE) AS bias
 FROM (SELECT date, CAST(sum(sales_units) AS BIGINT) AS sales_units, sum(forecast) AS forecast
       FROM validation GROUP BY date) ORDER BY date""", "validation"),
     "business_window": _sql(
@@ -590,7 +590,7 @@ FROM (SELECT CAST(coalesce(sum(sales_units), 0) AS BIGINT) AS total_sales,
         "round(sum(forecast), 4) AS forecast, round(sum(error), 4) AS error FROM evaluation "
         "WHERE sales_category = '02| Very Low'", "evaluation"),
     "worst_products": _sql(
-        "SELECT product_id, style, sales_units, round(forecast, 6) AS forecast, round(error, 6) AS error "
+        "SELECT product_id, style, sales_units, round(forecast, 6) AS forecast, round(error, 6) + CAST(0 AS DOUBLE) AS error "
         "FROM evaluation ORDER BY round(error, 6) DESC, product_id LIMIT 10", "evaluation"),
     "style_series": _sql(
         "SELECT product_id, style, date, sales_units, forecast, bias_bin, error_bin FROM validation "

@@ -37,6 +37,12 @@ def rounded(df: DataFrame, *names: str, digits: int = 6) -> DataFrame:
     return df.withColumns({name: F.round(name, digits) for name in names})
 
 
+def forecast_rounded(df: DataFrame) -> DataFrame:
+    """Round forecasts to six digits.  Many are short binary fractions that end exactly half way there;
+    the nudge, far above summation noise, sends those up on any engine."""
+    return df.withColumn("forecast", F.round(F.col("forecast") + 1e-9, 6))
+
+
 # Sources and sinks
 
 def scan_filtered(spark, sf):
@@ -265,27 +271,27 @@ def method_choice(spark, sf):
 
 
 def croston_forecast(spark, sf):
-    return rounded(fc.croston_forecast(user_training(spark, sf), fx.USER), "forecast")
+    return forecast_rounded(fc.croston_forecast(user_training(spark, sf), fx.USER))
 
 
 def trend_weekday_forecast(spark, sf):
-    return rounded(fc.trend_weekday_forecast(brand_training(spark, sf), fx.ITEM), "forecast")
+    return forecast_rounded(fc.trend_weekday_forecast(brand_training(spark, sf), fx.ITEM))
 
 
 def trend_weekday_events(spark, sf):
-    return rounded(fc.trend_weekday_forecast(event_training(spark, sf), fx.USER), "forecast")
+    return forecast_rounded(fc.trend_weekday_forecast(event_training(spark, sf), fx.USER))
 
 
 def forecast(spark, sf):
-    return rounded(fc.forecast(user_training(spark, sf), fx.USER), "forecast")
+    return forecast_rounded(fc.forecast(user_training(spark, sf), fx.USER))
 
 
 def forecast_direct(spark, sf):
-    return rounded(fc.forecast(part_training(spark, sf), fx.ITEM), "forecast")
+    return forecast_rounded(fc.forecast(part_training(spark, sf), fx.ITEM))
 
 
 def changepoint_forecast(spark, sf):
-    return rounded(fc.changepoint_forecast(part_training(spark, sf), fx.ITEM), "forecast")
+    return forecast_rounded(fc.changepoint_forecast(part_training(spark, sf), fx.ITEM))
 
 
 def horizon(spark, sf):

@@ -7,6 +7,7 @@ the same form, not the same estimates.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import date
 
 import numpy as np
@@ -42,8 +43,13 @@ def _ridge(design: np.ndarray, penalty: np.ndarray, target: np.ndarray) -> np.nd
 
 
 def fit_block(y: np.ndarray, days: np.ndarray, changepoints: int, prior: float,
-              future_days: np.ndarray) -> np.ndarray:
-    """Forecasts (series, future) for series of one length and one set of dates."""
+              future_days: np.ndarray, flags: np.ndarray | None = None,
+              future_flags: np.ndarray | None = None) -> np.ndarray:
+    """Forecasts (series, future) for series of one length and one set of dates.
+
+    ``flags`` (rows, flags) and ``future_flags`` lift or lower the trend on their days, as the season
+    does.
+    """
     n = y.shape[1]
     t = np.arange(n, dtype=float)
     ahead = n - 1 + (future_days - days[-1]).astype(float)
@@ -51,41 +57,58 @@ def fit_block(y: np.ndarray, days: np.ndarray, changepoints: int, prior: float,
     # Only the bends are penalised; the tiny rest keeps the system solvable.
     trend_penalty = np.full(trend_x.shape[1], 1e-8)
     trend_penalty[2:] = 1.0 / prior ** 2 / max(n, 1)
+    lift_parts = [(_season_design(days), _season_design(future_days))] if (
+        days[-1] - days[0] + 1 >= SEASON_DAYS) else []
+    if flags is not None and flags.shape[1]:
+        lift_parts.append((flags, future_flags))
     scale = np.maximum(np.abs(y).max(axis=1, keepdims=True), 1e-12)
     target = y / scale
-    trend = np.zeros_like(target)
-    season, season_future = np.zeros_like(target), np.zeros((len(y), len(future_days)))
-    seasonal = days[-1] - days[0] + 1 >= SEASON_DAYS
-    season_x, season_x_future = _season_design(days), _season_design(future_days)
-    season_penalty = np.full(season_x.shape[1], SEASON_PENALTY)
-    for _ in range(ROUNDS if seasonal else 1):
-        lift = 1.0 + season
+    lift, lift_future = np.ones_like(target), np.ones((len(y), len(future_days)))
+    if lift_parts:
+        lift_x, lift_x_future = (np.column_stack(side) for side in zip(*lift_parts))
+        lift_penalty = np.full(lift_x.shape[1], SEASON_PENALTY)
+    for _ in range(ROUNDS if lift_parts else 1):
         trend_beta = _ridge(trend_x[None] * lift[..., None], trend_penalty, target)
         trend = trend_beta @ trend_x.T
-        if seasonal:
-            season_beta = _ridge(season_x[None] * trend[..., None], season_penalty, target - trend)
-            season, season_future = season_beta @ season_x.T, season_beta @ season_x_future.T
-    return (trend_beta @ trend_future.T) * (1.0 + season_future) * scale
+        if lift_parts:
+            lift_beta = _ridge(lift_x[None] * trend[..., None], lift_penalty, target - trend)
+            lift, lift_future = 1.0 + lift_beta @ lift_x.T, 1.0 + lift_beta @ lift_x_future.T
+    return (trend_beta @ trend_future.T) * lift_future * scale
+
+
+@dataclass(frozen=True)
+class RegressorDays:
+    """Flag values by day, from ``first`` (days since 1970) on, and the columns each category uses."""
+
+    first: int
+    values: np.ndarray
+    columns: dict[str, list[int]]
+
+    def of(self, category: str, days: np.ndarray) -> np.ndarray:
+        return self.values[days - self.first][:, self.columns.get(category, [])]
 
 
-def changepoint_values(start: date, horizon_days: int):
+def changepoint_values(start: date, horizon_days: int, regressors: RegressorDays | None = None):
     """A pandas UDF from a product's series to its forecast values, null where there is no fit."""
     first = (start - EPOCH).days
 
     @F.pandas_udf("array<double>")
-    def values(y: pd.Series, days: pd.Series, changepoints: pd.Series, prior: pd.Series) -> pd.Series:
+    def values(y: pd.Series, days: pd.Series, changepoints: pd.Series, prior: pd.Series,
+               category: pd.Series) -> pd.Series:
         future = np.arange(first, first + horizon_days)
         out = pd.Series([None] * len(y), index=y.index, dtype=object)
-        frame = pd.DataFrame({"y": y, "days": days, "c": changepoints, "p": prior})
+        frame = pd.DataFrame({"y": y, "days": days, "c": changepoints, "p": prior,
+                              "category": category if regressors else ""})
         frame = frame[frame["y"].notna()]
         # Products with the same rule and the same dates share one design and one solve.
         frame["dates"] = [np.asarray(d, dtype=np.int64).tobytes() for d in frame["days"]]
-        for (_, c, p), block in frame.groupby(["dates", "c", "p"]):
+        for (_, c, p, label), block in frame.groupby(["dates", "c", "p", "category"]):
             series = np.stack([np.asarray(v, dtype=float) for v in block["y"]])
             series = np.nan_to_num(series)
             dates = np.asarray(block["days"].iloc[0], dtype=np.int64)
+            flags = [regressors.of(label, d) for d in (dates, future)] if regressors else []
             try:
-                fitted = fit_block(series, dates, int(c), float(p), future)
+                fitted = fit_block(series, dates, int(c), float(p), future, *flags)
             except np.linalg.LinAlgError:
                 continue
             for index, row in zip(block.index, fitted):

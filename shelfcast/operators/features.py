@@ -26,6 +26,13 @@ def add_style(sales: DataFrame, products: DataFrame) -> DataFrame:
     return sales.join(product_styles(products), "product_id", "left")
 
 
+def calendar_flags(effects: DataFrame, labels: Sequence[str] | None = None) -> DataFrame | None:
+    """One row per effect date with a 0/1 column per flag; none if the calendar has no effect day."""
+    labelled = calendar.label_effect_days(calendar.effect_days(effects))
+    names = list(labels) if labels is not None else calendar.distinct_labels(labelled)
+    return calendar.pivot_flags(labelled, names) if names else None
+
+
 def build_features(sales: DataFrame, products: DataFrame, effects: DataFrame | None,
                    settings: Settings, labels: Sequence[str] | None = None) -> DataFrame:
     """Sales with lifecycle columns, style and calendar flags.
@@ -33,13 +40,9 @@ def build_features(sales: DataFrame, products: DataFrame, effects: DataFrame | N
     Sizing the calendar runs one small job; without ``labels`` so does naming its flags.
     """
     features = add_style(add_lifecycle(sales_columns(sales), settings), products)
-    if effects is None:
-        return features
-    labelled = calendar.label_effect_days(calendar.effect_days(effects))
-    names = list(labels) if labels is not None else calendar.distinct_labels(labelled)
-    if not names:
+    flags = None if effects is None else calendar_flags(effects, labels)
+    if flags is None:
         return features
-    flags = calendar.pivot_flags(labelled, names)
     return calendar.join_flags(features, flags, calendar.calendar_span(effects))
 
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from datetime import timedelta
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.functions.categories import numeric_or_zero
-from shelfcast.operators.changepoint import changepoint_values
+from shelfcast.functions.categories import numeric_or_zero, salary_period
+from shelfcast.operators.changepoint import EPOCH, RegressorDays, changepoint_values
 from shelfcast.operators.lifecycle import ALL_ROWS, product_rows
 from shelfcast.operators.training import PRODUCT_COLUMNS
 from shelfcast.settings import Settings
@@ -157,12 +158,39 @@ def forecast(training: DataFrame, settings: Settings) -> DataFrame:
     return _output(horizon(valued, settings), method, value)
 
 
-def changepoint_forecast(training: DataFrame, settings: Settings) -> DataFrame:
+def known_regressors(flags: DataFrame, settings: Settings) -> DataFrame:
+    """Every date from the history start to the forecast end with all regressors, past and planned."""
+    days = F.explode(F.sequence(F.lit(settings.history_start), F.lit(settings.forecast_end)))
+    spine = flags.sparkSession.range(1).select(days.alias("date"))
+    present = [name for name in settings.all_regressors if name in flags.columns]
+    filled = spine.join(flags.select("date", *present), "date", "left")
+    salary = salary_period(F.col("date"), settings.salary_first_day, settings.salary_last_day)
+    return filled.select("date", *[
+        numeric_or_zero(F.col(name)).alias(name) if name in present
+        else (salary if name == "SALARY_PERIOD" else F.lit(0)).cast("double").alias(name)
+        for name in settings.all_regressors])
+
+
+def _regressor_days(regressors: DataFrame, settings: Settings) -> RegressorDays:
+    names = list(settings.all_regressors)
+    rows = regressors.orderBy("date").select(*names).collect()
+    columns = {category: [names.index(name) for name in rule.regressors]
+               for category, rule in settings.lifecycle.items()}
+    return RegressorDays((settings.history_start - EPOCH).days,
+                         np.array([tuple(row) for row in rows], dtype=float), columns)
+
+
+def changepoint_forecast(training: DataFrame, settings: Settings,
+                         regressors: DataFrame | None = None) -> DataFrame:
     """As ``forecast``, but the trend bends at the category's changepoints and the weekly season is
     a Fourier series, fitted by a penalised regression.
 
     Each product is one row with its series in an array no longer than the look-back, so Arrow sends
     thousands of products to one call of the solver.
+
+    ``regressors`` is the output of ``known_regressors``: one row per calendar day of the settings'
+    dates, whatever the products.  Given, a job reads these few rows once, and they travel with the
+    function; repeated in every product's row they would outweigh the sales.
     """
     profile = _enough(training, settings).groupBy(*PRODUCT_COLUMNS, "n").agg(
         *_common_aggregates(settings),
@@ -170,11 +198,14 @@ def changepoint_forecast(training: DataFrame, settings: Settings) -> DataFrame:
                     lambda row: F.struct(row.y.cast("double").alias("y"),
                                          F.unix_date(row.date).alias("day"))).alias("series"))
     intermittent = F.col("zero_ratio") >= settings.zero_ratio_threshold
-    solver = changepoint_values(settings.forecast_start, settings.horizon_days)
+    solver = changepoint_values(
+        settings.forecast_start, settings.horizon_days,
+        None if regressors is None else _regressor_days(regressors, settings))
     fitted = profile.withColumn("croston", _croston(F.col("over_forecast_factor"), F.col("n"))).withColumn(
         "fitted", solver(F.when(~intermittent, F.col("series.y")),
                          F.when(~intermittent, F.col("series.day")),
-                         F.col("changepoints"), F.col("changepoint_prior")))
+                         F.col("changepoints"), F.col("changepoint_prior"),
+                         F.col("on_forecast_age_sales_category")))
     # The solver gives null for an intermittent product and for a fit that is not finite.
     method = F.when(F.col("fitted").isNull(), CROSTON).otherwise(CHANGEPOINT)
     value = F.when(F.col("fitted").isNull(), F.col("croston")).otherwise(F.greatest(

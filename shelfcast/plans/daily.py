@@ -13,21 +13,24 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelfcast.operators import forecast as fc
 from shelfcast.operators.eligibility import history_cut, qualified_history
-from shelfcast.operators.features import build_features
+from shelfcast.operators.features import build_features, calendar_flags
 from shelfcast.operators.training import training_window
 from shelfcast.settings import Settings
 from shelfcast.sources.feature_store import read_features, write_features
 from shelfcast.sources.run_store import stored_next_run_id, write_run
 from shelfcast.sources.tables import Table, load_inputs
 
-TREND_MODELS = {fc.TREND_WEEKDAY: fc.forecast, fc.CHANGEPOINT: fc.changepoint_forecast}
+TREND_MODELS = (fc.TREND_WEEKDAY, fc.CHANGEPOINT)
 
 
-def forecast_demand(features: DataFrame, settings: Settings,
-                    trend_model: str = fc.CHANGEPOINT) -> DataFrame:
+def forecast_demand(features: DataFrame, settings: Settings, trend_model: str = fc.CHANGEPOINT,
+                    regressors: DataFrame | None = None) -> DataFrame:
     """Features to forecast rows: eligibility, training window, method choice, horizon."""
     qualified = qualified_history(history_cut(features, settings), settings)
-    return TREND_MODELS[trend_model](training_window(qualified, settings), settings)
+    training = training_window(qualified, settings)
+    if trend_model == fc.TREND_WEEKDAY:
+        return fc.forecast(training, settings)
+    return fc.changepoint_forecast(training, settings, regressors)
 
 
 def run(spark: SparkSession, sales: Table, products: Table, calendar: Table, features_path: str,
@@ -38,10 +41,15 @@ def run(spark: SparkSession, sales: Table, products: Table, calendar: Table, fea
     The forecast starts from the written feature table, so a lost executor repeats one stage of one
     job and not the feature plan.
     """
-    inputs = load_inputs(spark, sales, products, calendar, settings.history_start)
-    write_features(build_features(*inputs, settings, labels), features_path)
+    sales_rows, product_rows, effects = load_inputs(
+        spark, sales, products, calendar, settings.history_start)
+    write_features(build_features(sales_rows, product_rows, effects, settings, labels), features_path)
+    regressors = None
+    if settings.use_regressors:
+        flags = calendar_flags(effects, labels)
+        regressors = None if flags is None else fc.known_regressors(flags, settings)
     run_id = stored_next_run_id(spark, runs_path)
-    write_run(forecast_demand(read_features(spark, features_path), settings, trend_model),
+    write_run(forecast_demand(read_features(spark, features_path), settings, trend_model, regressors),
               runs_path, run_id)
     return run_id
 
@@ -55,9 +63,12 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--history-start", required=True)
     parser.add_argument("--history-end", required=True)
     parser.add_argument("--format", default="parquet", help="format of the input tables")
-    parser.add_argument("--trend-model", choices=sorted(TREND_MODELS), default=fc.CHANGEPOINT)
+    parser.add_argument("--trend-model", choices=TREND_MODELS, default=fc.CHANGEPOINT)
+    parser.add_argument("--use-regressors", action="store_true",
+                        help="let the changepoint model see the calendar")
     args = parser.parse_args(argv)
-    settings = Settings(history_start=args.history_start, history_end=args.history_end)
+    settings = Settings(history_start=args.history_start, history_end=args.history_end,
+                        use_regressors=args.use_regressors)
     spark = build_session("shelfcast daily forecast")
     tables = [Table(path, args.format) for path in (args.sales, args.products, args.calendar)]
     print(run(spark, *tables, args.features, args.runs, settings, trend_model=args.trend_model))

@@ -75,6 +75,8 @@ class Settings:
     fallback: LifecycleRule = FALLBACK_RULE
     strict_draft: bool = False
     """Label every day before the first sale Draft, not just the last one."""
+    use_regressors: bool = False
+    """Let the changepoint model see each category's calendar flags, past and future."""
 
     def __post_init__(self) -> None:
         for name in ("history_start", "history_end", "forecast_start"):

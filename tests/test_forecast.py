@@ -186,3 +186,22 @@ def test_fit_block_follows_a_bend_and_a_week():
     assert np.abs(got / want - 1).max() < 0.15
     stiff = fit_block(bend[None, :], days, 8, 0.0001, future)[0]
     assert stiff[-1] < got[-1]  # a small prior keeps the line straight
+
+
+def test_regressors_reach_the_model_only_when_given(spark):
+    settings = Settings(history_start=day(0), history_end=day(59), use_regressors=True)
+    flagged = {day(i) for i in (5, 20, 33, 47, 64)}  # the last one lies in the horizon
+    flags = spark.createDataFrame([(d, 1) for d in flagged], "date date, EID_FITR_DAY_0 int")
+    days = fc.known_regressors(flags, settings)
+    assert days.count() == 74 and days.where("EID_FITR_DAY_0 = 1").count() == 5
+    assert days.where("SALARY_PERIOD = 1").count() > 0
+    units = [30 if day(i) in flagged else 10 for i in range(60)]
+    rows = _training_rows(spark, {"a": units}).withColumn(
+        "on_forecast_age_sales_category", F.lit("04| Mature_02| Medium"))
+    without = dict(values(fc.changepoint_forecast(rows, settings), "date", "forecast"))
+    seen = dict(values(fc.changepoint_forecast(rows, settings, days), "date", "forecast"))
+    assert seen[day(64)] > 25 and without[day(64)] < 20
+    assert seen[day(65)] == pytest.approx(10, rel=0.15)
+    # A category without regressors ignores them.
+    low = rows.withColumn("on_forecast_age_sales_category", F.lit("03| Growth_01| Low"))
+    assert dict(values(fc.changepoint_forecast(low, settings, days), "date", "forecast")) == pytest.approx(without)

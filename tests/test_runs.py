@@ -70,6 +70,8 @@ def test_daily_job_and_scorecard(spark):
     inputs = [tables.Table(f"{root}/{name}") for name in ("sales", "products", "calendar")]
     for expected in (1, 2):
         assert run(spark, *inputs, f"{root}/features", f"{root}/runs", settings) == expected
+    seeing = Settings(history_start=day(0), history_end=day(15), use_regressors=True)
+    assert run(spark, *inputs, f"{root}/features", f"{root}/other-runs", seeing) == 1
     features = spark.read.parquet(f"{root}/features")
     assert "EID_FITR_DAY_MINUS_1" in features.columns
     card = Scorecard.build(features, run_store.read_runs(spark, f"{root}/runs"), day(16), day(29))
