@@ -14,15 +14,19 @@ from shelfcast.functions.categories import effect_day_label
 BROADCAST_DAYS = 200_000
 
 
+def _dated(effects: DataFrame) -> DataFrame:
+    return effects.withColumns({
+        name: F.col(name).try_cast("date") for name in ("date", "start_date", "end_date")})
+
+
 def effect_days(effects: DataFrame) -> DataFrame:
     """One row per day of each effect's ``[start_date, end_date]``, with the anchor date kept.
 
-    Effects without an anchor, a start or an end, and ranges that end before they start, have no days.
+    Effects without a readable anchor, start or end, and ranges that end before they start, have no days.
     """
-    dates = {name: F.col(name).cast("date") for name in ("date", "start_date", "end_date")}
-    typed = effects.withColumns(dates).where(
+    valid = _dated(effects).where(
         F.col("date").isNotNull() & (F.col("start_date") <= F.col("end_date")))
-    return typed.select(
+    return valid.select(
         "calendar_effect", "calendar_effect_type", F.col("date").alias("actual_effect_date"),
         F.explode(F.sequence("start_date", "end_date", F.expr("interval 1 day"))).alias("date"))
 
@@ -62,7 +66,7 @@ def missing_dates(sales: DataFrame, flags: DataFrame, sample: int | None = None)
 
 def calendar_span(effects: DataFrame) -> int:
     """An upper bound on flag-table rows: days summed over all ranges.  Runs a small job."""
-    return effects.agg(F.coalesce(F.sum(F.greatest(
+    return _dated(effects).agg(F.coalesce(F.sum(F.greatest(
         F.datediff("end_date", "start_date") + 1, F.lit(0))), F.lit(0))).first()[0]
 
 

@@ -33,7 +33,7 @@ def sales_columns(sales: DataFrame) -> DataFrame:
     """Rename stored sales columns; NaN, which would sort above any number, becomes null."""
     extra = [name for name in ("id", "shopify_product_id") if name in sales.columns]
     return sales.select(
-        *extra, "product_id", F.col("day").alias("date"),
+        *extra, "product_id", F.col("day").cast("date").alias("date"),
         _without_nan(sales, "units_sold").alias("sales_units"),
         _without_nan(sales, "sales_amount").alias("sales_amount"))
 

@@ -1,14 +1,22 @@
-"""The scorecard: stored features and runs to the evaluation tables."""
+"""The scorecard: stored features and runs to the evaluation tables.
+
+    spark-submit --py-files shelfcast.zip -m shelfcast.plans.scorecard --features ... --runs ... \
+        --out ... --first 2025-10-07 --last 2025-10-17
+"""
 
 from __future__ import annotations
 
+import argparse
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from shelfcast.operators import evaluation as ev
 from shelfcast.operators.runs import latest_run_per_date
+from shelfcast.sources.feature_store import read_features
+from shelfcast.sources.run_store import read_runs
 
 
 @dataclass(frozen=True)
@@ -53,3 +61,46 @@ class Scorecard:
 
     def style(self, style: str) -> DataFrame:
         return ev.style_series(self.validation, style)
+
+
+def write_scorecard(spark: SparkSession, features_path: str, runs_path: str, out: str,
+                    first: date, last: date) -> Scorecard:
+    """Write every view below ``out`` as Parquet and return the card over the written tables.
+
+    The two wide tables are written first and read back, so the views share them without a cache and
+    a lost executor does not bring their joins back.
+    """
+    def stored(name: str, df: DataFrame) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{out}/{name}")
+        return spark.read.parquet(f"{out}/{name}")
+
+    lazy = Scorecard.build(read_features(spark, features_path), read_runs(spark, runs_path), first, last)
+    card = Scorecard(stored("evaluation", lazy.evaluation), stored("validation", lazy.validation),
+                     first, last)
+    for name, view in (("business_daily", card.business_daily()),
+                       ("business_window", card.business_window()),
+                       ("products_by_age", card.products_by_age()),
+                       ("sales_category_distribution", card.distribution("sales_category")),
+                       ("accuracy_bias", card.accuracy("bias")),
+                       ("accuracy_error", card.accuracy("error")),
+                       ("worst_products", card.worst_products())):
+        stored(name, view)
+    return card
+
+
+def main(argv: Sequence[str] | None = None) -> None:
+    from shelfcast.session import build_session
+
+    parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
+    for name in ("features", "runs", "out"):
+        parser.add_argument(f"--{name}", required=True)
+    for name in ("first", "last"):
+        parser.add_argument(f"--{name}", required=True, type=date.fromisoformat,
+                            help=f"{name} date of the evaluation window")
+    args = parser.parse_args(argv)
+    write_scorecard(build_session("shelfcast scorecard"), args.features, args.runs, args.out,
+                    args.first, args.last)
+
+
+if __name__ == "__main__":
+    main()

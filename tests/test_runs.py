@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.operators import runs as rn
 from shelfcast.plans.daily import run
-from shelfcast.plans.scorecard import Scorecard
+from shelfcast.plans.scorecard import Scorecard, write_scorecard
 from shelfcast.session import shared_path
 from shelfcast.settings import Settings
 from shelfcast.sources import run_store, tables
@@ -87,6 +87,10 @@ def test_daily_job_and_scorecard(spark):
     assert card.distribution().count() >= 1
     assert card.products_by_age().count() == 30
     assert card.style("STa").count() == 30
+    written = write_scorecard(spark, f"{root}/features", f"{root}/runs", f"{root}/card", day(16), day(29))
+    assert sorted(map(str, written.evaluation.collect())) == sorted(map(str, card.evaluation.collect()))
+    assert spark.read.parquet(f"{root}/card/accuracy_bias").count() == 22
+    assert spark.read.parquet(f"{root}/card/business_daily").count() == 30
     with pytest.raises(ValueError):
         tables.load_inputs(spark, *inputs, day(400))
 
