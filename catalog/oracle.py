@@ -402,8 +402,8 @@ def _accuracy(source: str, method: str, where: str, low: float, high: float, ove
     bins = ", ".join(f"({i}, '{label}', {number(start)}, {number(end)})"
                      for i, (label, start, end) in enumerate(bin_table(method)))
     return f"""SELECT b.label AS {method}_bin, b.units_in_bin, b.bin_start, b.bin_end, b.is_good,
-  round(b.units_in_bin * 100.0 / t.divisor, 1) AS percentage_of_target,
-  round(t.good * 100.0 / t.divisor, 1) AS good_percent, CAST(b.position - 10 AS INTEGER) AS bin_numeric_pos
+  round_even(b.units_in_bin / t.divisor * 100, 1) AS percentage_of_target,
+  round_even(t.good / t.divisor * 100, 1) AS good_percent, CAST(b.position - 10 AS INTEGER) AS bin_numeric_pos
 FROM filled b CROSS JOIN (
   SELECT CAST(sum(units_in_bin) FILTER (WHERE is_good) AS DOUBLE) AS good,
          CAST(CASE WHEN sum(units_in_bin) = 0 THEN 1 ELSE sum(units_in_bin) END AS DOUBLE) AS divisor
@@ -422,7 +422,7 @@ def _accuracy_sql(source: str, method: str, low: float, high: float, where: str
 
 
 def _percent(part: str, whole: str) -> str:
-    return f"coalesce(round({part} * 100.0 / nullif({whole}, 0), 1), 0.0)"
+    return f"coalesce(round_even(CAST({part} AS DOUBLE) / nullif({whole}, 0) * 100, 1), 0.0)"
 
 
 _HISTORY_COLUMNS = ("product_id, date, sales_units, age_category, sales_category, "
@@ -558,8 +558,8 @@ SELECT r.rule""", 1),
     "bias_bins": _sql("SELECT product_id, date, run_id, bias_bin FROM scored_days", "scored_days"),
     "error_bins": _sql("SELECT product_id, date, bias_bin, error_bin FROM scored_brands", "scored_brands"),
     "attribute_distribution": _sql(
-        """SELECT g.*, round(product_count * 100.0 / t.products, 1) AS product_count_pct,
-  round(total_sales_units * 100.0 / t.units, 1) AS total_sales_units_pct
+        """SELECT g.*, round_even(product_count / t.products * 100, 1) AS product_count_pct,
+  round_even(total_sales_units / t.units * 100, 1) AS total_sales_units_pct
 FROM (SELECT sales_category, count(DISTINCT product_id) AS product_count,
              CAST(sum(sales_units) AS BIGINT) AS total_sales_units FROM evaluation GROUP BY 1) g
 CROSS JOIN (SELECT CAST(sum(c) AS DOUBLE) AS products, CAST(sum(u) AS DOUBLE) AS units
@@ -577,7 +577,7 @@ FROM (SELECT date, CAST(sum(sales_units) AS BIGINT) AS sales_units, sum(forecast
     "business_window": _sql(
         """SELECT total_sales, round(total_forecast, 4) AS total_forecast,
   round(total_forecast - total_sales, 4) AS difference,
-  round((total_forecast - total_sales) * 100.0 / nullif(total_sales, 0), 4) AS difference_pct
+  round((total_forecast - total_sales) / nullif(total_sales, 0) * 100, 4) AS difference_pct
 FROM (SELECT CAST(coalesce(sum(sales_units), 0) AS BIGINT) AS total_sales,
              coalesce(sum(forecast), 0) AS total_forecast FROM validation
       WHERE date BETWEEN DATE '2024-01-17' AND DATE '2024-01-30')""", "validation"),

@@ -52,3 +52,8 @@ def bias(actual: Column, predicted: Column) -> Column:
 
 def error(actual: Column, predicted: Column) -> Column:
     return predicted - actual
+
+
+def percent(part: Column, whole: Column) -> Column:
+    """Percent to one decimal, halves to the even digit; null where the whole is zero."""
+    return F.bround(part / F.nullif(whole, F.lit(0)) * 100, 1)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfcast.functions.accuracy import percent
 from shelfcast.operators.lifecycle import ALL_ROWS, product_rows
 from shelfcast.settings import Settings
 
@@ -122,10 +123,9 @@ def filter_impact(features: DataFrame, settings: Settings) -> DataFrame:
              F.col("all_units") - F.col("combined_units")),
         line("total", F.col("all_products"), F.col("all_units")))).alias("line"))
 
-    def percent(part: str, whole: str) -> Column:
-        share = F.round(F.col(part) * 100.0 / F.nullif(F.col(whole), F.lit(0)), 1)
-        return F.coalesce(share, F.lit(0.0))
+    def share(part: str, whole: str) -> Column:
+        return F.coalesce(percent(F.col(part), F.col(whole)), F.lit(0.0))
 
     return lines.select("line.rule", "line.products", "line.units",
-                        percent("line.products", "all_products").alias("product_pct"),
-                        percent("line.units", "all_units").alias("unit_pct"))
+                        share("line.products", "all_products").alias("product_pct"),
+                        share("line.units", "all_units").alias("unit_pct"))

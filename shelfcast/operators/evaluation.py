@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions import accuracy
+from shelfcast.functions.accuracy import percent
 from shelfcast.functions.categories import AGE_CATEGORIES
 
 # Sums of forecasts are rounded here before they are binned.  The last bits of such a sum depend on the
@@ -80,7 +81,7 @@ def attribute_distribution(df: DataFrame, group_by: Sequence[str]) -> DataFrame:
     totals = groups.agg(F.struct(*[F.sum(name).alias(name) for name in counted])).scalar()
 
     def share(name: str):
-        return F.round(F.col(name) * 100.0 / F.nullif(totals.getField(name), F.lit(0)), 1)
+        return percent(F.col(name), totals.getField(name))
 
     return groups.withColumns({"product_count_pct": share("product_count"),
                                "total_sales_units_pct": share("total_sales_units")}
@@ -129,8 +130,8 @@ def accuracy_distribution(scored: DataFrame, method: str = "bias", target: str =
     divisor = F.when(total == 0, 1).otherwise(total)
     return table.select(
         key, "units_in_bin", "bin_start", "bin_end", "is_good",
-        F.round(F.col("units_in_bin") * 100.0 / divisor, 1).alias("percentage_of_target"),
-        F.when(total > 0, F.round(good_units * 100.0 / divisor, 1)).otherwise(0.0).alias("good_percent"),
+        percent(F.col("units_in_bin"), divisor).alias("percentage_of_target"),
+        F.when(total > 0, percent(good_units, divisor)).otherwise(0.0).alias("good_percent"),
         (F.col("position") - accuracy.ZERO_POSITION).alias("bin_numeric_pos")).orderBy(key)
 
 
@@ -148,8 +149,8 @@ def business_window(validation: DataFrame, first: date, last: date) -> DataFrame
         F.coalesce(F.sum("sales_units"), F.lit(0)).alias("total_sales"),
         F.coalesce(F.sum("forecast"), F.lit(0.0)).alias("total_forecast"))
     gap = F.col("total_forecast") - F.col("total_sales")
-    return totals.withColumns({"difference": gap, "difference_pct": gap * 100.0 / F.nullif(
-        F.col("total_sales"), F.lit(0))})
+    return totals.withColumns({"difference": gap, "difference_pct": gap / F.nullif(
+        F.col("total_sales"), F.lit(0)) * 100})
 
 
 def products_by_age(validation: DataFrame) -> DataFrame:
