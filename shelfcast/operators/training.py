@@ -49,6 +49,15 @@ def with_rules(products: DataFrame, settings: Settings) -> DataFrame:
             .withColumns({name: F.col(f"rule.{name}") for name in RULE_COLUMNS}).drop("rule"))
 
 
+def last_days(history: DataFrame, settings: Settings) -> DataFrame:
+    """The days the longest look-back can reach, for a panel with one row per product and day.
+
+    The date bound goes to the scan of the stored features.
+    """
+    first = settings.history_end - timedelta(days=settings.longest_look_back - 1)
+    return history.where(F.col("date") >= F.lit(first))
+
+
 def training_window(qualified: DataFrame, settings: Settings) -> DataFrame:
     """Each product's last ``look_back`` rows before the forecast start.
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from shelfcast.operators import forecast as fc
 from shelfcast.operators.eligibility import history_cut, qualified_history
 from shelfcast.operators.features import build_features, calendar_flags
-from shelfcast.operators.training import training_window
+from shelfcast.operators.training import last_days, training_window
 from shelfcast.settings import Settings
 from shelfcast.sources.feature_store import read_features, write_features
 from shelfcast.sources.run_store import stored_next_run_id, write_run
@@ -26,7 +26,10 @@ TREND_MODELS = (fc.TREND_WEEKDAY, fc.CHANGEPOINT)
 def forecast_demand(features: DataFrame, settings: Settings, trend_model: str = fc.CHANGEPOINT,
                     regressors: DataFrame | None = None) -> DataFrame:
     """Features to forecast rows: eligibility, training window, method choice, horizon."""
-    qualified = qualified_history(history_cut(features, settings), settings)
+    history = history_cut(features, settings)
+    if settings.dense_panel:
+        history = last_days(history, settings)
+    qualified = qualified_history(history, settings)
     training = training_window(qualified, settings)
     if trend_model == fc.TREND_WEEKDAY:
         return fc.forecast(training, settings)
@@ -66,9 +69,11 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--trend-model", choices=TREND_MODELS, default=fc.CHANGEPOINT)
     parser.add_argument("--use-regressors", action="store_true",
                         help="let the changepoint model see the calendar")
+    parser.add_argument("--dense", action="store_true",
+                        help="sales have one row per product and day")
     args = parser.parse_args(argv)
     settings = Settings(history_start=args.history_start, history_end=args.history_end,
-                        use_regressors=args.use_regressors)
+                        use_regressors=args.use_regressors, dense_panel=args.dense)
     spark = build_session("shelfcast daily forecast")
     tables = [Table(path, args.format) for path in (args.sales, args.products, args.calendar)]
     print(run(spark, *tables, args.features, args.runs, settings, trend_model=args.trend_model))

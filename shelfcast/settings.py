@@ -75,6 +75,9 @@ class Settings:
     fallback: LifecycleRule = FALLBACK_RULE
     strict_draft: bool = False
     """Label every day before the first sale Draft, not just the last one."""
+    dense_panel: bool = False
+    """Every product has exactly one row per day.  Look-back rows are then look-back days, so a forecast
+    reads only those days of the features."""
     use_regressors: bool = False
     """Let the changepoint model see each category's calendar flags, past and future."""
 

@@ -35,15 +35,20 @@ def write_run(forecast: DataFrame, path: str, run_id: int) -> None:
      .partitionBy("run_id").parquet(path))
 
 
-def _read(spark: SparkSession, path: str, schema: T.StructType | None = None, **options: str) -> DataFrame:
-    """The Parquet table at ``path``, or an empty one of the standard columns if there is none yet."""
+def _open(spark: SparkSession, path: str, schema: T.StructType | None = None,
+          **options: str) -> DataFrame | None:
+    """The Parquet table at ``path``, or None if nothing was stored there yet."""
     reader = spark.read.options(**options)
     try:
         return (reader.schema(schema) if schema else reader).parquet(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], RUN_SCHEMA)
+        return None
+
+
+def _no_runs(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], RUN_SCHEMA)
 
 
 def read_runs(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -52,19 +57,21 @@ def read_runs(spark: SparkSession, path: str, schema: T.StructType | None = None
     Without ``schema`` the columns are collected from the footers of all files, by a job on the
     executors; give it once the runs are many.
     """
-    return _read(spark, path, schema, mergeSchema="true")
+    runs = _open(spark, path, schema, mergeSchema="true")
+    return _no_runs(spark) if runs is None else runs
 
 
 def read_run(spark: SparkSession, path: str, run_id: int) -> DataFrame:
     """One run, empty if it was never stored.  Only its folder is listed and read."""
-    return _read(spark, f"{path.rstrip('/')}/run_id={run_id}", basePath=path)
+    run = _open(spark, f"{path.rstrip('/')}/run_id={run_id}", basePath=path)
+    return _no_runs(spark) if run is None else run
 
 
 def list_runs(spark: SparkSession, path: str) -> DataFrame:
     """One row per run, ascending: rows, date span, files, bytes and last change."""
-    runs = _read(spark, path, RUN_SCHEMA)
-    if not runs.inputFiles():
-        return run_summary(runs).select("*", *[
+    runs = _open(spark, path, RUN_SCHEMA)
+    if runs is None:
+        return run_summary(_no_runs(spark)).select("*", *[
             F.lit(None).cast(kind).alias(name) for name, kind in FILE_COLUMNS.items()])
     # A first pass per file keeps each file's size from being counted once per row.
     per_file = runs.select(
@@ -82,4 +89,5 @@ def list_runs(spark: SparkSession, path: str) -> DataFrame:
 
 def stored_next_run_id(spark: SparkSession, path: str) -> int:
     """The number the next run should take.  Runs a job that reads run folders, not columns."""
-    return next_run_id(_read(spark, path, RUN_SCHEMA)).first()["next_run_id"]
+    runs = _open(spark, path, RUN_SCHEMA)
+    return next_run_id(_no_runs(spark) if runs is None else runs).first()["next_run_id"]

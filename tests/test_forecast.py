@@ -177,6 +177,18 @@ def test_forecast_demand_has_fourteen_days_per_product(spark):
     assert empty.count() == 0 and empty.columns == list(fc.FORECAST_COLUMNS)
 
 
+def test_a_dense_panel_needs_only_its_last_days(spark):
+    rng = random.Random(5)
+    series = {f"p{i}": [rng.choice([0, 0, rng.randint(1, 20)]) for _ in range(90)] for i in range(40)}
+    plain = Settings(history_start=day(0), history_end=day(85))
+    dense = Settings(history_start=day(0), history_end=day(85), dense_panel=True)
+    features = _features(spark, series, plain)
+    assert features.where("age_category = '04| Mature'").count() > 0
+    for model in ("trend_weekday", "changepoint"):
+        assert sorted(map(str, forecast_demand(features, dense, model).collect())) == sorted(
+            map(str, forecast_demand(features, plain, model).collect()))
+
+
 def test_fit_block_follows_a_bend_and_a_week():
     days = np.arange(60)
     bend = np.where(days < 30, 10.0, 10.0 + (days - 30)) * (1 + 0.3 * np.sin(2 * np.pi * days / 7))
