@@ -20,12 +20,17 @@ FOURIER_ORDER = 3
 SEASON_DAYS = 14
 SEASON_PENALTY = 0.01
 ROUNDS = 6
+MIN_ROWS = 2
 
 
-def _trend_design(t: np.ndarray, n: int, changepoints: int) -> np.ndarray:
-    usable = max(min(changepoints, int(n * HISTORY_SHARE) - 1, n - 1), 0)
-    bends = np.linspace(0, int(n * HISTORY_SHARE) - 1, usable + 1)[1:] / max(n - 1, 1)
-    scaled = t / max(n - 1, 1)
+def _bends(scaled: np.ndarray, changepoints: int) -> np.ndarray:
+    """Where the trend may bend: evenly spread over the first rows, never more than rows allow."""
+    rows = int(len(scaled) * HISTORY_SHARE)
+    count = max(min(changepoints, rows - 1), 0)
+    return scaled[np.linspace(0, rows - 1, count + 1).round().astype(int)[1:]]
+
+
+def _trend_design(scaled: np.ndarray, bends: np.ndarray) -> np.ndarray:
     hinges = np.maximum(scaled[:, None] - bends[None, :], 0.0)
     return np.column_stack([np.ones_like(scaled), scaled, hinges])
 
@@ -50,10 +55,10 @@ def fit_block(y: np.ndarray, days: np.ndarray, changepoints: int, prior: float,
     ``flags`` (rows, flags) and ``future_flags`` lift or lower the trend on their days, as the season
     does.
     """
-    n = y.shape[1]
-    t = np.arange(n, dtype=float)
-    ahead = n - 1 + (future_days - days[-1]).astype(float)
-    trend_x, trend_future = _trend_design(t, n, changepoints), _trend_design(ahead, n, changepoints)
+    n, span = y.shape[1], max(days[-1] - days[0], 1)
+    scaled, ahead = (days - days[0]) / span, (future_days - days[0]) / span
+    bends = _bends(scaled, changepoints)
+    trend_x, trend_future = _trend_design(scaled, bends), _trend_design(ahead, bends)
     # Only the bends are penalised; the tiny rest keeps the system solvable.
     trend_penalty = np.full(trend_x.shape[1], 1e-8)
     trend_penalty[2:] = 1.0 / prior ** 2 / max(n, 1)
@@ -99,12 +104,11 @@ def changepoint_values(start: date, horizon_days: int, regressors: RegressorDays
         out = pd.Series([None] * len(y), index=y.index, dtype=object)
         frame = pd.DataFrame({"y": y, "days": days, "c": changepoints, "p": prior,
                               "category": category if regressors else ""})
-        frame = frame[frame["y"].notna()]
+        frame = frame[[v is not None and len(v) >= MIN_ROWS for v in frame["y"]]]
         # Products with the same rule and the same dates share one design and one solve.
         frame["dates"] = [np.asarray(d, dtype=np.int64).tobytes() for d in frame["days"]]
         for (_, c, p, label), block in frame.groupby(["dates", "c", "p", "category"]):
             series = np.stack([np.asarray(v, dtype=float) for v in block["y"]])
-            series = np.nan_to_num(series)
             dates = np.asarray(block["days"].iloc[0], dtype=np.int64)
             flags = [regressors.of(label, d) for d in (dates, future)] if regressors else []
             try:

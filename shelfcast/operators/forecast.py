@@ -194,7 +194,8 @@ def changepoint_forecast(training: DataFrame, settings: Settings,
     """
     profile = _enough(training, settings).groupBy(*PRODUCT_COLUMNS, "n").agg(
         *_common_aggregates(settings),
-        F.transform(F.sort_array(F.collect_list(F.struct("t", "y", "date"))),
+        # Rows without units are left out; the model goes by dates.
+        F.transform(F.sort_array(F.collect_list(F.when(F.col("y").isNotNull(), F.struct("t", "y", "date")))),
                     lambda row: F.struct(row.y.cast("double").alias("y"),
                                          F.unix_date(row.date).alias("day"))).alias("series"))
     intermittent = F.col("zero_ratio") >= settings.zero_ratio_threshold

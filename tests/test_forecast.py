@@ -8,7 +8,7 @@ from shelfcast.operators import eligibility as el
 from shelfcast.operators import forecast as fc
 from shelfcast.operators import panel
 from shelfcast.operators import training as tr
-from shelfcast.operators.changepoint import fit_block
+from shelfcast.operators.changepoint import EPOCH, fit_block
 from shelfcast.operators.features import build_features
 from shelfcast.plans.daily import forecast_demand
 from shelfcast.settings import Settings
@@ -217,3 +217,60 @@ def test_regressors_reach_the_model_only_when_given(spark):
     # A category without regressors ignores them.
     low = rows.withColumn("on_forecast_age_sales_category", F.lit("03| Growth_01| Low"))
     assert dict(values(fc.changepoint_forecast(low, settings, days), "date", "forecast")) == pytest.approx(without)
+
+
+def _fit_one(y, days, future, changepoints, prior):
+    """The same model for one series, by stacked least squares instead of normal equations."""
+    def solve(x, penalties, target):
+        rows = np.vstack([x, np.diag(np.sqrt(penalties))])
+        return np.linalg.lstsq(rows, np.concatenate([target, np.zeros(len(penalties))]), rcond=None)[0]
+
+    n, span, top = len(y), days[-1] - days[0], max(abs(v) for v in y)
+    rows = int(n * 0.8)
+    places = [days[int(round(i * (rows - 1) / min(changepoints, rows - 1)))]
+              for i in range(1, min(changepoints, rows - 1) + 1)]
+
+    def trend_row(d):
+        return [1.0, (d - days[0]) / span] + [max(d - p, 0) / span for p in places]
+
+    def week_row(d):
+        return [f(2 * np.pi * d * k / 7) for f in (np.sin, np.cos) for k in (1, 2, 3)]
+
+    x, w = np.array([trend_row(d) for d in days]), np.array([week_row(d) for d in days])
+    target, seasonal = np.array(y) / top, span + 1 >= 14
+    week = np.zeros(6)
+    for _ in range(6 if seasonal else 1):
+        trend = solve(x * (1 + w @ week)[:, None],
+                      np.array([1e-8, 1e-8] + [1 / prior ** 2 / n] * len(places)), target)
+        if seasonal:
+            week = solve(w * (x @ trend)[:, None], np.full(6, 0.01), target - x @ trend)
+    return [float(np.dot(trend_row(d), trend) * (1 + np.dot(week_row(d), week)) * top) for d in future]
+
+
+def test_changepoint_model_against_one_series_at_a_time(spark):
+    rng = random.Random(11)
+    series = {f"p{i}": [rng.randint(1, 30) for _ in range(n)]
+              for i, n in enumerate([8, 10, 13, 14, 20, 30, 60, 60])}
+    settings = Settings(history_start=day(0), history_end=day(60))
+    rows = _training_rows(spark, series, 1.15).withColumn("changepoints", F.lit(4))
+    got = {}
+    for product, value in values(fc.changepoint_forecast(rows, settings).orderBy("product_id", "date"),
+                                 "product_id", "forecast"):
+        got.setdefault(product, []).append(value)
+    epoch = (day(0) - EPOCH).days
+    future = range(epoch + 61, epoch + 75)
+    for product, y in series.items():
+        days = list(range(epoch, epoch + len(y)))
+        want = [max(v * 1.15, 0) for v in _fit_one(y, days, future, 4, 0.05)]
+        assert got[product] == pytest.approx(want, rel=1e-5, abs=1e-5), product
+
+
+def test_changepoint_model_leaves_out_rows_without_units(spark):
+    settings = Settings(history_start=day(0), history_end=day(20))
+    # With a line and no season, the gap must not bend the fit.
+    rows = _training_rows(spark, {"gap": [5, 6, 7, None, 9, 10, 11, None, 13, 14]}).withColumn(
+        "changepoints", F.lit(0))
+    assert values(fc.changepoint_forecast(rows, settings).orderBy("date"), "forecast")[0] == pytest.approx(26)
+    nothing = _training_rows(spark, {"none": [None] * 10})
+    assert set(values(fc.changepoint_forecast(nothing, settings), "forecast_method", "forecast")) == {
+        ("croston", 0.0)}
