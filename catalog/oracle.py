@@ -391,6 +391,10 @@ _fragment("scored_brands", ("brand_life",), f"""brand_guess AS (
   SELECT *, round(recent_sales_units / 14.0, 3) AS forecast FROM brand_life),
 scored_brands AS ({_scored('brand_guess')})""")
 
+_fragment("scored_parts", ("part_life",), f"""part_guess AS (
+  SELECT *, round(recent_sales_units / 14.0, 3) AS forecast FROM part_life),
+scored_parts AS ({_scored('part_guess')})""")
+
 
 def _accuracy(source: str, method: str, where: str, low: float, high: float, overlap: bool) -> str:
     good = (f"bin_start <= {high} AND bin_end >= {low}" if overlap
@@ -569,6 +573,9 @@ CROSS JOIN (SELECT CAST(sum(c) AS DOUBLE) AS products, CAST(sum(u) AS DOUBLE) AS
     "accuracy_error": _accuracy_sql("evaluation", "error", -2, 4, overlap=True),
     "accuracy_category": _accuracy_sql("scored_brands", "bias", -40, 40,
                                        "WHERE sales_category = '07| High Winning'"),
+    "accuracy_excluding": _accuracy_sql(
+        "scored_parts", "bias", -20, 30,
+        "WHERE sales_category NOT IN ('02| Very Low', '03| Low', '07| High Winning')"),
     "business_daily": _sql(
         """SELECT date, sales_units, round(forecast, 6) AS forecast,
   round(CASE WHEN sales_units > 0 THEN (forecast - sales_units) / sales_units END, 4) + CAST(0 AS DOUBLE) AS bias

@@ -386,6 +386,14 @@ def accuracy_category(spark, sf):
                                     thresholds=(-40, 40))
 
 
+def accuracy_excluding(spark, sf):
+    """Every part day outside the slowest and the strongest categories, against its recent average."""
+    rows = lc.add_lifecycle(_part_rows(spark, sf), fx.ITEM).where(
+        ~F.col("sales_category").isin("02| Very Low", "03| Low", "07| High Winning"))
+    return ev.accuracy_distribution(ev.add_bias_and_error(rows.withColumn(
+        "forecast", F.round(F.col("recent_sales_units") / 14.0, 3))), "bias")
+
+
 def business_daily(spark, sf):
     return rounded(rounded(ev.business_daily(_validation(spark, sf)), "bias", digits=4), "forecast")
 
@@ -488,6 +496,7 @@ QUERIES: dict[str, Query] = {
     "accuracy_bias": accuracy_bias,
     "accuracy_error": accuracy_error,
     "accuracy_category": accuracy_category,
+    "accuracy_excluding": accuracy_excluding,
     "business_daily": business_daily,
     "business_window": business_window,
     "products_by_age_pivot": products_by_age_pivot,

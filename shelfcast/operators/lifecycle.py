@@ -22,7 +22,8 @@ def product_rows(df: DataFrame) -> WindowSpec:
     return Window.partitionBy("product_id").orderBy("date", *ties)
 
 
-def _without_nan(df: DataFrame, name: str) -> Column:
+def without_nan(df: DataFrame, name: str) -> Column:
+    """The column with NaN, which sorts above any number and spoils sums, as null."""
     column = F.col(name)
     if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
         return F.when(~F.isnan(column), column)
@@ -30,12 +31,12 @@ def _without_nan(df: DataFrame, name: str) -> Column:
 
 
 def sales_columns(sales: DataFrame) -> DataFrame:
-    """Rename stored sales columns; NaN, which would sort above any number, becomes null."""
+    """Rename stored sales columns; NaN becomes null."""
     extra = [name for name in ("id", "shopify_product_id") if name in sales.columns]
     return sales.select(
         *extra, "product_id", F.col("day").cast("date").alias("date"),
-        _without_nan(sales, "units_sold").alias("sales_units"),
-        _without_nan(sales, "sales_amount").alias("sales_amount"))
+        without_nan(sales, "units_sold").alias("sales_units"),
+        without_nan(sales, "sales_amount").alias("sales_amount"))
 
 
 def add_day_in_stock(sales: DataFrame) -> DataFrame:

@@ -7,16 +7,19 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfcast.operators.lifecycle import without_nan
+
 
 def daily_sales(facts: DataFrame) -> DataFrame:
-    """Sum ``units_sold`` and ``sales_amount`` to one row per product and day.
+    """Sum ``units_sold`` and ``sales_amount`` to one row per product and day; keep the least of its ids.
 
     The sums are pre-aggregated before the shuffle, and the shuffle is on product *and* day, so a
     product that holds a third of all facts is spread over many tasks.  After it every product has at
     most one row per calendar day, which bounds each window partition built later.
     """
-    return facts.groupBy("product_id", "day").agg(
-        F.sum("units_sold").alias("units_sold"), F.sum("sales_amount").alias("sales_amount"))
+    kept = [F.min(name).alias(name) for name in ("id", "shopify_product_id") if name in facts.columns]
+    sums = [F.sum(without_nan(facts, name)).alias(name) for name in ("units_sold", "sales_amount")]
+    return facts.groupBy("product_id", "day").agg(*kept, *sums)
 
 
 def day_range(daily: DataFrame) -> tuple[Column, Column]:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from shelfcast.operators import forecast as fc
 from shelfcast.operators.eligibility import history_cut, qualified_history
 from shelfcast.operators.features import build_features, calendar_flags
+from shelfcast.operators.panel import daily_sales
 from shelfcast.operators.training import last_days, training_window
 from shelfcast.settings import Settings
 from shelfcast.sources.feature_store import read_features, write_features
@@ -41,12 +42,14 @@ def run(spark: SparkSession, sales: Table, products: Table, calendar: Table, fea
         trend_model: str = fc.CHANGEPOINT) -> int:
     """Run everything and return the run number.
 
-    The forecast starts from the written feature table, so a lost executor repeats one stage of one
+    Sales are first brought to one row per product and day.  Where they are so already nothing changes;
+    where one product has many rows a day, no later task sees more than its days.  The forecast starts from the written feature table, so a lost executor repeats one stage of one
     job and not the feature plan.
     """
     sales_rows, product_rows, effects = load_inputs(
         spark, sales, products, calendar, settings.history_start)
-    write_features(build_features(sales_rows, product_rows, effects, settings, labels), features_path)
+    features = build_features(daily_sales(sales_rows), product_rows, effects, settings, labels)
+    write_features(features, features_path)
     regressors = None
     if settings.use_regressors:
         flags = calendar_flags(effects, labels)

@@ -90,6 +90,17 @@ def test_daily_sales_merges_a_day(spark):
     assert values(panel.daily_sales(facts).orderBy("day"), "units_sold", "sales_amount") == [(3, 3.5), (4, 0.5)]
 
 
+def test_daily_sales_keeps_ids_and_ignores_nan(spark):
+    facts = spark.createDataFrame(
+        [(9, "a", "s", day(0), 1.0, 1.0), (4, "a", "s", day(0), float("nan"), 2.0),
+         (5, "a", "s", day(1), None, None)],
+        "id bigint, product_id string, shopify_product_id string, day date, units_sold double, "
+        "sales_amount double")
+    rows = panel.daily_sales(facts).orderBy("day")
+    assert values(rows, "id", "shopify_product_id", "units_sold", "sales_amount") == [
+        (4, "s", 1.0, 3.0), (5, "s", None, None)]
+
+
 def test_settings_refuse_bad_values():
     for bad in (dict(history_start=day(5), history_end=day(5)), dict(horizon_days=0),
                 dict(zero_ratio_threshold=1.5), dict(history_end="2024-13-01"), dict(lifecycle={})):

@@ -62,7 +62,10 @@ def test_daily_job_and_scorecard(spark):
     root = shared_path(spark, "job")
     # Sales go on after the history end: they are the actuals.
     series = {"a": [2] * 30, "b": [0, 3] * 15, "new": [0] * 13 + [1] * 17}
-    sales(spark, series).write.parquet(f"{root}/sales")
+    # Product a comes in two rows a day.
+    rows = sales(spark, series)
+    halves = rows.where("product_id = 'a'").withColumn("units_sold", F.lit(1).cast("long"))
+    rows.where("product_id <> 'a'").unionByName(halves).unionByName(halves).write.parquet(f"{root}/sales")
     products(spark, *series).write.parquet(f"{root}/products")
     spark.createDataFrame([("EID_FITR", "", "EID_FITR", day(4), day(3), day(5))],
                           "calendar_effect string, calendar_effect_desc string, calendar_effect_type "
