@@ -43,7 +43,9 @@ def run(spark: SparkSession, sales: Table, products: Table, calendar: Table, fea
     """Run everything and return the run number.
 
     Sales are first brought to one row per product and day.  Where they are so already nothing changes;
-    where one product has many rows a day, no later task sees more than its days.  The forecast starts from the written feature table, so a lost executor repeats one stage of one
+    where one product has many rows a day, no later task sees more than its days.
+
+    The forecast starts from the written feature table, so a lost executor repeats one stage of one
     job and not the feature plan.
     """
     sales_rows, product_rows, effects = load_inputs(
