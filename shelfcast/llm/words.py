@@ -159,8 +159,12 @@ def shingle_sets(words: Words, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
         values.append(mix(_OVER_WORDS[0].ranges(hashes, low, high) + (high - low).astype(_U)))
         owners.append(short)
     value, own = np.concatenate(values), np.concatenate(owners)
-    order = np.lexsort((value, own))
-    value, own = value[order], own[order]
+    if len(short):
+        order = np.argsort(own, kind="stable")
+        value, own = value[order], own[order]
+    ends = np.searchsorted(own, np.arange(len(words.first)))
+    for low, high in zip(ends[:-1].tolist(), ends[1:].tolist()):
+        value[low:high].sort()
     keep = np.ones(len(value), dtype=bool)
     keep[1:] = (value[1:] != value[:-1]) | (own[1:] != own[:-1])
     value, own = value[keep], own[keep]
