@@ -22,9 +22,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.chunks import row_keys, ship, squeeze, unsqueeze
+from shelfcast.llm.chunks import ship, squeeze, unsqueeze
 from shelfcast.llm.graph import stored
-from shelfcast.llm.words import LOWER, mix, slices, split_words, text_bytes
+from shelfcast.llm.words import LOWER, mix, slices, split_words, text_bytes, window_starts
 
 MASKS = ("111010110011", "110110010111", "101100111011")
 SPAN = 12
@@ -51,8 +51,6 @@ def _tokens(texts):
 
 def seeds(hashes: np.ndarray, first: np.ndarray, mask: str) -> tuple[np.ndarray, np.ndarray]:
     """Positions and hashes of one mask's windows; none crosses a document's end."""
-    from shelfcast.llm.words import window_starts
-
     starts = window_starts(first, len(mask))
     total = np.full(len(starts), np.uint64(int(mask, 2)), dtype=np.uint64)
     for j, used in enumerate(mask):
@@ -146,7 +144,7 @@ def _regions(filter_table, bits: int, lengths: tuple[int, ...]):
         table = filter_table.value
         for batch in batches:
             data, offsets = text_bytes(batch["text"])
-            keys = row_keys(batch["doc_id"], batch["text"])
+            keys = batch["key"].to_pylist()
             for low, high in slices(offsets, 4 << 20):
                 part = offsets[low:high + 1]
                 words = split_words(LOWER[data[part[0]:part[-1]]], part - part[0], _BETWEEN)
@@ -169,7 +167,7 @@ def _regions(filter_table, bits: int, lengths: tuple[int, ...]):
                     doc = int(owner[a])
                     begin = max(int(words.first[doc]), int(at[a]) - REACH)
                     end = min(int(words.first[doc + 1]), int(at[b - 1]) + SPAN + REACH)
-                    rows.append((batch["doc_id"][low + doc].as_py(), int(keys[low + doc]),
+                    rows.append((batch["doc_id"][low + doc].as_py(), keys[low + doc],
                                  begin - int(words.first[doc]), hashes[begin:end].astype("<u8").tobytes(),
                                  seed[a:b].view(np.int64), (at[a:b] - begin).astype(np.int32)))
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32()))
@@ -207,9 +205,14 @@ def _check(batches):
                                   names=[c.split()[0] for c in _FOUND.split(", ")])
 
 
+def row_digest(table: str = "docs"):
+    """Tells rows apart that share a doc_id or have none."""
+    return F.xxhash64(F.col(f"{table}.doc_id").cast("long"), F.col(f"{table}.text").cast("string"))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, matched, length and first_token of every document's best stretch with each item,
-    and the row's ``key``."""
+    and the row's ``key`` (``row_digest``)."""
     spark = docs.sparkSession
     ship(spark)
     items = stored(benchmark.select(F.col("item_id").cast("long").alias("item_id"),
@@ -218,7 +221,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     table, bits = seed_filter(items)
     short = tuple(sorted(r[0] for r in items.filter(f"n >= {SHORTEST} and n < {SPAN}").select("n").distinct().collect()))
     shared = spark.sparkContext.broadcast(table)
-    regions = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    regions = stored(docs.alias("docs").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                                 row_digest().alias("key"))
                      .mapInArrow(_regions(shared, bits, short), _REGIONS), "regions")
     regions = regions.dropDuplicates(["key", "begin", "tokens"])
     mine = regions.select("key", "begin", F.explode(F.arrays_zip("seeds", "places")).alias("s")) \
@@ -233,3 +237,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.max(F.struct("matched", (-F.col("length")).alias("shorter"), (-F.col("first_token")).alias("sooner"))).alias("m")) \
         .select("doc_id", "key", "item_id", "m.matched", (-F.col("m.shorter")).alias("length"),
                 (-F.col("m.sooner")).alias("first_token"))
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``docs`` without the documents that hold a passage of an item."""
+    found = contaminated(docs, benchmark).select(F.col("doc_id").alias("leak_id"), F.col("key").alias("leak")).distinct()
+    same = F.col("docs.doc_id").cast("long").eqNullSafe(F.col("found.leak_id")) & (row_digest() == F.col("found.leak"))
+    return docs.alias("docs").join(found.alias("found"), same, "left_anti")

@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from shelfcast.llm.chunks import (
     Extent, cuts, extent, into_chunks, row_keys, squeeze, squeeze_sorted, unpack, unsqueeze, unsqueeze_sorted)
@@ -220,8 +221,7 @@ def _leader_pairs(table: pa.Table) -> pa.Table:
     leader = np.maximum.accumulate(np.where(opens, np.arange(len(rank)), 0))
     other = key != key[leader]
     at = leader[other]
-    return pa.table(_counted(key[at], chunk[at], key[other], chunk[other],
-                             np.minimum(matches[at], matches[other])))
+    return pa.table(_counted(key[at], chunk[at], key[other], chunk[other], np.ones(len(at), dtype=np.int64)))
 
 
 def _cross_pairs(table: pa.Table) -> pa.Table:
@@ -297,52 +297,77 @@ def _verified(chunks: DataFrame, pairs: DataFrame) -> DataFrame:
     return chunks.groupBy("chunk").cogroup(sent.groupBy("chunk")).applyInArrow(_verify, "a long, b long")
 
 
-def similar_components(docs: DataFrame, size: Extent | None = None) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text), written and read back."""
-    spark = docs.sparkSession
-    docs = docs.select("doc_id", "text")
-    size = size or extent(docs)
+def _linked(chunks: DataFrame, size: Extent) -> DataFrame:
+    """chunk, key, same, doc_id, n and top (the smallest key of the component) of every row, written and read back."""
+    spark = chunks.sparkSession
     buckets, shift = 2 * size.parts, max(0, 64 - (max(1, size.n_bytes).bit_length() + 12))
+    described = stored(chunks.mapInArrow(_describe, _ROWS), "described")
+    rows = described.filter("kind = 0").drop("kind", "blob")
+    if rows.groupBy("key").count().filter("count > 1").limit(1).count():
+        rows = stored(chunks.groupBy("chunk").applyInArrow(_described_again, _ROWS), "described").drop("kind", "blob")
+    frequency = spark.sparkContext.broadcast(frequency_sketch(described))
+    sets = rows.filter("n > 0")
+    classes = sets.groupBy("n", "d1", "d2").agg(F.min(F.struct("key", "chunk")).alias("first"))
+    nodes = stored(classes.select("first.key", "first.chunk"), "nodes")
+
+    def lists(labelled: DataFrame) -> DataFrame:
+        return chunks.groupBy("chunk").cogroup(labelled.groupBy("chunk")) \
+            .applyInArrow(_send_lists(frequency, buckets, shift), _LISTS)
+
+    leaders = lists(nodes.withColumn("label", F.col("key"))).groupBy("bucket").applyInArrow(_leader_pairs, _PAIRS)
+    best = leaders.groupBy("a", "ca", "b", "cb").agg(F.sum("shared").alias("shared")) \
+        .groupBy("b", "cb").agg(F.max(F.struct("shared", (-F.col("a")).alias("minus"), "ca")).alias("top")) \
+        .select((-F.col("top.minus")).alias("a"), "top.ca", "b", "cb")
+    links = stored(_verified(chunks, best), "verified")
+    labels = components(links)
+    labelled = nodes.join(labels.withColumnRenamed("v", "key"), "key", "left") \
+        .select("key", "chunk", F.coalesce("label", "key").alias("label"))
+    cross = lists(labelled).groupBy("bucket").applyInArrow(_cross_pairs, _PAIRS)
+    rest = cross.groupBy("a", "ca", "b", "cb") \
+        .agg(F.sum("shared").alias("shared"), F.max("need").alias("need")).filter("shared >= need")
+    more = stored(_verified(chunks, rest), "verified")
+    members = sets.join(classes, ["n", "d1", "d2"]).select(F.col("first.key").alias("a"), F.col("key").alias("b"))
+    ids = sets.select(F.col("same").alias("a"), F.col("key").alias("b"))
+    labels = components(links.union(more).union(members.union(ids).filter("a <> b")))
+    return stored(rows.join(labels.withColumnRenamed("v", "key"), "key", "left").select(
+        "chunk", "key", "same", "doc_id", "n", F.coalesce("label", "same").alias("top")), "components")
+
+
+def similar_components(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text)."""
+    docs = docs.select("doc_id", "text")
+    size = extent(docs)
     chunks = into_chunks(docs, size.chunks).persist(StorageLevel.DISK_ONLY)
-    try:
-        described = stored(chunks.mapInArrow(_describe, _ROWS), "described")
-        rows = described.filter("kind = 0").drop("kind", "blob")
-        repeated = rows.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
-        if repeated.limit(1).count():
-            rows = stored(chunks.groupBy("chunk").applyInArrow(_described_again, _ROWS), "described") \
-                .drop("kind", "blob")
-        frequency = spark.sparkContext.broadcast(frequency_sketch(described))
-        sets = rows.filter("n > 0")
-        classes = sets.groupBy("n", "d1", "d2").agg(F.min(F.struct("key", "chunk")).alias("first"))
-        nodes = stored(classes.select("first.key", "first.chunk"), "nodes")
-
-        def lists(labelled: DataFrame) -> DataFrame:
-            return chunks.groupBy("chunk").cogroup(labelled.groupBy("chunk")) \
-                .applyInArrow(_send_lists(frequency, buckets, shift), _LISTS)
-
-        leaders = lists(nodes.withColumn("label", F.col("key"))).groupBy("bucket") \
-            .applyInArrow(_leader_pairs, _PAIRS)
-        best = leaders.groupBy("a", "ca", "b", "cb").agg(F.sum("shared").alias("shared")) \
-            .groupBy("b", "cb").agg(F.max(F.struct("shared", (-F.col("a")).alias("minus"), "ca")).alias("top")) \
-            .select((-F.col("top.minus")).alias("a"), "top.ca", "b", "cb")
-        links = stored(_verified(chunks, best), "verified")
-        labels = components(links)
-        labelled = nodes.join(labels.withColumnRenamed("v", "key"), "key", "left") \
-            .select("key", "chunk", F.coalesce("label", "key").alias("label"))
-        cross = lists(labelled).groupBy("bucket").applyInArrow(_cross_pairs, _PAIRS)
-        rest = cross.groupBy("a", "ca", "b", "cb") \
-            .agg(F.sum("shared").alias("shared"), F.max("need").alias("need")).filter("shared >= need")
-        more = stored(_verified(chunks, rest), "verified")
-        members = sets.join(classes.select("n", "d1", "d2", "first"),
-                            ["n", "d1", "d2"]).select(F.col("first.key").alias("a"), F.col("key").alias("b"))
-        ids = sets.select(F.col("same").alias("a"), F.col("key").alias("b"))
-        labels = components(links.union(more).union(members.union(ids).filter("a <> b")))
-        named = rows.join(labels.withColumnRenamed("v", "key"), "key", "left").withColumn(
-            "top", F.coalesce("label", "same"))
-        return stored(named.select("doc_id", F.col("n").cast("long").alias("n_shingles"),
-                                   F.when(F.col("top") < NO_ID, F.col("top")).alias("component_id")), "components")
-    finally:
-        chunks.unpersist()
+    linked = _linked(chunks, size)
+    chunks.unpersist()
+    return linked.select("doc_id", F.col("n").cast("long").alias("n_shingles"),
+                         F.when(F.col("top") < NO_ID, F.col("top")).alias("component_id"))
+
+
+def first_of_each(docs: DataFrame) -> DataFrame:
+    """``docs`` with the smallest document of every component; documents without words all stay.
+
+    The packs of texts stay on the executors' disks until the session's cache is cleared.
+    """
+    size = extent(docs)
+    chunks = into_chunks(docs, size.chunks).persist(StorageLevel.DISK_ONLY)
+    linked = _linked(chunks, size)
+    kept = linked.filter("n = 0 or key = top").groupBy("chunk", "key").agg(F.max(F.col("n") == 0).alias("all"))
+    schema = docs.withColumns({"doc_id": F.col("doc_id").cast("long"), "text": F.col("text").cast("string")}).schema
+    return chunks.groupBy("chunk").cogroup(kept.groupBy("chunk")).applyInArrow(_keep(to_arrow_schema(schema)), schema)
+
+
+def _keep(schema: pa.Schema):
+    def keep(packs: pa.Table, kept: pa.Table) -> pa.Table:
+        if not packs.num_rows or not kept.num_rows:
+            return schema.empty_table()
+        table = unpack(packs["pack"].to_pylist())
+        keys, _ = _node_keys(table)
+        wanted = dict(zip(kept["key"].to_pylist(), kept["all"].to_pylist()))
+        new = np.concatenate(([True], keys[1:] != keys[:-1])).tolist()
+        rows = [i for i, key in enumerate(keys.tolist()) if key in wanted and (new[i] or wanted[key])]
+        return table.take(pa.array(rows, pa.int64())).cast(schema)
+    return keep
 
 
 def _described_again(packs: pa.Table) -> pa.Table:

@@ -21,11 +21,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from shelfcast.llm.chunks import (
-    Extent, cuts, extent, into_chunks, squeeze, squeeze_sorted, unpack, unsqueeze, unsqueeze_sorted)
-from shelfcast.llm.chunks import row_keys
+    Extent, cuts, extent, into_chunks, row_keys, squeeze, squeeze_sorted, unpack, unsqueeze, unsqueeze_sorted)
 from shelfcast.llm.words import split_words, text_bytes, window_hashes, window_starts
 
 WIDTH = 20
@@ -188,8 +188,6 @@ def _remove(width: int, schema: pa.Schema):
 
 def remove_repeats(docs: DataFrame, width: int = WIDTH, size: Extent | None = None) -> DataFrame:
     """One row per input row: ``rows`` (the input columns), ``kept_text``, ``n_words``, ``n_removed``."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     size = size or extent(docs)
     buckets = 2 * size.parts
     shift = max(0, 64 - (max(1, size.n_bytes).bit_length() + SPARE_BITS))
@@ -210,3 +208,10 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, size: Extent | None = No
 def digests(kept: DataFrame) -> DataFrame:
     return kept.select(F.col("rows.doc_id").alias("doc_id"), "n_words", "n_removed",
                        F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
+
+
+def shortened(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+    """``docs`` with the repeated windows cut out of ``text``; a text that loses nothing stays byte for byte."""
+    kept = remove_repeats(docs, width)
+    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("rows.text"))
+    return kept.select(*[text.alias(c) if c == "text" else F.col(f"rows.`{c}`").alias(c) for c in docs.columns])
