@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import decontaminate, jaccard_join, language, pieces, substring_dedup
+from shelfcast.llm import decontaminate, jaccard_join, language, pieces, sharding, substring_dedup, top_k, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,10 +19,28 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "matched", "length", "first_token")
 
 
+def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k.top_k(table(spark, sf_dir, "embeddings"))
+
+
+URL_RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"),
+             ("block", "com/de/"))
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judged(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(pieces.encode_and_decode(table(spark, sf_dir, "documents")))
 
 
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed, _ = sharding.into_shards(table(spark, sf_dir, "documents"), 8)
+    return placed.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")}) \
+        .select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     return language.identify(docs).select("doc.doc_id", "language", F.round("confidence", 6).alias("confidence"), "keep")
@@ -39,9 +57,43 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
+    "op2_top_k": op2_top_k,
+    "op4_url_filter": op4_url_filter,
     "op6_sentencepiece": op6_sentencepiece,
+    "op7_sharding": op7_sharding,
     "op8_language_id": op8_language_id,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_jaccard_join": op10_jaccard_join,
 }
-ORACLE: dict[str, str] = {}
+_RULES_SQL = ", ".join(
+    f"('{rule}', '{rule.split('/')[0]}', '/{rule.split('/', 1)[1]}', '{verdict}')" for verdict, rule in URL_RULES)
+
+ORACLE: dict[str, str] = {
+    "op2_top_k": """
+        WITH usable AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+            FROM usable q JOIN usable c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10""",
+    "op4_url_filter": f"""
+        WITH rules(rule, host, path, verdict) AS (VALUES {_RULES_SQL}),
+        rest AS (
+            SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+            FROM pages),
+        parts AS (
+            SELECT page_id, translate(regexp_extract(coalesce(rest, ''), '^[^/?#]*'),
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
+        fitting AS (
+            SELECT p.page_id, p.host, p.path, r.rule, r.verdict,
+                   row_number() OVER (PARTITION BY p.page_id ORDER BY length(r.rule) DESC NULLS LAST) AS best
+            FROM parts p LEFT JOIN rules r
+              ON ('.' || p.host) LIKE ('%.' || r.host) AND starts_with(p.path, r.path))
+        SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fitting WHERE best = 1""",
+}
