@@ -22,13 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.llm.chunks import ship
-from shelfcast.llm.words import _BYTES, _OVER_BYTES, STEP, mix, slices, text_bytes
+from shelfcast.llm.segments import SegmentCache
+from shelfcast.llm.words import STEP, slices, text_bytes
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 NO_PAIR = np.iinfo(np.int32).max
-MOST_KEPT = 1 << 21
-"""A worker forgets its encoded segments beyond so many; this bounds memory, not results."""
 SCHEMA = "doc_id long, ids binary, decoded string"
 
 
@@ -215,12 +214,7 @@ class Encoder:
 
     def __init__(self, model: Pieces):
         self.model = model
-        self.forget()
-
-    def forget(self) -> None:
-        self.known = np.zeros(0, dtype=np.uint64)
-        self.begins, self.counts = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        self.ids = np.zeros(0, dtype=np.int32)
+        self.cache = SegmentCache(model.encode_segments)
 
     def _segments(self, data: np.ndarray, offsets: np.ndarray):
         """Texts with the leading space that the model adds, and where their segments start."""
@@ -241,34 +235,7 @@ class Encoder:
         """Ids of all documents, each with its begin and end id, and n_docs + 1 offsets."""
         n = len(offsets) - 1
         data, starts, full, first = self._segments(data, offsets)
-        ends = np.append(starts[1:], len(data))
-        hashes = np.empty(len(starts), dtype=np.uint64)
-        i = 0
-        while i < len(starts):
-            j = max(i + 1, int(np.searchsorted(ends, starts[i] + STEP, side="right")))
-            low, high = starts[i], ends[j - 1]
-            hashes[i:j] = mix(_OVER_BYTES[0].ranges(_BYTES[0][data[low:high]], starts[i:j] - low, ends[i:j] - low)
-                              + (ends[i:j] - starts[i:j]).astype(np.uint64))
-            i = j
-        unique, where, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.known) > MOST_KEPT:
-            self.forget()
-        fresh = where[~np.isin(unique, self.known, assume_unique=True)]
-        if len(fresh):
-            raw = data.tobytes()
-            ids, counts = self.model.encode_segments(
-                [raw[a:b] for a, b in zip(starts[fresh].tolist(), ends[fresh].tolist())])
-            begins = len(self.ids) + np.cumsum(counts) - counts
-            known = np.concatenate((self.known, hashes[fresh]))
-            order = np.argsort(known, kind="stable")
-            self.known = known[order]
-            self.begins = np.concatenate((self.begins, begins))[order]
-            self.counts = np.concatenate((self.counts, counts))[order]
-            self.ids = np.concatenate((self.ids, ids.astype(np.int32)))
-        at = np.searchsorted(self.known, unique)[inverse]
-        counts = self.counts[at]
-        sums = np.concatenate(([0], np.cumsum(counts)))
-        body = self.ids[np.arange(sums[-1]) + np.repeat(self.begins[at] - sums[:-1], counts)]
+        body, sums = self.cache.ids_of(data, starts)
         sizes = np.zeros(n, dtype=np.int64)
         sizes[full] = np.diff(np.append(sums[np.searchsorted(starts, first)], sums[-1]))
         offsets = np.concatenate(([0], np.cumsum(sizes + 2)))

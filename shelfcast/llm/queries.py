@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import decontaminate, jaccard_join, language, pieces, sharding, substring_dedup, top_k, url_filter
+from shelfcast.llm import decontaminate, jaccard_join, language, pieces, sharding, substring_dedup, token_files, top_k, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,10 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judged(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(table(spark, sf_dir, "documents"))
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digests(pieces.encode_and_decode(table(spark, sf_dir, "documents")))
 
@@ -59,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_top_k": op2_top_k,
     "op4_url_filter": op4_url_filter,
+    "op5_token_files": op5_token_files,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_sharding": op7_sharding,
     "op8_language_id": op8_language_id,
