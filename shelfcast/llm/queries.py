@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import decontaminate, jaccard_join, language, pieces, sharding, substring_dedup, token_files, top_k, url_filter
+from shelfcast.llm import (
+    decontaminate, jaccard_join, language, licenses, pieces, sharding, substring_dedup, token_files, top_k, url_filter)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +24,11 @@ def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(table(spark, sf_dir, "documents"))
+    return found.withColumns({c: F.round(c, 6) for c in ("probability", "similarity")})
+
+
 URL_RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"),
              ("block", "com/de/"))
 
@@ -62,6 +68,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_top_k": op2_top_k,
+    "op3_license_scan": op3_license_scan,
     "op4_url_filter": op4_url_filter,
     "op5_token_files": op5_token_files,
     "op6_sentencepiece": op6_sentencepiece,
