@@ -135,8 +135,7 @@ def _first(shared, languages: tuple[str, ...]):
         for batch in batches:
             scores = text_scores(*text_bytes(batch["text"]), shared.value)
             scores = np.column_stack((scores, np.zeros(len(scores))))
-            best = np.where(np.isnan(scores[:, 0]) if languages else True, len(languages),
-                            np.argmax(np.nan_to_num(scores, nan=-1.0), axis=1))
+            best = np.where(np.isnan(scores[:, 0]), len(languages), np.argmax(np.nan_to_num(scores, nan=-1.0), axis=1))
             yield pa.record_batch([batch["host"], batch["code"], pa.array(names[best], pa.string())],
                                   names=["host", "code", "first"])
     return first
@@ -177,7 +176,7 @@ def _judge(text, shared, languages, overall, trust, schema):
             suffix = [number.get(SUFFIXES.get(s), -1) for s in batch["suffix"].to_pylist()]
             known = np.flatnonzero(np.array(suffix) >= 0)
             scores[known, np.array(suffix, dtype=int)[known]] += np.log(SUFFIX_LIFT)
-            blank = np.isnan(scores).all(axis=1) if languages else np.ones(n, dtype=bool)
+            blank = np.isnan(scores).all(axis=1)
             scores = np.column_stack((scores, np.full(n, np.log(UNKNOWN_PRIOR))))
             scores[blank] = 0
             scores[blank, :-1] = -np.inf
@@ -201,6 +200,9 @@ def identify(docs: DataFrame, text: str = "text", declared: str = "lang", host:
     stated = inputs.filter("code is not null").groupBy("code").count()
     whole = stated.agg(F.sum("count")).first()[0] or 0
     languages = tuple(sorted(r[0] for r in stated.filter(F.col("count") >= SHARE * whole).select("code").collect()))
+    if not languages:
+        return inputs.select("doc", F.lit(UNKNOWN).alias("language"), F.lit(1.0).alias("confidence"),
+                             F.lit(False).alias("keep"))
     shared = spark.sparkContext.broadcast(text_models(inputs.select("text", "code"), languages))
     counts = inputs.select("text", "code", "host") \
         .mapInArrow(_first(shared, languages), "host string, code string, first string") \
