@@ -5,13 +5,22 @@ Method: adaptive multi-match prefixes.  Shingles are ordered by how many documen
 must share at least a = ceil(0.8 n) of them with a partner, so with its first n - a + l shingles it shares at
 least l, and with a partner that chose another l at least the smaller of both.  Each document takes the l
 whose estimated cost is least: the postings that its prefix meets, plus the verification of the partners
-that can share l of them, at most postings / l.
+that can share l of them, at most postings / l.  Before verification both sizes are known, and with them the overlap that
+the pair needs; what lies behind the prefixes can add no more than the longer rest, so the prefixes must share the
+difference.
+
+Postings are exchanged three times.  First only the prefix shingles, to learn which of them a second document has in
+its prefix; the others are left out from then on, and a document knows how many of its prefix shingles can be shared at
+all.  If those are fewer than a partner of any size in the list would need, it leaves the list.  Entries of
+long lists carry a bit map of the document's shared prefix shingles: a bit that only one document of a pair has is a shingle
+that the other lacks, so the maps bound what both share, and a pair that cannot share enough is not put out, however many
+long lists it is in.
 
 Groups of copies.  Documents with equal sets are one class, and only its smallest member goes on.  Candidates
-come in two rounds.  In the first, each document meets the smallest document of every posting list and size
-class, and the one it shares most shingles with is verified: one pair for each document, whatever the
-size of the group.  In the second, posting lists yield only pairs that are not yet in one component, all of
-them, and those with l shared prefix shingles are verified.  So no link between different components is
+come in two rounds.  In the first, each document meets one document of every posting list and size class, the one with
+the fewest shingles of its own, and of those the one that it shares most with is verified: one pair for each document,
+whatever the size of the group.  In the second, posting lists yield only pairs that are not yet in one component, all
+of them, and those that share enough prefix shingles are verified.  So no link between different components is
 missed, and a group of n near copies needs about n pairs.  Verification compares whole sets, with
 the first text of a pair sent once to each chunk that holds partners of it.
 
@@ -25,6 +34,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,7 +54,10 @@ MOST_MATCHES = 4
 """The longest prefix asks for so many shared shingles."""
 VERIFY_COST = 20
 """Cost of one verification, in postings read."""
-PAIRS_AT_ONCE = 1 << 21
+PAIRS_AT_ONCE = 1 << 20
+LONG_LIST = 32
+MAP_WORDS = 8
+"""64-bit words of a document's bit map of shared prefix shingles."""
 
 _ROWS = "kind int, chunk int, key long, same long, doc_id long, n int, d1 long, d2 long, blob binary"
 _LISTS = "bucket int, chunk int, blob binary"
@@ -56,6 +69,18 @@ def least_shared(n: np.ndarray) -> np.ndarray:
     return (PERCENT * n + 99) // 100
 
 
+def needed_in_prefixes(n, matches, other_n, other_matches) -> np.ndarray:
+    """Shingles that the prefixes of a similar pair share at least.
+
+    A similar pair shares 80 / 180 of both sizes.  Behind the prefix that ends first in the common order lie
+    least_shared - l shingles of its document, and no other shared ones.
+    """
+    n, other_n = n.astype(np.int64), other_n.astype(np.int64)
+    overlap = -(-PERCENT * (n + other_n) // (100 + PERCENT))
+    rest = np.maximum(least_shared(n) - matches, least_shared(other_n) - other_matches)
+    return np.maximum(np.minimum(matches, other_matches), overlap - rest)
+
+
 def _node_keys(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """A key for each row, and the key of the first row with its doc_id.
 
@@ -147,57 +172,126 @@ def prefixes(values: np.ndarray, ends: np.ndarray, frequency: np.ndarray):
     return best, values[inside], owner[inside]
 
 
-def _send_lists(frequency, buckets: int, shift: int):
+def _prefix_entries(packs: pa.Table, nodes: pa.Table, frequency, shift: int):
+    """Entries of a chunk's nodes by token: token, key, label, n and l."""
+    table = unpack(packs["pack"].to_pylist())
+    keys, _ = _node_keys(table)
+    want, labels = nodes["key"].to_numpy(), nodes["label"].to_numpy()
+    order = np.argsort(want)
+    want, labels = want[order], labels[order]
+    rows = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])) & np.isin(keys, want))
+    values, ends = _sets(table["text"].take(pa.array(rows)))
+    matches, tokens, owner = prefixes(values, ends, frequency.value)
+    label = labels[np.searchsorted(want, keys[rows])]
+    tokens = (tokens >> np.uint64(shift)) << np.uint64(shift)
+    order = np.argsort(tokens, kind="stable")
+    return tokens[order], owner[order], keys[rows], label, np.diff(ends).astype(np.int32), matches
+
+
+def _send_tokens(frequency, buckets: int, shift: int):
+    """The prefix shingles alone."""
     def send(packs: pa.Table, nodes: pa.Table) -> pa.Table:
-        empty = pa.table({"bucket": pa.array([], pa.int32()), "chunk": pa.array([], pa.int32()),
-                          "blob": pa.array([], pa.binary())})
         if not packs.num_rows or not nodes.num_rows:
-            return empty
-        table = unpack(packs["pack"].to_pylist())
-        keys, _ = _node_keys(table)
-        want, labels = nodes["key"].to_numpy(), nodes["label"].to_numpy()
-        order = np.argsort(want)
-        want, labels = want[order], labels[order]
-        fresh = np.concatenate(([True], keys[1:] != keys[:-1])) & np.isin(keys, want)
-        rows = np.flatnonzero(fresh)
-        values, ends = _sets(table["text"].take(pa.array(rows)))
-        matches, tokens, owner = prefixes(values, ends, frequency.value)
-        label = labels[np.searchsorted(want, keys[rows])]
-        tokens = (tokens >> np.uint64(shift)) << np.uint64(shift)
-        order = np.argsort(tokens, kind="stable")
-        tokens, owner = tokens[order], owner[order]
+            return _no_lists()
+        tokens = _prefix_entries(packs, nodes, frequency, shift)[0]
+        at = cuts(tokens, buckets)
+        return _lists(packs, [(i, squeeze_sorted(tokens[at[i]:at[i + 1]] >> np.uint64(shift)))
+                              for i in np.flatnonzero(np.diff(at)).tolist()])
+    return send
+
+
+def _no_lists() -> pa.Table:
+    return pa.table({"bucket": pa.array([], pa.int32()), "chunk": pa.array([], pa.int32()),
+                     "blob": pa.array([], pa.binary())})
+
+
+def _lists(packs: pa.Table, blobs: list) -> pa.Table:
+    return pa.table({"bucket": pa.array([i for i, _ in blobs], pa.int32()),
+                     "chunk": pa.array([packs["chunk"][0].as_py()] * len(blobs), pa.int32()),
+                     "blob": pa.array([blob for _, blob in blobs], pa.binary())})
+
+
+def _shared_tokens(table: pa.Table) -> pa.Table:
+    """Two bits for each sent shingle: does another entry have it, and is its list long?"""
+    lists = [unsqueeze_sorted(blob) for blob in table["blob"].to_pylist()]
+    values, counts = np.unique(np.concatenate(lists), return_counts=True)
+    blobs = []
+    for tokens in lists:
+        size = counts[np.searchsorted(values, tokens)]
+        blobs.append(np.packbits(np.concatenate((size > 1, size >= LONG_LIST))).tobytes())
+    return pa.table({"bucket": table["bucket"].cast(pa.int32()), "chunk": table["chunk"].cast(pa.int32()),
+                     "blob": pa.array(blobs, pa.binary())})
+
+
+def _send_lists(frequency, buckets: int, shift: int):
+    """The entries that another document shares, with what candidate pairs are judged by."""
+    def send(packs: pa.Table, inputs: pa.Table) -> pa.Table:
+        nodes = inputs.filter(pc.is_valid(inputs["key"]))
+        if not packs.num_rows or not nodes.num_rows:
+            return _no_lists()
+        tokens, owner, keys, label, n, matches = _prefix_entries(packs, nodes, frequency, shift)
+        at = cuts(tokens, buckets)
+        shared, long = np.zeros(len(tokens), dtype=bool), np.zeros(len(tokens), dtype=bool)
+        answers = inputs.filter(pc.is_valid(inputs["blob"]))
+        for bucket, blob in zip(answers["bucket"].to_pylist(), answers["blob"].to_pylist()):
+            low, high = at[bucket], at[bucket + 1]
+            bits = np.unpackbits(np.frombuffer(blob, dtype=np.uint8), count=2 * (high - low))
+            shared[low:high], long[low:high] = bits[:high - low], bits[high - low:]
+        common = np.bincount(owner[shared], minlength=len(n)).astype(np.int32)
+        tokens, owner, long = tokens[shared], owner[shared], long[shared]
+        maps = np.zeros((len(n), MAP_WORDS), dtype=np.uint64)
+        place = mix(tokens) % np.uint64(64 * MAP_WORDS)
+        np.bitwise_or.at(maps, (owner, (place >> np.uint64(6)).astype(np.int64)), np.uint64(1) << (place & np.uint64(63)))
         at = cuts(tokens, buckets)
-        full = np.flatnonzero(np.diff(at))
-        n = np.diff(ends).astype(np.int32)
         blobs = []
-        for i in full:
+        for i in np.flatnonzero(np.diff(at)).tolist():
             own = owner[at[i]:at[i + 1]]
-            parts = [squeeze_sorted(tokens[at[i]:at[i + 1]] >> np.uint64(shift)), squeeze(keys[rows][own]),
-                     squeeze(label[own]), squeeze(n[own]), squeeze(matches[own].astype(np.uint8))]
-            blobs.append(np.array([len(p) for p in parts], dtype=np.int64).tobytes() + b"".join(parts))
-        return pa.table({"bucket": pa.array(full, pa.int32()),
-                         "chunk": pa.array([packs["chunk"][0].as_py()] * len(full), pa.int32()),
-                         "blob": pa.array(blobs, pa.binary())})
+            parts = [squeeze_sorted(tokens[at[i]:at[i + 1]] >> np.uint64(shift)), squeeze(keys[own]), squeeze(label[own]),
+                     squeeze(n[own]), squeeze(matches[own].astype(np.int32)), squeeze(common[own]),
+                     squeeze(long[at[i]:at[i + 1]].astype(np.uint8)), squeeze(maps[own[long[at[i]:at[i + 1]]]].ravel())]
+            blobs.append((i, np.array([len(p) for p in parts], dtype=np.int64).tobytes() + b"".join(parts)))
+        return _lists(packs, blobs)
     return send
 
 
-def _read_lists(table: pa.Table):
-    """Entries of a bucket by token, of tokens with two entries or more."""
+def _read_lists(table: pa.Table) -> dict[str, np.ndarray]:
+    """Entries of a bucket by token (``rank``), of those documents that may have a partner in the token's list."""
     parts = []
     for chunk, blob in zip(table["chunk"].to_pylist(), table["blob"].to_pylist()):
-        ends = 40 + np.cumsum(np.frombuffer(blob[:40], dtype=np.int64))
-        raw = [blob[low:high] for low, high in zip([40, *ends[:-1]], ends)]
-        token = unsqueeze_sorted(raw[0])
+        ends = 64 + np.cumsum(np.frombuffer(blob[:64], dtype=np.int64))
+        raw = [blob[low:high] for low, high in zip([64, *ends[:-1]], ends)]
+        token, long = unsqueeze_sorted(raw[0]), unsqueeze(raw[6], np.uint8).astype(bool)
+        maps = np.zeros((len(token), MAP_WORDS), dtype=np.uint64)
+        maps[long] = unsqueeze(raw[7]).reshape(-1, MAP_WORDS)
         parts.append((token, unsqueeze(raw[1], np.int64), unsqueeze(raw[2], np.int64),
-                      unsqueeze(raw[3], np.int32), unsqueeze(raw[4], np.uint8),
+                      *(unsqueeze(r, np.int32).astype(np.int64) for r in raw[3:6]), long, maps,
                       np.full(len(token), chunk, dtype=np.int32)))
-    token, key, label, n, matches, chunk = (np.concatenate(c) for c in zip(*parts))
-    order = np.argsort(token, kind="stable")
-    token = token[order]
-    rank = np.cumsum(np.concatenate(([0], token[1:] != token[:-1])))
-    several = np.bincount(rank)[rank] > 1
-    order, rank = order[several], rank[several]
-    return rank, key[order], label[order], n[order], matches[order], chunk[order]
+    columns = dict(zip(("rank", "key", "label", "n", "matches", "common", "long", "map", "chunk"),
+                       (np.concatenate(c) for c in zip(*parts))))
+    order = np.argsort(columns["rank"], kind="stable")
+    columns = {name: column[order] for name, column in columns.items()}
+    token = columns["rank"]
+    columns["rank"] = np.cumsum(np.concatenate(([0], token[1:] != token[:-1])))
+    return _hopeful(columns)
+
+
+def _hopeful(columns: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """Without documents that share too little with all others to have a partner in a list.
+
+    The need is least for partners of the most different size, so the list's smallest and largest sizes bound it.
+    """
+    rank, n = columns["rank"], columns["n"]
+    opens = np.flatnonzero(np.concatenate(([True], rank[1:] != rank[:-1]))) if len(rank) else rank
+    count = np.diff(np.append(opens, len(rank)))
+    least = np.repeat(np.minimum.reduceat(n, opens), count) if len(rank) else n
+    most = np.repeat(np.maximum.reduceat(n, opens), count) if len(rank) else n
+    fewest = np.repeat(np.minimum.reduceat(columns["matches"], opens), count) if len(rank) else n
+    small, large = np.maximum(least, least_shared(n)), np.minimum(most, 100 * n // PERCENT)
+    need = np.minimum(needed_in_prefixes(n, columns["matches"], small, fewest),
+                      needed_in_prefixes(n, columns["matches"], large, fewest))
+    # One less, for what the bound rounds up at sizes in between.
+    keep = (columns["common"] >= need - 1) & (np.repeat(count, count) > 1)
+    return {name: column[keep] for name, column in columns.items()}
 
 
 def _counted(a, ca, b, cb, need) -> dict:
@@ -211,11 +305,23 @@ def _counted(a, ca, b, cb, need) -> dict:
             "shared": pa.array(shared, pa.int32()), "need": pa.array(need[at], pa.int32())}
 
 
+def _most_shared(maps: np.ndarray, common: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """At most so many prefix shingles are in both documents of a pair."""
+    lacking, other = np.zeros(len(i), dtype=np.int64), np.zeros(len(i), dtype=np.int64)
+    for word in range(MAP_WORDS):
+        x, y = maps[i, word], maps[j, word]
+        lacking += np.bitwise_count(x & ~y)
+        other += np.bitwise_count(y & ~x)
+    return np.minimum(common[i] - lacking, common[j] - other)
+
+
 def _leader_pairs(table: pa.Table) -> pa.Table:
-    rank, key, _, n, matches, chunk = _read_lists(table)
-    size = np.floor(np.log(np.maximum(n, 1)) / np.log(100 / PERCENT)).astype(np.int64)
-    order = np.lexsort((key, size, rank))
-    rank, key, size, matches, chunk = (x[order] for x in (rank, key, size, matches, chunk))
+    """Each document with the one of its list and size class that has the fewest prefix shingles of its own."""
+    c = _read_lists(table)
+    size = np.floor(np.log(np.maximum(c["n"], 1)) / np.log(100 / PERCENT)).astype(np.int64)
+    own = c["n"] - least_shared(c["n"]) + c["matches"] - c["common"]
+    order = np.lexsort((c["key"], own, size, c["rank"]))
+    rank, size, key, chunk = (x[order] for x in (c["rank"], size, c["key"], c["chunk"]))
     opens = np.concatenate(([True], (rank[1:] != rank[:-1]) | (size[1:] != size[:-1]))) \
         if len(rank) else np.zeros(0, dtype=bool)
     leader = np.maximum.accumulate(np.where(opens, np.arange(len(rank)), 0))
@@ -226,31 +332,35 @@ def _leader_pairs(table: pa.Table) -> pa.Table:
 
 def _cross_pairs(table: pa.Table) -> pa.Table:
     """Pairs of one token and different labels, with how many tokens of this bucket they share."""
-    rank, key, label, n, matches, chunk = _read_lists(table)
-    order = np.lexsort((label, rank))
-    rank, key, label, n, matches, chunk = (x[order] for x in (rank, key, label, n, matches, chunk))
+    c = _read_lists(table)
+    order = np.lexsort((c["label"], c["rank"]))
+    rank, key, label, n, matches, common, long, maps, chunk = (
+        c[name][order] for name in ("rank", "key", "label", "n", "matches", "common", "long", "map", "chunk"))
     index = np.arange(len(rank))
     group_end = np.searchsorted(rank, rank, side="right")
     turns = np.flatnonzero(np.concatenate(((rank[1:] != rank[:-1]) | (label[1:] != label[:-1]), [True]))) + 1 \
         if len(rank) else index
     run_end = turns[np.searchsorted(turns, index, side="right")] if len(rank) else index
     count = group_end - run_end
-    found, low = [], 0
+    found, low = [tuple(np.zeros(0, dtype=np.int64) for _ in range(5))], 0
     total = np.cumsum(count)
     while low < len(rank):
         high = max(low + 1, int(np.searchsorted(total, (total[low - 1] if low else 0) + PAIRS_AT_ONCE, "right")))
         part = count[low:high]
         i = np.repeat(index[low:high], part)
         j = np.arange(part.sum()) - np.repeat(np.cumsum(part) - part, part) + np.repeat(run_end[low:high], part)
-        close = (100 * np.minimum(n[i], n[j]).astype(np.int64) >= PERCENT * np.maximum(n[i], n[j]).astype(np.int64))
-        i, j = i[close], j[close]
+        need = needed_in_prefixes(n[i], matches[i], n[j], matches[j])
+        fit = (100 * np.minimum(n[i], n[j]) >= PERCENT * np.maximum(n[i], n[j])) & (np.minimum(common[i], common[j]) >= need)
+        i, j, need = i[fit], j[fit], need[fit]
+        fit = ~long[i]
+        check = np.flatnonzero(long[i])
+        fit[check] = _most_shared(maps, common, i[check], j[check]) >= need[check]
+        i, j, need = i[fit], j[fit], need[fit]
         swap = key[i] > key[j]
         i, j = np.where(swap, j, i), np.where(swap, i, j)
-        found.append((key[i], chunk[i], key[j], chunk[j], np.minimum(matches[i], matches[j])))
+        found.append((key[i], chunk[i], key[j], chunk[j], need))
         low = high
-    if not found:
-        found = [tuple(np.zeros(0, dtype=np.int64) for _ in range(5))]
-    return pa.table(_counted(*(np.concatenate(c) for c in zip(*found))))
+    return pa.table(_counted(*(np.concatenate(column) for column in zip(*found))))
 
 
 def _send_texts(packs: pa.Table, requests: pa.Table) -> pa.Table:
@@ -310,8 +420,16 @@ def _linked(chunks: DataFrame, size: Extent) -> DataFrame:
     classes = sets.groupBy("n", "d1", "d2").agg(F.min(F.struct("key", "chunk")).alias("first"))
     nodes = stored(classes.select("first.key", "first.chunk"), "nodes")
 
+    tokens = chunks.groupBy("chunk").cogroup(nodes.withColumn("label", F.col("key")).groupBy("chunk")) \
+        .applyInArrow(_send_tokens(frequency, buckets, shift), _LISTS)
+    shared = stored(tokens.groupBy("bucket").applyInArrow(_shared_tokens, _LISTS), "shared")
+    answers = shared.select("chunk", F.lit(None).cast("long").alias("key"), F.lit(None).cast("long").alias("label"),
+                            "bucket", "blob")
+
     def lists(labelled: DataFrame) -> DataFrame:
-        return chunks.groupBy("chunk").cogroup(labelled.groupBy("chunk")) \
+        inputs = labelled.select("chunk", "key", "label", F.lit(None).cast("int").alias("bucket"),
+                                 F.lit(None).cast("binary").alias("blob")).union(answers)
+        return chunks.groupBy("chunk").cogroup(inputs.groupBy("chunk")) \
             .applyInArrow(_send_lists(frequency, buckets, shift), _LISTS)
 
     leaders = lists(nodes.withColumn("label", F.col("key"))).groupBy("bucket").applyInArrow(_leader_pairs, _PAIRS)
@@ -345,14 +463,15 @@ def similar_components(docs: DataFrame) -> DataFrame:
 
 
 def first_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` with the smallest document of every component; documents without words all stay.
+    """``docs`` with the smallest document of every component, with all its rows but repeated ones; rows without
+    words all stay.
 
     The packs of texts stay on the executors' disks until the session's cache is cleared.
     """
     size = extent(docs)
     chunks = into_chunks(docs, size.chunks).persist(StorageLevel.DISK_ONLY)
     linked = _linked(chunks, size)
-    kept = linked.filter("n = 0 or key = top").groupBy("chunk", "key").agg(F.max(F.col("n") == 0).alias("all"))
+    kept = linked.filter("n = 0 or same = top").groupBy("chunk", "key").agg(F.max(F.col("n") == 0).alias("all"))
     schema = docs.withColumns({"doc_id": F.col("doc_id").cast("long"), "text": F.col("text").cast("string")}).schema
     return chunks.groupBy("chunk").cogroup(kept.groupBy("chunk")).applyInArrow(_keep(to_arrow_schema(schema)), schema)
 
