@@ -5,6 +5,7 @@ Everything here is derived from whole tables, so each view grows with the data.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,11 +15,23 @@ from pyspark.sql.types import StructType
 from shelfcast.operators.eligibility import SNAPSHOT_COLUMNS
 from shelfcast.operators.features import build_features
 from shelfcast.operators.panel import daily_sales, day_range, densify
-from shelfcast.settings import Settings
+from shelfcast.settings import FALLBACK_RULE, LIFECYCLE_RULES, Settings
 
 USER = Settings(history_start=date(2024, 1, 1), history_end=date(2024, 1, 16))
 ITEM = Settings(history_start=date(1995, 1, 1), history_end=date(2001, 6, 30))
 
+# Two weeks of the catalogue, few enough that most parts sold on none of their days.
+CATALOGUE = (date(1997, 3, 3), date(1997, 3, 16))
+# A forecast that starts eight days after the history ends.
+GAP = replace(ITEM, forecast_start=date(2001, 7, 9))
+_SHORT = {name: replace(rule, look_back=13) for name, rule in LIFECYCLE_RULES.items()}
+# Thirteen days and no bend: without a weekly season the changepoint model is a least-squares line.
+LINE = replace(ITEM, zero_ratio_threshold=1.0, fallback=replace(FALLBACK_RULE, look_back=13, changepoints=0),
+               lifecycle={name: replace(rule, changepoints=0) for name, rule in _SHORT.items()})
+# The same with one bend.
+BEND = replace(ITEM, zero_ratio_threshold=1.0, fallback=replace(FALLBACK_RULE, look_back=13, changepoints=1),
+               lifecycle={name: replace(rule, changepoints=1) for name, rule in _SHORT.items()})
+
 # Kind of effect, days before and days after its anchor.  The week's number since the
 # first Monday of 1970 picks the kind, in this order.
 EFFECT_KINDS = (
@@ -81,12 +94,24 @@ def part_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def brand_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Brand sales on every day from the history start to the table's last day."""
+    """Brand sales on every day from the table's first day to its last.
+
+    Parts are summed by day before they meet their brand, so a part with a third of all lines has one row a
+    day by then.
+    """
     brands = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("product_id"), "p_brand")
-    daily = _daily(part_facts(spark, sf_dir).join(brands, "product_id").select(
+    parts = daily_sales(part_facts(spark, sf_dir))
+    daily = _daily(parts.join(brands, "product_id").select(
         F.col("p_brand").alias("product_id"), "day", "units_sold", "sales_amount"))
-    _, last = day_range(part_facts(spark, sf_dir))
-    return densify(daily, ITEM.history_start, last)
+    return densify(daily, *day_range(daily))
+
+
+def catalogue_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part sales on every day of the catalogue run, parts that sold on none of them included."""
+    parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("product_id"))
+    daily = _daily(part_facts(spark, sf_dir).where(
+        F.col("day").between(F.lit(CATALOGUE[0]), F.lit(CATALOGUE[1]))))
+    return densify(daily, *CATALOGUE, products=parts)
 
 
 def user_sales(spark: SparkSession, sf_dir: str, purchases_only: bool = True,
@@ -99,7 +124,7 @@ def user_sales(spark: SparkSession, sf_dir: str, purchases_only: bool = True,
         F.col("user_id").alias("product_id"), F.col("ts").cast("date").alias("day"),
         F.when(counted, 1).otherwise(0).cast("long").alias("units_sold"),
         F.when(counted, _money("value")).otherwise(0).alias("sales_amount")))
-    return densify(daily, USER.history_start, USER.forecast_end) if dense else daily
+    return densify(daily, *day_range(daily)) if dense else daily
 
 
 def part_products(spark: SparkSession, sf_dir: str) -> DataFrame:

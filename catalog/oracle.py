@@ -7,8 +7,35 @@ in front of its SELECT.
 from __future__ import annotations
 
 from catalog import fixtures as fx
-from shelfcast.functions.accuracy import bin_table
-from shelfcast.settings import FALLBACK_RULE, LIFECYCLE_RULES, Settings
+from shelfcast.settings import Settings
+
+# The 22 bins of each metric, as label, start and end.
+BIAS_BINS = """
+  ('01| < -100', CAST('-inf' AS DOUBLE), -100), ('02| -100 -90', -100, -90), ('03| -90 -80', -90, -80),
+  ('04| -80 -70', -80, -70), ('05| -70 -60', -70, -60), ('06| -60 -50', -60, -50), ('07| -50 -40', -50, -40),
+  ('08| -40 -30', -40, -30), ('09| -30 -20', -30, -20), ('10| -20 -10', -20, -10), ('11| -10 0', -10, 0),
+  ('12| 0 +10', 0, 10), ('13| +10 +20', 10, 20), ('14| +20 +30', 20, 30), ('15| +30 +40', 30, 40),
+  ('16| +40 +50', 40, 50), ('17| +50 +60', 50, 60), ('18| +60 +70', 60, 70), ('19| +70 +80', 70, 80),
+  ('20| +80 +90', 80, 90), ('21| +90 +100', 90, 100), ('22| > +100', 100, CAST('inf' AS DOUBLE))"""
+ERROR_BINS = """
+  ('01| < -50', CAST('-inf' AS DOUBLE), -50), ('02| -50 -45', -50, -45), ('03| -45 -40', -45, -40),
+  ('04| -40 -35', -40, -35), ('05| -35 -30', -35, -30), ('06| -30 -25', -30, -25), ('07| -25 -20', -25, -20),
+  ('08| -20 -15', -20, -15), ('09| -15 -10', -15, -10), ('10| -10 -5', -10, -5), ('11| -5 0', -5, 0),
+  ('12| 0 +5', 0, 5), ('13| +5 +10', 5, 10), ('14| +10 +15', 10, 15), ('15| +15 +20', 15, 20),
+  ('16| +20 +25', 20, 25), ('17| +25 +30', 25, 30), ('18| +30 +35', 30, 35), ('19| +35 +40', 35, 40),
+  ('20| +40 +45', 40, 45), ('21| +45 +50', 45, 50), ('22| > +50', 50, CAST('inf' AS DOUBLE))"""
+# Look-back, factor, changepoints and prior of each category, and of all others.
+RULES = """
+  ('02| Launch_01| Low', 10, CAST(1.0 AS DOUBLE), 1, CAST(0.01 AS DOUBLE)),
+  ('02| Launch_02| Medium', 10, 1.15, 2, 0.05),
+  ('02| Launch_03| High', 7, 1.2, 1, 0.1),
+  ('03| Growth_01| Low', 10, 1.0, 2, 0.01),
+  ('03| Growth_02| Medium', 30, 1.3, 3, 0.05),
+  ('03| Growth_03| High', 30, 1.3, 4, 0.1),
+  ('04| Mature_01| Low', 60, 1.0, 4, 0.01),
+  ('04| Mature_02| Medium', 60, 1.3, 6, 0.05),
+  ('04| Mature_03| High', 60, 1.3, 8, 0.1)"""
+OTHER_LOOK_BACK, OTHER_FACTOR, OTHER_CHANGEPOINTS, OTHER_PRIOR = 60, 1.1, 25, 0.05
 
 FRAGMENTS: dict[str, tuple[tuple[str, ...], str]] = {}
 
@@ -40,13 +67,13 @@ _fragment("part_sales", (), """part_sales AS (
          CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS DOUBLE) AS sales_amount
   FROM lineitem GROUP BY l_partkey, CAST(l_shipdate AS DATE))""")
 
-_fragment("brand_sales", (), f"""brand_sold AS (
+_fragment("brand_sales", (), """brand_sold AS (
   SELECT p_brand AS product_id, CAST(l_shipdate AS DATE) AS date, sum(l_quantity) AS units,
          sum(CAST(l_extendedprice AS DECIMAL(12,2))) AS amount
   FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2),
 brand_days AS (
   SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS date
-  FROM (SELECT DATE '{fx.ITEM.history_start}' AS lo, max(CAST(l_shipdate AS DATE)) AS hi FROM lineitem)),
+  FROM (SELECT min(date) AS lo, max(date) AS hi FROM brand_sold)),
 brand_sales AS (
   SELECT b.product_id, d.date, CAST(coalesce(s.units, 0) AS BIGINT) AS sales_units,
          CAST(coalesce(s.amount, 0) AS DOUBLE) AS sales_amount
@@ -60,8 +87,7 @@ def _user_fragment(name: str, counted: str) -> None:
          sum(CAST(value AS DECIMAL(12,2))) FILTER ({counted}) AS amount
   FROM events GROUP BY 1, 2),
 {name}_days AS (
-  SELECT CAST(unnest(generate_series(DATE '{fx.USER.history_start}', DATE '{fx.USER.forecast_end}',
-                                    INTERVAL 1 DAY)) AS DATE) AS date),
+  SELECT CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date FROM {name}_sold),
 {name} AS (
   SELECT u.product_id, d.date, CAST(coalesce(s.units, 0) AS BIGINT) AS sales_units,
          CAST(coalesce(s.amount, 0) AS DOUBLE) AS sales_amount
@@ -76,6 +102,17 @@ _fragment("sparse_sales", (), """sparse_sales AS (
          CAST(sum(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS sales_amount
   FROM events WHERE event_type = 'purchase' GROUP BY 1, 2)""")
 
+_fragment("sparse_events", (), """sparse_events AS (
+  SELECT user_id AS product_id, CAST(ts AS DATE) AS date, count(*) AS sales_units,
+         CAST(sum(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS sales_amount
+  FROM events GROUP BY 1, 2)""")
+_fragment("catalogue_sales", ("part_sales",), f"""catalogue_sales AS (
+  SELECT p_partkey AS product_id, CAST(d.date AS DATE) AS date, coalesce(s.sales_units, 0) AS sales_units,
+         coalesce(s.sales_amount, 0) AS sales_amount
+  FROM part CROSS JOIN (SELECT unnest(generate_series(DATE '{fx.CATALOGUE[0]}', DATE '{fx.CATALOGUE[1]}',
+                                                       INTERVAL 1 DAY)) AS date) d
+  LEFT JOIN part_sales s ON s.product_id = p_partkey AND s.date = d.date)""")
+
 # Lifecycle
 
 
@@ -124,6 +161,8 @@ _lifecycle_fragment("brand_life", "brand_sales")
 _lifecycle_fragment("user_life", "user_sales")
 _lifecycle_fragment("event_life", "event_sales")
 _lifecycle_fragment("sparse_life", "sparse_sales")
+_lifecycle_fragment("sparse_event_life", "sparse_events")
+_lifecycle_fragment("catalogue_life", "catalogue_sales")
 
 # Calendar
 
@@ -182,10 +221,7 @@ _features_fragment("user_features", "user_life", "event_cal_flags")
 # Eligibility and training
 
 _EXCLUDED = "(age_category IN ('00| Draft', '01| New') OR sales_category IN ('01| Dead'))"
-_RULES = ", ".join(f"('{name}', {r.look_back}, CAST({r.over_forecast_factor} AS DOUBLE), "
-                   f"{r.changepoints}, CAST({r.changepoint_prior} AS DOUBLE))"
-                   for name, r in LIFECYCLE_RULES.items())
-_fragment("rules", (), f"rules(category, look_back, factor, changepoints, prior) AS (VALUES {_RULES})")
+_fragment("rules", (), f"rules(category, look_back, factor, changepoints, prior) AS (VALUES {RULES})")
 
 
 def _training_fragment(prefix: str, life: str, settings: Settings) -> None:
@@ -205,10 +241,10 @@ def _training_fragment(prefix: str, life: str, settings: Settings) -> None:
   SELECT h.*, e.on_forecast_age_sales_category, e.on_forecast_sales_category, e.on_forecast_age_category
   FROM {prefix}_history h JOIN {prefix}_end e USING (product_id))""")
     _fragment(f"{prefix}_training", (f"{prefix}_qualified", "rules"), f"""{prefix}_ranked AS (
-  SELECT q.*, coalesce(r.look_back, {FALLBACK_RULE.look_back}) AS look_back,
-         coalesce(r.factor, {FALLBACK_RULE.over_forecast_factor}) AS over_forecast_factor,
-         coalesce(r.changepoints, {FALLBACK_RULE.changepoints}) AS changepoints,
-         coalesce(r.prior, {FALLBACK_RULE.changepoint_prior}) AS changepoint_prior,
+  SELECT q.*, coalesce(r.look_back, {OTHER_LOOK_BACK}) AS look_back,
+         coalesce(r.factor, {OTHER_FACTOR}) AS over_forecast_factor,
+         coalesce(r.changepoints, {OTHER_CHANGEPOINTS}) AS changepoints,
+         coalesce(r.prior, {OTHER_PRIOR}) AS changepoint_prior,
          row_number() OVER (PARTITION BY product_id ORDER BY date DESC) AS back
   FROM {prefix}_qualified q LEFT JOIN rules r ON r.category = q.on_forecast_age_sales_category
   WHERE date < DATE '{start}'),
@@ -226,11 +262,13 @@ def _training_fragment(prefix: str, life: str, settings: Settings) -> None:
 _training_fragment("user", "user_life", fx.USER)
 _training_fragment("event", "event_life", fx.USER)
 _training_fragment("sparse", "sparse_life", fx.USER)
+_training_fragment("sparse_event", "sparse_event_life", fx.USER)
 _training_fragment("brand", "brand_life", fx.ITEM)
+_training_fragment("gap", "brand_life", fx.GAP)
 
 # Training rows of dense parts: only the last 60 days of the dense panel can be trained on.
 _END = fx.ITEM.history_end
-_fragment("part_training", ("part_sales", "rules"), f"""part_end AS (
+_fragment("part_rules", ("part_sales", "rules"), f"""part_end AS (
   SELECT product_id,
          CASE WHEN min(date) FILTER (WHERE sales_units > 0) IS NULL THEN 0
               ELSE date_diff('day', min(date) FILTER (WHERE sales_units > 0), DATE '{_END}') + 1
@@ -245,14 +283,17 @@ part_eligible AS (
   SELECT *, age_category || '_' || {_summary('sales_category')} AS category
   FROM part_labels WHERE NOT {_EXCLUDED}),
 part_rules AS (
-  SELECT e.*, coalesce(r.look_back, {FALLBACK_RULE.look_back}) AS look_back,
-         coalesce(r.factor, {FALLBACK_RULE.over_forecast_factor}) AS factor,
-         coalesce(r.changepoints, {FALLBACK_RULE.changepoints}) AS changepoints,
-         coalesce(r.prior, {FALLBACK_RULE.changepoint_prior}) AS prior
-  FROM part_eligible e LEFT JOIN rules r USING (category)),
-part_spread AS (
-  SELECT *, unnest(generate_series(0, look_back - 1)) AS t FROM part_rules),
-part_training AS (
+  SELECT e.*, coalesce(r.look_back, {OTHER_LOOK_BACK}) AS look_back,
+         coalesce(r.factor, {OTHER_FACTOR}) AS factor,
+         coalesce(r.changepoints, {OTHER_CHANGEPOINTS}) AS changepoints,
+         coalesce(r.prior, {OTHER_PRIOR}) AS prior
+  FROM part_eligible e LEFT JOIN rules r USING (category))""")
+
+
+def _part_training(name: str, rules: str) -> str:
+    return f"""{name}_spread AS (
+  SELECT *, unnest(generate_series(0, look_back - 1)) AS t FROM {rules}),
+{name}_training AS (
   SELECT p.product_id, category AS on_forecast_age_sales_category,
          age_category AS on_forecast_age_category, sales_category AS on_forecast_sales_category,
          'ST' || p.product_id AS style, CAST(look_back AS INTEGER) AS look_back,
@@ -261,8 +302,13 @@ part_training AS (
          CAST(DATE '{_END}' - CAST(look_back - 1 - t AS INTEGER) AS DATE) AS date,
          CAST(coalesce(s.sales_units, 0) AS BIGINT) AS y, CAST(t AS INTEGER) AS t,
          CAST(look_back AS INTEGER) AS n
-  FROM part_spread p LEFT JOIN part_sales s ON s.product_id = p.product_id
-    AND s.date = DATE '{_END}' - CAST(look_back - 1 - t AS INTEGER))""")
+  FROM {name}_spread p LEFT JOIN part_sales s ON s.product_id = p.product_id
+    AND s.date = DATE '{_END}' - CAST(look_back - 1 - t AS INTEGER))"""
+
+
+_fragment("part_training", ("part_rules",), _part_training("part", "part_rules"))
+_fragment("short_training", ("part_rules",), "short_rules AS (SELECT * REPLACE (13 AS look_back) FROM part_rules),\n"
+          + _part_training("short", "short_rules"))
 
 # Forecasts
 
@@ -295,20 +341,24 @@ def _forecast_fragments(prefix: str, settings: Settings) -> None:
   FROM {prefix}_products p LEFT JOIN {prefix}_demand d USING (product_id)
   LEFT JOIN {prefix}_gaps g USING (product_id))""")
     _fragment(f"{prefix}_trend", (f"{prefix}_products",), f"""{prefix}_line AS (
-  SELECT product_id, regr_slope(y, t) AS slope, regr_intercept(y, t) AS intercept
-  FROM {enough} GROUP BY 1),
+  SELECT product_id, min(date) AS first_date, coalesce(regr_slope(y, date_diff('day', DATE '1970-01-01', date)), 0) AS slope,
+         avg(y) FILTER (WHERE y IS NOT NULL)
+           - coalesce(regr_slope(y, date_diff('day', DATE '1970-01-01', date)), 0)
+             * avg(date_diff('day', first_date_of, date)) FILTER (WHERE y IS NOT NULL) AS intercept
+  FROM (SELECT *, min(date) OVER (PARTITION BY product_id) AS first_date_of FROM {enough}) GROUP BY 1),
 {prefix}_season AS (
   SELECT e.product_id, dayofweek(e.date) AS weekday,
-         sum(e.y) / sum(greatest(l.intercept + l.slope * e.t, 0.01)) AS ratio
+         sum(e.y) / sum(greatest(l.intercept + l.slope * date_diff('day', l.first_date, e.date), 0.01)) AS ratio
   FROM {enough} e JOIN {prefix}_line l USING (product_id) WHERE e.n >= 14 GROUP BY 1, 2),
 {prefix}_trend AS (
   SELECT p.product_id, h.date, greatest(
-    (l.intercept + l.slope * (p.n + h.step)) * coalesce(s.ratio, 1) * p.factor, 0) AS value
+    (l.intercept + l.slope * date_diff('day', l.first_date, h.date)) * coalesce(s.ratio, 1) * p.factor, 0) AS value
   FROM {prefix}_products p CROSS JOIN {prefix}_horizon h JOIN {prefix}_line l USING (product_id)
   LEFT JOIN {prefix}_season s ON s.product_id = p.product_id AND s.weekday = dayofweek(h.date))""")
 
 
-for _prefix, _settings in (("user", fx.USER), ("event", fx.USER), ("brand", fx.ITEM), ("part", fx.ITEM)):
+for _prefix, _settings in (("user", fx.USER), ("event", fx.USER), ("sparse_event", fx.USER), ("brand", fx.ITEM),
+                           ("gap", fx.GAP), ("part", fx.ITEM), ("short", fx.ITEM)):
     _forecast_fragments(_prefix, _settings)
 
 _CATEGORIES = "p.product_id, p.age_sales_category, p.age_category, p.sales_category, p.style"
@@ -324,6 +374,32 @@ def _trend_select(prefix: str) -> str:
             f"FROM {prefix}_products p JOIN {prefix}_trend v USING (product_id)")
 
 
+# The changepoint model without a season is a ridge regression on 1, x and the bend's hinge, where x runs from 0 to 1 over the
+# thirteen training days and the bend is at the tenth.  Its normal equations are solved by determinants.
+_HINGE = "greatest(t - 9, 0) / 12.0"
+_fragment("short_line", ("short_products",), """short_line_fit AS (
+  SELECT product_id, regr_slope(y, t) AS slope, regr_intercept(y, t) AS intercept FROM short_enough GROUP BY 1)""")
+_fragment("short_bend", ("short_products",), f"""short_sums AS (
+  SELECT product_id, any_value(changepoint_prior) AS prior, CAST(count(*) AS DOUBLE) AS n, sum(t / 12.0) AS x, sum({_HINGE}) AS h,
+         sum(t / 12.0 * t / 12.0) AS xx, sum(t / 12.0 * {_HINGE}) AS xh,
+         sum({_HINGE} * {_HINGE}) + 1 / (any_value(changepoint_prior) ** 2 * 13) AS hh,
+         CAST(sum(y) AS DOUBLE) AS y, sum(t / 12.0 * y) AS xy, sum({_HINGE} * y) AS hy
+  FROM short_enough GROUP BY 1),
+short_bend_fit AS (
+  SELECT product_id, (n * (xx * hh - xh * xh) - x * (x * hh - xh * h) + h * (x * xh - xx * h)) AS det,
+    (y * (xx * hh - xh * xh) - x * (xy * hh - xh * hy) + h * (xy * xh - xx * hy)) AS det0,
+    (n * (xy * hh - xh * hy) - y * (x * hh - xh * h) + h * (x * hy - xy * h)) AS det1,
+    (n * (xx * hy - xy * xh) - x * (x * hy - xy * h) + y * (x * xh - xx * h)) AS det2
+  FROM short_sums)""")
+
+
+def _fitted_sql(fit: str, value: str) -> str:
+    return _sql(
+        f"""SELECT {_CATEGORIES}, CASE WHEN p.zero_ratio >= 1 THEN 'croston' ELSE 'changepoint' END AS forecast_method, h.date,
+  round(CASE WHEN p.zero_ratio >= 1 THEN 0 ELSE greatest({value} * p.factor, 0) END, 3) AS forecast
+FROM short_products p CROSS JOIN short_horizon h JOIN {fit}_fit f USING (product_id)""", fit, "short_products", "short_horizon")
+
+
 def _forecast_sql(prefix: str) -> str:
     return _sql(f"{_croston_select(prefix)} WHERE p.zero_ratio >= 0.6 UNION ALL "
                 f"{_trend_select(prefix)} WHERE p.zero_ratio < 0.6",
@@ -353,10 +429,11 @@ _fragment("latest", ("runs",), """latest AS (
 
 
 def _bin(method: str, value: str) -> str:
-    unit = 100 if method == "bias" else 1
-    rows = bin_table(method)
-    whens = " ".join(f"WHEN {value} < CAST({end / unit} AS DOUBLE) THEN '{label}'" for label, _, end in rows[:-1])
-    return f"CASE {whens} ELSE '{rows[-1][0]}' END"
+    """The label of the last bin that starts at or below the value; the last bin for null."""
+    table, unit = (BIAS_BINS, 100.0) if method == "bias" else (ERROR_BINS, 1.0)
+    last = "22| > +100" if method == "bias" else "22| > +50"
+    return (f"coalesce((SELECT max(b.label) FROM (VALUES {table}) b(label, lo, hi) "
+            f"WHERE {value} >= CAST(b.lo AS DOUBLE) / CAST({unit} AS DOUBLE)), '{last}')")
 
 
 def _scored(source: str) -> str:
@@ -397,14 +474,8 @@ scored_parts AS ({_scored('part_guess')})""")
 
 
 def _accuracy(source: str, method: str, where: str, low: float, high: float, overlap: bool) -> str:
-    good = (f"bin_start <= {high} AND bin_end >= {low}" if overlap
-            else f"bin_start >= {low} AND bin_end <= {high}")
-
-    def number(value: float) -> str:
-        return f"CAST('{value}' AS DOUBLE)"
-
-    bins = ", ".join(f"({i}, '{label}', {number(start)}, {number(end)})"
-                     for i, (label, start, end) in enumerate(bin_table(method)))
+    good = f"b.lo <= {high} AND b.hi >= {low}" if overlap else f"b.lo >= {low} AND b.hi <= {high}"
+    bins = BIAS_BINS if method == "bias" else ERROR_BINS
     return f"""SELECT b.label AS {method}_bin, b.units_in_bin, b.bin_start, b.bin_end, b.is_good,
   round_even(b.units_in_bin / t.divisor * 100, 1) AS percentage_of_target,
   round_even(t.good / t.divisor * 100, 1) AS good_percent, CAST(b.position - 10 AS INTEGER) AS bin_numeric_pos
@@ -412,9 +483,9 @@ FROM filled b CROSS JOIN (
   SELECT CAST(sum(units_in_bin) FILTER (WHERE is_good) AS DOUBLE) AS good,
          CAST(CASE WHEN sum(units_in_bin) = 0 THEN 1 ELSE sum(units_in_bin) END AS DOUBLE) AS divisor
   FROM filled) t""", f"""filled AS (
-  SELECT b.position, b.label, b.bin_start, b.bin_end, {good} AS is_good,
-         CAST(coalesce(u.units, 0) AS BIGINT) AS units_in_bin
-  FROM (VALUES {bins}) b(position, label, bin_start, bin_end)
+  SELECT CAST(left(b.label, 2) AS INTEGER) - 1 AS position, b.label, CAST(b.lo AS DOUBLE) AS bin_start,
+         CAST(b.hi AS DOUBLE) AS bin_end, {good} AS is_good, CAST(coalesce(u.units, 0) AS BIGINT) AS units_in_bin
+  FROM (VALUES {bins}) b(label, lo, hi)
   LEFT JOIN (SELECT {method}_bin AS label, sum(sales_units) AS units FROM {source} {where} GROUP BY 1) u
   USING (label))"""
 
@@ -425,6 +496,27 @@ def _accuracy_sql(source: str, method: str, low: float, high: float, where: str
     return _sql(select, source).replace("\nSELECT b.label", ",\n" + filled + "\nSELECT b.label", 1)
 
 
+def _by_category_sql() -> str:
+    return _sql("""SELECT sales_category, label AS bias_bin, units_in_bin, bin_start, bin_end, is_good,
+  round_even(units_in_bin / divisor * 100, 1) AS percentage_of_target, round_even(good / divisor * 100, 1) AS good_percent,
+  CAST(CAST(left(label, 2) AS INTEGER) - 11 AS INTEGER) AS bin_numeric_pos
+FROM (SELECT *, CAST(coalesce(sum(units_in_bin) FILTER (WHERE is_good) OVER c, 0) AS DOUBLE) AS good,
+             CAST(CASE WHEN sum(units_in_bin) OVER c = 0 THEN 1 ELSE sum(units_in_bin) OVER c END AS DOUBLE) AS divisor
+      FROM by_category WINDOW c AS (PARTITION BY sales_category))""", "by_category")
+
+
+_fragment("by_category", ("scored_parts",), f"""by_category_units AS (
+  SELECT sales_category, bias_bin AS label, sum(sales_units) AS units FROM scored_parts GROUP BY 1, 2),
+by_category AS (
+  SELECT c.sales_category, b.label, CAST(b.lo AS DOUBLE) AS bin_start, CAST(b.hi AS DOUBLE) AS bin_end,
+         CAST(coalesce(u.units, 0) AS BIGINT) AS units_in_bin,
+         b.lo >= coalesce(r.low, -20) AND b.hi <= coalesce(r.high, 30) AS is_good
+  FROM (SELECT DISTINCT sales_category FROM scored_parts) c CROSS JOIN (VALUES {BIAS_BINS}) b(label, lo, hi)
+  LEFT JOIN by_category_units u ON u.sales_category = c.sales_category AND u.label = b.label
+  LEFT JOIN (VALUES ('02| Very Low', -60, 60), ('03| Low', -40, 50), ('05| Medium', -20, 30), ('07| High Winning', -10, 20))
+    r(category, low, high) ON r.category = c.sales_category)""")
+
+
 def _percent(part: str, whole: str) -> str:
     return f"coalesce(round_even(CAST({part} AS DOUBLE) / nullif({whole}, 0) * 100, 1), 0.0)"
 
@@ -453,9 +545,9 @@ ORACLE: dict[str, str] = {
     "next_run_id": _sql("SELECT CAST(coalesce(max(run_id), 0) + 1 AS INTEGER) AS next_run_id FROM runs",
                         "runs"),
     "append_table": _sql(
-        "SELECT product_id, date AS day, sales_units AS units_sold, sales_amount FROM sparse_sales "
-        "UNION ALL SELECT product_id, date AS day, sales_units AS units_sold, sales_amount FROM sparse_sales",
-        "sparse_sales"),
+        "SELECT product_id, date AS day, sales_units AS units_sold, sales_amount FROM sparse_events "
+        "UNION ALL SELECT product_id, date AS day, sales_units AS units_sold, sales_amount FROM sparse_events",
+        "sparse_events"),
     "day_in_stock": _sql("SELECT product_id, date, sales_units, day_in_stock FROM part_life", "part_life"),
     "age_category": _sql("SELECT product_id, date, age_category FROM part_life", "part_life"),
     "sales_category": _sql("SELECT product_id, date, sales_category FROM part_life", "part_life"),
@@ -466,6 +558,8 @@ ORACLE: dict[str, str] = {
     "cumulative_sales": _sql("SELECT product_id, date, cumulative_sales FROM part_life", "part_life"),
     "dense_panel": _sql("SELECT product_id, date AS day, sales_units AS units_sold, sales_amount "
                         "FROM brand_sales", "brand_sales"),
+    "dense_catalogue": _sql("SELECT product_id, date, sales_units, sales_amount, day_in_stock, age_sales_category "
+                            "FROM catalogue_life", "catalogue_life"),
     "density_check": _sql(
         "SELECT product_id, count(*) AS day_rows, date_diff('day', min(date), max(date)) + 1 AS calendar_days "
         "FROM part_sales GROUP BY 1 HAVING count(*) <> date_diff('day', min(date), max(date)) + 1",
@@ -541,6 +635,16 @@ SELECT r.rule""", 1),
     "croston_forecast": _sql(_croston_select("user"), "user_horizon", "user_croston"),
     "trend_weekday_forecast": _sql(_trend_select("brand"), "brand_horizon", "brand_trend"),
     "trend_weekday_events": _sql(_trend_select("event"), "event_horizon", "event_trend"),
+    "trend_weekday_gap": _sql(_trend_select("gap"), "gap_horizon", "gap_trend"),
+    "trend_weekday_sparse": _sql(_trend_select("sparse_event"), "sparse_event_horizon", "sparse_event_trend"),
+    "changepoint_line": _fitted_sql("short_line", "(f.intercept + f.slope * (13 + h.step))"),
+    "changepoint_one_bend": _fitted_sql(
+        "short_bend", "((f.det0 + f.det1 * (13 + h.step) / 12.0 + f.det2 * (4 + h.step) / 12.0) / f.det)"),
+    "changepoint_methods": _sql(
+        "SELECT p.product_id, p.age_sales_category, p.style, CASE WHEN p.zero_ratio >= 0.6 THEN 'croston' "
+        "ELSE 'changepoint' END AS forecast_method, h.date, CASE WHEN p.zero_ratio >= 0.6 "
+        "THEN round(c.value + 1e-9, 6) END AS intermittent FROM part_products p JOIN part_croston c USING (product_id) "
+        "CROSS JOIN part_horizon h", "part_croston", "part_horizon"),
     "horizon": _sql("SELECT product_id, h.date FROM (SELECT DISTINCT product_id FROM user_training) "
                     "CROSS JOIN user_horizon h", "user_training", "user_horizon"),
     "regressor_carry": _sql(
@@ -573,6 +677,7 @@ CROSS JOIN (SELECT CAST(sum(c) AS DOUBLE) AS products, CAST(sum(u) AS DOUBLE) AS
     "accuracy_error": _accuracy_sql("evaluation", "error", -2, 4, overlap=True),
     "accuracy_category": _accuracy_sql("scored_brands", "bias", -40, 40,
                                        "WHERE sales_category = '07| High Winning'"),
+    "accuracy_by_category": _by_category_sql(),
     "accuracy_excluding": _accuracy_sql(
         "scored_parts", "bias", -20, 30,
         "WHERE sales_category NOT IN ('02| Very Low', '03| Low', '07| High Winning')"),
@@ -599,6 +704,18 @@ FROM (SELECT CAST(coalesce(sum(sales_units), 0) AS BIGINT) AS total_sales,
     "worst_products": _sql(
         "SELECT product_id, style, sales_units, round(forecast, 6) AS forecast, round(error, 6) + CAST(0 AS DOUBLE) AS error "
         "FROM evaluation ORDER BY round(error, 6) DESC, product_id LIMIT 10", "evaluation"),
+    "worst_in_category": _sql(
+        "SELECT product_id, style, sales_units, round(forecast, 6) AS forecast, round(error, 6) + CAST(0 AS DOUBLE) AS error "
+        "FROM evaluation WHERE sales_category = '02| Very Low' ORDER BY round(error, 6) DESC, product_id LIMIT 10", "evaluation"),
+    "run_style_series": _sql("SELECT product_id, style, date, forecast, run_id FROM runs WHERE run_id = 3 AND style = 'ST7'",
+                             "runs"),
+    "daily_job": _forecast_sql("user").replace(" AS forecast FROM", " AS forecast, CAST(1 AS INTEGER) AS run_id FROM"),
+    "scorecard_job": _sql(
+        "SELECT *, round(CASE WHEN sales_units > 0 THEN (exact - sales_units) / sales_units END, 4) + CAST(0 AS DOUBLE) AS bias, "
+        "round(exact, 6) AS forecast FROM (SELECT date, CAST(sum(sales_units) AS BIGINT) AS sales_units, sum(forecast) AS exact, "
+        "count(*) AS validation_rows, "
+        + ", ".join(f"count(DISTINCT CASE WHEN age_category = '{age}' THEN product_id END) AS \"{age}\"" for age in _AGES)
+        + " FROM validation GROUP BY date)", "validation").replace("SELECT *, round(CASE", "SELECT * EXCLUDE (exact), round(CASE"),
     "style_series": _sql(
         "SELECT product_id, style, date, sales_units, forecast, bias_bin, error_bin FROM validation "
         "WHERE style = 'ST7' ORDER BY date", "validation"),

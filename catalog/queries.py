@@ -19,6 +19,7 @@ from shelfcast.operators import lifecycle as lc
 from shelfcast.operators import panel
 from shelfcast.operators import runs as rn
 from shelfcast.operators import training as tr
+from shelfcast.plans import daily, scorecard
 from shelfcast.session import shared_path
 from shelfcast.sources import feature_store, run_store
 from shelfcast.sources import tables as tb
@@ -28,6 +29,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 EVALUATION_FIRST, EVALUATION_LAST = date(2024, 1, 17), date(2024, 1, 30)
 STYLE = "ST7"
 CATEGORY = "02| Very Low"
+CATEGORY_RANGES = {"02| Very Low": (-60.0, 60.0), "03| Low": (-40.0, 50.0), "05| Medium": (20.0, 30.0),
+                   "07| High Winning": (-10.0, 20.0)}
 SCAN_FILTERS = {"l_shipdate_gte": date(1996, 1, 1), "l_shipdate_lte": date(2000, 12, 31),
                 "l_returnflag_eq": "R", "l_linestatus": "F"}
 
@@ -46,7 +49,7 @@ def forecast_rounded(df: DataFrame) -> DataFrame:
 # Sources and sinks
 
 def scan_filtered(spark, sf):
-    return tb.scan(fx.table(spark, sf, "lineitem"), SCAN_FILTERS).select(
+    return tb.scan(fx.table(spark, sf, "lineitem"), SCAN_FILTERS, order_by="l_shipdate", descending=True).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
 
 
@@ -66,9 +69,8 @@ def features_roundtrip(spark, sf):
 
 def _stored_runs(spark, sf) -> str:
     path = shared_path(spark, "runs")
-    runs = fx.forecast_runs(spark, sf)
-    for number, _, _ in fx.RUNS:
-        run_store.write_run(runs.where(F.col("run_id") == number).drop("run_id"), path, number)
+    # All runs in one job, each in its own folder.
+    fx.forecast_runs(spark, sf).write.partitionBy("run_id").parquet(path)
     return path
 
 
@@ -91,7 +93,7 @@ def next_run_id(spark, sf):
 
 def append_table(spark, sf):
     path = shared_path(spark, "appended")
-    sales = fx.user_sales(spark, sf, dense=False)
+    sales = fx.user_sales(spark, sf, purchases_only=False, dense=False)
     for _ in range(2):
         tb.append_table(sales, path)
     return spark.read.parquet(path)
@@ -133,6 +135,12 @@ def dense_panel(spark, sf):
     return fx.brand_sales(spark, sf)
 
 
+def dense_catalogue(spark, sf):
+    """Lifecycle labels of every part on a dense fortnight: parts without a sale are there, as Draft."""
+    rows = lc.add_lifecycle(lc.sales_columns(fx.catalogue_sales(spark, sf)), fx.ITEM)
+    return rows.select("product_id", "date", "sales_units", "sales_amount", "day_in_stock", "age_sales_category")
+
+
 def density_check(spark, sf):
     return panel.density_check(fx.part_sales(spark, sf))
 
@@ -242,7 +250,10 @@ def _training(features_of, settings) -> Query:
 user_training = _training(fx.user_features, fx.USER)
 event_training = _training(lambda spark, sf: fx.user_features(spark, sf, purchases_only=False), fx.USER)
 sparse_training = _training(lambda spark, sf: fx.user_features(spark, sf, dense=False), fx.USER)
+sparse_event_training = _training(
+    lambda spark, sf: fx.user_features(spark, sf, purchases_only=False, dense=False), fx.USER)
 brand_training = _training(fx.brand_features, fx.ITEM)
+gap_training = _training(fx.brand_features, fx.GAP)
 
 
 def part_training(spark, sf):
@@ -278,6 +289,14 @@ def trend_weekday_forecast(spark, sf):
     return forecast_rounded(fc.trend_weekday_forecast(brand_training(spark, sf), fx.ITEM))
 
 
+def trend_weekday_gap(spark, sf):
+    return forecast_rounded(fc.trend_weekday_forecast(gap_training(spark, sf), fx.GAP))
+
+
+def trend_weekday_sparse(spark, sf):
+    return forecast_rounded(fc.trend_weekday_forecast(sparse_event_training(spark, sf), fx.USER))
+
+
 def trend_weekday_events(spark, sf):
     return forecast_rounded(fc.trend_weekday_forecast(event_training(spark, sf), fx.USER))
 
@@ -294,6 +313,23 @@ def changepoint_forecast(spark, sf):
     return forecast_rounded(fc.changepoint_forecast(part_training(spark, sf), fx.ITEM))
 
 
+def _fitted(settings) -> Query:
+    """The changepoint model over the direct training rows of every part, to three digits."""
+    def query(spark, sf):
+        training = tr.training_from_sales(fx.part_facts(spark, sf), fx.part_products(spark, sf), settings)
+        return rounded(fc.changepoint_forecast(training, settings), "forecast", digits=3)
+    return query
+
+
+def changepoint_methods(spark, sf):
+    """What the changepoint forecast shares with the plain one: rows, methods, dates, intermittent values."""
+    rows = fc.changepoint_forecast(part_training(spark, sf), fx.ITEM)
+    croston = F.col("forecast_method") == fc.CROSTON
+    return forecast_rounded(rows).select(
+        "product_id", "age_sales_category", "style", "forecast_method", "date",
+        F.when(croston, F.col("forecast")).alias("intermittent"))
+
+
 def horizon(spark, sf):
     products = user_training(spark, sf).select("product_id").distinct()
     return fc.horizon(products, fx.USER).select("product_id", "date")
@@ -386,6 +422,13 @@ def accuracy_category(spark, sf):
                                     thresholds=(-40, 40))
 
 
+def accuracy_by_category(spark, sf):
+    """Every part day by category, each with the accepted range of the category or the default one."""
+    rows = lc.add_lifecycle(_part_rows(spark, sf), fx.ITEM)
+    scored = ev.add_bias_and_error(rows.withColumn("forecast", F.round(F.col("recent_sales_units") / 14.0, 3)))
+    return ev.accuracy_by_category(scored, "bias", thresholds=CATEGORY_RANGES)
+
+
 def accuracy_excluding(spark, sf):
     """Every part day outside the slowest and the strongest categories, against its recent average."""
     rows = lc.add_lifecycle(_part_rows(spark, sf), fx.ITEM).where(
@@ -395,16 +438,18 @@ def accuracy_excluding(spark, sf):
 
 
 def business_daily(spark, sf):
-    return rounded(rounded(ev.business_daily(_validation(spark, sf)), "bias", digits=4), "forecast")
+    daily = ev.business_daily(fx.user_features(spark, sf), latest_run_per_date(spark, sf))
+    return rounded(rounded(daily, "bias", digits=4), "forecast")
 
 
 def business_window(spark, sf):
-    return rounded(ev.business_window(_validation(spark, sf), EVALUATION_FIRST, EVALUATION_LAST),
-                   "total_forecast", "difference", "difference_pct", digits=4)
+    window = ev.business_window(fx.user_features(spark, sf), latest_run_per_date(spark, sf),
+                                EVALUATION_FIRST, EVALUATION_LAST)
+    return rounded(window, "total_forecast", "difference", "difference_pct", digits=4)
 
 
 def products_by_age_pivot(spark, sf):
-    return ev.products_by_age(_validation(spark, sf))
+    return ev.products_by_age(fx.user_features(spark, sf), latest_run_per_date(spark, sf))
 
 
 def category_performance(spark, sf):
@@ -423,6 +468,45 @@ def style_series(spark, sf):
         "product_id", "style", "date", "sales_units", "forecast", "bias_bin", "error_bin")
 
 
+def worst_in_category(spark, sf):
+    scored = rounded(_evaluation(spark, sf), "forecast", "bias", "error").where(F.col("sales_category") == CATEGORY)
+    return ev.worst_products(scored).select("product_id", "style", "sales_units", "forecast", "error")
+
+
+def run_style_series(spark, sf):
+    """One style's rows of one stored run."""
+    run = run_store.read_run(spark, _stored_runs(spark, sf), 3)
+    return ev.style_series(run, STYLE).select("product_id", "style", "date", "forecast", "run_id")
+
+
+# The two jobs, written and read back
+
+def _job_inputs(spark, sf) -> list[tb.Table]:
+    tables = {"sales": fx.user_sales(spark, sf), "products": fx.user_products(spark, sf),
+              "calendar": fx.calendar_effects(spark, sf, "events", "ts")}
+    places = [shared_path(spark, name) for name in tables]
+    for df, place in zip(tables.values(), places):
+        df.write.parquet(place)
+    return [tb.Table(place) for place in places]
+
+
+def daily_job(spark, sf):
+    features, runs = shared_path(spark, "features"), shared_path(spark, "runs")
+    run_id = daily.run(spark, *_job_inputs(spark, sf), features, runs, fx.USER, fx.LABELS, fc.TREND_WEEKDAY)
+    return forecast_rounded(run_store.read_run(spark, runs, run_id))
+
+
+def scorecard_job(spark, sf):
+    features, out = shared_path(spark, "features"), shared_path(spark, "scorecard")
+    feature_store.write_features(fx.user_features(spark, sf), features)
+    card = scorecard.write_scorecard(spark, features, _stored_runs(spark, sf), out, EVALUATION_FIRST, EVALUATION_LAST)
+    business = spark.read.parquet(f"{out}/business_daily")
+    ages = spark.read.parquet(f"{out}/products_by_age")
+    joined = business.join(ages, "date").join(
+        card.validation.groupBy("date").agg(F.count(F.lit(1)).alias("validation_rows")), "date")
+    return rounded(rounded(joined, "bias", digits=4), "forecast")
+
+
 def product_card(spark, sf):
     return ev.product_card(fx.part_products(spark, sf), STYLE)
 
@@ -447,6 +531,7 @@ QUERIES: dict[str, Query] = {
     "recent_sales_units": recent_sales_units,
     "cumulative_sales": cumulative_sales,
     "dense_panel": dense_panel,
+    "dense_catalogue": dense_catalogue,
     "density_check": density_check,
     # calendar
     "calendar_days": calendar_days,
@@ -478,6 +563,11 @@ QUERIES: dict[str, Query] = {
     "croston_forecast": croston_forecast,
     "trend_weekday_forecast": trend_weekday_forecast,
     "trend_weekday_events": trend_weekday_events,
+    "trend_weekday_gap": trend_weekday_gap,
+    "trend_weekday_sparse": trend_weekday_sparse,
+    "changepoint_line": _fitted(fx.LINE),
+    "changepoint_one_bend": _fitted(fx.BEND),
+    "changepoint_methods": changepoint_methods,
     "changepoint_forecast": changepoint_forecast,
     "horizon": horizon,
     "regressor_carry": regressor_carry,
@@ -497,11 +587,17 @@ QUERIES: dict[str, Query] = {
     "accuracy_error": accuracy_error,
     "accuracy_category": accuracy_category,
     "accuracy_excluding": accuracy_excluding,
+    "accuracy_by_category": accuracy_by_category,
     "business_daily": business_daily,
     "business_window": business_window,
     "products_by_age_pivot": products_by_age_pivot,
     "category_performance": category_performance,
     "worst_products": worst_products,
+    "worst_in_category": worst_in_category,
     "style_series": style_series,
+    "run_style_series": run_style_series,
     "product_card": product_card,
+    # jobs
+    "daily_job": daily_job,
+    "scorecard_job": scorecard_job,
 }

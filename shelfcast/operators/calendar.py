@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions.categories import effect_day_label
 
-# A flag table of at most this many days is sent to every executor: 200,000 rows is over 500 years
-# of days, and at forty 0/1 columns about 40 MB.
-BROADCAST_DAYS = 200_000
+# Flag names become columns and pivot branches, so a calendar with more of them is an error in its ranges.
+MOST_LABELS = 500
 
 
 def _dated(effects: DataFrame) -> DataFrame:
@@ -41,7 +40,9 @@ def label_effect_days(days: DataFrame) -> DataFrame:
 
 def distinct_labels(labelled: DataFrame) -> list[str]:
     """Flag names present, sorted.  Runs a job over the calendar table; pin the list to avoid it."""
-    rows = labelled.select("calendar_effect_day").distinct().orderBy("calendar_effect_day").collect()
+    rows = labelled.select("calendar_effect_day").distinct().orderBy("calendar_effect_day").limit(MOST_LABELS + 1).collect()
+    if len(rows) > MOST_LABELS:
+        raise ValueError(f"more than {MOST_LABELS} calendar flags; is a range too long?")
     return [row.calendar_effect_day for row in rows]
 
 
@@ -60,24 +61,15 @@ def flags_by_date(sales: DataFrame, flags: DataFrame) -> DataFrame:
 
 def missing_dates(sales: DataFrame, flags: DataFrame, sample: int | None = None) -> DataFrame:
     """Dates sold on that the flag table lacks; ``sample`` keeps a few for a log line."""
-    missing = sales.select("date").where(F.col("date").isNotNull()).subtract(flags.select("date"))
+    missing = sales.select("date").where(F.col("date").isNotNull()).distinct().subtract(flags.select("date"))
     return missing.limit(sample) if sample else missing
 
 
-def calendar_span(effects: DataFrame) -> int:
-    """An upper bound on flag-table rows: days summed over all ranges.  Runs a small job."""
-    return _dated(effects).agg(F.coalesce(F.sum(F.greatest(
-        F.datediff("end_date", "start_date") + 1, F.lit(0))), F.lit(0))).first()[0]
-
-
-def join_flags(sales: DataFrame, flags: DataFrame, flag_rows: int | None = None) -> DataFrame:
+def join_flags(sales: DataFrame, flags: DataFrame) -> DataFrame:
     """Sales with the flags of their date, zero where there are none.
 
-    ``flag_rows`` is a known upper bound on the flag table.  Within ``BROADCAST_DAYS`` the table is
-    broadcast and sales are not shuffled.  Otherwise no hint is given: Spark measures the flag side and,
-    if it must shuffle by date, splits the heavy dates of the sales side as skewed partitions.
+    No hint is given: Spark measures the flag table and broadcasts it while it is small.  Beyond that it shuffles
+    by date and splits the heavy dates of the sales side as skewed partitions.
     """
     names = [name for name in flags.columns if name != "date"]
-    if flag_rows is not None and flag_rows <= BROADCAST_DAYS:
-        flags = F.broadcast(flags)
     return sales.join(flags, "date", "left").fillna(0, subset=names)

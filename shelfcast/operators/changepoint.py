@@ -7,13 +7,18 @@ the same form, not the same estimates.
 
 from __future__ import annotations
 
+import sys
 from dataclasses import dataclass
 from datetime import date
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+# The solver travels to the workers by value, so they need not be able to import this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 EPOCH = date(1970, 1, 1)
 HISTORY_SHARE = 0.8  # changepoints lie in the first part of the rows
 FOURIER_ORDER = 3
@@ -90,7 +95,12 @@ class RegressorDays:
     columns: dict[str, list[int]]
 
     def of(self, category: str, days: np.ndarray) -> np.ndarray:
-        return self.values[days - self.first][:, self.columns.get(category, [])]
+        """Flags of the days; zeros for days outside the table."""
+        place = days - self.first
+        known = (place >= 0) & (place < len(self.values))
+        found = self.values[np.where(known, place, 0)] * known[:, None] if len(self.values) else np.zeros(
+            (len(days), self.values.shape[1]))
+        return found[:, self.columns.get(category, [])]
 
 
 def changepoint_values(start: date, horizon_days: int, regressors: RegressorDays | None = None):

@@ -9,8 +9,10 @@ from shelfcast.functions.accuracy import percent
 from shelfcast.operators.lifecycle import ALL_ROWS, product_rows
 from shelfcast.settings import Settings
 
+# Column names.
 HISTORY_COLUMNS = ("product_id", "date", "sales_units", "age_category", "sales_category",
                    "age_sales_category", "style")
+# Column names.
 SNAPSHOT_COLUMNS = ("age_sales_category", "sales_category", "age_category", "style")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -16,6 +16,7 @@ from shelfcast.functions.categories import AGE_CATEGORIES
 # order rows arrive in, and a retried task must not move a product across a bin edge.
 SUM_DIGITS = 9
 
+# Column names of the evaluation table.
 EVALUATION_KEYS = ("product_id", "style", "age_sales_category", "age_category", "sales_category",
                    "forecast_method")
 
@@ -135,29 +136,70 @@ def accuracy_distribution(scored: DataFrame, method: str = "bias", target: str =
         (F.col("position") - accuracy.ZERO_POSITION).alias("bin_numeric_pos")).orderBy(key)
 
 
-def business_daily(validation: DataFrame) -> DataFrame:
-    """Units and forecast per date, with bias where both exist and units are positive."""
-    daily = validation.groupBy("date").agg(F.sum("sales_units").alias("sales_units"),
-                                           F.sum("forecast").alias("forecast"))
+def accuracy_by_category(scored: DataFrame, method: str = "bias", target: str = "sales_units",
+                         thresholds: Mapping[str, tuple[float, float]] | None = None,
+                         include_partial_bins: bool = False) -> DataFrame:
+    """``accuracy_distribution`` for every sales category at once, each with its own accepted range.
+
+    ``thresholds`` gives ranges by category; a category without one has the default.  Units are grouped by
+    category and bin in one pass, so what follows has 22 rows for each category.
+    """
+    if method not in accuracy.BIN_EDGES:
+        raise ValueError("method must be 'bias' or 'error'")
+    key, spark = f"{method}_bin", scored.sparkSession
+    units = scored.where(F.col("sales_category").isNotNull()).groupBy("sales_category", key).agg(
+        F.sum(target).alias("units_in_bin"))
+    grid = units.select("sales_category").distinct().join(_bins(spark, method))
+    low, high = (F.lit(bound) for bound in good_range(method, None))
+    for category, own in (thresholds or {}).items():
+        own_low, own_high = good_range(method, own)
+        here = F.col("sales_category") == category
+        low, high = F.when(here, own_low).otherwise(low), F.when(here, own_high).otherwise(high)
+    start, end = F.col("bin_start"), F.col("bin_end")
+    good = ((start <= high) & (end >= low)) if include_partial_bins else ((start >= low) & (end <= high))
+    table = grid.join(units, ["sales_category", key], "left").withColumns({
+        "units_in_bin": F.coalesce(F.col("units_in_bin"), F.lit(0)), "is_good": good})
+    whole = Window.partitionBy("sales_category")
+    total = F.sum("units_in_bin").over(whole)
+    good_units = F.sum(F.when(F.col("is_good"), F.col("units_in_bin")).otherwise(0)).over(whole)
+    divisor = F.when(total == 0, 1).otherwise(total)
+    return table.select(
+        "sales_category", key, "units_in_bin", "bin_start", "bin_end", "is_good",
+        percent(F.col("units_in_bin"), divisor).alias("percentage_of_target"),
+        F.when(total > 0, percent(good_units, divisor)).otherwise(0.0).alias("good_percent"),
+        (F.col("position") - accuracy.ZERO_POSITION).alias("bin_numeric_pos")).orderBy("sales_category", key)
+
+
+def business_daily(features: DataFrame, forecast: DataFrame) -> DataFrame:
+    """Units and forecast per date, with bias where both exist and units are positive.
+
+    Each side is summed per date before the two meet, so no product is shuffled.
+    """
+    daily = features.groupBy("date").agg(F.sum("sales_units").alias("sales_units")).join(
+        forecast.groupBy("date").agg(F.sum("forecast").alias("forecast")), "date", "full")
     ratio = (F.col("forecast") - F.col("sales_units")) / F.col("sales_units")
     return daily.withColumn("bias", F.when(F.col("sales_units") > 0, ratio)).orderBy("date")
 
 
-def business_window(validation: DataFrame, first: date, last: date) -> DataFrame:
-    """One row over the evaluation dates: units, forecast, difference and percent."""
-    totals = validation.where(F.col("date").between(F.lit(first), F.lit(last))).agg(
-        F.coalesce(F.sum("sales_units"), F.lit(0)).alias("total_sales"),
-        F.coalesce(F.sum("forecast"), F.lit(0.0)).alias("total_forecast"))
+def business_window(features: DataFrame, forecast: DataFrame, first: date, last: date) -> DataFrame:
+    """One row over the evaluation dates: units, forecast, difference and percent.
+
+    The dates bound both sides, so they reach the scan of the stored features.
+    """
+    inside = F.col("date").between(F.lit(first), F.lit(last))
+    totals = features.where(inside).agg(F.coalesce(F.sum("sales_units"), F.lit(0)).alias("total_sales")).join(
+        forecast.where(inside).agg(F.coalesce(F.sum("forecast"), F.lit(0.0)).alias("total_forecast")))
     gap = F.col("total_forecast") - F.col("total_sales")
     return totals.withColumns({"difference": gap, "difference_pct": gap / F.nullif(
         F.col("total_sales"), F.lit(0)) * 100})
 
 
-def products_by_age(validation: DataFrame) -> DataFrame:
-    """Distinct products per date, one column per age category."""
-    counts = validation.groupBy("date").pivot("age_category", list(AGE_CATEGORIES)).agg(
+def products_by_age(features: DataFrame, forecast: DataFrame) -> DataFrame:
+    """Distinct products per date, one column per age category; zeros on dates with forecasts alone."""
+    counts = features.groupBy("date").pivot("age_category", list(AGE_CATEGORIES)).agg(
         F.countDistinct("product_id"))
-    return counts.fillna(0, subset=list(AGE_CATEGORIES))
+    dates = forecast.select("date").distinct()
+    return counts.join(dates, "date", "full").fillna(0, subset=list(AGE_CATEGORIES))
 
 
 def category_performance(scored: DataFrame, count_of: str = "style") -> DataFrame:

@@ -37,13 +37,13 @@ def build_features(sales: DataFrame, products: DataFrame, effects: DataFrame | N
                    settings: Settings, labels: Sequence[str] | None = None) -> DataFrame:
     """Sales with lifecycle columns, style and calendar flags.
 
-    Sizing the calendar runs one small job; without ``labels`` so does naming its flags.
+    No job runs here, unless ``labels`` is missing and the calendar's flags have to be named.
     """
     features = add_style(add_lifecycle(sales_columns(sales), settings), products)
     flags = None if effects is None else calendar_flags(effects, labels)
     if flags is None:
         return features
-    return calendar.join_flags(features, flags, calendar.calendar_span(effects))
+    return calendar.join_flags(features, flags)
 
 
 def feature_totals(features: DataFrame) -> DataFrame:

@@ -28,25 +28,28 @@ FORECAST_COLUMNS = ("product_id", "age_sales_category", "age_category", "sales_c
 
 
 def _add_trend(training: DataFrame) -> DataFrame:
-    """Least-squares line through each product's rows, as its value on each row.
+    """Least-squares line through each product's rows by date, as its value on each row.
 
-    Sums of whole units and row numbers are exact, so the line is the same in any row order.
+    Days are counted from the product's first training row, so gaps in the rows and between the
+    last row and the forecast keep their length.  Sums of whole units and days are exact, so the line is
+    the same in any row order.
     """
     whole = product_rows(training).rowsBetween(*ALL_ROWS)
-    used = F.col("y").isNotNull()
-    t = F.when(used, F.col("t").cast("long"))
+    dated = training.withColumn("first_date", F.min("date").over(whole))
+    day = F.datediff("date", "first_date").cast("long")
+    x = F.when(F.col("y").isNotNull(), day)
     y = F.col("y")
-    sums = training.withColumns({
-        "k": F.count("y").over(whole), "s_t": F.sum(t).over(whole), "s_y": F.sum(y).over(whole),
-        "s_tt": F.sum(t * t).over(whole), "s_ty": F.sum(t * y).over(whole)})
-    spread = F.col("k") * F.col("s_tt") - F.col("s_t") * F.col("s_t")
-    slope = (F.col("k") * F.col("s_ty") - F.col("s_t") * F.col("s_y")).cast("double") / F.nullif(
+    sums = dated.withColumns({
+        "k": F.count("y").over(whole), "s_x": F.sum(x).over(whole), "s_y": F.sum(y).over(whole),
+        "s_xx": F.sum(x * x).over(whole), "s_xy": F.sum(x * y).over(whole)})
+    spread = F.col("k") * F.col("s_xx") - F.col("s_x") * F.col("s_x")
+    slope = (F.col("k") * F.col("s_xy") - F.col("s_x") * F.col("s_y")).cast("double") / F.nullif(
         spread, F.lit(0))
     lined = sums.withColumn("slope", F.coalesce(slope, F.lit(0.0)))
     lined = lined.withColumn(
-        "intercept", (F.col("s_y") - F.col("slope") * F.col("s_t")) / F.nullif(F.col("k"), F.lit(0)))
-    return lined.withColumn("trend", F.col("intercept") + F.col("slope") * F.col("t")).drop(
-        "k", "s_t", "s_y", "s_tt", "s_ty")
+        "intercept", (F.col("s_y") - F.col("slope") * F.col("s_x")) / F.nullif(F.col("k"), F.lit(0)))
+    return lined.withColumn("trend", F.col("intercept") + F.col("slope") * day).drop(
+        "k", "s_x", "s_y", "s_xx", "s_xy")
 
 
 def _keys(settings: Settings) -> list[Column]:
@@ -128,12 +131,12 @@ def _trend_profile(training: DataFrame, settings: Settings) -> DataFrame:
         ratio = F.sum(F.when(on_day, F.col("y"))) / F.sum(F.when(on_day, base))
         seasonal.append(F.when(F.col("n") >= SEASON_ROWS, F.coalesce(ratio, F.lit(1.0))).otherwise(1.0))
     lined = _add_trend(_enough(training, settings))
-    return lined.groupBy(*PRODUCT_COLUMNS, "n", "slope", "intercept").agg(
+    return lined.groupBy(*PRODUCT_COLUMNS, "n", "slope", "intercept", "first_date").agg(
         *_common_aggregates(settings), F.array(*seasonal).alias("season"))
 
 
 def _trend_value() -> Column:
-    line = F.col("intercept") + F.col("slope") * (F.col("n") + F.col("step"))
+    line = F.col("intercept") + F.col("slope") * F.datediff("date", "first_date")
     season = F.element_at("season", F.dayofweek("date"))
     return F.greatest(line * season * F.col("over_forecast_factor"), F.lit(0.0))
 

@@ -27,22 +27,34 @@ def day_range(daily: DataFrame) -> tuple[Column, Column]:
     return (daily.agg(F.min("day")).scalar(), daily.agg(F.max("day")).scalar())
 
 
-def densify(daily: DataFrame, first: date | Column, last: date | Column) -> DataFrame:
+def densify(daily: DataFrame, first: date | Column, last: date | Column,
+            products: DataFrame | None = None) -> DataFrame:
     """One row per product and day from ``first`` to ``last``, missing days with zero units.
 
-    Row windows and look-back by rows are only right on such a panel.  Each stored row is followed by
-    zero rows up to the product's next stored day, so no product-by-date spine is built or joined,
-    and the rows stay partitioned by product.
+    Row windows and look-back by rows are only right on such a panel.  Products are all of ``daily``,
+    those whose rows lie outside the range too, and those of ``products`` (``product_id``), sold or not.
+    Each row in the range is followed by zero rows up to the product's next one, and the product's first row
+    also brings the zero rows before it.  So no product-by-date spine is built or joined, and the rows stay
+    partitioned by product.
     """
     first = F.lit(first) if isinstance(first, date) else first
     last = F.lit(last) if isinstance(last, date) else last
-    by_day = Window.partitionBy("product_id").orderBy("day")
-    gaps = daily.where(F.col("day").between(first, last)).select(
-        "*", F.lag("day").over(by_day).alias("previous"), F.lead("day").over(by_day).alias("next"))
-    starts = F.when(F.col("previous").isNull(), first).otherwise(F.col("day"))
-    ends = F.coalesce(F.date_sub("next", 1), last)
-    filled = gaps.withColumn("calendar_day", F.explode(F.sequence(starts, ends)))
-    sold = F.col("calendar_day") == F.col("day")
+    rows = daily.select("product_id", "day", "units_sold", "sales_amount")
+    if products is not None:
+        rows = rows.unionByName(products.select("product_id").distinct(), allowMissingColumns=True)
+    product = Window.partitionBy("product_id").orderBy(F.col("day").asc_nulls_first())
+    inside = F.col("day").between(first, last)
+    marked = rows.select(
+        "*", F.row_number().over(product).alias("position"), F.lead("day").over(product).alias("next"),
+        F.min(F.when(inside, F.col("day"))).over(
+            product.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("first_inside"))
+    until = F.least(F.coalesce(F.date_sub("next", 1), last), last)
+    none = F.array().cast("array<date>")
+    before = F.when((F.col("position") == 1) & F.coalesce(F.col("first_inside") > first, F.lit(True)),
+                    F.sequence(first, F.coalesce(F.date_sub("first_inside", 1), last))).otherwise(none)
+    own = F.when(inside, F.sequence("day", until)).otherwise(none)
+    filled = marked.withColumn("calendar_day", F.explode(F.concat(before, own)))
+    sold = F.coalesce(F.col("calendar_day") == F.col("day"), F.lit(False))
     return filled.select(
         "product_id", F.col("calendar_day").alias("day"),
         F.when(sold, F.col("units_sold")).otherwise(0).alias("units_sold"),

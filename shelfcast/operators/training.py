@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.functions import categories as labels
 from shelfcast.operators.eligibility import is_non_eligible
-from shelfcast.operators.lifecycle import ALL_ROWS, product_rows
+from shelfcast.operators.lifecycle import ALL_ROWS, product_rows, without_nan
 from shelfcast.operators.features import product_styles
 from shelfcast.settings import LifecycleRule, Settings
 
@@ -20,15 +20,6 @@ PRODUCT_COLUMNS = ("product_id", "on_forecast_age_sales_category", "on_forecast_
                    "on_forecast_sales_category", "style", *RULE_COLUMNS)
 
 
-def lifecycle_table(spark: SparkSession, settings: Settings) -> DataFrame:
-    """The lifecycle rules as rows, one per configured category."""
-    rows = [(name, *(getattr(rule, column) for column in RULE_COLUMNS), list(rule.regressors))
-            for name, rule in settings.lifecycle.items()]
-    return spark.createDataFrame(rows, "on_forecast_age_sales_category string, look_back int, "
-                                       "over_forecast_factor double, changepoints int, "
-                                       "changepoint_prior double, regressors array<string>")
-
-
 def with_rules(products: DataFrame, settings: Settings) -> DataFrame:
     """Add the category's rule columns, or the fallback rule's.
 
@@ -49,15 +40,6 @@ def with_rules(products: DataFrame, settings: Settings) -> DataFrame:
             .withColumns({name: F.col(f"rule.{name}") for name in RULE_COLUMNS}).drop("rule"))
 
 
-def last_days(history: DataFrame, settings: Settings) -> DataFrame:
-    """The days the longest look-back can reach, for a panel with one row per product and day.
-
-    The date bound goes to the scan of the stored features.
-    """
-    first = settings.history_end - timedelta(days=settings.longest_look_back - 1)
-    return history.where(F.col("date") >= F.lit(first))
-
-
 def training_window(qualified: DataFrame, settings: Settings) -> DataFrame:
     """Each product's last ``look_back`` rows before the forecast start.
 
@@ -87,15 +69,19 @@ def training_from_sales(sales: DataFrame, products: DataFrame, settings: Setting
     bucket_from = settings.history_end - timedelta(days=reach - 1)
     recent_from = settings.history_end - timedelta(days=settings.recent_rows - 1)
     end = F.lit(settings.history_end)
-    day, units = F.col("day"), F.col("units_sold")
+    recent_days = min(settings.recent_rows, (settings.history_end - settings.history_start).days + 1)
+    day, units = F.col("day"), without_nan(sales, "units_sold")
     bucket = F.when((day >= F.lit(bucket_from)) & (day <= end), day)
     daily = sales.where(day >= F.lit(settings.history_start)).groupBy("product_id", bucket.alias("bucket")).agg(
         F.sum(units).alias("units"), F.min(F.when(units > 0, day)).alias("sold_on"))
 
     per_product = daily.groupBy("product_id").agg(
         F.min("sold_on").alias("first_sale"),
-        F.coalesce(F.sum(F.when(F.col("bucket") >= F.lit(recent_from), F.col("units"))),
-                   F.lit(0)).alias("recent_sales_units"),
+        # A day without a row has zero units, a day with nulls alone has none: only if all recent days are
+        # such, so is the sum.
+        F.when(F.count_if((F.col("bucket") >= F.lit(recent_from)) & F.col("units").isNull()) < recent_days,
+               F.coalesce(F.sum(F.when(F.col("bucket") >= F.lit(recent_from), F.col("units"))),
+                          F.lit(0))).alias("recent_sales_units"),
         # At most one entry per day of the look-back.
         F.map_from_entries(F.collect_list(F.when(
             F.col("bucket").isNotNull(), F.struct("bucket", "units")))).alias("units_by_day"))
@@ -119,4 +105,6 @@ def training_from_sales(sales: DataFrame, products: DataFrame, settings: Setting
                            F.posexplode(F.sequence(F.date_sub(end, n - 1), end)).alias("t", "date"))
     return spread.select(
         *PRODUCT_COLUMNS, "date",
-        F.coalesce(F.try_element_at("units_by_day", F.col("date")), F.lit(0)).alias("y"), "t", "n")
+        # A stored null is not a missing day.
+        F.when(F.map_contains_key("units_by_day", F.col("date")),
+               F.try_element_at("units_by_day", F.col("date"))).otherwise(0).alias("y"), "t", "n")

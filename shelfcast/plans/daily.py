@@ -15,10 +15,10 @@ from shelfcast.operators import forecast as fc
 from shelfcast.operators.eligibility import history_cut, qualified_history
 from shelfcast.operators.features import build_features, calendar_flags
 from shelfcast.operators.panel import daily_sales
-from shelfcast.operators.training import last_days, training_window
+from shelfcast.operators.training import training_window
 from shelfcast.settings import Settings
 from shelfcast.sources.feature_store import read_features, write_features
-from shelfcast.sources.run_store import stored_next_run_id, write_run
+from shelfcast.sources.run_store import claim_run_id, write_run
 from shelfcast.sources.tables import Table, load_inputs
 
 TREND_MODELS = (fc.TREND_WEEKDAY, fc.CHANGEPOINT)
@@ -28,8 +28,6 @@ def forecast_demand(features: DataFrame, settings: Settings, trend_model: str =
                     regressors: DataFrame | None = None) -> DataFrame:
     """Features to forecast rows: eligibility, training window, method choice, horizon."""
     history = history_cut(features, settings)
-    if settings.dense_panel:
-        history = last_days(history, settings)
     qualified = qualified_history(history, settings)
     training = training_window(qualified, settings)
     if trend_model == fc.TREND_WEEKDAY:
@@ -39,9 +37,11 @@ def forecast_demand(features: DataFrame, settings: Settings, trend_model: str =
 
 def run(spark: SparkSession, sales: Table, products: Table, calendar: Table, features_path: str,
         runs_path: str, settings: Settings, labels: Sequence[str] | None = None,
-        trend_model: str = fc.CHANGEPOINT) -> int:
+        trend_model: str = fc.CHANGEPOINT, run_id: int | None = None) -> int:
     """Run everything and return the run number.
 
+    A new job claims its number; a resubmitted one passes the number that it had and replaces its rows.
+
     Sales are first brought to one row per product and day.  Where they are so already nothing changes;
     where one product has many rows a day, no later task sees more than its days.
 
@@ -56,7 +56,8 @@ def run(spark: SparkSession, sales: Table, products: Table, calendar: Table, fea
     if settings.use_regressors:
         flags = calendar_flags(effects, labels)
         regressors = None if flags is None else fc.known_regressors(flags, settings)
-    run_id = stored_next_run_id(spark, runs_path)
+    if run_id is None:
+        run_id = claim_run_id(spark, runs_path)
     write_run(forecast_demand(read_features(spark, features_path), settings, trend_model, regressors),
               runs_path, run_id)
     return run_id
@@ -71,17 +72,17 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--history-start", required=True)
     parser.add_argument("--history-end", required=True)
     parser.add_argument("--format", default="parquet", help="format of the input tables")
+    parser.add_argument("--run-id", type=int, help="number of an earlier attempt of this run")
     parser.add_argument("--trend-model", choices=TREND_MODELS, default=fc.CHANGEPOINT)
     parser.add_argument("--use-regressors", action="store_true",
                         help="let the changepoint model see the calendar")
-    parser.add_argument("--dense", action="store_true",
-                        help="sales have one row per product and day")
     args = parser.parse_args(argv)
     settings = Settings(history_start=args.history_start, history_end=args.history_end,
-                        use_regressors=args.use_regressors, dense_panel=args.dense)
+                        use_regressors=args.use_regressors)
     spark = build_session("shelfcast daily forecast")
     tables = [Table(path, args.format) for path in (args.sales, args.products, args.calendar)]
-    print(run(spark, *tables, args.features, args.runs, settings, trend_model=args.trend_model))
+    print(run(spark, *tables, args.features, args.runs, settings, trend_model=args.trend_model,
+              run_id=args.run_id))
 
 
 if __name__ == "__main__":

@@ -12,19 +12,22 @@ from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructField, StructType
 
 from shelfcast.operators import evaluation as ev
 from shelfcast.operators.runs import latest_run_per_date
 from shelfcast.sources.feature_store import read_features
-from shelfcast.sources.run_store import read_runs
+from shelfcast.sources.run_store import RUN_SCHEMA, read_runs
 
 
 @dataclass(frozen=True)
 class Scorecard:
-    """Named views, all lazy.  Write ``evaluation`` and ``validation`` first if many views are wanted."""
+    """Named views, all lazy.  Write ``evaluation`` first if many views are wanted."""
 
     evaluation: DataFrame
     validation: DataFrame
+    features: DataFrame
+    forecast: DataFrame
     first: date
     last: date
 
@@ -32,16 +35,16 @@ class Scorecard:
     def build(cls, features: DataFrame, runs: DataFrame, first: date, last: date) -> "Scorecard":
         latest = latest_run_per_date(runs)
         return cls(ev.evaluation_table(latest, features), ev.validation_table(features, latest),
-                   first, last)
+                   features, latest, first, last)
 
     def business_daily(self) -> DataFrame:
-        return ev.business_daily(self.validation)
+        return ev.business_daily(self.features, self.forecast)
 
     def business_window(self) -> DataFrame:
-        return ev.business_window(self.validation, self.first, self.last)
+        return ev.business_window(self.features, self.forecast, self.first, self.last)
 
     def products_by_age(self) -> DataFrame:
-        return ev.products_by_age(self.validation)
+        return ev.products_by_age(self.features, self.forecast)
 
     def distribution(self, *group_by: str) -> DataFrame:
         return ev.attribute_distribution(self.evaluation, group_by or ("sales_category",))
@@ -67,16 +70,23 @@ def write_scorecard(spark: SparkSession, features_path: str, runs_path: str, out
                     first: date, last: date) -> Scorecard:
     """Write every view below ``out`` as Parquet and return the card over the written tables.
 
-    The two wide tables are written first and read back, so the views share them without a cache and
-    a lost executor does not bring their joins back.
+    The winning forecasts and the evaluation are written first and read back, so the views share them without
+    a cache and a lost executor does not bring their joins back.  The validation table keeps the columns that
+    its views read.
     """
     def stored(name: str, df: DataFrame) -> DataFrame:
         df.write.mode("overwrite").parquet(f"{out}/{name}")
         return spark.read.parquet(f"{out}/{name}")
 
-    lazy = Scorecard.build(read_features(spark, features_path), read_runs(spark, runs_path), first, last)
-    card = Scorecard(stored("evaluation", lazy.evaluation), stored("validation", lazy.validation),
-                     first, last)
+    features = read_features(spark, features_path)
+    # The columns are known, so no footers are merged; only the type of the product's key is the tables' own.
+    schema = StructType([StructField(f.name, features.schema["product_id"].dataType) if f.name == "product_id" else f
+                         for f in RUN_SCHEMA])
+    latest = stored("forecast", latest_run_per_date(read_runs(spark, runs_path, schema)))
+    narrow = features.select("product_id", "date", "style", "sales_units", "age_category", "sales_category",
+                             "age_sales_category")
+    card = Scorecard(stored("evaluation", ev.evaluation_table(latest, features)),
+                     stored("validation", ev.validation_table(narrow, latest)), features, latest, first, last)
     for name, view in (("business_daily", card.business_daily()),
                        ("business_window", card.business_window()),
                        ("products_by_age", card.products_by_age()),

@@ -75,9 +75,6 @@ class Settings:
     fallback: LifecycleRule = FALLBACK_RULE
     strict_draft: bool = False
     """Label every day before the first sale Draft, not just the last one."""
-    dense_panel: bool = False
-    """Every product has exactly one row per day.  Look-back rows are then look-back days, so a forecast
-    reads only those days of the features."""
     use_regressors: bool = False
     """Let the changepoint model see each category's calendar flags, past and future."""
 
@@ -90,6 +87,8 @@ class Settings:
             raise ValueError("history_start must be before history_end")
         if self.forecast_start is None:
             object.__setattr__(self, "forecast_start", self.history_end + timedelta(days=1))
+        if self.forecast_start <= self.history_end:
+            raise ValueError("forecast_start must be after history_end, the last training day")
         if self.horizon_days < 1 or self.min_observations < 1 or self.recent_rows < 1:
             raise ValueError("horizon_days, min_observations and recent_rows must be positive")
         if not 0.0 <= self.zero_ratio_threshold <= 1.0:

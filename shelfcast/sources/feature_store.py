@@ -2,16 +2,34 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
 def write_features(features: DataFrame, path: str) -> None:
     """Replace the stored features.  Runs a job; every task writes its own files.
 
+    The new copy is written beside the old one, which goes only when the new one is complete; a job that
+    fails leaves the old copy as it was.
+
     Readers ask for dates: the evaluation window, the look-back.  Each task therefore writes its
     products in date order, a local sort, so that a date filter skips most row groups.
     """
-    features.sortWithinPartitions("date", "product_id").write.mode("overwrite").parquet(path)
+    path = path.rstrip("/")
+    mark = uuid.uuid4().hex
+    fresh, old = f"{path}-new-{mark}", f"{path}-old-{mark}"
+    features.sortWithinPartitions("date", "product_id").write.parquet(fresh)
+    context = features.sparkSession.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path
+    files = place(path).getFileSystem(context._jsc.hadoopConfiguration())
+    replaced = files.exists(place(path))
+    if replaced and not files.rename(place(path), place(old)):
+        raise OSError(f"cannot set {path} aside; the new features are in {fresh}")
+    if not files.rename(place(fresh), place(path)):
+        raise OSError(f"cannot put {fresh} in place; the old features are in {old}")
+    if replaced:
+        files.delete(place(old), True)
 
 
 def read_features(spark: SparkSession, path: str) -> DataFrame:

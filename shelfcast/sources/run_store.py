@@ -91,3 +91,18 @@ def stored_next_run_id(spark: SparkSession, path: str) -> int:
     """The number the next run should take.  Runs a job that reads run folders, not columns."""
     runs = _open(spark, path, RUN_SCHEMA)
     return next_run_id(_no_runs(spark) if runs is None else runs).first()["next_run_id"]
+
+
+def claim_run_id(spark: SparkSession, path: str) -> int:
+    """A number for a new run that no other job has or will get.
+
+    The claim is an empty file that only one job can create; files below ``_claims`` are not read as rows.
+    """
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_claims")
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(folder)
+    number = stored_next_run_id(spark, path)
+    while not files.createNewFile(jvm.org.apache.hadoop.fs.Path(folder, f"run-{number}")):
+        number += 1
+    return number

@@ -5,6 +5,7 @@ from shelfcast.operators import features as ft
 from shelfcast.operators import lifecycle as lc
 from shelfcast.settings import Settings
 from tests.helpers import day, products, sales, values
+import pytest
 from pyspark.sql import functions as F
 
 SCHEMA = ("calendar_effect string, calendar_effect_desc string, calendar_effect_type string, "
@@ -50,14 +51,14 @@ def test_flags_cover_every_sales_date(spark):
     assert set(values(cal.missing_dates(rows, flags), "date")) == {
         day(i) for i in range(16) if i not in (8, 9, 10, 11, 12)}
     assert cal.missing_dates(rows, flags, 5).count() == 5
-    assert cal.calendar_span(_effects(spark)) == 3 + 3 + 1
 
 
-def test_features_are_the_same_with_and_without_broadcast(spark):
-    rows = lc.sales_columns(sales(spark, {"a": [1] * 16}))
-    flags = cal.pivot_flags(_labelled(spark), cal.distinct_labels(_labelled(spark)))
-    small, large = cal.join_flags(rows, flags, 10), cal.join_flags(rows, flags, cal.BROADCAST_DAYS + 1)
-    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.collect()))
+def test_too_many_flags_are_an_error(spark):
+    years = spark.createDataFrame([("EID_FITR", "", "EID_FITR", day(0), day(0), day(900))],
+                                  "calendar_effect string, calendar_effect_desc string, calendar_effect_type "
+                                  "string, date date, start_date date, end_date date")
+    with pytest.raises(ValueError):
+        cal.distinct_labels(cal.label_effect_days(cal.effect_days(years)))
 
 
 def test_features_without_calendar_or_with_an_unknown_product(spark):

@@ -26,17 +26,30 @@ def test_bias_and_error_edges(spark):
                                        "14| +10 +15", "12| 0 +5"]
 
 
-@pytest.mark.parametrize("method, step", [("bias", 10), ("error", 5)])
-def test_every_bin_edge(spark, method, step):
+# The bins of both metrics, in order.
+LABELS = {
+    "bias": ["01| < -100", "02| -100 -90", "03| -90 -80", "04| -80 -70", "05| -70 -60", "06| -60 -50", "07| -50 -40",
+             "08| -40 -30", "09| -30 -20", "10| -20 -10", "11| -10 0", "12| 0 +10", "13| +10 +20", "14| +20 +30",
+             "15| +30 +40", "16| +40 +50", "17| +50 +60", "18| +60 +70", "19| +70 +80", "20| +80 +90", "21| +90 +100",
+             "22| > +100"],
+    "error": ["01| < -50", "02| -50 -45", "03| -45 -40", "04| -40 -35", "05| -35 -30", "06| -30 -25", "07| -25 -20",
+              "08| -20 -15", "09| -15 -10", "10| -10 -5", "11| -5 0", "12| 0 +5", "13| +5 +10", "14| +10 +15",
+              "15| +15 +20", "16| +20 +25", "17| +25 +30", "18| +30 +35", "19| +35 +40", "20| +40 +45", "21| +45 +50",
+              "22| > +50"],
+}
+
+
+@pytest.mark.parametrize("method, first, step", [("bias", -100, 10), ("error", -50, 5)])
+def test_every_bin_edge(spark, method, first, step):
     table = bin_table(method)
-    assert len(table) == 22 and table[0][1] == -math.inf and table[-1][2] == math.inf
+    assert [label for label, _, _ in table] == LABELS[method]
+    assert table[0][1] == -math.inf and table[-1][2] == math.inf
+    assert [start for _, start, _ in table[1:]] == [first + step * i for i in range(21)]
     assert all(end == start for (_, _, end), (_, start, _) in zip(table, table[1:]))
-    # Just below, at, and just above each edge, with an actual of 100 so that both metrics are exact.
-    edges = [start for _, start, _ in table[1:]]
-    rows = [(100, 100.0 + edge + shift) for edge in edges for shift in (-0.5, 0.5)]
-    got = values(_scored(spark, rows), f"{method}_bin")
-    want = [label for i in range(1, 22) for label in (table[i - 1][0], table[i][0])]
-    assert got == want
+    # Just below and just above each edge, with an actual of 100 so that both metrics are exact.
+    rows = [(100, 100.0 + first + step * i + shift) for i in range(21) for shift in (-0.5, 0.5)]
+    assert values(_scored(spark, rows), f"{method}_bin") == [
+        label for i in range(21) for label in LABELS[method][i:i + 2]]
 
 
 def test_drop_unmatched(spark):
@@ -90,11 +103,11 @@ def test_business_views_on_a_forecast_only_day(spark):
     table = ev.validation_table(features, forecast)
     assert set(values(table, "product_id", "date", "style")) == {
         ("a", day(0), "STa"), ("a", day(1), "STa"), ("b", day(0), "STb")}
-    assert values(ev.business_daily(table), "date", "sales_units", "forecast", "bias") == [
+    assert values(ev.business_daily(features, forecast), "date", "sales_units", "forecast", "bias") == [
         (day(0), 4, 5.0, 0.25), (day(1), None, 3.0, None)]
-    assert tuple(ev.business_window(table, day(0), day(1)).first()) == (4, 8.0, 4.0, 100.0)
-    assert ev.business_window(table, day(1), day(1)).first().difference_pct is None
-    by_age = {r.date: r for r in ev.products_by_age(table).collect()}
+    assert tuple(ev.business_window(features, forecast, day(0), day(1)).first()) == (4, 8.0, 4.0, 100.0)
+    assert ev.business_window(features, forecast, day(1), day(1)).first().difference_pct is None
+    by_age = {r.date: r for r in ev.products_by_age(features, forecast).collect()}
     assert by_age[day(0)]["04| Mature"] == 1 and by_age[day(1)]["04| Mature"] == 0
     # A product without a forecast goes to the last bins of the full table.
     lone = table.where("product_id = 'b'").first()
@@ -104,3 +117,21 @@ def test_business_views_on_a_forecast_only_day(spark):
 def test_category_performance(spark):
     low = _evaluation(spark).where("sales_category = '02| Very Low'")
     assert tuple(ev.category_performance(low).first()) == (2, 40, 41.0, 1.0)
+
+
+def test_accuracy_by_category_equals_one_category_at_a_time(spark):
+    ranges = {"02| Very Low": (5, 5), "03| Low": (0, 300)}
+    for method in ("bias", "error"):
+        for partial in (False, True):
+            got = {}
+            for row in ev.accuracy_by_category(_evaluation(spark), method, thresholds=ranges, include_partial_bins=partial).collect():
+                got.setdefault(row.sales_category, []).append(tuple(row)[1:])
+            for category, own in ranges.items():
+                one = ev.accuracy_distribution(_evaluation(spark), method, sales_category=category, thresholds=own,
+                                               include_partial_bins=partial)
+                assert got[category] == [tuple(row) for row in one.collect()]
+    plain = ev.accuracy_by_category(_evaluation(spark), "bias").where("sales_category = '02| Very Low'").collect()
+    assert [tuple(r)[1:] for r in plain] == [
+        tuple(r) for r in ev.accuracy_distribution(_evaluation(spark), "bias", sales_category="02| Very Low").collect()]
+    with pytest.raises(ValueError):
+        ev.accuracy_by_category(_evaluation(spark), "other")

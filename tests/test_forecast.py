@@ -8,7 +8,7 @@ from shelfcast.operators import eligibility as el
 from shelfcast.operators import forecast as fc
 from shelfcast.operators import panel
 from shelfcast.operators import training as tr
-from shelfcast.operators.changepoint import EPOCH, fit_block
+from shelfcast.operators.changepoint import EPOCH, RegressorDays, fit_block
 from shelfcast.operators.features import build_features
 from shelfcast.plans.daily import forecast_demand
 from shelfcast.settings import Settings
@@ -26,20 +26,6 @@ def _training(spark, series, settings=SETTINGS):
     return tr.training_window(el.qualified_history(history, settings), settings)
 
 
-def _croston_by_steps(y):
-    """The method written out: collect each interval, then divide the means."""
-    intervals, last = [], 0
-    for i in range(1, len(y)):
-        if y[i] > 0:
-            intervals.append(i - last)
-            last = i
-    positive = [v for v in y if v > 0]
-    if not intervals:
-        return 0.0
-    interval = len(y) if len(positive) == 1 else sum(intervals) / len(intervals)
-    return sum(positive) / len(positive) / interval * 0.8
-
-
 def _training_rows(spark, series, factor=1.0):
     rows = [(name, "c", "a", "s", "ST", 60, factor, 1, 0.05, day(i), y, i, len(ys))
             for name, ys in series.items() for i, y in enumerate(ys)]
@@ -58,14 +44,23 @@ def test_croston_branches(spark):
     assert got == pytest.approx({"zero": 0, "first": 0, "one": 4 / 3 * 0.8, "two": 3 / 3 * 0.8})
 
 
-def test_croston_against_steps_on_random_series(spark):
-    rng = random.Random(7)
-    series = {f"p{i}": [rng.choice([0, 0, 0, rng.randint(1, 9)]) for _ in range(rng.randint(8, 60))]
-              for i in range(300)}
-    out = fc.croston_forecast(_training_rows(spark, series, 1.3), SETTINGS)
+# Worked by hand: mean demand / mean interval * 0.8 * 1.3.  Intervals end at demand rows after the first row.
+CROSTON_CASES = {
+    "every_row": ([4] * 8, 4 / 1 * 0.8 * 1.3),
+    "every_other": ([0, 6] * 5, 6 / (9 / 5) * 0.8 * 1.3),
+    "from_the_first": ([3, 0, 0, 5, 0, 0, 0, 7], 5 / 3.5 * 0.8 * 1.3),
+    "uneven": ([0, 0, 2, 0, 4, 0, 0, 0, 0, 9], 5 / 3 * 0.8 * 1.3),
+    "one_late": ([0] * 9 + [8], 8 / 10 * 0.8 * 1.3),
+    "first_row_only": ([8] + [0] * 9, 0.0),
+    "first_and_last": ([1] + [0] * 8 + [3], 2 / 9 * 0.8 * 1.3),
+}
+
+
+def test_croston_against_series_worked_by_hand(spark):
+    out = fc.croston_forecast(_training_rows(spark, {k: y for k, (y, _) in CROSTON_CASES.items()}, 1.3), SETTINGS)
     got = {p: f for p, f in values(out, "product_id", "forecast")}
-    assert got == pytest.approx({p: _croston_by_steps(y) * 1.3 for p, y in series.items()})
-    assert out.count() == 300 * 14
+    assert got == pytest.approx({k: value for k, (_, value) in CROSTON_CASES.items()})
+    assert out.count() == len(CROSTON_CASES) * 14
 
 
 def test_zero_ratio_counts_null_rows_in_the_denominator(spark):
@@ -113,7 +108,6 @@ def test_unknown_category_takes_the_fallback_rule(spark):
     got = values(tr.with_rules(df, SETTINGS), "look_back", "over_forecast_factor", "changepoints",
                  "changepoint_prior")
     assert got == [(60, 1.1, 25, 0.05), (30, 1.3, 3, 0.05)]
-    assert tr.lifecycle_table(spark, SETTINGS).count() == 9
 
 
 def test_trend_recovers_a_line_and_a_weekly_season(spark):
@@ -177,16 +171,73 @@ def test_forecast_demand_has_fourteen_days_per_product(spark):
     assert empty.count() == 0 and empty.columns == list(fc.FORECAST_COLUMNS)
 
 
-def test_a_dense_panel_needs_only_its_last_days(spark):
-    rng = random.Random(5)
-    series = {f"p{i}": [rng.choice([0, 0, rng.randint(1, 20)]) for _ in range(90)] for i in range(40)}
-    plain = Settings(history_start=day(0), history_end=day(85))
-    dense = Settings(history_start=day(0), history_end=day(85), dense_panel=True)
-    features = _features(spark, series, plain)
-    assert features.where("age_category = '04| Mature'").count() > 0
-    for model in ("trend_weekday", "changepoint"):
-        assert sorted(map(str, forecast_demand(features, dense, model).collect())) == sorted(
-            map(str, forecast_demand(features, plain, model).collect()))
+def _both_trainings(spark, facts, settings):
+    """Training rows by the dense path and straight from the facts."""
+    table = spark.createDataFrame(facts, "product_id string, day date, units_sold double, sales_amount double")
+    known = products(spark, *{f[0] for f in facts})
+    dense = panel.densify(panel.daily_sales(table), settings.history_start, settings.history_end)
+    history = el.history_cut(build_features(dense, known, None, settings), settings)
+    expected = tr.training_window(el.qualified_history(history, settings), settings)
+    direct = tr.training_from_sales(table, known, settings).select(*expected.columns)
+    return (sorted(map(str, df.withColumn("y", F.col("y").cast("double")).collect())) for df in (expected, direct))
+
+
+@pytest.mark.parametrize("odd", [None, float("nan")])
+def test_direct_training_keeps_stored_nulls_and_drops_nan(spark, odd):
+    settings = Settings(history_start=day(0), history_end=day(29))
+    facts = [("a", day(i), odd if i in (3, 20, 27) else float(1 + i % 4), 1.0) for i in range(30)]
+    facts += [("b", day(i), 5.0, 1.0) for i in range(0, 30, 2)] + [("b", day(4), odd, 1.0), ("b", day(5), odd, 1.0)]
+    # Only nulls among the recent days.
+    facts += [("c", day(i), 2.0 if i < 16 else odd, 1.0) for i in range(30)]
+    expected, direct = _both_trainings(spark, facts, settings)
+    assert expected == direct and any("y=None" in row for row in direct)
+    forecast = fc.forecast(tr.training_from_sales(
+        spark.createDataFrame(facts, "product_id string, day date, units_sold double, sales_amount double"),
+        products(spark, "a", "b", "c"), settings), settings)
+    assert forecast.where("isnan(forecast)").count() == 0 and forecast.count() > 0
+
+
+def test_the_trend_goes_by_dates(spark):
+    line = {"a": [10 + i for i in range(30)]}
+    late = Settings(history_start=day(0), history_end=day(29), forecast_start=day(37))
+    for method in (fc.trend_weekday_forecast, fc.changepoint_forecast):
+        got = values(method(_training_rows(spark, line).withColumn("changepoints", F.lit(0)), late).orderBy("date"), "forecast")
+        assert got == pytest.approx([47 + i for i in range(14)], rel=1e-3)
+    # Every third day: the slope is per day and not per row.
+    sparse = _training_rows(spark, {"a": [10 + 3 * i for i in range(10)]}).withColumn(
+        "date", F.date_add(F.lit(day(0)), 3 * F.col("t")))
+    settings = Settings(history_start=day(0), history_end=day(27))
+    got = values(fc.trend_weekday_forecast(sparse.withColumn("n", F.lit(10)), settings).orderBy("date"), "forecast")
+    assert got == pytest.approx([38 + i for i in range(14)])
+
+
+def test_a_forecast_cannot_start_within_the_history():
+    for start in (day(15), day(3)):
+        with pytest.raises(ValueError):
+            Settings(history_start=day(0), history_end=day(15), forecast_start=start)
+
+
+def test_regressor_days_outside_their_table_are_zero():
+    table = RegressorDays(100, np.arange(1, 6, dtype=float)[:, None], {"c": [0]})
+    assert table.of("c", np.array([98, 99, 100, 104, 105]))[:, 0].tolist() == [0, 0, 1, 5, 0]
+
+
+def test_the_solver_needs_no_package_on_the_workers():
+    import pickle
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from shelfcast.operators import changepoint
+
+    blob = cloudpickle.dumps(changepoint.fit_block)
+    code = ("import pickle, sys, numpy as np; f = pickle.loads(bytes.fromhex(sys.stdin.read())); "
+            "print(f(np.arange(8.0)[None] + 1, np.arange(8), 0, 0.1, np.array([8]))[0, 0].round(3))")
+    out = subprocess.run([sys.executable, "-I", "-c", code], input=blob.hex(), capture_output=True, text=True, cwd="/",
+                         timeout=120)
+    assert out.stdout.strip() == "9.0", out.stderr
+    assert pickle.loads(blob) is not None
 
 
 def test_fit_block_follows_a_bend_and_a_week():

@@ -79,7 +79,13 @@ def test_densify_fills_every_day_once(spark):
     dense = panel.densify(sparse, day(0), day(6))
     assert values(dense.where("product_id = 'a'").orderBy("day"), "units_sold") == [0, 0, 5, 0, 7, 0, 0]
     assert values(dense.where("product_id = 'b'").orderBy("day"), "units_sold") == [1] + [0] * 6
-    assert dense.count() == 14  # nothing of c lies in the range
+    # Nothing of c lies in the range, but it is a product all the same.
+    assert values(dense.where("product_id = 'c'").orderBy("day"), "units_sold") == [0] * 7
+    assert dense.count() == 21
+    catalogue = spark.createDataFrame([("a",), ("never",), ("never",)], "product_id string")
+    wide = panel.densify(sparse, day(0), day(6), products=catalogue)
+    assert wide.count() == 28 and values(wide.where("product_id = 'never'"), "units_sold") == [0] * 7
+    assert sorted(map(str, wide.where("product_id <> 'never'").collect())) == sorted(map(str, dense.collect()))
     assert panel.density_check(dense).count() == 0
     assert values(panel.density_check(sparse), "product_id", "day_rows", "calendar_days") == [("a", 2, 3)]
 

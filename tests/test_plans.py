@@ -17,6 +17,7 @@ from shelfcast.operators import lifecycle as lc
 from shelfcast.operators import panel
 from shelfcast.operators import runs as rn
 from shelfcast.operators import training as tr
+from shelfcast.operators.features import build_features
 from shelfcast.settings import Settings
 from tests.helpers import day, products, sales, values
 
@@ -87,12 +88,41 @@ def test_products_meet_sales_on_the_partitioning_they_have(spark, sf_dir):
     assert _count(df, "Exchange") == 3  # daily sums, sales by product, products
 
 
-def test_calendar_is_broadcast_within_its_bound_only(spark, stored):
+def test_the_calendar_carries_no_hint(spark, stored):
     rows = lc.sales_columns(stored)
     flags = spark.createDataFrame([(day(1), 1)], "date date, EID_FITR_DAY_0 int")
-    assert "BroadcastHashJoin" in _plan(cal.join_flags(rows, flags, cal.BROADCAST_DAYS))
-    for size in (cal.BROADCAST_DAYS + 1, None):
-        assert "Broadcast" not in _plan(cal.join_flags(rows, flags, size))
+    assert "Broadcast" not in _plan(cal.join_flags(rows, flags))
+
+
+def test_building_features_runs_no_job(spark, sf_dir):
+    inputs = (fx.part_sales(spark, sf_dir), fx.part_products(spark, sf_dir), fx.calendar_effects(spark, sf_dir))
+    tracker, group = spark.sparkContext.statusTracker(), "features"
+    spark.sparkContext.setJobGroup(group, group)
+    build_features(*inputs, fx.ITEM, fx.LABELS)
+    assert list(tracker.getJobIdsForGroup(group)) == []
+
+
+def test_parts_are_summed_by_day_before_they_meet_their_brand(spark, sf_dir):
+    plan = _plan(fx.brand_sales(spark, sf_dir))
+    join = re.search(r"(SortMergeJoin|ShuffledHashJoin)", plan)
+    assert join and "partial_sum" in plan[join.end():]
+
+
+def test_business_views_shuffle_dates_alone(stored):
+    features = stored.select("product_id", F.col("day").alias("date"), F.col("units_sold").alias("sales_units"),
+                             F.lit("04| Mature").alias("age_category"))
+    forecast = stored.select("product_id", F.col("day").alias("date"), F.col("sales_amount").alias("forecast"))
+    assert "hashpartitioning(product_id" not in _plan(ev.business_daily(features, forecast))
+    scans = [line for line in _plan(ev.business_window(features, forecast, day(3), day(5))).splitlines() if "FileScan" in line]
+    assert len(scans) == 2 and all("GreaterThanOrEqual(day" in scan and "LessThanOrEqual(day" in scan for scan in scans)
+    assert "product_id" not in scans[0]
+
+
+def test_missing_dates_are_distinct_before_the_join(spark, stored):
+    flags = spark.createDataFrame([(day(1), 1)], "date date, EID_FITR_DAY_0 int")
+    plan = _plan(cal.missing_dates(lc.sales_columns(stored), flags))
+    join = re.search(r"LeftAnti", plan)
+    assert join and "HashAggregate(keys=[date" in plan[join.end():]
 
 
 def test_latest_run_does_not_shuffle_forecasts(spark, tmp_path):

@@ -1,3 +1,4 @@
+from concurrent.futures import ThreadPoolExecutor
 from types import SimpleNamespace
 
 import pytest
@@ -9,6 +10,7 @@ from shelfcast.plans.scorecard import Scorecard, write_scorecard
 from shelfcast.session import shared_path
 from shelfcast.settings import Settings
 from shelfcast.sources import run_store, tables
+from shelfcast.sources.feature_store import read_features, write_features
 from tests.helpers import day, products, sales, values
 
 
@@ -49,6 +51,26 @@ def test_latest_run_is_chosen_per_date(spark):
     assert values(rn.next_run_id(old.limit(0)), "next_run_id") == [1]
 
 
+def test_two_jobs_never_claim_one_number(spark):
+    path = shared_path(spark, "runs")
+    with ThreadPoolExecutor(8) as pool:
+        claimed = list(pool.map(lambda _: run_store.claim_run_id(spark, path), range(8)))
+    assert sorted(claimed) == list(range(1, 9))
+    run_store.write_run(_run(spark, [("a", day(0), 1.0)]), path, 3)
+    assert run_store.read_runs(spark, path).count() == 1 and run_store.claim_run_id(spark, path) == 9
+
+
+def test_a_failed_job_leaves_the_old_features(spark):
+    path = shared_path(spark, "features")
+    write_features(_run(spark, [("a", day(0), 1.0)]), path)
+    broken = _run(spark, [("b", day(1), 2.0)]).withColumn("forecast", F.raise_error(F.lit("broken")).cast("double"))
+    with pytest.raises(Exception, match="broken"):
+        write_features(broken, path)
+    assert values(read_features(spark, path), "product_id") == ["a"]
+    write_features(_run(spark, [("c", day(2), 3.0)]), path)
+    assert values(read_features(spark, path), "product_id") == ["c"]
+
+
 def test_scan_filters(spark):
     df = spark.createDataFrame([(i, "x" if i % 2 else "y") for i in range(10)], "n int, kind string")
     got = tables.scan(df, {"n_gte": 3, "n_lte": 8, "kind_eq": "x"}, order_by="n", descending=True)
@@ -75,7 +97,7 @@ def test_daily_job_and_scorecard(spark):
         assert run(spark, *inputs, f"{root}/features", f"{root}/runs", settings) == expected
     seeing = Settings(history_start=day(0), history_end=day(15), use_regressors=True)
     assert run(spark, *inputs, f"{root}/features", f"{root}/other-runs", seeing) == 1
-    features = spark.read.parquet(f"{root}/features")
+    features = read_features(spark, f"{root}/features")
     assert "EID_FITR_DAY_MINUS_1" in features.columns
     card = Scorecard.build(features, run_store.read_runs(spark, f"{root}/runs"), day(16), day(29))
     assert set(values(card.evaluation, "product_id", "sales_units")) == {("a", 28), ("b", 21)}
