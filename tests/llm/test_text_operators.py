@@ -263,3 +263,27 @@ def test_pipeline_stage_by_stage(spark, sf_dir):
             assert all((i in kept) == (not any(b in r.text for b in benchmark)) for i, r in rows.items())
     assert outputs[0].count() == 200
     assert corpus_pipeline.run(spark, sf_dir).agg(F.sum("n_tokens")).first() == outputs[-1].agg(F.sum("n_tokens")).first()
+
+
+def test_pipeline_stages_with_awkward_rows(spark, sf_dir):
+    import corpus_pipeline
+    from shelfcast.llm.graph import stored
+
+    given = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60).selectExpr(
+        "doc_id + 1000 AS doc_id", "text", "lang", "source", "n_chars")
+    odd = spark.createDataFrame([(i, t, None, None, None) for i, t in ROWS], given.schema)
+    extra = {name: F.lit(name) for name in ("chunk", "keep", "pack", "rows", "key", "leak", "doc", "kept_text", "ids")}
+    docs = given.union(odd).withColumns(extra).repartition(4)
+    before = docs.count()
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs, columns = stored(stage(spark, docs, sf_dir), name), docs.columns
+        assert docs.columns == columns and 0 < docs.count() <= before
+        assert {r.keep for r in docs.select("keep").distinct().collect()} == {"keep"}
+        before = docs.count()
+        if name == "language_id":
+            assert docs.where("text IS NULL OR trim(text) = ''").count() == 0
+    last = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir)
+    assert last.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and last.count() == before
+    empty = docs.limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, sf_dir).count() == 0, name
