@@ -449,13 +449,10 @@ _fragment("evaluation", ("latest", "user_sales"), f"""evaluation_sums AS (
   SELECT {_KEYS}, CAST(sum(u.sales_units) AS BIGINT) AS sales_units, round(sum(forecast), 9) AS forecast
   FROM latest JOIN user_sales u USING (product_id, date) GROUP BY ALL),
 evaluation AS ({_scored('evaluation_sums')})""")
-_fragment("validation", ("latest", "user_life"), f"""validation_rows AS (
+_fragment("validation", ("latest", "user_features"), f"""validation_rows AS (
   SELECT coalesce(u.product_id, f.product_id) AS product_id, coalesce(u.date, f.date) AS date,
-         u.sales_units, u.sales_amount, u.day_in_stock, u.recent_sales_units, u.cumulative_sales,
-         u.age_category, u.sales_category, u.summarized_sales_category, u.age_sales_category,
-         CASE WHEN u.product_id IS NOT NULL THEN 'ST' || u.product_id END AS style,
-         f.forecast_method, f.forecast
-  FROM user_life u FULL JOIN latest f ON u.product_id = f.product_id AND u.date = f.date),
+         u.* EXCLUDE (product_id, date), f.forecast_method, f.forecast
+  FROM user_features u FULL JOIN latest f ON u.product_id = f.product_id AND u.date = f.date),
 validation_filled AS (
   SELECT * REPLACE (last_value(style IGNORE NULLS) OVER (PARTITION BY product_id ORDER BY date) AS style)
   FROM validation_rows),

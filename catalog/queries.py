@@ -361,9 +361,8 @@ def _evaluation(spark, sf):
                                EVALUATION_FIRST, EVALUATION_LAST)
 
 
-def _validation(spark, sf):
-    return ev.validation_table(fx.user_features(spark, sf).drop("SALARY_PERIOD"),
-                               latest_run_per_date(spark, sf))
+def _validation(spark, sf, flags: bool = False):
+    return ev.validation_table(fx.user_features(spark, sf, flags=flags), latest_run_per_date(spark, sf))
 
 
 def _scores_rounded(df: DataFrame, *others: str) -> DataFrame:
@@ -376,7 +375,7 @@ def evaluation_table(spark, sf):
 
 
 def validation_table(spark, sf):
-    return _scores_rounded(_validation(spark, sf))
+    return _scores_rounded(_validation(spark, sf, flags=True))
 
 
 def _scored_days(spark, sf):
