@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -32,6 +35,14 @@ def build_session(app_name: str = "shelfcast", master: str | None = None, **extr
     return builder.getOrCreate()
 
 
+@cache
+def _local_root() -> str:
+    """One temporary folder for the process, removed when it ends."""
+    root = tempfile.mkdtemp(prefix="shelfcast-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path for a written table, below the folder named in ``spark.checkpoint.dir``.
 
@@ -41,5 +52,5 @@ def shared_path(spark: SparkSession, name: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="shelfcast-")
+        root = _local_root()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
