@@ -19,9 +19,9 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm.words import Rolling, mix, slices, text_bytes
+from shelfcast.llm.words import Rolling, mix, slices, text_bytes, trim
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 PACK_SCHEMA = "chunk int, pack binary"
 _shipped: set[str] = set()
 
@@ -108,6 +108,7 @@ def pack(table: pa.Table) -> bytes:
 
 def unpack(packs) -> pa.Table | None:
     """The rows of some packs, by key and then text, or None if there is no pack."""
+    trim()
     tables = [pa.ipc.open_stream(zstandard.decompress(p)).read_all() for p in packs]
     if not tables:
         return None

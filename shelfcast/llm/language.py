@@ -85,7 +85,7 @@ def _count(languages: tuple[str, ...]):
         for batch in batches:
             data, offsets = text_bytes(batch["text"])
             code = np.array([number.get(c, -1) for c in batch["code"].to_pylist()])
-            for low, high in slices(offsets, 4 << 20):
+            for low, high in slices(offsets):
                 part = offsets[low:high + 1]
                 slots, ends = trigrams(data[part[0]:part[-1]], part - part[0])
                 own = np.repeat(code[low:high], np.diff(ends))
@@ -118,7 +118,7 @@ def text_models(texts: DataFrame, languages: tuple[str, ...]) -> np.ndarray:
 def text_scores(data: np.ndarray, offsets: np.ndarray, ratios: np.ndarray) -> np.ndarray:
     """One row for each text: tempered log-likelihood ratio of each language against ``und``; all NaN without letters."""
     out = np.full((len(offsets) - 1, len(ratios)), np.nan)
-    for low, high in slices(offsets, 2 << 20):
+    for low, high in slices(offsets):
         part = offsets[low:high + 1]
         slots, ends = trigrams(data[part[0]:part[-1]], part - part[0])
         full = np.flatnonzero(np.diff(ends))

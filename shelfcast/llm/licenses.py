@@ -255,7 +255,7 @@ def _scan(shared):
         model, features, names = shared.value, Features(), np.array(list(TEMPLATES))
         for batch in batches:
             data, offsets = text_bytes(batch["text"])
-            for begin, end in slices(offsets, 4 << 20):
+            for begin, end in slices(offsets, 2 << 20):
                 part = offsets[begin:end + 1]
                 found = units(data[part[0]:part[-1]], part - part[0])
                 unit, feature = features.occurrences(found)

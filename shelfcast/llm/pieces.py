@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.llm.chunks import ship
 from shelfcast.llm.segments import SegmentCache
-from shelfcast.llm.words import STEP, slices, text_bytes
+from shelfcast.llm.words import slices, text_bytes
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
@@ -257,7 +257,7 @@ def _round_trip(path: str):
         own = encoder(path)
         for batch in batches:
             data, offsets = text_bytes(batch["text"])
-            for low, high in slices(offsets, 2 * STEP):
+            for low, high in slices(offsets):
                 part = offsets[low:high + 1]
                 ids, ends = own.encode(data[part[0]:part[-1]], part - part[0])
                 raw = ids.astype("<u4").tobytes()

@@ -8,7 +8,7 @@ import numpy as np
 
 from shelfcast.llm.words import _BYTES, _OVER_BYTES, STEP, mix
 
-MOST_KEPT = 1 << 21
+MOST_KEPT = 1 << 19
 """A worker forgets its encoded segments beyond so many; this bounds memory, not results."""
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -10,6 +11,10 @@ import pyarrow as pa
 
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 """The bytes between words, everywhere in this folder: [\\x20\\x09-\\x0D]."""
+try:
+    _LIBC = ctypes.CDLL("libc.so.6")
+except OSError:
+    _LIBC = None
 STEP = 1 << 20
 """Bytes that are hashed at a time, so that 8-byte work arrays stay small however long a text is."""
 _U = np.uint64
@@ -61,6 +66,13 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+def trim() -> None:
+    """Give memory that was freed back to the machine; a Python worker lives on between tasks."""
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
+
+
 def separators(chars: bytes = SPACES) -> np.ndarray:
     table = np.zeros(256, dtype=bool)
     table[list(chars)] = True
@@ -171,9 +183,10 @@ def shingle_sets(words: Words, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
     return value, np.searchsorted(own, np.arange(len(words.first)))
 
 
-def slices(offsets: np.ndarray, most: int = 8 * STEP) -> Iterator[tuple[int, int]]:
+def slices(offsets: np.ndarray, most: int = STEP) -> Iterator[tuple[int, int]]:
     """Runs of documents of at most ``most`` bytes together, or one longer document."""
     i, n = 0, len(offsets) - 1
+    trim()
     while i < n:
         j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + most, side="right")) - 1)
         yield i, j
