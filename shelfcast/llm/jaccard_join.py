@@ -102,6 +102,12 @@ def _sets(texts) -> tuple[np.ndarray, np.ndarray]:
     return shingle_sets(split_words(LOWER[data], offsets), WIDTH)
 
 
+def _digests(values: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+    """128 bits for each set that do not depend on order: two sums of differently mixed hashes."""
+    sums = [np.concatenate(([np.uint64(0)], np.cumsum(mix(values * np.uint64(m) + np.uint64(1))))) for m in (1, 3)]
+    return [(s[ends[1:]] - s[ends[:-1]]).view(np.int64) for s in sums]
+
+
 def _slots(values: np.ndarray) -> np.ndarray:
     return (mix(values) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
@@ -114,10 +120,7 @@ def _describe(batches):
             table = unpack([packed])
             values, ends = _sets(table["text"])
             counts += np.bincount(_slots(values), minlength=len(counts)).astype(np.uint32)
-            sums = [np.concatenate(([np.uint64(0)], np.cumsum(mix(values * np.uint64(m) + np.uint64(1)))))
-                    for m in (1, 3)]
-            n = len(table)
-            digests = [(s[ends[1:]] - s[ends[:-1]]).view(np.int64) for s in sums]
+            n, digests = len(table), _digests(values, ends)
             keys = row_keys(table["doc_id"], table["text"])
             yield pa.record_batch([
                 pa.array(np.zeros(n, np.int32)), pa.array(np.full(n, chunk, np.int32)), pa.array(keys),
@@ -417,8 +420,9 @@ def _linked(chunks: DataFrame, size: Extent) -> DataFrame:
         rows = stored(chunks.groupBy("chunk").applyInArrow(_described_again, _ROWS), "described").drop("kind", "blob")
     frequency = spark.sparkContext.broadcast(frequency_sketch(described))
     sets = rows.filter("n > 0")
-    classes = sets.groupBy("n", "d1", "d2").agg(F.min(F.struct("key", "chunk")).alias("first"))
-    nodes = stored(classes.select("first.key", "first.chunk"), "nodes")
+    # Stored, so that the join with the members below has an exchange on both sides and a hot class is split there.
+    classes = stored(sets.groupBy("n", "d1", "d2").agg(F.min(F.struct("key", "chunk")).alias("first")), "classes")
+    nodes = classes.select("first.key", "first.chunk")
 
     tokens = chunks.groupBy("chunk").cogroup(nodes.withColumn("label", F.col("key")).groupBy("chunk")) \
         .applyInArrow(_send_tokens(frequency, buckets, shift), _LISTS)
@@ -494,9 +498,7 @@ def _described_again(packs: pa.Table) -> pa.Table:
     table = unpack(packs["pack"].to_pylist())
     keys, same = _node_keys(table)
     values, ends = _sets(table["text"])
-    sums = [np.concatenate(([np.uint64(0)], np.cumsum(mix(values * np.uint64(m) + np.uint64(1))))) for m in (1, 3)]
-    digests = [(s[ends[1:]] - s[ends[:-1]]).view(np.int64) for s in sums]
-    n = len(table)
+    n, digests = len(table), _digests(values, ends)
     return pa.table({"kind": np.zeros(n, np.int32), "chunk": np.full(n, packs["chunk"][0].as_py(), np.int32),
                      "key": keys, "same": same, "doc_id": table["doc_id"], "n": np.diff(ends).astype(np.int32),
                      "d1": digests[0], "d2": digests[1], "blob": pa.nulls(n, pa.binary())})
