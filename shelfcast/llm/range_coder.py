@@ -3,7 +3,7 @@
 A block holds BLOCK ids and is coded on its own: its models start fresh, and its ids carry a checksum.  numpy works on
 one id of every block at a time, so a section of a thousand blocks moves a thousand coders with each operation.
 
-An id is four symbols of four bits, the upper ones first.  Order 0 counts each symbol after the upper symbols of the
+An id is as many symbols of four bits as the caller says it needs (``digits``), the upper ones first.  Order 0 counts each symbol after the upper symbols of the
 same id.  Orders 1 and 2 each predict one whole id, the one last seen after the same one or two ids, with a
 confidence of 0 to 3.  Mixing: while a prediction agrees with the symbols so far, its symbol gets an extra
 count in proportion to how often that order has been right at that confidence in this block.  The mixed counts drive a
@@ -17,7 +17,9 @@ import zlib
 import numpy as np
 
 BLOCK = 4096
-ROWS = 1 + 16 + 256 + 1024
+DIGITS = 4
+ROWS = (1, 1 + 16, 1 + 16 + 256, 1 + 16 + 256 + 1024)
+"""Rows of order-0 counts, by the number of digits."""
 CONTEXTS = 1 << 12
 INCREMENT = 24
 LIMIT = 1 << 13
@@ -34,16 +36,18 @@ _TRIANGLE = np.triu(np.ones((16, 16), dtype=np.float32))
 class _Lanes:
     """Models and coder states of some blocks."""
 
-    def __init__(self, n: int):
-        self.n = n
+    def __init__(self, n: int, digits: int):
+        self.n, self.digits = n, digits
+        rows = ROWS[digits - 1]
         # Single-precision numbers hold these counts exactly, and a product with a triangle sums them.
-        self.counts = np.ones((n * ROWS, 16), dtype=np.float32)
-        self.total = np.full(n * ROWS, 16, dtype=np.float32)
-        self.guess = np.zeros((2, n * CONTEXTS), dtype=np.uint16)
-        self.faith = np.zeros((2, n * CONTEXTS), dtype=np.uint8)
-        self.right = np.ones((2, n * 4), dtype=np.float32)
-        self.wrong = np.full((2, n * 4), 2, dtype=np.float32)
-        self.row0, self.context0 = np.arange(n) * ROWS, np.arange(n) * CONTEXTS
+        self.counts = np.ones((n * rows, 16), dtype=np.float32)
+        self.total = np.full(n * rows, 16, dtype=np.float32)
+        # An id and its confidence of 0 to 3 in the lowest two bits, by order and context.
+        self.guess = np.zeros((2, n * CONTEXTS), dtype=np.int32)
+        # How often an order was right and how often not, by confidence.
+        self.record = np.tile(np.array([1, 2], dtype=np.float32), (2, n * 4))
+        self.row0, self.context0 = np.arange(n) * rows, np.arange(n) * CONTEXTS
+        self.record0, self.every = np.arange(n) * 8, np.arange(n) * 16
         self.low = np.zeros(n, dtype=np.uint64)
         self.span = np.full(n, WIDTH, dtype=np.uint64)
         self.last, self.before = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
@@ -51,21 +55,21 @@ class _Lanes:
     def shrink(self, n: int) -> None:
         """Go on with the first ``n`` blocks."""
         self.n = n
-        for name in ("row0", "context0", "low", "span", "last", "before"):
+        for name in ("row0", "context0", "record0", "every", "low", "span", "last", "before"):
             setattr(self, name, getattr(self, name)[:n])
 
     def code_id(self, symbol_of, renormalise) -> np.ndarray:
         """Code one id of every block.  ``symbol_of`` gives the symbols (encoder) or finds them (decoder)."""
-        places = (self.context0 + ((self.last * 0x9E3B + 1) >> 3) % CONTEXTS,
-                  self.context0 + ((self.last * 0x85EB + self.before * 0x1F35 + 7) >> 2) % CONTEXTS)
-        guesses = [self.guess[k][places[k]].astype(np.int64) for k in (0, 1)]
-        faiths = [self.faith[k][places[k]].astype(np.int64) for k in (0, 1)]
-        cells = [np.arange(self.n) * 4 + faith for faith in faiths]
-        odds = [np.where(faiths[k] > 0, self.right[k][cells[k]] / self.wrong[k][cells[k]], np.float32(0)) for k in (0, 1)]
+        places = (self.context0 + ((self.last * 0x9E3B + 1) >> 3 & CONTEXTS - 1),
+                  self.context0 + ((self.last * 0x85EB + self.before * 0x1F35 + 7) >> 2 & CONTEXTS - 1))
+        held = [self.guess[k].take(places[k]) for k in (0, 1)]
+        guesses, faiths = [h >> 2 for h in held], [h & 3 for h in held]
+        cells = [self.record0 + 2 * faith for faith in faiths]
+        odds = [self.record[k].take(cells[k]) / self.record[k].take(cells[k] + 1) for k in (0, 1)]
         prefix = np.zeros(self.n, dtype=np.int64)
-        every = np.arange(self.n) * 16
-        live = [np.flatnonzero(odds[k] > 0) for k in (0, 1)]
-        for step in range(4):
+        every = self.every
+        live = [np.flatnonzero(faiths[k]) for k in (0, 1)]
+        for step in range(self.digits):
             row = self.row0 + (0, 1, 17, 273)[step] + (prefix if step < 3 else prefix & 1023)
             counts = self.counts.take(row, axis=0)
             base = self.total.take(row)
@@ -73,10 +77,10 @@ class _Lanes:
             for k in (0, 1):
                 at = live[k]
                 if step:
-                    at = live[k] = at[guesses[k][at] >> (16 - 4 * step) == prefix[at]]
+                    at = live[k] = at[guesses[k][at] >> 4 * (self.digits - step) == prefix[at]]
                 if len(at):
                     extra = np.minimum(base[at] * odds[k][at] * np.float32(4 ** step), MOST_EXTRA)
-                    flat[every[at] + (guesses[k][at] >> (12 - 4 * step) & 15)] += np.floor(extra)
+                    flat[every[at] + (guesses[k][at] >> 4 * (self.digits - 1 - step) & 15)] += np.floor(extra)
             sums = counts @ _TRIANGLE
             part = self.span // sums[:, 15].astype(np.uint64)
             symbol = symbol_of(step, sums, part)
@@ -93,15 +97,13 @@ class _Lanes:
                 halved = np.ceil(self.counts[full] / 2)
                 self.counts[full], self.total[full] = halved, halved.sum(axis=1)
             prefix = prefix << 4 | symbol
+        fresh = (prefix << 2 | 1).astype(np.int32)
         for k in (0, 1):
-            hit = guesses[k] == prefix
-            trusted = faiths[k] > 0
-            self.right[k][cells[k][hit & trusted]] += 1
-            self.wrong[k][cells[k][~hit & trusted]] += 1
-            faith = np.where(hit & trusted, np.minimum(faiths[k] + 1, 3), faiths[k] - 1)
-            replace = ~(hit & trusted) & (faith <= 0)
-            self.guess[k][places[k][replace]] = prefix[replace]
-            self.faith[k][places[k]] = np.where(replace, 1, faith)
+            missed = (guesses[k] != prefix) | (faiths[k] == 0)
+            # The record of confidence 0 is never read: nothing is predicted there.
+            self.record[k][cells[k] + missed] += 1
+            self.guess[k][places[k]] = np.where(missed, np.where(faiths[k] <= 1, fresh, held[k] - 1),
+                                                held[k] + (faiths[k] < 3))
         self.before, self.last = self.last, prefix
         return prefix
 
@@ -130,21 +132,21 @@ def _block_sizes(n: int, block: int) -> np.ndarray:
     return sizes
 
 
-def encode(ids: np.ndarray, block: int = BLOCK) -> list[bytes]:
-    """One coded block for every ``block`` ids below 65,536: checksum, then 16-bit words."""
+def encode(ids: np.ndarray, block: int = BLOCK, digits: int = DIGITS) -> list[bytes]:
+    """One coded block for every ``block`` ids of at most ``digits`` digits: checksum, then 16-bit words."""
     out = []
     per_run = MOST_LANES * block
     for begin in range(0, len(ids), per_run):
-        out += _encode_lanes(np.ascontiguousarray(ids[begin:begin + per_run]), block)
+        out += _encode_lanes(np.ascontiguousarray(ids[begin:begin + per_run]), block, digits)
     return out
 
 
-def _encode_lanes(ids: np.ndarray, block: int) -> list[bytes]:
+def _encode_lanes(ids: np.ndarray, block: int, digits: int) -> list[bytes]:
     sizes = _block_sizes(len(ids), block)
     padded = np.zeros(len(sizes) * block, dtype=np.int64)
     padded[:len(ids)] = ids
     columns = np.ascontiguousarray(padded.reshape(len(sizes), block).T)
-    lanes = _Lanes(len(sizes))
+    lanes = _Lanes(len(sizes), digits)
     words = np.zeros((len(sizes), block // 2), dtype=np.uint16)
     used = np.zeros(len(sizes), dtype=np.int64)
     lows = np.zeros(len(sizes), dtype=np.uint64)
@@ -168,7 +170,7 @@ def _encode_lanes(ids: np.ndarray, block: int) -> list[bytes]:
             if not lanes.n:
                 break
         now = columns[place, :lanes.n]
-        lanes.code_id(lambda step, sums, part, now=now: now >> (12 - 4 * step) & 15, renormalise)
+        lanes.code_id(lambda step, sums, part, now=now: now >> 4 * (digits - 1 - step) & 15, renormalise)
     lows[:lanes.n] = lanes.low
     every = np.arange(len(sizes))
     for shift in (32, 16, 0):
@@ -179,16 +181,16 @@ def _encode_lanes(ids: np.ndarray, block: int) -> list[bytes]:
             for i, (size, end) in enumerate(zip(sizes.tolist(), ends.tolist()))]
 
 
-def decode(blocks: list[bytes], n: int, block: int = BLOCK) -> np.ndarray:
+def decode(blocks: list[bytes], n: int, block: int = BLOCK, digits: int = DIGITS) -> np.ndarray:
     """The ``n`` ids of successive blocks; raises ValueError where a checksum differs."""
     out = []
     for begin in range(0, len(blocks), MOST_LANES):
         part = blocks[begin:begin + MOST_LANES]
-        out.append(_decode_lanes(part, min(n - begin * block, len(part) * block), block))
+        out.append(_decode_lanes(part, min(n - begin * block, len(part) * block), block, digits))
     return np.concatenate(out) if out else np.zeros(0, dtype=np.int64)
 
 
-def _decode_lanes(blocks: list[bytes], n: int, block: int) -> np.ndarray:
+def _decode_lanes(blocks: list[bytes], n: int, block: int, digits: int) -> np.ndarray:
     sizes = _block_sizes(n, block)
     if len(sizes) != len(blocks):
         raise ValueError(f"{n} ids need {len(sizes)} blocks, not {len(blocks)}")
@@ -205,7 +207,7 @@ def _decode_lanes(blocks: list[bytes], n: int, block: int) -> np.ndarray:
 
     for _ in range(3):
         take(np.arange(len(blocks)))
-    lanes = _Lanes(len(blocks))
+    lanes = _Lanes(len(blocks), digits)
 
     def find(step, sums, part):
         target = ((code[:lanes.n] - lanes.low) & WIDTH) // part

@@ -3,9 +3,11 @@
 Texts are encoded with the tokenizers library.  A text is cut before a space that stands before a printable sign, and around a
 single line end, where the byte-level splitting rule cuts in any case; each different segment is encoded once for each worker.
 
+Within a section ids are coded as their rank by frequency there, so that few digits are left to code.
+
 Files: documents are range-partitioned and sorted by doc_id, and each task writes sections of whole documents, up to
 SECTION_IDS ids or one longer document.  A section is self-contained: magic, block length, number of documents and of ids, the
-table of documents, the lengths of the blocks, and the blocks, each coded and checked on its own (``range_coder``).  Spark writes
+table of documents, the ids by rank, the lengths of the blocks, and the blocks, each coded and checked on its own (``range_coder``).  Spark writes
 the sections as rows (part, number, n_tokens, section) of Parquet files, so a failed task leaves nothing behind and any store
 that Spark reaches will do.  Where a document's ids start follows from the sums by part and by section; only those are in
 a window, never ids or documents.
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 from shelfcast.llm import range_coder
 from shelfcast.llm.chunks import extent, ship, squeeze, unsqueeze
 from shelfcast.llm.segments import SegmentCache
-from shelfcast.llm.words import STEP, slices, text_bytes
+from shelfcast.llm.words import slices, text_bytes
 from shelfcast.session import shared_path
 
 MAGIC = b"TIDS\x01"
@@ -95,14 +97,23 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def _digits(n_used: int) -> int:
+    """Four-bit digits of the largest rank."""
+    return max(1, -(-max(0, n_used - 1).bit_length() // 4))
+
+
 def write_section(doc_ids: list[int | None], counts: np.ndarray, ids: np.ndarray) -> bytes:
     if len(ids) and (ids.min() < 0 or ids.max() > 0xFFFF):
         raise ValueError("an id has more than 16 bits")
+    used, place, times = np.unique(ids, return_inverse=True, return_counts=True)
+    order = np.lexsort((used, -times))
+    rank = np.empty(len(used), dtype=np.int64)
+    rank[order] = np.arange(len(used))
     block = range_coder.block_length(len(ids))
-    blocks = range_coder.encode(ids, block)
+    blocks = range_coder.encode(rank[place], block, _digits(len(used)))
     present = np.packbits([i is not None for i in doc_ids], bitorder="little").tobytes()
     table = b"".join(struct.pack("<I", len(x)) + x for x in (
-        present, squeeze(np.array([i or 0 for i in doc_ids], dtype=np.int64)), squeeze(counts.astype(np.int64)),
+        present, squeeze(used[order].astype(np.uint16)), squeeze(np.array([i or 0 for i in doc_ids], dtype=np.int64)), squeeze(counts.astype(np.int64)),
         squeeze(np.array([len(b) for b in blocks], dtype=np.int64))))
     head = _HEAD.pack(MAGIC, block, len(doc_ids), len(ids), len(table), zlib.crc32(table))
     return head + table + b"".join(blocks)
@@ -115,14 +126,17 @@ def read_section(section: bytes) -> tuple[list[int | None], np.ndarray, np.ndarr
     if magic != MAGIC or zlib.crc32(table) != check:
         raise ValueError("not a section, or a damaged one")
     parts, at = [], 0
-    for _ in range(4):
+    for _ in range(5):
         length, = struct.unpack_from("<I", table, at)
         parts.append(table[at + 4:at + 4 + length])
         at += 4 + length
     present = np.unpackbits(np.frombuffer(parts[0], dtype=np.uint8), count=n_docs, bitorder="little")
-    numbers, counts, lengths = (unsqueeze(p, np.int64) for p in parts[1:])
+    used = unsqueeze(parts[1], np.uint16).astype(np.int64)
+    numbers, counts, lengths = (unsqueeze(p, np.int64) for p in parts[2:])
     ends = _HEAD.size + size + np.concatenate(([0], np.cumsum(lengths)))
-    ids = range_coder.decode([section[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())], n_ids, block)
+    ranks = range_coder.decode([section[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())], n_ids, block,
+                               _digits(len(used)))
+    ids = used[ranks]
     return [i if p else None for i, p in zip(numbers.tolist(), present.tolist())], counts, ids
 
 
@@ -142,7 +156,7 @@ def _write(path: str, end_id: int):
         for batch in batches:
             data, offsets = text_bytes(batch["text"])
             ids_of_batch = batch["doc_id"].to_pylist()
-            for low, high in slices(offsets, 2 * STEP):
+            for low, high in slices(offsets):
                 span = offsets[low:high + 1]
                 ids, ends = own.encode(data[span[0]:span[-1]], span - span[0], end_id)
                 if held and held + len(ids) > SECTION_IDS:
