@@ -254,3 +254,33 @@ def test_language_of_awkward_rows(spark, sf_dir):
     assert rows[None].language == "en" and rows[905].language == "de" and rows[905].doc.language == "mine"
     undeclared = language.identify(table.withColumn("lang", F.lit(None).cast("string")))
     assert {r.language for r in undeclared.collect()} == {"und"}
+
+
+GREEK = "η γλώσσα και ο τόπος της είναι εδώ με τα παλιά της λόγια και τις νέες λέξεις που δεν τις ξέρει κανείς "
+
+
+@pytest.mark.parametrize("size", [64, 2])
+def test_a_language_of_half_a_percent_has_its_own_model(spark, sf_dir, monkeypatch, size):
+    monkeypatch.setattr(language, "ROUND", size)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", "source")
+    rare = [(901, GREEK * 3, "el", "src1"), (902, GREEK[20:], None, None), (903, "zqxj kvwq xzqj wqzx " * 20, "xx", "src2")]
+    table = docs.union(spark.createDataFrame(rare, docs.schema))
+    assert docs.filter("lang = 'el'").count() + 1 <= 0.005 * docs.count()
+    got = {r.doc_id: r for r in language.identify(table).select("doc.doc_id", "language", "keep").collect()}
+    assert [(got[i].language, got[i].keep) for i in (901, 902, 903)] == [("el", True), ("el", True), ("xx", True)]
+    declared = {r.doc_id: r.lang for r in docs.collect()}
+    assert np.mean([declared[i] == got[i].language for i in declared]) > 0.99
+
+
+def test_trigram_counts_do_not_depend_on_how_many_languages_a_task_holds():
+    rng = random.Random(12)
+    codes = [f"l{chr(97 + i)}" for i in range(9)]
+    batch = pa.record_batch([pa.array([prose(rng, 20) for _ in range(60)]), pa.array([rng.choice(codes) for _ in range(60)])],
+                            names=["text", "code"])
+    sums = []
+    for most in (1, 4, 64):
+        total = np.zeros((9, 1 << language.SLOT_BITS), dtype=np.uint64)
+        for out in language._count(tuple(codes), most)([batch, batch]):
+            total[out["language"][0].as_py()] += language.unsqueeze(out["counts"][0].as_py())
+        sums.append(total)
+    assert (sums[0] == sums[2]).all() and (sums[1] == sums[2]).all() and sums[0].sum(axis=1).all()
