@@ -1,7 +1,8 @@
 """Benchmark decontamination: documents that hold a passage of a test item, also with some words replaced.
 
-Method: spaced seeds.  Tokens are lower-cased runs of letters, digits and non-ASCII bytes.  Three fixed masks
-look at 8 of 12 successive tokens and ignore the other 4, so a replaced word spares some seed nearby.  Seeds of
+Method: spaced seeds.  Tokens are lower-cased runs of letters, digits and non-ASCII bytes.  Four fixed masks
+look at 6 of at most 11 successive tokens and ignore the others; they are chosen so that every stretch that is accepted below,
+wherever its replaced words are, has a seed of one of them (tests go through all placements).  Seeds of
 the items and of the documents are joined on their hash; a bit filter of the item seeds, of bounded
 size, keeps documents' seeds that cannot match from being sent.  Where the filter lets seeds through, the tokens
 around them go on as one region.  Joined seeds name a diagonal of region and item, and on it the stretch
@@ -10,7 +11,7 @@ of highest score (1 for an equal token, -2 for another) must have MATCHED equal
 Skew: a passage that a third of all documents hold gives one region for each occurrence and no pairs of
 documents; item tables carry no hint, Spark broadcasts them only if they are measured small.
 
-Defined results.  An item of fewer than 12 tokens is sought whole and unchanged; one of fewer than 5, or null,
+Defined results.  An item of at most MATCHED tokens is sought whole and unchanged; one of fewer than 5, or null,
 matches nothing.  Null and empty texts are clean.  One row for each document row and item, with the best stretch;
 equal rows are reported once.  Rows without doc_id are reported with a null doc_id.  Other columns are ignored.
 """
@@ -26,8 +27,8 @@ from shelfcast.llm.chunks import ship, squeeze, unsqueeze
 from shelfcast.llm.graph import stored
 from shelfcast.llm.words import LOWER, mix, slices, split_words, text_bytes, window_starts
 
-MASKS = ("111010110011", "110110010111", "101100111011")
-SPAN = 12
+MASKS = ("11100100101", "11010111", "10100011011", "1110111")
+SPAN = 11
 SHORTEST = 5
 MATCHED = 10
 IDENTITY = 0.75
@@ -68,7 +69,7 @@ def _item_rows(batches):
         for mask in MASKS:
             starts, h = seeds(hashes, words.first, mask)
             at.append(starts), seed.append(h), item.append(words.owner()[starts])
-        for n in range(SHORTEST, SPAN):
+        for n in range(SHORTEST, MATCHED):
             own = np.flatnonzero(counts == n)
             starts = words.first[own]
             total = np.full(len(own), np.uint64((1 << n) - 1), dtype=np.uint64)
@@ -219,7 +220,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                                     F.col("text").cast("string").alias("text"))
                    .mapInArrow(_item_rows, _ITEMS), "items")
     table, bits = seed_filter(items)
-    short = tuple(sorted(r[0] for r in items.filter(f"n >= {SHORTEST} and n < {SPAN}").select("n").distinct().collect()))
+    short = tuple(sorted(r[0] for r in items.filter(f"n >= {SHORTEST} and n < {MATCHED}").select("n").distinct().collect()))
     shared = spark.sparkContext.broadcast(table)
     regions = stored(docs.alias("docs").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                                  row_digest().alias("key"))

@@ -1,5 +1,6 @@
 """Decontamination, top-k, licences, URL rules, shards and languages."""
 
+import itertools
 import random
 import re
 
@@ -49,6 +50,64 @@ def test_best_stretch():
     assert decontaminate.best_stretch(np.zeros(5, dtype=bool))[2] == 0
 
 
+def spared(equal: np.ndarray) -> np.ndarray:
+    """Rows of equal (1) and replaced (0) tokens in which some mask meets equal tokens alone."""
+    out = np.zeros(len(equal), dtype=bool)
+    for mask in decontaminate.MASKS:
+        used = [j for j, c in enumerate(mask) if c == "1"]
+        for at in range(equal.shape[1] - len(mask) + 1):
+            out |= equal[:, [at + j for j in used]].all(axis=1)
+    return out
+
+
+@pytest.mark.parametrize("n", range(10, 16))
+def test_every_accepted_placement_in_a_short_item_has_a_seed(n):
+    equal = (np.arange(1 << n)[:, None] >> np.arange(n)) & 1 == 1
+    equal = equal[equal.sum(axis=1) >= decontaminate.MATCHED]
+    found = [decontaminate.best_stretch(e) for e in equal]
+    taken = [m >= decontaminate.MATCHED and m >= decontaminate.IDENTITY * (b - a) for a, b, m in found]
+    assert any(taken) and spared(equal[taken]).all()
+
+
+@pytest.mark.parametrize("n", range(12, 29))
+def test_every_accepted_stretch_has_a_seed(n):
+    """A stretch of highest score has no beginning and no end that scores 0 or less, so three equal tokens at both."""
+    for replaced in range(1, min(n // 4, n - decontaminate.MATCHED) + 1):
+        at = np.array(list(itertools.combinations(range(3, n - 3), replaced)))
+        equal = np.ones((len(at), n), dtype=bool)
+        equal[np.arange(len(at))[:, None], at] = False
+        score = np.where(equal, 1, -2)
+        fits = (np.cumsum(score, axis=1) > 0).all(axis=1) & (np.cumsum(score[:, ::-1], axis=1) > 0).all(axis=1)
+        assert spared(equal[fits]).all()
+
+
+def test_longer_stretches_without_a_seed_have_too_many_replaced_words():
+    """The least replaced words that spare no seed, by length; longer stretches fall into parts of 29 to 57 tokens."""
+    span = max(map(len, decontaminate.MASKS))
+    last = np.arange(1 << span)
+    seed = np.any([(last & int(m, 2)) == int(m, 2) for m in decontaminate.MASKS], axis=0)
+    least = np.where(last == 0, 0, 1000)
+    for n in range(1, 58):
+        after = np.full(1 << span, 1000)
+        for equal in (0, 1):
+            np.minimum.at(after, ((last << 1) | equal) & ((1 << span) - 1), least + 1 - equal)
+        least = np.where(seed, 1000, after)
+        assert n < 29 or least.min() > (1 - decontaminate.IDENTITY) * n
+
+
+def test_short_items_with_replaced_words_are_found(spark):
+    rng = random.Random(21)
+    places = {10: (), 11: (10,), 12: (5,), 13: (3, 6, 9), 15: (3, 7, 11), 20: (3, 7, 11, 15), 28: (3, 7, 11, 15, 19, 23)}
+    items = [(n, prose(rng, n, 5000)) for n in places]
+    docs = []
+    for n, passage in items:
+        copy = ["other" if i in places[n] else w for i, w in enumerate(passage.split())]
+        docs.append((100 + n, f"{prose(rng, 40, 5000)} {' '.join(copy)} {prose(rng, 40, 5000)}"))
+    found = decontaminate.contaminated(spark.createDataFrame(docs, ID_TEXT), spark.createDataFrame(items, "item_id long, text string"))
+    assert sorted((r.doc_id, r.item_id, r.matched) for r in found.collect()) == [
+        (100 + n, n, n - len(gone)) for n, gone in places.items()]
+
+
 def test_decontamination_on_the_given_tables(spark, sf_dir):
     got = {(r.doc_id, r.item_id) for r in queries.op1_decontamination(spark, sf_dir).collect()}
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
