@@ -77,6 +77,7 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "This is free and unencumbered software released into the public domain.",
         "This work is dedicated to the public domain under CC0 1.0 Universal."),
     "proprietary": (
+        "All rights reserved.",
         "All rights reserved. No part of this publication may be reproduced without written permission.",
         "Proprietary and confidential. Unauthorized copying of this file is strictly prohibited."),
 }

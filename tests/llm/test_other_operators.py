@@ -284,6 +284,16 @@ def test_licence_lines_of_the_given_table(spark, sf_dir):
     assert got == want
 
 
+def test_all_rights_reserved_is_a_statement_of_the_given_table(spark, sf_dir):
+    got = {(r.doc_id, r.paragraph): (r.family, r.confirmed) for r in queries.op3_license_scan(spark, sf_dir).collect()}
+    signs = {"Apache License": "apache", "MIT License": "mit", "GNU General": "gpl", "CC BY-NC": "cc-by-nc",
+             "All rights reserved.": "proprietary"}
+    want = {(r.doc_id, i): (family, True) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+            for i, line in enumerate(r.text.split("\n")) for sign, family in signs.items() if sign in line}
+    assert "proprietary" in {family for family, _ in want.values()}
+    assert got == want
+
+
 def test_languages_of_the_given_table(spark, sf_dir):
     rows = queries.op8_language_id(spark, sf_dir).collect()
     declared = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
