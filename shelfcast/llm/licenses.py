@@ -7,10 +7,12 @@ SAMPLE_DOCUMENTS of them, which state no licence.  A fifth of both is held out:
 probabilities calibrates them, and the threshold for a family is the least that lets at most FALSE_ALARMS of the
 held-out unknown paragraphs through.  A prediction is confirmed if the paragraph holds CONFIRMED of the word pairs of a template of its family.
 
-A paragraph is a line; a line of more than WINDOW words is scanned in windows of WINDOW words that overlap by half, and the surest
-window speaks for it.  Words are lower-cased runs of letters, digits and non-ASCII bytes.
+A paragraph is a line; a line of more than WINDOW words is scanned in windows of WINDOW words that overlap by half.  A window
+states one family, and the surest window of each family speaks for the paragraph.  A window that cuts a statement off may take
+it for another family: it does not count if a window beside it has all of its word pairs and triples, is surer, and holds more
+of a template.  Words are lower-cased runs of letters, digits and non-ASCII bytes.
 
-Defined results.  One row for each paragraph with a family, none for others, so null, empty and plain texts give no rows.
+Defined results.  One row for each paragraph and family that it states, none for others, so null, empty and plain texts give no rows.
 Repeated rows are reported each, rows without doc_id with a null doc_id.  Other columns are ignored.  Ties go to the family that
 comes first in the list.  An empty table trains on the built-in paragraphs alone and gives no rows.
 """
@@ -251,6 +253,18 @@ def fit(sample: list[str]) -> Model:
     return Model(w.astype(np.float64), float(temperature), min(0.95, max(LEAST_SURE, alarm)))
 
 
+def _fragments(found: Units, touched, unit, feature, family, sure, similar) -> np.ndarray:
+    """Windows that have no feature but those of a surer, more similar window of another family beside them."""
+    out = np.zeros(len(touched), dtype=bool)
+    line = np.stack((found.document[touched], found.paragraph[touched]))
+    near = (np.diff(touched) == 1) & (np.diff(line, axis=1) == 0).all(axis=0) & (np.diff(family) != 0)
+    cut = np.searchsorted(unit, np.arange(len(touched) + 1))
+    for i in np.flatnonzero(near).tolist():
+        weak, strong = (i, i + 1) if sure[i] < sure[i + 1] else (i + 1, i)
+        out[weak] |= similar[weak] < similar[strong] and np.isin(feature[cut[weak]:cut[weak + 1]], feature[cut[strong]:cut[strong + 1]]).all()
+    return out
+
+
 def _scan(shared):
     def scan(batches) -> Iterator[pa.RecordBatch]:
         model, features, names = shared.value, Features(), np.array(list(TEMPLATES))
@@ -270,11 +284,13 @@ def _scan(shared):
                 for template, owner in zip(features.templates, features.family_of):
                     share = np.bincount(unit[np.isin(feature, template)], minlength=len(touched)) / len(template)
                     similar = np.where(family == owner, np.maximum(similar, share), similar)
-                rows = np.flatnonzero(sure >= model.threshold)
+                fits = sure >= model.threshold
+                fits &= ~_fragments(found, touched, unit, feature, family, sure, similar)
+                rows = np.flatnonzero(fits)
                 place = touched[rows]
-                order = np.lexsort((place, -sure[rows], found.paragraph[place], found.document[place]))
+                order = np.lexsort((place, -sure[rows], family[rows], found.paragraph[place], found.document[place]))
                 rows, place = rows[order], place[order]
-                key = np.stack((found.document[place], found.paragraph[place]))
+                key = np.stack((found.document[place], found.paragraph[place], family[rows]))
                 first = np.concatenate(([True], (np.diff(key, axis=1) != 0).any(axis=0))) if len(rows) else np.zeros(0, bool)
                 rows, place = rows[first], place[first]
                 if len(rows):

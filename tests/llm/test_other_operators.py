@@ -276,6 +276,15 @@ def test_licence_scan_of_awkward_rows(spark):
         ("1", 1, "mit", True), ("1", 1, "mit", True), ("2", 0, "apache", True), ("None", 0, "cc-by-nc", True)]
 
 
+def test_a_long_line_gives_a_row_for_each_licence_it_states(spark):
+    mit, apache, gpl = (licenses.TEMPLATES[f][0] for f in ("mit", "apache", "gpl"))
+    rows = [(1, " ".join(["filler"] * 300 + [apache] + ["more"] * 300 + [mit] + ["more"] * 200 + [apache] + ["end"] * 50))]
+    rows += [(100 + n, " ".join(["filler"] * n + [gpl] + ["more"] * 200)) for n in range(80, 121)]
+    got = licenses.scan_licenses(spark.createDataFrame(rows, ID_TEXT)).collect()
+    assert sorted((r.doc_id, r.paragraph, r.family, r.confirmed) for r in got) == [
+        (1, 0, "apache", True), (1, 0, "mit", True), *((100 + n, 0, "gpl", True) for n in range(80, 121))]
+
+
 def test_licence_lines_of_the_given_table(spark, sf_dir):
     got = {(r.doc_id, r.paragraph): r.family for r in queries.op3_license_scan(spark, sf_dir).collect()}
     signs = {"Apache License": "apache", "MIT License": "mit", "GNU General": "gpl", "CC BY-NC": "cc-by-nc"}
