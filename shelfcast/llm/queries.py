@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.llm import (
-    decontaminate, jaccard_join, language, licenses, pieces, sharding, substring_dedup, token_files, top_k, url_filter)
+    decontaminate, hard_negatives, jaccard_join, language, licenses, pieces, resampling, sharding, substring_dedup,
+    token_files, top_k, url_filter)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,6 +66,16 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_components(table(spark, sf_dir, "documents"))
 
 
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), shifted)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_top_k": op2_top_k,
@@ -76,6 +87,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_jaccard_join": op10_jaccard_join,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 _RULES_SQL = ", ".join(
     f"('{rule}', '{rule.split('/')[0]}', '/{rule.split('/', 1)[1]}', '{verdict}')" for verdict, rule in URL_RULES)
@@ -108,4 +121,67 @@ ORACLE: dict[str, str] = {
             FROM parts p LEFT JOIN rules r
               ON ('.' || p.host) LIKE ('%.' || r.host) AND starts_with(p.path, r.path))
         SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fitting WHERE best = 1""",
+    "op12_importance_resampling": """
+        WITH steps AS (
+            SELECT list(list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]), lambda c, z:
+                       CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS step
+            FROM range(256) r(i)),
+        texts AS (
+            SELECT 0 AS part, row_number() OVER () AS row, doc_id, text FROM documents
+            UNION ALL SELECT 1, row_number() OVER (), NULL, text FROM benchmark),
+        cut AS (
+            SELECT part, row, doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts),
+        used AS (
+            SELECT part, row, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f
+            FROM cut),
+        grouped AS (SELECT part, row, f, count(*) AS n FROM used GROUP BY ALL),
+        hexed AS (SELECT f, hex(encode(f)) AS h FROM (SELECT DISTINCT f FROM grouped)),
+        hashed AS (
+            SELECT f, xor(list_reduce(list_prepend(4294967295, list_transform(range(0, len(h) // 2),
+                       lambda j: ('0x' || substr(h, 2 * j + 1, 2))::BIGINT)),
+                       lambda c, b: xor(c >> 8, step[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+            FROM hexed, steps),
+        counted AS (
+            SELECT bucket, coalesce(sum(n) FILTER (part = 0), 0) AS s, coalesce(sum(n) FILTER (part = 1), 0) AS t
+            FROM grouped JOIN hashed USING (f) GROUP BY bucket),
+        totals AS (SELECT coalesce(sum(s), 0) AS all_s, coalesce(sum(t), 0) AS all_t FROM counted),
+        gains AS (
+            SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (all_s + 10000)::DOUBLE / ((s + 1)::DOUBLE * (all_t + 10000)::DOUBLE)))::BIGINT AS gain
+            FROM counted, totals),
+        summed AS (
+            SELECT row, sum(n * gain)::BIGINT AS gain, sum(n)::BIGINT AS n
+            FROM grouped JOIN hashed USING (f) JOIN gains USING (bucket) WHERE part = 0 GROUP BY row),
+        weighed AS (
+            SELECT doc_id, len(w) AS words, coalesce(n, 0) AS n_features,
+                   coalesce((gain - ((gain % n) + n) % n) // n, 0)::BIGINT AS weight,
+                   ('0x' || substr(sha256('7:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT AS h
+            FROM cut LEFT JOIN summed USING (row) WHERE part = 0),
+        scored AS (
+            SELECT *, (weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))))::BIGINT AS score FROM weighed),
+        placed AS (
+            SELECT *, row_number() OVER (PARTITION BY words >= 20 ORDER BY score DESC, doc_id NULLS LAST) AS place,
+                   count(*) FILTER (words >= 20) OVER () AS n_long FROM scored)
+        SELECT doc_id, n_features, weight, score,
+               CASE WHEN words >= 20 AND place <= 25 * n_long // 100 THEN place END AS rank FROM placed""",
+    "op13_hard_negatives": """
+        WITH usable AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+                   list_sum(list_transform(list_zip(a.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+            FROM usable a JOIN usable c ON a.vec_id % 50 = 0 AND c.vec_id <> a.vec_id),
+        own AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT anchor_id, positive_id, row_number() OVER (
+                   PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+               vec_id AS negative_id, positive_score, score AS negative_score
+        FROM own JOIN scored USING (anchor_id)
+        WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+        QUALIFY rank <= 3""",
 }
