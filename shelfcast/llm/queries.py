@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.llm import (
-    decontaminate, hard_negatives, jaccard_join, language, licenses, pieces, resampling, sharding, substring_dedup,
-    token_files, top_k, url_filter)
+    decontaminate, hard_negatives, jaccard_join, language, licenses, personal_data, pieces, resampling, sharding,
+    substring_dedup, token_files, top_k, url_filter)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,6 +66,10 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_components(table(spark, sf_dir, "documents"))
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.digests(personal_data.personal_data(table(spark, sf_dir, "documents")))
+
+
 def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -87,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_personal_data": op11_personal_data,
     "op12_importance_resampling": op12_importance_resampling,
     "op13_hard_negatives": op13_hard_negatives,
 }
