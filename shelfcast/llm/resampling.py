@@ -23,6 +23,7 @@ corpus has no rows; an empty target gives every bucket the gain of no occurrence
 from __future__ import annotations
 
 import hashlib
+import math
 import zlib
 
 import numpy as np
@@ -214,17 +215,15 @@ def bucket_counts(lines: DataFrame, crossing: DataFrame) -> DataFrame:
     return both.mapInArrow(_counting, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
 
 
-def gains(corpus: DataFrame, target: DataFrame) -> DataFrame:
-    """(bucket, gain) of all BUCKETS buckets, from both tables of counts."""
-    def total(counts: DataFrame) -> Column:
-        return F.coalesce(counts.agg(F.sum("n").cast("double")).scalar(), F.lit(0.0)) + F.lit(float(BUCKETS))
+def gains(corpus: DataFrame, target: DataFrame) -> np.ndarray:
+    """The gain of every bucket, from both tables of counts: BUCKETS rows each, whatever they count."""
+    def counts(table: DataFrame) -> list[int]:
+        found = dict(table.collect())
+        return [found.get(bucket, 0) for bucket in range(BUCKETS)]
 
-    every = corpus.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
-    s = F.coalesce(F.col("s"), F.lit(0)).cast("double") + 1
-    t = F.coalesce(F.col("t"), F.lit(0)).cast("double") + 1
-    both = every.join(corpus.withColumnRenamed("n", "s"), "bucket", "left").join(
-        target.withColumnRenamed("n", "t"), "bucket", "left")
-    return both.select("bucket", F.floor(1000 * F.ln(t * total(corpus) / (s * total(target)))).alias("gain"))
+    s, t = counts(corpus), counts(target)
+    all_s, all_t = float(sum(s) + BUCKETS), float(sum(t) + BUCKETS)
+    return np.array([math.floor(1000 * math.log((b + 1) * all_s / ((a + 1) * all_t))) for a, b in zip(s, t)], dtype=np.int64)
 
 
 def _summing(shared, keep: list[str]):
@@ -263,12 +262,9 @@ def weighed(docs: DataFrame, target: DataFrame, seed: int = SEED) -> DataFrame:
     """row, doc_id, n_words, n_features, weight, score and ``copies``: one row for all equal rows of ``docs``."""
     spark = docs.sparkSession
     texts, wanted = _text_rows(docs), _text_rows(target)
-    lines, crossing = stored(different_lines(texts), "lines"), stored(across_lines(texts), "crossing")
-    target_counts = bucket_counts(stored(different_lines(wanted), "lines"), stored(across_lines(wanted), "crossing"))
-    # BUCKETS rows, whatever the corpus.
-    gain = np.zeros(BUCKETS, dtype=np.int64)
-    for bucket, value in gains(stored(bucket_counts(lines, crossing), "counts"), stored(target_counts, "counts")).collect():
-        gain[bucket] = value
+    # The words at line ends are found anew for each of their two uses, which is quicker than to write them.
+    lines, crossing = stored(different_lines(texts), "lines"), across_lines(texts)
+    gain = gains(bucket_counts(lines, crossing), bucket_counts(different_lines(wanted), across_lines(wanted)))
     shared = spark.sparkContext.broadcast(gain)
     by_line = lines.select("line", "buckets").mapInArrow(_summing(shared, ["line"]), "line binary, gain long")
     held = texts.select("row", F.explode(F.split("text", "\n")).alias("line")).filter("line <> ''") \
