@@ -654,6 +654,7 @@ SELECT r.rule""", 1),
     "runs_union": _sql("SELECT * REPLACE (CASE WHEN run_id = 1 THEN NULL ELSE style END AS style) FROM runs",
                        "runs"),
     "latest_run_per_date": _sql("SELECT * FROM latest", "latest"),
+    "latest_runs_indexed": _sql("SELECT * FROM latest", "latest"),
     "evaluation_table": _sql("SELECT * REPLACE (round(forecast, 6) AS forecast, round(bias, 4) + CAST(0 AS DOUBLE) AS bias, "
                              "round(error, 6) + CAST(0 AS DOUBLE) AS error) FROM evaluation", "evaluation"),
     "validation_table": _sql("SELECT * REPLACE (round(bias, 4) + CAST(0 AS DOUBLE) AS bias, round(error, 6) + CAST(0 AS DOUBLE) AS error) "

@@ -354,6 +354,11 @@ def latest_run_per_date(spark, sf):
     return rn.latest_run_per_date(fx.forecast_runs(spark, sf))
 
 
+def latest_runs_indexed(spark, sf):
+    """The same from a store, whose index of dates says which runs to read."""
+    return run_store.latest_runs(spark, _stored_runs(spark, sf))
+
+
 # Evaluation
 
 def _evaluation(spark, sf):
@@ -575,6 +580,7 @@ QUERIES: dict[str, Query] = {
     # runs
     "runs_union": runs_union,
     "latest_run_per_date": latest_run_per_date,
+    "latest_runs_indexed": latest_runs_indexed,
     # evaluation
     "evaluation_table": evaluation_table,
     "validation_table": validation_table,

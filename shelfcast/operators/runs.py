@@ -26,6 +26,11 @@ def next_run_id(runs: DataFrame) -> DataFrame:
     return runs.agg((F.coalesce(F.max("run_id"), F.lit(0)) + 1).cast("int").alias("next_run_id"))
 
 
+def winners(dates: DataFrame) -> DataFrame:
+    """For each date, the highest run number that has it."""
+    return dates.groupBy("date").agg(F.max("run_id").alias("run_id"))
+
+
 def latest_run_per_date(runs: DataFrame) -> DataFrame:
     """For each date, the rows of the highest-numbered run that has that date.
 
@@ -35,5 +40,4 @@ def latest_run_per_date(runs: DataFrame) -> DataFrame:
     at most over Spark's date range and a few hundred in practice, whatever the product count;
     that bound is what allows the broadcast.
     """
-    winners = runs.groupBy("date").agg(F.max("run_id").alias("run_id"))
-    return runs.join(F.broadcast(winners), ["date", "run_id"], "left_semi")
+    return runs.join(F.broadcast(winners(runs)), ["date", "run_id"], "left_semi")

@@ -18,7 +18,7 @@ from shelfcast.operators.panel import daily_sales
 from shelfcast.operators.training import training_window
 from shelfcast.settings import Settings
 from shelfcast.sources.feature_store import read_features, write_features
-from shelfcast.sources.run_store import claim_run_id, write_run
+from shelfcast.sources.run_store import claim_run_id, new_owner, write_run
 from shelfcast.sources.tables import Table, load_inputs
 
 TREND_MODELS = (fc.TREND_WEEKDAY, fc.CHANGEPOINT)
@@ -37,10 +37,11 @@ def forecast_demand(features: DataFrame, settings: Settings, trend_model: str =
 
 def run(spark: SparkSession, sales: Table, products: Table, calendar: Table, features_path: str,
         runs_path: str, settings: Settings, labels: Sequence[str] | None = None,
-        trend_model: str = fc.CHANGEPOINT, run_id: int | None = None) -> int:
+        trend_model: str = fc.CHANGEPOINT, run_id: int | None = None, owner: str | None = None) -> int:
     """Run everything and return the run number.
 
-    A new job claims its number; a resubmitted one passes the number that it had and replaces its rows.
+    A new job claims its number.  ``owner`` names the job: resubmitted under the same name it gets the same number back and
+    replaces its rows, while no other job can write them.
 
     Sales are first brought to one row per product and day.  Where they are so already nothing changes;
     where one product has many rows a day, no later task sees more than its days.
@@ -56,10 +57,11 @@ def run(spark: SparkSession, sales: Table, products: Table, calendar: Table, fea
     if settings.use_regressors:
         flags = calendar_flags(effects, labels)
         regressors = None if flags is None else fc.known_regressors(flags, settings)
+    owner = owner or new_owner()
     if run_id is None:
-        run_id = claim_run_id(spark, runs_path)
+        run_id = claim_run_id(spark, runs_path, owner)
     write_run(forecast_demand(read_features(spark, features_path), settings, trend_model, regressors),
-              runs_path, run_id)
+              runs_path, run_id, owner)
     return run_id
 
 
@@ -72,7 +74,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--history-start", required=True)
     parser.add_argument("--history-end", required=True)
     parser.add_argument("--format", default="parquet", help="format of the input tables")
-    parser.add_argument("--run-id", type=int, help="number of an earlier attempt of this run")
+    parser.add_argument("--run-id", type=int, help="number to write, if this job owns it or nobody does")
+    parser.add_argument("--owner", help="name of this job, the same for all its attempts")
     parser.add_argument("--trend-model", choices=TREND_MODELS, default=fc.CHANGEPOINT)
     parser.add_argument("--use-regressors", action="store_true",
                         help="let the changepoint model see the calendar")
@@ -82,7 +85,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     spark = build_session("shelfcast daily forecast")
     tables = [Table(path, args.format) for path in (args.sales, args.products, args.calendar)]
     print(run(spark, *tables, args.features, args.runs, settings, trend_model=args.trend_model,
-              run_id=args.run_id))
+              run_id=args.run_id, owner=args.owner))
 
 
 if __name__ == "__main__":

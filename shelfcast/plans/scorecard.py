@@ -12,12 +12,11 @@ from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructField, StructType
 
 from shelfcast.operators import evaluation as ev
 from shelfcast.operators.runs import latest_run_per_date
 from shelfcast.sources.feature_store import read_features
-from shelfcast.sources.run_store import RUN_SCHEMA, read_runs
+from shelfcast.sources.run_store import latest_runs
 
 
 @dataclass(frozen=True)
@@ -79,10 +78,7 @@ def write_scorecard(spark: SparkSession, features_path: str, runs_path: str, out
         return spark.read.parquet(f"{out}/{name}")
 
     features = read_features(spark, features_path)
-    # The columns are known, so no footers are merged; only the type of the product's key is the tables' own.
-    schema = StructType([StructField(f.name, features.schema["product_id"].dataType) if f.name == "product_id" else f
-                         for f in RUN_SCHEMA])
-    latest = stored("forecast", latest_run_per_date(read_runs(spark, runs_path, schema)))
+    latest = stored("forecast", latest_runs(spark, runs_path))
     narrow = features.select("product_id", "date", "style", "sales_units", "age_category", "sales_category",
                              "age_sales_category")
     card = Scorecard(stored("evaluation", ev.evaluation_table(latest, features)),

@@ -1,3 +1,4 @@
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from types import SimpleNamespace
 
@@ -9,7 +10,7 @@ from shelfcast.plans.daily import run
 from shelfcast.plans.scorecard import Scorecard, write_scorecard
 from shelfcast.session import shared_path
 from shelfcast.settings import Settings
-from shelfcast.sources import run_store, tables
+from shelfcast.sources import files, run_store, tables
 from shelfcast.sources.feature_store import read_features, write_features
 from tests.helpers import day, products, sales, values
 
@@ -25,9 +26,9 @@ def test_store_lists_reads_and_numbers_runs(spark):
     assert run_store.list_runs(spark, path).count() == 0
     first = _run(spark, [("a", day(0), 1.0), ("a", day(1), 1.0)])
     second = _run(spark, [("a", day(1), 2.0)]).withColumn("note", F.lit("x"))
-    run_store.write_run(first, path, 1)
-    run_store.write_run(second, path, 2)
-    run_store.write_run(second, path, 2)  # a repeated job replaces its own run only
+    run_store.write_run(first, path, 1, "job one")
+    run_store.write_run(second, path, 2, "job two")
+    run_store.write_run(second, path, 2, "job two")  # a repeated job replaces its own run only
     assert run_store.stored_next_run_id(spark, path) == 3
     assert values(run_store.read_run(spark, path, 2), "product_id", "forecast", "note", "run_id") == [
         ("a", 2.0, "x", 2)]
@@ -52,12 +53,96 @@ def test_latest_run_is_chosen_per_date(spark):
 
 
 def test_two_jobs_never_claim_one_number(spark):
+    for _ in range(25):
+        path = shared_path(spark, "runs")
+        with ThreadPoolExecutor(8) as pool:
+            claimed = list(pool.map(lambda _: run_store.claim_run_id(spark, path), range(8)))
+        assert sorted(claimed) == list(range(1, 9))
+
+
+def test_a_run_belongs_to_the_job_that_claimed_it(spark):
     path = shared_path(spark, "runs")
+    assert run_store.claim_run_id(spark, path, "mine") == 1
+    assert run_store.claim_run_id(spark, path, "other") == 2
+    assert run_store.claim_run_id(spark, path, "mine") == 1  # a second attempt
+    assert run_store.owner_of(spark, path, 1) == "mine" and run_store.owner_of(spark, path, 7) is None
+    mine, other = _run(spark, [("a", day(0), 1.0)]), _run(spark, [("b", day(0), 2.0)])
+    run_store.write_run(mine, path, 1, "mine")
+    for owner in ("other", ""):
+        with pytest.raises(run_store.RunOwned):
+            run_store.write_run(other, path, 1, owner)
+    assert values(run_store.read_run(spark, path, 1), "product_id") == ["a"]
+    run_store.write_run(other, path, 5, "other")  # nobody's number is claimed by writing it
+    with pytest.raises(run_store.RunOwned):
+        run_store.write_run(mine, path, 5, "mine")
+    assert run_store.claim_run_id(spark, path) == 6
+
+
+def test_a_file_is_created_once(spark):
+    path = f"{shared_path(spark, 'files')}/deep/one"
     with ThreadPoolExecutor(8) as pool:
-        claimed = list(pool.map(lambda _: run_store.claim_run_id(spark, path), range(8)))
-    assert sorted(claimed) == list(range(1, 9))
-    run_store.write_run(_run(spark, [("a", day(0), 1.0)]), path, 3)
-    assert run_store.read_runs(spark, path).count() == 1 and run_store.claim_run_id(spark, path) == 9
+        won = list(pool.map(lambda i: files.create_once(spark, path, f"job {i}"), range(8)))
+    assert sum(won) == 1 and files.read_text(spark, path) == f"job {won.index(True)}"
+    assert files.read_text(spark, f"{path}-none") is None and files.names(spark, f"{path}-none") == []
+
+
+def _jobs(spark, use) -> int:
+    """How many Spark jobs a call starts."""
+    group = f"count-{uuid.uuid4().hex}"
+    spark.sparkContext.setJobGroup(group, group)
+    use()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_reading_runs_opens_no_footers(spark):
+    path = shared_path(spark, "runs")
+    for number in range(1, 13):
+        rows = _run(spark, [("a", day(number), 1.0)])
+        run_store.write_run(rows.withColumn("note", F.lit("x")) if number == 7 else rows, path, number, "job")
+    assert files.versions(spark, f"{path}/_index/schema") == [1, 2]
+    assert run_store.read_runs(spark, path).columns == ["product_id", "date", "forecast", "note", "run_id"]
+    assert _jobs(spark, lambda: run_store.read_runs(spark, path).schema) == 0
+    assert sorted(values(run_store.read_runs(spark, path).where("note = 'x'"), "run_id")) == [7]
+    with pytest.raises(ValueError, match="forecast is string"):
+        run_store.write_run(_run(spark, [("a", day(0), 1.0)]).withColumn("forecast", F.lit("much")), path, 20, "job")
+    assert run_store.read_runs(spark, path).count() == 12
+
+
+def test_latest_runs_scan_no_run_that_lost(spark):
+    path = shared_path(spark, "runs")
+    assert run_store.latest_runs(spark, path).count() == 0
+    # Stored without an index, as an older store is.
+    old = [_run(spark, [("a", day(i), 1.0), ("b", day(i), 1.0)]).withColumn("run_id", F.lit(i + 1)) for i in range(10)]
+    rn.union_runs(old).write.partitionBy("run_id").parquet(path)
+    run_store.write_run(_run(spark, [("a", day(i), 2.0) for i in range(9)]).withColumn("note", F.lit("x")), path, 11, "job")
+    latest = run_store.latest_runs(spark, path)
+    assert sorted(values(latest, "product_id", "date", "forecast", "note", "run_id")) == sorted(
+        [("a", day(i), 2.0, "x", 11) for i in range(9)] + [(p, day(9), 1.0, None, 10) for p in "ab"])
+    assert sorted(values(latest, "product_id", "date", "run_id")) == sorted(values(
+        rn.latest_run_per_date(run_store.read_runs(spark, path)), "product_id", "date", "run_id"))
+    plan = latest._jdf.queryExecution().executedPlan()
+    assert "dynamicpruningexpression" in plan.toString()
+    latest.collect()
+    # Of eleven runs the dates of all are read, and the forecasts of two.
+    assert sorted(_scanned_partitions(latest)) == [2, 11]
+
+
+def _scanned_partitions(df) -> list[int]:
+    """Partition folders that each scan of a plan that has run has read."""
+    found, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        inner = node.getClass().getSimpleName()
+        if inner == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif inner.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        else:
+            todo += [node.children().apply(i) for i in range(node.children().size())]
+        if inner == "FileSourceScanExec":
+            found.append(node.metrics().apply("numPartitions").value())
+    return found
 
 
 def test_a_failed_job_leaves_the_old_features(spark):
