@@ -93,6 +93,23 @@ def part_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "day", "units_sold", "sales_amount")
 
 
+# The first days of the two increments that part features grow by, and which lines come late, with the second.
+INCREMENTS = (date(2001, 1, 1), date(2001, 4, 1))
+LATE_ORDERS = 97
+
+
+def part_facts_by_run(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Part sales as three runs see them: a base, and two increments; every 97th order comes late, with the last."""
+    facts = table(spark, sf_dir, "lineitem").withColumn("late", F.col("l_orderkey") % LATE_ORDERS == 0)
+    day = F.col("l_shipdate").cast("date")
+    number = F.when(F.col("late") | (day >= F.lit(INCREMENTS[1])), 2).when(day >= F.lit(INCREMENTS[0]), 1).otherwise(0)
+    rows = facts.select(
+        number.alias("run"), F.col("l_partkey").alias("product_id"), day.alias("day"),
+        (F.col("l_partkey") * 100000 + F.unix_date(day)).alias("id"), F.concat(F.lit("SP-"), "l_partkey").alias("shopify_product_id"),
+        F.col("l_quantity").cast("long").alias("units_sold"), _money("l_extendedprice").alias("sales_amount"))
+    return [rows.where(F.col("run") == run).drop("run") for run in range(3)]
+
+
 def brand_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Brand sales on every day from the table's first day to its last.
 

@@ -576,6 +576,7 @@ ORACLE: dict[str, str] = {
         "CASE WHEN p_partkey IS NOT NULL THEN 'ST' || p_partkey END AS style "
         "FROM part_sales LEFT JOIN part ON p_partkey = product_id", "part_sales"),
     "features": _sql("SELECT * FROM part_features", "part_features"),
+    "features_incremental": _sql("SELECT * FROM part_features", "part_features"),
     "feature_totals": _sql("SELECT count(*) AS total_records, CAST(coalesce(sum(sales_units), 0) AS BIGINT) "
                            "AS total_sales_units FROM part_sales", "part_sales"),
     "regressor_numeric": (

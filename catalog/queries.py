@@ -181,6 +181,18 @@ def features(spark, sf):
     return fx.part_features(spark, sf, flags=True)
 
 
+def features_incremental(spark, sf):
+    """The features again, from a base and two increments that read no history but that of products with late lines."""
+    path = shared_path(spark, "features")
+    base, *increments = fx.part_facts_by_run(spark, sf)
+    products, effects = fx.part_products(spark, sf), fx.calendar_effects(spark, sf)
+    daily.build_all(spark, base, products, effects, path, fx.ITEM, fx.LABELS, keep_state=True)
+    for facts in increments:
+        daily.add_new(spark, facts, products, effects, path, fx.ITEM)
+    # Money was added up in cents.
+    return feature_store.read_features(spark, path).withColumn("sales_amount", F.col("sales_amount") / 100.0)
+
+
 def feature_totals(spark, sf):
     return ft.feature_totals(fx.part_features(spark, sf))
 
@@ -546,6 +558,7 @@ QUERIES: dict[str, Query] = {
     # features
     "sales_with_style": sales_with_style,
     "features": features,
+    "features_incremental": features_incremental,
     "feature_totals": feature_totals,
     "regressor_numeric": regressor_numeric,
     # eligibility

@@ -12,12 +12,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfcast.operators import forecast as fc
+from shelfcast.operators import incremental as inc
+from shelfcast.operators.calendar import join_flags
 from shelfcast.operators.eligibility import history_cut, qualified_history
-from shelfcast.operators.features import build_features, calendar_flags
+from shelfcast.operators.features import add_style, build_features, calendar_flags
+from shelfcast.operators.lifecycle import sales_columns
 from shelfcast.operators.panel import daily_sales
 from shelfcast.operators.training import training_window
+from shelfcast.session import shared_path
 from shelfcast.settings import Settings
-from shelfcast.sources.feature_store import read_features, write_features
+from shelfcast.sources.feature_store import append_features, newest, read_features, read_state, write_features
 from shelfcast.sources.run_store import claim_run_id, new_owner, write_run
 from shelfcast.sources.tables import Table, load_inputs
 
@@ -35,11 +39,50 @@ def forecast_demand(features: DataFrame, settings: Settings, trend_model: str =
     return fc.changepoint_forecast(training, settings, regressors)
 
 
+def build_all(spark: SparkSession, sales: DataFrame, products: DataFrame, calendar: DataFrame | None, features_path: str,
+              settings: Settings, labels: Sequence[str] | None = None, keep_state: bool = False) -> None:
+    """Write the features of all sales facts.  With ``keep_state``, ``add_new`` can go on from them."""
+    features = build_features(daily_sales(sales), products, calendar, settings, labels)
+    state = inc.lifecycle_state(sales_columns(daily_sales(sales)), settings) if keep_state else None
+    write_features(features, features_path, state)
+
+
+def add_new(spark: SparkSession, sales: DataFrame, products: DataFrame, calendar: DataFrame | None, features_path: str,
+            settings: Settings) -> None:
+    """Bring the stored features up to date with sales facts that they have not seen yet, late ones included.
+
+    Reads the state and the new facts; stored rows are read for products whose past changes.  Flags are those that the
+    table has; a new one, like a change of settings, products' styles or past effects, asks for ``build_all``.
+    """
+    before = newest(spark, features_path)
+    state = None if before is None else read_state(spark, features_path, before)
+    if state is None:
+        raise ValueError(f"{features_path} has no lifecycle state; build it with keep_state first")
+    new = sales_columns(daily_sales(sales))
+    stored = read_features(spark, features_path, before)
+    place = shared_path(spark, "rewritten")
+    inc.needing_history(new, state).write.parquet(place)
+    rewritten = spark.read.parquet(place)
+    rows, after = inc.increment(new, rewritten, state, stored.select(*new.columns), settings)
+    featured = add_style(rows, products)
+    labels = [name for name in stored.columns if name not in featured.columns]
+    if labels:
+        flags = None if calendar is None else calendar_flags(calendar, labels)
+        if flags is None:
+            raise ValueError("the stored features have calendar flags; give the calendar")
+        featured = join_flags(featured, flags)
+    append_features(featured, rewritten, after, features_path, before)
+
+
 def run(spark: SparkSession, sales: Table, products: Table, calendar: Table, features_path: str,
         runs_path: str, settings: Settings, labels: Sequence[str] | None = None,
-        trend_model: str = fc.CHANGEPOINT, run_id: int | None = None, owner: str | None = None) -> int:
+        trend_model: str = fc.CHANGEPOINT, run_id: int | None = None, owner: str | None = None,
+        incremental: bool = False) -> int:
     """Run everything and return the run number.
 
+    With ``incremental``, ``sales`` holds only the facts since the last run, once that run has kept its state: the features
+    of the days before are not computed again.
+
     A new job claims its number.  ``owner`` names the job: resubmitted under the same name it gets the same number back and
     replaces its rows, while no other job can write them.
 
@@ -51,8 +94,11 @@ def run(spark: SparkSession, sales: Table, products: Table, calendar: Table, fea
     """
     sales_rows, product_rows, effects = load_inputs(
         spark, sales, products, calendar, settings.history_start)
-    features = build_features(daily_sales(sales_rows), product_rows, effects, settings, labels)
-    write_features(features, features_path)
+    before = newest(spark, features_path) if incremental else None
+    if before and before.state:
+        add_new(spark, sales_rows, product_rows, effects, features_path, settings)
+    else:
+        build_all(spark, sales_rows, product_rows, effects, features_path, settings, labels, keep_state=incremental)
     regressors = None
     if settings.use_regressors:
         flags = calendar_flags(effects, labels)
@@ -77,6 +123,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--run-id", type=int, help="number to write, if this job owns it or nobody does")
     parser.add_argument("--owner", help="name of this job, the same for all its attempts")
     parser.add_argument("--trend-model", choices=TREND_MODELS, default=fc.CHANGEPOINT)
+    parser.add_argument("--incremental", action="store_true",
+                        help="the sales table holds only facts that earlier runs have not seen")
     parser.add_argument("--use-regressors", action="store_true",
                         help="let the changepoint model see the calendar")
     args = parser.parse_args(argv)
@@ -85,7 +133,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     spark = build_session("shelfcast daily forecast")
     tables = [Table(path, args.format) for path in (args.sales, args.products, args.calendar)]
     print(run(spark, *tables, args.features, args.runs, settings, trend_model=args.trend_model,
-              run_id=args.run_id, owner=args.owner))
+              run_id=args.run_id, owner=args.owner, incremental=args.incremental))
 
 
 if __name__ == "__main__":
