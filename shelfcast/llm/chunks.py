@@ -7,6 +7,7 @@ a bounded number of bytes, whatever hosts, sources or copies its documents belon
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import zipfile
@@ -19,9 +20,11 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm.words import Rolling, mix, slices, text_bytes, trim
+from shelfcast.llm.words import mix, slices, text_bytes, trim
 
 CHUNK_BYTES = 4 << 20
+PARTITION_BYTES = 64 << 20
+"""Texts that one task should hold at most, packed, and one bucket of hashes cover."""
 PACK_SCHEMA = "chunk int, pack binary"
 _shipped: set[str] = set()
 
@@ -56,6 +59,11 @@ class Extent:
         """Enough for every task, and none of more than about CHUNK_BYTES."""
         return max(2 * self.parts, -(-self.n_bytes // CHUNK_BYTES))
 
+    @property
+    def buckets(self) -> int:
+        """Ranges of hashes that meet in one group: their number grows with the bytes, so that none outgrows a task."""
+        return max(2 * self.parts, -(-self.n_bytes // PARTITION_BYTES))
+
 
 def extent(docs: DataFrame) -> Extent:
     size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string"))), F.count(F.lit(1))).first()
@@ -67,9 +75,6 @@ def chunk_of(keys: np.ndarray, n_chunks: int) -> np.ndarray:
     return (mix(np.asarray(keys).astype(np.int64).view(np.uint64) + np.uint64(77)) % np.uint64(n_chunks)).astype(np.int32)
 
 
-_TEXT = Rolling(7)
-
-
 def row_keys(ids: pa.Array, column) -> np.ndarray:
     """The 64-bit key of each row: its doc_id.  A row without one gets a key above 2**62 from its text."""
     ids = ids.combine_chunks() if isinstance(ids, pa.ChunkedArray) else ids
@@ -78,9 +83,8 @@ def row_keys(ids: pa.Array, column) -> np.ndarray:
     if len(missing):
         data, offsets = text_bytes(column)
         for i in missing:
-            part = data[offsets[i]:offsets[i + 1]].astype(np.uint64) + np.uint64(1)
-            value = int(mix(_TEXT.ranges(part, np.array([0]), np.array([len(part)])) + np.uint64(len(part)))[0])
-            keys[i] = (1 << 62) + (value >> 2)
+            digest = hashlib.blake2b(data[offsets[i]:offsets[i + 1]], digest_size=8).digest()
+            keys[i] = (1 << 62) + (int.from_bytes(digest, "little") >> 2)
     return keys
 
 
@@ -127,7 +131,7 @@ def into_chunks(docs: DataFrame, n_chunks: int) -> DataFrame:
     ship(docs.sparkSession)
     packs = docs.withColumns({"doc_id": F.col("doc_id").cast("long"), "text": F.col("text").cast("string")}) \
         .mapInArrow(lambda batches: as_packs(batches, n_chunks), PACK_SCHEMA)
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_chunks * CHUNK_BYTES // PARTITION_BYTES)
     return packs.repartition(parts, "chunk")
 
 

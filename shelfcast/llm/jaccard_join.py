@@ -413,7 +413,7 @@ def _verified(chunks: DataFrame, pairs: DataFrame) -> DataFrame:
 def _linked(chunks: DataFrame, size: Extent) -> DataFrame:
     """chunk, key, same, doc_id, n and top (the smallest key of the component) of every row, written and read back."""
     spark = chunks.sparkSession
-    buckets, shift = 2 * size.parts, max(0, 64 - (max(1, size.n_bytes).bit_length() + 12))
+    buckets, shift = size.buckets, max(0, 64 - (max(1, size.n_bytes).bit_length() + 12))
     described = stored(chunks.mapInArrow(_describe, _ROWS), "described")
     rows = described.filter("kind = 0").drop("kind", "blob")
     if rows.groupBy("key").count().filter("count > 1").limit(1).count():

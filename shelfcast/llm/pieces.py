@@ -13,6 +13,7 @@ repeated rows and rows without doc_id give a row each.  Other columns are ignore
 
 from __future__ import annotations
 
+import codecs
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -194,14 +195,16 @@ class Pieces:
         return out
 
 
+def _one_byte_on(error: UnicodeDecodeError) -> tuple[str, int]:
+    return "\ufffd", error.start + 1
+
+
+codecs.register_error("shelfcast-each-byte", _one_byte_on)
+
+
 def _valid(text: bytes) -> bytes:
     """Bytes that spell no character become U+FFFD each, as the library has it."""
-    try:
-        text.decode("utf-8")
-        return text
-    except UnicodeDecodeError as error:
-        bad = b"\xef\xbf\xbd"
-        return text[:error.start] + bad + _valid(text[error.start + 1:])
+    return text.decode("utf-8", errors="shelfcast-each-byte").encode()
 
 
 @lru_cache(maxsize=4)

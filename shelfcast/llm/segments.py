@@ -6,55 +6,54 @@ from collections.abc import Callable
 
 import numpy as np
 
-from shelfcast.llm.words import _BYTES, _OVER_BYTES, STEP, mix
+from shelfcast.llm.words import byte_hashes
 
 MOST_KEPT = 1 << 19
 """A worker forgets its encoded segments beyond so many; this bounds memory, not results."""
 
 
-def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of every byte range; ranges ascend and do not overlap."""
-    out = np.empty(len(starts), dtype=np.uint64)
-    i = 0
-    while i < len(starts):
-        j = max(i + 1, int(np.searchsorted(ends, starts[i] + STEP, side="right")))
-        low, high = starts[i], ends[j - 1]
-        out[i:j] = _OVER_BYTES[0].ranges(_BYTES[0][data[low:high]], starts[i:j] - low, ends[i:j] - low)
-        i = j
-    return mix(out + (ends - starts).astype(np.uint64))
-
-
 class SegmentCache:
-    """Remembers the ids of the segments it has seen.  ``encode`` gives ids and counts of a list of segments."""
+    """Remembers the ids of the segments it has seen.  ``encode`` gives ids and counts of a list of segments.
+
+    Segments are known by one hash and checked by a second; where two different ones share the first, all of the
+    call are encoded anew.
+    """
 
     def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]):
         self.encode = encode
         self.forget()
 
     def forget(self) -> None:
-        self.known = np.zeros(0, dtype=np.uint64)
+        self.known, self.checks = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint64)
         self.begins, self.counts = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
         self.ids = np.zeros(0, dtype=np.int32)
 
     def ids_of(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the segments that begin at ``starts`` (each ends where the next begins), and len(starts) + 1 offsets."""
         ends = np.append(starts[1:], len(data))
-        hashes = range_hashes(data, starts, ends)
+        hashes, checks = byte_hashes(data, starts, ends), byte_hashes(data, starts, ends, 1)
         unique, where, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self.known) > MOST_KEPT:
             self.forget()
         fresh = where[~np.isin(unique, self.known, assume_unique=True)]
         if len(fresh):
-            raw = data.tobytes()
-            ids, counts = self.encode([raw[a:b] for a, b in zip(starts[fresh].tolist(), ends[fresh].tolist())])
+            ids, counts = self._encoded(data, starts[fresh], ends[fresh])
             begins = len(self.ids) + np.cumsum(counts) - counts
             known = np.concatenate((self.known, hashes[fresh]))
             order = np.argsort(known, kind="stable")
             self.known = known[order]
+            self.checks = np.concatenate((self.checks, checks[fresh]))[order]
             self.begins = np.concatenate((self.begins, begins))[order]
             self.counts = np.concatenate((self.counts, counts))[order]
             self.ids = np.concatenate((self.ids, ids.astype(np.int32)))
         at = np.searchsorted(self.known, unique)[inverse]
+        if (self.checks[at] != checks).any():
+            ids, counts = self._encoded(data, starts, ends)
+            return ids.astype(np.int32), np.concatenate(([0], np.cumsum(counts)))
         counts = self.counts[at]
         sums = np.concatenate(([0], np.cumsum(counts)))
         return self.ids[np.arange(sums[-1]) + np.repeat(self.begins[at] - sums[:-1], counts)], sums
+
+    def _encoded(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        raw = data.tobytes()
+        return self.encode([raw[a:b] for a, b in zip(starts.tolist(), ends.tolist())])

@@ -189,7 +189,7 @@ def _remove(width: int, schema: pa.Schema):
 def remove_repeats(docs: DataFrame, width: int = WIDTH, size: Extent | None = None) -> DataFrame:
     """One row per input row: ``rows`` (the input columns), ``kept_text``, ``n_words``, ``n_removed``."""
     size = size or extent(docs)
-    buckets = 2 * size.parts
+    buckets = size.buckets
     shift = max(0, 64 - (max(1, size.n_bytes).bit_length() + SPARE_BITS))
     chunks = into_chunks(docs, size.chunks)
     inner = docs.withColumns({"doc_id": F.col("doc_id").cast("long"), "text": F.col("text").cast("string")}).schema

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,7 +31,11 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class Rolling:
-    """Polynomial (Rabin-Karp) hashes modulo 2**64 of ranges of a sequence, from one prefix sum."""
+    """Polynomial (Rabin-Karp) hashes modulo 2**64 of ranges of a sequence, from one prefix sum.
+
+    For short ranges of hashed values alone, as windows of words are: of sequences of 512 and more there are different ones
+    with one hash, whatever the base.
+    """
 
     def __init__(self, seed: int):
         base = int(mix(np.array([seed + 0x9E3779B97F4A7C15], dtype=_U))[0]) | 5
@@ -58,9 +63,44 @@ class Rolling:
         return (sums[ends] - sums[starts]) * self.down[starts]
 
 
-_BYTES = {seed: mix(np.arange(1, 257, dtype=_U) * _U((2 * seed + 1) * 0x9E3779B97F4A7C15 & _MASK)) for seed in (0, 1)}
-_OVER_BYTES = {seed: Rolling(seed) for seed in (0, 1)}
 _OVER_WORDS = {seed: Rolling(seed + 100) for seed in (0, 1)}
+SHORT = 64
+"""Bytes of a range up to which its hash is put together eight at a time; a longer one goes to BLAKE2."""
+_SEEDS = {seed: int(mix(np.array([(2 * seed + 1) * 0x9E3779B97F4A7C15 & _MASK], dtype=_U))[0]) for seed in (0, 1)}
+_KEEP = np.array([(1 << (8 * n)) - 1 for n in range(9)], dtype=_U)
+
+
+def byte_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """A 64-bit hash of every byte range, from its bytes alone; ranges ascend and do not overlap.
+
+    Every eight bytes go through ``mix``, so that, other than in a polynomial modulo 2**64, no pattern of bytes takes the
+    differences of two texts out again.
+    """
+    out, lengths = np.empty(len(starts), dtype=_U), ends - starts
+    start = _U(_SEEDS[seed])
+    i = 0
+    while i < len(out):
+        j = max(i + 1, int(np.searchsorted(ends, starts[i] + STEP, side="right")))
+        low, high = int(starts[i]), int(ends[j - 1])
+        if j > i + 1 or high - low <= SHORT:
+            padded = np.zeros(high - low + 8, dtype=np.uint8)
+            padded[:high - low] = data[low:high]
+            eights = np.ndarray(high - low + 1, dtype="<u8", buffer=padded, strides=(1,))
+            at, left = starts[i:j] - low, np.minimum(lengths[i:j], SHORT)
+            state = np.full(j - i, start, dtype=_U)
+            some = np.flatnonzero(left > 0)
+            for place in range(0, SHORT, 8):
+                if not len(some):
+                    break
+                state[some] = mix((state[some] + start) ^ (eights[at[some] + place] & _KEEP[np.minimum(left[some] - place, 8)]))
+                some = some[left[some] > place + 8]
+            out[i:j] = state
+        i = j
+    for at in np.flatnonzero(lengths > SHORT).tolist():
+        digest = hashlib.blake2b(data[starts[at]:ends[at]], digest_size=8, key=_SEEDS[seed].to_bytes(8, "little")).digest()
+        out[at] = int.from_bytes(digest, "little")
+    return mix(out + lengths.astype(_U) * _U(0x9E3779B97F4A7C15))
+
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -109,15 +149,7 @@ class Words:
 
     def hashes(self, seed: int = 0) -> np.ndarray:
         """A 64-bit hash for each word, from its bytes alone."""
-        out = np.empty(len(self.starts), dtype=_U)
-        i = 0
-        while i < len(out):
-            j = max(i + 1, int(np.searchsorted(self.ends, self.starts[i] + STEP, side="right")))
-            low, high = self.starts[i], self.ends[j - 1]
-            out[i:j] = _OVER_BYTES[seed].ranges(
-                _BYTES[seed][self.data[low:high]], self.starts[i:j] - low, self.ends[i:j] - low)
-            i = j
-        return mix(out + (self.ends - self.starts).astype(_U))
+        return byte_hashes(self.data, self.starts, self.ends, seed)
 
     def owner(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.first) - 1), self.counts)

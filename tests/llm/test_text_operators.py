@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from shelfcast.llm import jaccard_join, pieces, queries, range_coder, segments, substring_dedup, token_files
+from shelfcast.llm import decontaminate, jaccard_join, pieces, queries, range_coder, segments, substring_dedup, token_files
 from shelfcast.llm.words import shingle_sets, split_words, text_bytes
 
 from .tables import ID_TEXT, awkward_documents, components_by_hand, prose, removed_by_hand, shingles, words
@@ -144,6 +144,61 @@ def test_bytes_that_spell_no_character_decode_as_in_the_library():
         assert own.decode(np.array(ids), np.array([0, len(ids)]))[0].decode() == library.decode(ids), ids
 
 
+def test_many_bytes_that_spell_no_character_decode():
+    import public_tokenizers
+
+    own = pieces.pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    assert own.decode(np.full(20_000, 231), np.array([0, 20_000]))[0].decode() == "\ufffd" * 20_000
+
+
+def two_that_fool_polynomials(n: int) -> tuple[str, str]:
+    """Sequences of two letters whose polynomial hashes modulo 2**64 are equal from 1,024 letters on, for any base."""
+    bits = [0]
+    while len(bits) < n:
+        bits += [1 - b for b in bits]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+@pytest.mark.parametrize("n", [64, 1024, 2048])
+def test_different_long_words_and_segments_are_told_apart(spark, n):
+    import public_tokenizers
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    rng = random.Random(n)
+    first, second = two_that_fool_polynomials(n)
+    before, after = prose(rng, 12), prose(rng, 12)
+    rows = [(1, f"{before} {first} {after}"), (2, f"{before} {second} {after}"), (3, first), (4, second),
+            (5, f"{first} x"), (6, f"{second} x"), (7, f"{first} {second} y"), (8, f"{second} {first} y")]
+    table = spark.createDataFrame(rows, ID_TEXT).coalesce(1)
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substring_dedup.digests(
+        substring_dedup.remove_repeats(table)).collect()} == removed_by_hand(rows)
+    label = components_by_hand(rows)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.similar_components(table).collect()} == {
+        i: (len(shingles(t)), label[i]) for i, t in rows}
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    for r in pieces.encode_and_decode(table).collect():
+        assert np.frombuffer(r.ids, "<u4").tolist() == library.encode(dict(rows)[r.doc_id], add_bos=True, add_eos=True)
+    byte_level = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for r in token_files.round_trip(table).collect():
+        ids = [*byte_level.encode(dict(rows)[r.doc_id], add_special_tokens=False).ids, 2]
+        assert r.ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes())
+    leaks = decontaminate.contaminated(table, spark.createDataFrame([(1, f"{before} {first} {after}")], "item_id long, text string"))
+    assert {r.doc_id: r.matched for r in leaks.collect()}.get(1) == 25
+
+
+def test_segments_whose_hashes_agree_are_told_apart(monkeypatch):
+    import public_tokenizers
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    batch = text_bytes(pa.array([prose(random.Random(1), 50), prose(random.Random(2), 50)]))
+    fresh = pieces.Encoder(pieces.pieces(path)).encode(*batch)[0].tolist()
+    whole = segments.byte_hashes
+    monkeypatch.setattr(segments, "byte_hashes", lambda data, starts, ends, seed=0: whole(data, starts, ends, seed) % np.uint64(
+        3 if seed == 0 else 1 << 63))
+    assert pieces.Encoder(pieces.pieces(path)).encode(*batch)[0].tolist() == fresh
+
+
 def test_a_forgetful_cache_gives_the_same_ids(monkeypatch):
     import public_tokenizers
 
