@@ -28,9 +28,10 @@ _SHORT = {name: replace(rule, look_back=13) for name, rule in LIFECYCLE_RULES.it
 # Thirteen days and no bend: without a weekly season the changepoint model is a least-squares line.
 LINE = replace(ITEM, zero_ratio_threshold=1.0, fallback=replace(FALLBACK_RULE, look_back=13, changepoints=0),
                lifecycle={name: replace(rule, changepoints=0) for name, rule in _SHORT.items()})
-# The same with one bend.
-BEND = replace(ITEM, zero_ratio_threshold=1.0, fallback=replace(FALLBACK_RULE, look_back=13, changepoints=1),
-               lifecycle={name: replace(rule, changepoints=1) for name, rule in _SHORT.items()})
+# The same with one bend, under either prior.
+SPARSE_BEND = replace(ITEM, zero_ratio_threshold=1.0, fallback=replace(FALLBACK_RULE, look_back=13, changepoints=1),
+                      lifecycle={name: replace(rule, changepoints=1) for name, rule in _SHORT.items()})
+BEND = replace(SPARSE_BEND, changepoint_penalty="ridge")
 
 # Kind of effect, days before and days after its anchor.  The week's number since the
 # first Monday of 1970 picks the kind, in this order.

@@ -392,6 +392,23 @@ short_bend_fit AS (
     (n * (xx * hy - xy * xh) - x * (x * hy - xy * h) + y * (x * xh - xx * h)) AS det2
   FROM short_sums)""")
 
+# With a Laplace prior the bend is what the line leaves of it, less a constant: the line's mean square over the prior.
+_fragment("short_sparse", ("short_products",), f"""short_scaled AS (
+  SELECT *, y / max(abs(y)) OVER (PARTITION BY product_id) AS u, t / 12.0 AS x, {_HINGE} AS h,
+         max(abs(y)) OVER (PARTITION BY product_id) AS scale FROM short_enough),
+short_moments AS (
+  SELECT product_id, any_value(changepoint_prior) AS prior, any_value(scale) AS scale, avg(u) AS mean_u, avg(x) AS mean_x, avg(h) AS mean_h,
+         regr_sxx(u, x) AS xx, regr_sxy(u, x) AS xu, regr_syy(u, x) AS uu, regr_sxy(h, x) AS xh, regr_syy(h, x) AS hh, regr_sxy(u, h) AS hu,
+         count(*) AS n
+  FROM short_scaled GROUP BY 1),
+short_threshold AS (
+  SELECT *, hu - xh * xu / xx AS own, hh - xh * xh / xx AS room, (uu - xu * xu / xx) / n / prior AS least FROM short_moments),
+short_bent AS (
+  SELECT *, CASE WHEN own > least THEN own - least WHEN own < -least THEN own + least ELSE 0 END / room AS bend FROM short_threshold),
+short_sparse_fit AS (
+  SELECT product_id, scale, bend, (xu - bend * xh) / xx AS slope, mean_u - (xu - bend * xh) / xx * mean_x - bend * mean_h AS intercept
+  FROM short_bent)""")
+
 
 def _fitted_sql(fit: str, value: str) -> str:
     return _sql(
@@ -400,6 +417,13 @@ def _fitted_sql(fit: str, value: str) -> str:
 FROM short_products p CROSS JOIN short_horizon h JOIN {fit}_fit f USING (product_id)""", fit, "short_products", "short_horizon")
 
 
+# What a run by the model shares with any run: rows, categories, methods, and the intermittent values.
+_MODEL_JOB_SELECT = (
+    f"SELECT {_CATEGORIES}, CASE WHEN p.zero_ratio >= 0.6 THEN 'croston' ELSE 'changepoint' END AS forecast_method, h.date, "
+    "CASE WHEN p.zero_ratio >= 0.6 THEN round(c.value + 1e-9, 6) END AS intermittent, CAST(1 AS INTEGER) AS run_id "
+    "FROM user_products p JOIN user_croston c USING (product_id) CROSS JOIN user_horizon h")
+
+
 def _forecast_sql(prefix: str) -> str:
     return _sql(f"{_croston_select(prefix)} WHERE p.zero_ratio >= 0.6 UNION ALL "
                 f"{_trend_select(prefix)} WHERE p.zero_ratio < 0.6",
@@ -638,6 +662,8 @@ SELECT r.rule""", 1),
     "changepoint_line": _fitted_sql("short_line", "(f.intercept + f.slope * (13 + h.step))"),
     "changepoint_one_bend": _fitted_sql(
         "short_bend", "((f.det0 + f.det1 * (13 + h.step) / 12.0 + f.det2 * (4 + h.step) / 12.0) / f.det)"),
+    "changepoint_sparse_bend": _fitted_sql(
+        "short_sparse", "(f.scale * (f.intercept + f.slope * (13 + h.step) / 12.0 + f.bend * (4 + h.step) / 12.0))"),
     "changepoint_methods": _sql(
         "SELECT p.product_id, p.age_sales_category, p.style, CASE WHEN p.zero_ratio >= 0.6 THEN 'croston' "
         "ELSE 'changepoint' END AS forecast_method, h.date, CASE WHEN p.zero_ratio >= 0.6 "
@@ -708,6 +734,8 @@ FROM (SELECT CAST(coalesce(sum(sales_units), 0) AS BIGINT) AS total_sales,
         "FROM evaluation WHERE sales_category = '02| Very Low' ORDER BY round(error, 6) DESC, product_id LIMIT 10", "evaluation"),
     "run_style_series": _sql("SELECT product_id, style, date, forecast, run_id FROM runs WHERE run_id = 3 AND style = 'ST7'",
                              "runs"),
+    "daily_job_changepoint": _sql(_MODEL_JOB_SELECT, "user_croston", "user_horizon"),
+    "daily_job_regressors": _sql(_MODEL_JOB_SELECT, "user_croston", "user_horizon"),
     "daily_job": _forecast_sql("user").replace(" AS forecast FROM", " AS forecast, CAST(1 AS INTEGER) AS run_id FROM"),
     "scorecard_job": _sql(
         "SELECT *, round(CASE WHEN sales_units > 0 THEN (exact - sales_units) / sales_units END, 4) + CAST(0 AS DOUBLE) AS bias, "

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -512,6 +513,16 @@ def daily_job(spark, sf):
     return forecast_rounded(run_store.read_run(spark, runs, run_id))
 
 
+def _model_job(settings) -> Query:
+    """The job with its default model: rows, categories, methods and intermittent values of the stored run."""
+    def query(spark, sf):
+        features, runs = shared_path(spark, "features"), shared_path(spark, "runs")
+        run_id = daily.run(spark, *_job_inputs(spark, sf), features, runs, settings, fx.LABELS)
+        rows = forecast_rounded(run_store.read_run(spark, runs, run_id))
+        return rows.withColumn("intermittent", F.when(F.col("forecast_method") == fc.CROSTON, F.col("forecast"))).drop("forecast")
+    return query
+
+
 def scorecard_job(spark, sf):
     features, out = shared_path(spark, "features"), shared_path(spark, "scorecard")
     feature_store.write_features(fx.user_features(spark, sf), features)
@@ -584,6 +595,7 @@ QUERIES: dict[str, Query] = {
     "trend_weekday_sparse": trend_weekday_sparse,
     "changepoint_line": _fitted(fx.LINE),
     "changepoint_one_bend": _fitted(fx.BEND),
+    "changepoint_sparse_bend": _fitted(fx.SPARSE_BEND),
     "changepoint_methods": changepoint_methods,
     "changepoint_forecast": changepoint_forecast,
     "horizon": horizon,
@@ -617,5 +629,7 @@ QUERIES: dict[str, Query] = {
     "product_card": product_card,
     # jobs
     "daily_job": daily_job,
+    "daily_job_changepoint": _model_job(fx.USER),
+    "daily_job_regressors": _model_job(replace(fx.USER, use_regressors=True)),
     "scorecard_job": scorecard_job,
 }

@@ -1,8 +1,10 @@
 """Batched regression for a bending trend with a multiplicative weekly season.
 
 The model is the piecewise-linear trend with a weekly Fourier season of Taylor and Letham,
-"Forecasting at Scale" (2018), with a ridge penalty in place of their priors.  It is an estimator of
-the same form, not the same estimates.
+"Forecasting at Scale" (2018).  Slope changes have a Laplace prior, as theirs do: most are exactly zero, and those that are not
+are shrunk by a constant (soft threshold).  The season has a normal prior.  The noise, which weighs the data against the prior, is the
+mean square that a straight line under the current season leaves, where theirs is sampled.  So it is an estimator of the same form, not the same
+estimates.  ``ridge`` gives slope changes a normal prior instead.
 """
 
 from __future__ import annotations
@@ -26,6 +28,9 @@ SEASON_DAYS = 14
 SEASON_PENALTY = 0.01
 ROUNDS = 6
 MIN_ROWS = 2
+LAPLACE, RIDGE = "laplace", "ridge"
+MOST_TURNS = 20
+TINY = 1e-8
 
 
 def _bends(scaled: np.ndarray, changepoints: int) -> np.ndarray:
@@ -52,9 +57,64 @@ def _ridge(design: np.ndarray, penalty: np.ndarray, target: np.ndarray) -> np.nd
     return np.linalg.solve(normal, moment[..., None])[..., 0]
 
 
+def lasso(gram: np.ndarray, moment: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Minimum of half b'Gb - m'b + w |b|_1 for stacks G (series, terms, terms), m (series, terms) and w (series).
+
+    An active set with signs: given these the minimum solves a linear system.  On the way there the first term that would change its
+    sign stops at zero and leaves the set; once there, the term outside that could improve most enters.  A series is done when
+    none could, which are the conditions of optimality; the others go on together.
+    """
+    out = np.zeros_like(moment)
+    terms = moment.shape[1]
+    todo = np.arange(len(moment))
+    b, sign, barred = (np.zeros_like(moment) for _ in range(3))
+    slack = 1e-9 * (np.maximum(np.abs(moment).max(axis=1, initial=0.0), weight) + TINY)
+    each = np.arange(terms)
+    for _ in range(MOST_TURNS * (terms + 1)):
+        g, m, w = gram[todo], moment[todo], weight[todo][:, None]
+        slope = m - np.einsum("sij,sj->si", g, b)
+        excess = np.where((sign != 0) | (barred != 0), -np.inf, np.abs(slope) - w)
+        enter = excess.argmax(axis=1)
+        settled = (np.where(sign != 0, np.abs(slope - w * sign), 0.0) <= slack[todo, None]).all(axis=1)
+        done = settled & (excess[np.arange(len(todo)), enter] <= slack[todo])
+        out[todo] = b
+        if done.all():
+            break
+        add = np.flatnonzero(settled & ~done)
+        sign[add, enter[add]] = np.sign(slope[add, enter[add]])
+        g, m, w, b, sign, barred, todo = (x[~done] for x in (g, m, w, b, sign, barred, todo))
+        inside = sign != 0
+        system = np.where(inside[:, :, None] & inside[:, None, :], g, 0.0)
+        system[:, each, each] += np.where(inside, 0.0, 1.0)
+        goal = np.linalg.solve(system, np.where(inside, m - w * sign, 0.0)[..., None])[..., 0]
+        crossing = inside & (goal * sign <= 0)
+        reach = np.where(crossing, np.abs(b) / np.maximum(np.abs(b) + np.abs(goal), 1e-300), 1.0)
+        step = reach.min(axis=1, keepdims=True, initial=1.0)
+        leaving = crossing & (reach <= step)
+        # One that leaves without having moved must wait until another one has.
+        barred = np.where(step > 0, 0.0, barred + leaving)
+        b = np.where(leaving | ~inside, 0.0, b + step * (goal - b))
+        sign = np.where(leaving, 0.0, sign)
+    return out
+
+
+def _sparse(design: np.ndarray, prior: float, target: np.ndarray) -> np.ndarray:
+    """Intercept, slope and slope changes of each series; the first two are free, so they are taken out first."""
+    normal = np.einsum("spi,spj->sij", design, design)
+    normal[:, np.arange(design.shape[2]), np.arange(design.shape[2])] += TINY
+    moment = np.einsum("spi,sp->si", design, target)
+    line = np.linalg.solve(normal[:, :2, :2], np.concatenate((moment[:, :2, None], normal[:, :2, 2:]), axis=2))
+    straight, carried = line[:, :, 0], line[:, :, 1:]
+    left = target - np.einsum("spi,si->sp", design[:, :, :2], straight)
+    weight = np.square(left).mean(axis=1) / prior
+    gram = normal[:, 2:, 2:] - normal[:, 2:, :2] @ carried
+    bends = lasso(gram, moment[:, 2:] - np.einsum("sij,sj->si", normal[:, 2:, :2], straight), weight)
+    return np.concatenate((straight - np.einsum("sij,sj->si", carried, bends), bends), axis=1)
+
+
 def fit_block(y: np.ndarray, days: np.ndarray, changepoints: int, prior: float,
               future_days: np.ndarray, flags: np.ndarray | None = None,
-              future_flags: np.ndarray | None = None) -> np.ndarray:
+              future_flags: np.ndarray | None = None, penalty: str = LAPLACE) -> np.ndarray:
     """Forecasts (series, future) for series of one length and one set of dates.
 
     ``flags`` (rows, flags) and ``future_flags`` lift or lower the trend on their days, as the season
@@ -65,7 +125,7 @@ def fit_block(y: np.ndarray, days: np.ndarray, changepoints: int, prior: float,
     bends = _bends(scaled, changepoints)
     trend_x, trend_future = _trend_design(scaled, bends), _trend_design(ahead, bends)
     # Only the bends are penalised; the tiny rest keeps the system solvable.
-    trend_penalty = np.full(trend_x.shape[1], 1e-8)
+    trend_penalty = np.full(trend_x.shape[1], TINY)
     trend_penalty[2:] = 1.0 / prior ** 2 / max(n, 1)
     lift_parts = [(_season_design(days), _season_design(future_days))] if (
         days[-1] - days[0] + 1 >= SEASON_DAYS) else []
@@ -78,7 +138,8 @@ def fit_block(y: np.ndarray, days: np.ndarray, changepoints: int, prior: float,
         lift_x, lift_x_future = (np.column_stack(side) for side in zip(*lift_parts))
         lift_penalty = np.full(lift_x.shape[1], SEASON_PENALTY)
     for _ in range(ROUNDS if lift_parts else 1):
-        trend_beta = _ridge(trend_x[None] * lift[..., None], trend_penalty, target)
+        lifted = trend_x[None] * lift[..., None]
+        trend_beta = _sparse(lifted, prior, target) if penalty == LAPLACE and len(bends) else _ridge(lifted, trend_penalty, target)
         trend = trend_beta @ trend_x.T
         if lift_parts:
             lift_beta = _ridge(lift_x[None] * trend[..., None], lift_penalty, target - trend)
@@ -103,7 +164,7 @@ class RegressorDays:
         return found[:, self.columns.get(category, [])]
 
 
-def changepoint_values(start: date, horizon_days: int, regressors: RegressorDays | None = None):
+def changepoint_values(start: date, horizon_days: int, regressors: RegressorDays | None = None, penalty: str = LAPLACE):
     """A pandas UDF from a product's series to its forecast values, null where there is no fit."""
     first = (start - EPOCH).days
 
@@ -120,9 +181,9 @@ def changepoint_values(start: date, horizon_days: int, regressors: RegressorDays
         for (_, c, p, label), block in frame.groupby(["dates", "c", "p", "category"]):
             series = np.stack([np.asarray(v, dtype=float) for v in block["y"]])
             dates = np.asarray(block["days"].iloc[0], dtype=np.int64)
-            flags = [regressors.of(label, d) for d in (dates, future)] if regressors else []
+            flags = [regressors.of(label, d) for d in (dates, future)] if regressors else [None, None]
             try:
-                fitted = fit_block(series, dates, int(c), float(p), future, *flags)
+                fitted = fit_block(series, dates, int(c), float(p), future, *flags, penalty)
             except np.linalg.LinAlgError:
                 continue
             for index, row in zip(block.index, fitted):

@@ -186,7 +186,7 @@ def _regressor_days(regressors: DataFrame, settings: Settings) -> RegressorDays:
 def changepoint_forecast(training: DataFrame, settings: Settings,
                          regressors: DataFrame | None = None) -> DataFrame:
     """As ``forecast``, but the trend bends at the category's changepoints and the weekly season is
-    a Fourier series, fitted by a penalised regression.
+    a Fourier series, fitted with a sparse prior on the bends.
 
     Each product is one row with its series in an array no longer than the look-back, so Arrow sends
     thousands of products to one call of the solver.
@@ -204,7 +204,7 @@ def changepoint_forecast(training: DataFrame, settings: Settings,
     intermittent = F.col("zero_ratio") >= settings.zero_ratio_threshold
     solver = changepoint_values(
         settings.forecast_start, settings.horizon_days,
-        None if regressors is None else _regressor_days(regressors, settings))
+        None if regressors is None else _regressor_days(regressors, settings), settings.changepoint_penalty)
     fitted = profile.withColumn("croston", _croston(F.col("over_forecast_factor"), F.col("n"))).withColumn(
         "fitted", solver(F.when(~intermittent, F.col("series.y")),
                          F.when(~intermittent, F.col("series.day")),

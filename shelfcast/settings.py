@@ -77,8 +77,12 @@ class Settings:
     """Label every day before the first sale Draft, not just the last one."""
     use_regressors: bool = False
     """Let the changepoint model see each category's calendar flags, past and future."""
+    changepoint_penalty: str = "laplace"
+    """Prior of the trend's bends: "laplace" leaves most of them out, "ridge" makes all of them small."""
 
     def __post_init__(self) -> None:
+        if self.changepoint_penalty not in ("laplace", "ridge"):
+            raise ValueError("changepoint_penalty must be laplace or ridge")
         for name in ("history_start", "history_end", "forecast_start"):
             value = getattr(self, name)
             if isinstance(value, str):

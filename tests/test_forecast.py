@@ -4,6 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from catalog import fixtures as fx
+from shelfcast.operators import changepoint
 from shelfcast.operators import eligibility as el
 from shelfcast.operators import forecast as fc
 from shelfcast.operators import panel
@@ -302,7 +304,8 @@ def test_changepoint_model_against_one_series_at_a_time(spark):
     rng = random.Random(11)
     series = {f"p{i}": [rng.randint(1, 30) for _ in range(n)]
               for i, n in enumerate([8, 10, 13, 14, 20, 30, 60, 60])}
-    settings = Settings(history_start=day(0), history_end=day(60))
+    # One system of equations for each product: bends with a normal prior.
+    settings = Settings(history_start=day(0), history_end=day(60), changepoint_penalty="ridge")
     rows = _training_rows(spark, series, 1.15).withColumn("changepoints", F.lit(4))
     got = {}
     for product, value in values(fc.changepoint_forecast(rows, settings).orderBy("product_id", "date"),
@@ -325,3 +328,81 @@ def test_changepoint_model_leaves_out_rows_without_units(spark):
     nothing = _training_rows(spark, {"none": [None] * 10})
     assert set(values(fc.changepoint_forecast(nothing, settings), "forecast_method", "forecast")) == {
         ("croston", 0.0)}
+
+
+def _optimal(gram, moment, weight, found) -> float:
+    """By how much the worst coefficient misses the conditions under which none can be improved, in parts of the moments."""
+    slope = moment - np.einsum("sij,sj->si", gram, found)
+    miss = np.where(found != 0, np.abs(slope - weight[:, None] * np.sign(found)), np.maximum(np.abs(slope) - weight[:, None], 0))
+    return float((miss.max(axis=1) / np.maximum(np.abs(moment).max(axis=1), weight)).max())
+
+
+def test_sparse_bends_cannot_be_improved():
+    rng = np.random.default_rng(3)
+    for terms in (1, 2, 8, 25):
+        rows = 60
+        x = np.linspace(0, 1, rows)
+        hinges = np.maximum(x[:, None] - np.linspace(0, 0.8, terms + 1)[1:], 0)
+        hinges = hinges - np.column_stack([np.ones(rows), x]) @ np.linalg.lstsq(np.column_stack([np.ones(rows), x]), hinges, rcond=None)[0]
+        y = rng.normal(size=(200, rows)).cumsum(axis=1)
+        gram, moment = np.repeat((hinges.T @ hinges)[None], 200, axis=0), y @ hinges
+        weight = np.abs(moment).max(axis=1) * rng.choice([0.0, 0.01, 0.3, 0.9, 1.5], size=200)
+        found = changepoint.lasso(gram, moment, weight)
+        assert _optimal(gram, moment, weight, found) < 1e-6
+        assert (found[weight > np.abs(moment).max(axis=1)] == 0).all()
+
+
+def test_no_bend_of_any_product_can_be_improved(spark, sf_dir, monkeypatch):
+    training = tr.training_from_sales(fx.part_facts(spark, sf_dir), fx.part_products(spark, sf_dir), fx.ITEM)
+    rows = training.where("n >= 8").groupBy("product_id", "changepoints", "changepoint_prior").agg(
+        F.sort_array(F.collect_list(F.struct("t", "y", F.unix_date("date").alias("day")))).alias("s")).collect()
+    seen = []
+    solve = changepoint.lasso
+
+    def checked(gram, moment, weight):
+        found = solve(gram, moment, weight)
+        seen.append(_optimal(gram, moment, weight, found))
+        return found
+
+    monkeypatch.setattr(changepoint, "lasso", checked)
+    for row in rows:
+        y = np.array([[float(p.y) for p in row.s]])
+        if y.any():
+            days = np.array([p.day for p in row.s])
+            out = changepoint.fit_block(y, days, row.changepoints, row.changepoint_prior, days[-1] + np.arange(1, 15))
+            assert np.isfinite(out).all()
+    assert len(seen) > 100 and max(seen) < 1e-6
+
+
+def test_a_sparse_trend_keeps_one_bend_and_drops_the_others():
+    days = np.arange(60)
+    rng = np.random.default_rng(5)
+    bent = 20 + np.maximum(days - 30, 0) * 1.0 + rng.normal(size=(1, 60)) * 0.1
+    straight = 20 + 0.5 * days[None, :] + rng.normal(size=(1, 60)) * 0.1
+    counts = []
+    solve = changepoint.lasso
+    try:
+        changepoint.lasso = lambda *args: counts.append((solve(*args) != 0).sum()) or solve(*args)
+        ahead = changepoint.fit_block(bent, days, 8, 0.1, days[-1] + np.arange(1, 15))
+        assert ahead[0, 13] == pytest.approx(20 + 43, rel=0.05)
+        assert counts[-1] <= 4
+        # Noise alone makes no bend where the prior is tight.
+        ahead = changepoint.fit_block(straight, days, 8, 0.001, days[-1] + np.arange(1, 15))
+        assert counts[-1] == 0 and ahead[0, 13] == pytest.approx(20 + 0.5 * 73, rel=0.01)
+    finally:
+        changepoint.lasso = solve
+
+
+def test_hand_made_flags_lift_their_days(spark):
+    """A flag that doubles sales on its days doubles the forecast on the one that is planned, and on no other."""
+    flags = {3, 9, 16, 24, 31, 38, 45, 52, 63}
+    units = [20 if i in flags else 10 for i in range(60)]
+    settings = Settings(history_start=day(0), history_end=day(59), use_regressors=True)
+    table = spark.createDataFrame([(day(i), 1) for i in flags], "date date, EID_FITR_DAY_0 int")
+    training = _training(spark, {"a": units}, settings)
+    plain = values(fc.changepoint_forecast(training, settings).orderBy("date"), "forecast")
+    known = values(fc.changepoint_forecast(training, settings, fc.known_regressors(table, settings)).orderBy("date"), "forecast")
+    factor = 1.3
+    assert known[3] == pytest.approx(20 * factor, rel=0.03)
+    assert [known[i] for i in range(14) if i != 3] == pytest.approx([10 * factor] * 13, rel=0.03)
+    assert plain[3] < 15 * factor
