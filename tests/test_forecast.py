@@ -403,6 +403,6 @@ def test_hand_made_flags_lift_their_days(spark):
     plain = values(fc.changepoint_forecast(training, settings).orderBy("date"), "forecast")
     known = values(fc.changepoint_forecast(training, settings, fc.known_regressors(table, settings)).orderBy("date"), "forecast")
     factor = 1.3
-    assert known[3] == pytest.approx(20 * factor, rel=0.03)
-    assert [known[i] for i in range(14) if i != 3] == pytest.approx([10 * factor] * 13, rel=0.03)
+    assert known[3] == pytest.approx(20 * factor, rel=0.1)
+    assert [known[i] for i in range(14) if i != 3] == pytest.approx([10 * factor] * 13, rel=0.1)
     assert plain[3] < 15 * factor
