@@ -591,6 +591,9 @@ ORACLE: dict[str, str] = {
                            "LEFT JOIN order_cal_flags f USING (date)", "part_sales", "order_cal_flags"),
     "missing_dates": _sql("SELECT date FROM part_sales EXCEPT SELECT date FROM order_cal_flags",
                           "part_sales", "order_cal_flags"),
+    "missing_dates_sample": _sql(
+        "SELECT least(5, n) AS sampled, least(5, n) AS different, least(5, n) AS missing FROM (SELECT count(*) AS n FROM ("
+        "SELECT date FROM part_sales EXCEPT SELECT date FROM order_cal_flags))", "part_sales", "order_cal_flags"),
     "active_effects": _sql(
         " UNION ALL ".join(f"SELECT style, date, '{name}' AS effect FROM brand_features WHERE \"{name}\" > 0"
                            for name in ("SALARY_PERIOD", *(x for x in fx.LABELS if x.endswith("_DAY_0")))),
@@ -600,6 +603,10 @@ ORACLE: dict[str, str] = {
         "CASE WHEN p_partkey IS NOT NULL THEN 'ST' || p_partkey END AS style "
         "FROM part_sales LEFT JOIN part ON p_partkey = product_id", "part_sales"),
     "features": _sql("SELECT * FROM part_features", "part_features"),
+    "features_sparse_flags": _sql(
+        "SELECT l.*, 'ST' || l.product_id AS style, coalesce(f.flags, '') AS flags FROM part_life l LEFT JOIN (SELECT date, "
+        "string_agg(DISTINCT calendar_effect_day, ',' ORDER BY calendar_effect_day) AS flags FROM order_cal_labels GROUP BY date) f "
+        "USING (date)", "part_life", "order_cal_labels"),
     "features_incremental": _sql("SELECT * FROM part_features", "part_features"),
     "feature_totals": _sql("SELECT count(*) AS total_records, CAST(coalesce(sum(sales_units), 0) AS BIGINT) "
                            "AS total_sales_units FROM part_sales", "part_sales"),
@@ -722,6 +729,17 @@ FROM (SELECT CAST(coalesce(sum(sales_units), 0) AS BIGINT) AS total_sales,
         "SELECT date, " + ", ".join(f"count(DISTINCT CASE WHEN age_category = '{age}' THEN product_id END) "
                                     f'AS "{age}"' for age in _AGES)
         + " FROM validation GROUP BY date", "validation"),
+    "products_by_age_bitmap": _sql(
+        "SELECT CAST(date_trunc('month', date) AS DATE) AS month, age_category, count(DISTINCT product_id) AS product_count "
+        "FROM part_life GROUP BY ALL", "part_life"),
+    "scorecard_one_pass": _sql(
+        "SELECT CASE GROUPING(sales_category, bias_bin, error_bin) WHEN 3 THEN 'category' WHEN 5 THEN 'bias' WHEN 6 THEN 'error' "
+        "WHEN 1 THEN 'category_bias' WHEN 2 THEN 'category_error' ELSE 'total' END AS view, sales_category, bias_bin, error_bin, "
+        "count(DISTINCT product_id) AS product_count, count(*) AS rows, CAST(sum(sales_units) AS BIGINT) AS sales_units, "
+        "round(sum(f), 6) AS forecast, round(sum(e), 6) + CAST(0 AS DOUBLE) AS error, arg_min(product_id, (-e, product_id)) AS worst_product "
+        "FROM (SELECT *, round(forecast, 6) AS f, round(error, 6) + CAST(0 AS DOUBLE) AS e FROM evaluation) "
+        "GROUP BY GROUPING SETS ((sales_category), (bias_bin), (error_bin), (sales_category, bias_bin), (sales_category, error_bin), ())",
+        "evaluation"),
     "category_performance": _sql(
         "SELECT count(DISTINCT style) AS product_count, CAST(sum(sales_units) AS BIGINT) AS sales_units, "
         "round(sum(forecast), 4) AS forecast, round(sum(error), 4) AS error FROM evaluation "

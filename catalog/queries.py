@@ -168,6 +168,14 @@ def missing_dates(spark, sf):
     return cal.missing_dates(_part_rows(spark, sf), _flags(spark, sf))
 
 
+def missing_dates_sample(spark, sf):
+    """Five dates sold on without an effect, any five: how many they are, and how many of them are such dates."""
+    rows, flags = _part_rows(spark, sf), _flags(spark, sf)
+    known = cal.missing_dates(rows, flags).withColumn("known", F.lit(1))
+    return cal.missing_dates(rows, flags, sample=5).join(known, "date", "left").agg(
+        F.count(F.lit(1)).alias("sampled"), F.countDistinct("date").alias("different"), F.count("known").alias("missing"))
+
+
 def active_effects(spark, sf):
     return ev.active_effects(fx.brand_features(spark, sf, flags=True))
 
@@ -182,6 +190,12 @@ def features(spark, sf):
     return fx.part_features(spark, sf, flags=True)
 
 
+def features_sparse_flags(spark, sf):
+    """The features with the names of each day's flags in one column, here joined by commas."""
+    rows = ft.build_features(fx.part_sales(spark, sf), fx.part_products(spark, sf), fx.calendar_effects(spark, sf), fx.ITEM, sparse=True)
+    return rows.withColumn("flags", F.array_join("flags", ","))
+
+
 def features_incremental(spark, sf):
     """The features again, from a base and two increments that read no history but that of products with late lines."""
     path = shared_path(spark, "features")
@@ -469,6 +483,19 @@ def products_by_age_pivot(spark, sf):
     return ev.products_by_age(fx.user_features(spark, sf), latest_run_per_date(spark, sf))
 
 
+def products_by_age_bitmap(spark, sf):
+    """Distinct parts by month and age, from stored bitmaps of days: a month is an OR of its days' small rows."""
+    features, path = fx.part_features(spark, sf), shared_path(spark, "bitmaps")
+    ev.age_bitmaps(features, ev.product_numbers(features)).write.parquet(path)
+    months = spark.read.parquet(path).withColumn("month", F.date_trunc("month", "date").cast("date"))
+    return ev.products_of(months, "month", "age_category")
+
+
+def scorecard_one_pass(spark, sf):
+    # Rounded before it is summed up, so that ties are ties on any engine.
+    return rounded(ev.summary(rounded(_evaluation(spark, sf), "forecast", "error")), "forecast", "error")
+
+
 def category_performance(spark, sf):
     scored = _evaluation(spark, sf).where(F.col("sales_category") == CATEGORY)
     return rounded(ev.category_performance(scored), "forecast", "error", digits=4)
@@ -565,11 +592,13 @@ QUERIES: dict[str, Query] = {
     "calendar_labels": calendar_labels,
     "calendar_flags": calendar_flags,
     "missing_dates": missing_dates,
+    "missing_dates_sample": missing_dates_sample,
     "active_effects": active_effects,
     # features
     "sales_with_style": sales_with_style,
     "features": features,
     "features_incremental": features_incremental,
+    "features_sparse_flags": features_sparse_flags,
     "feature_totals": feature_totals,
     "regressor_numeric": regressor_numeric,
     # eligibility
@@ -621,6 +650,8 @@ QUERIES: dict[str, Query] = {
     "business_daily": business_daily,
     "business_window": business_window,
     "products_by_age_pivot": products_by_age_pivot,
+    "products_by_age_bitmap": products_by_age_bitmap,
+    "scorecard_one_pass": scorecard_one_pass,
     "category_performance": category_performance,
     "worst_products": worst_products,
     "worst_in_category": worst_in_category,

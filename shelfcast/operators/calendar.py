@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.functions.categories import effect_day_label
 
-# Flag names become columns and pivot branches, so a calendar with more of them is an error in its ranges.
+# Flag names become columns and pivot branches; a calendar with more of them keeps them in one column, see ``sparse_flags``.
 MOST_LABELS = 500
 
+SPARSE = "flags"
+
 
 def _dated(effects: DataFrame) -> DataFrame:
     return effects.withColumns({
@@ -42,7 +44,7 @@ def distinct_labels(labelled: DataFrame) -> list[str]:
     """Flag names present, sorted.  Runs a job over the calendar table; pin the list to avoid it."""
     rows = labelled.select("calendar_effect_day").distinct().orderBy("calendar_effect_day").limit(MOST_LABELS + 1).collect()
     if len(rows) > MOST_LABELS:
-        raise ValueError(f"more than {MOST_LABELS} calendar flags; is a range too long?")
+        raise ValueError(f"more than {MOST_LABELS} calendar flags; keep them in one column with sparse_flags")
     return [row.calendar_effect_day for row in rows]
 
 
@@ -73,3 +75,36 @@ def join_flags(sales: DataFrame, flags: DataFrame) -> DataFrame:
     """
     names = [name for name in flags.columns if name != "date"]
     return sales.join(flags, "date", "left").fillna(0, subset=names)
+
+
+# Flags as one column: the names that are on, however many there are
+
+def sparse_flags(labelled: DataFrame) -> DataFrame:
+    """One row per effect date with the sorted names of its flags.
+
+    A date has as many names as effects reach it, whatever the number of flags in the calendar, and no name has to be known
+    while the plan is built.
+    """
+    return labelled.groupBy("date").agg(F.array_sort(F.collect_set("calendar_effect_day")).alias(SPARSE))
+
+
+def join_sparse_flags(sales: DataFrame, flags: DataFrame) -> DataFrame:
+    """Sales with the flags of their date, an empty array where there are none.  No hint is given, as in ``join_flags``."""
+    joined = sales.join(flags, "date", "left")
+    return joined.withColumn(SPARSE, F.coalesce(SPARSE, F.array().cast("array<string>")))
+
+
+def is_sparse(df: DataFrame) -> bool:
+    return SPARSE in df.columns and df.schema[SPARSE].dataType.simpleString() == "array<string>"
+
+
+def flag(df: DataFrame, name: str) -> Column:
+    """A flag as 0 or 1, by its name, from either form; a name that the calendar does not have is 0."""
+    if is_sparse(df):
+        return F.coalesce(F.array_contains(SPARSE, name).cast("int"), F.lit(0))
+    return F.coalesce(F.col(name), F.lit(0)) if name in df.columns else F.lit(0)
+
+
+def flag_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The sparse column as 0/1 columns of the chosen names."""
+    return df.withColumns({name: flag(df, name) for name in names}).drop(SPARSE)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from shelfcast.functions import accuracy
 from shelfcast.functions.accuracy import percent
 from shelfcast.functions.categories import AGE_CATEGORIES
+from shelfcast.operators.calendar import SPARSE, is_sparse
 
 # Sums of forecasts are rounded here before they are binned.  The last bits of such a sum depend on the
 # order rows arrive in, and a retried task must not move a product across a bin edge.
@@ -119,11 +120,16 @@ def accuracy_distribution(scored: DataFrame, method: str = "bias", target: str =
     if sales_category is not None:
         scored = scored.where(F.col("sales_category") == sales_category)
     key = f"{method}_bin"
-    units = scored.groupBy(key).agg(F.sum(target).alias("units_in_bin"))
+    return _distribution(scored.groupBy(key).agg(F.sum(target).alias("units_in_bin")), method, low, high, include_partial_bins)
+
+
+def _distribution(units: DataFrame, method: str, low: float, high: float, include_partial_bins: bool) -> DataFrame:
+    """All 22 bins from the units of those that have any (``units_in_bin``)."""
+    key = f"{method}_bin"
     start, end = F.col("bin_start"), F.col("bin_end")
     good = ((start <= high) & (end >= low)) if include_partial_bins else (
         (start >= low) & (end <= high))
-    table = _bins(scored.sparkSession, method).join(units, key, "left").withColumns({
+    table = _bins(units.sparkSession, method).join(units, key, "left").withColumns({
         "units_in_bin": F.coalesce(F.col("units_in_bin"), F.lit(0)), "is_good": good})
     everything = Window.partitionBy()
     total = F.sum("units_in_bin").over(everything)
@@ -202,6 +208,67 @@ def products_by_age(features: DataFrame, forecast: DataFrame) -> DataFrame:
     return counts.join(dates, "date", "full").fillna(0, subset=list(AGE_CATEGORIES))
 
 
+# Distinct products that add up: a bitmap for each day and age
+
+def product_numbers(products: DataFrame, groups: int = 256) -> DataFrame:
+    """Each product_id with a number of its own, from 0 on without gaps, so that bitmaps of them are small.
+
+    Products are numbered within ``groups`` hash groups, and groups one behind the other: one task sees ``groups`` rows.
+    """
+    known = products.select("product_id").where(F.col("product_id").isNotNull()).distinct().withColumn(
+        "group", F.pmod(F.xxhash64("product_id"), F.lit(groups)))
+    before = known.groupBy("group").agg(F.count(F.lit(1)).alias("n")).withColumn(
+        "before", F.coalesce(F.sum("n").over(Window.orderBy("group").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    place = F.row_number().over(Window.partitionBy("group").orderBy("product_id"))
+    return known.join(before.select("group", "before"), "group").select(
+        "product_id", (F.col("before") + place - 1).alias("number"))
+
+
+def age_bitmaps(features: DataFrame, numbers: DataFrame) -> DataFrame:
+    """Products of every date and age category as bitmaps: one row for each 32,768 numbers that have any.
+
+    Stored, they answer for any window of dates by an OR of small rows, where distinct counts of days cannot be added.
+    """
+    numbered = features.where(F.col("date").isNotNull()).select("date", "age_category", "product_id").join(numbers, "product_id")
+    return numbered.groupBy("date", "age_category", F.bitmap_bucket_number("number").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("products"))
+
+
+def products_of(bitmaps: DataFrame, *group_by: str) -> DataFrame:
+    """Distinct products of each group of bitmap rows."""
+    united = bitmaps.groupBy(*group_by, "bucket").agg(F.bitmap_or_agg("products").alias("products"))
+    return united.groupBy(*group_by).agg(F.sum(F.bitmap_count("products")).alias("product_count"))
+
+
+# The evaluation table in one pass
+
+def summary(scored: DataFrame) -> DataFrame:
+    """Totals of the evaluation table by category, by bias bin, by error bin, by category and each bin, and of all of it.
+
+    Grouping sets make all of them in one scan and one shuffle of partial sums.  ``view`` names the set a row belongs to; columns that
+    its set does not group by are null.  ``worst_product`` is the one with the largest error, the smaller id among equals.
+    """
+    keys = ("sales_category", "bias_bin", "error_bin")
+    sets = [["sales_category"], ["bias_bin"], ["error_bin"], ["sales_category", "bias_bin"], ["sales_category", "error_bin"], []]
+    grouped = scored.groupingSets([[F.col(name) for name in names] for names in sets], *keys).agg(
+        F.grouping_id(*keys).alias("set"), F.countDistinct("product_id").alias("product_count"), F.count(F.lit(1)).alias("rows"),
+        F.sum("sales_units").alias("sales_units"), F.sum("forecast").alias("forecast"), F.sum("error").alias("error"),
+        F.min_by("product_id", F.struct(-F.col("error"), "product_id")).alias("worst_product"))
+    # A bit is set for each key that is not grouped by, the last key's the lowest.
+    view = F.when(F.col("set") == 3, "category").when(F.col("set") == 5, "bias").when(F.col("set") == 6, "error").when(
+        F.col("set") == 1, "category_bias").when(F.col("set") == 2, "category_error").otherwise("total")
+    return grouped.withColumn("view", view).select("view", *keys, *[c for c in grouped.columns if c not in (*keys, "set")])
+
+
+def accuracy_of(summed: DataFrame, method: str = "bias", sales_category: str | None = None,
+                thresholds: tuple[float, float] | None = None, include_partial_bins: bool = False) -> DataFrame:
+    """``accuracy_distribution`` of sales units from the rows of ``summary``, without another look at the products."""
+    low, high = good_range(method, thresholds)
+    rows = summed.where(F.col("view") == method) if sales_category is None else summed.where(
+        (F.col("view") == f"category_{method}") & (F.col("sales_category") == sales_category))
+    return _distribution(rows.select(f"{method}_bin", F.col("sales_units").alias("units_in_bin")), method, low, high, include_partial_bins)
+
+
 def category_performance(scored: DataFrame, count_of: str = "style") -> DataFrame:
     """One row: distinct values of one column, and units, forecast and error summed."""
     return scored.agg(F.countDistinct(count_of).alias("product_count"),
@@ -228,9 +295,13 @@ def product_card(products: DataFrame, style: str) -> DataFrame:
 
 def active_effects(features: DataFrame, styles: Iterable[str] | None = None) -> DataFrame:
     """Days on which an anchor-day flag or the salary period is on, as (style, date, effect) rows."""
-    flags = [name for name in features.columns if name.endswith("_DAY_0") or name == "SALARY_PERIOD"]
     if styles is not None:
         features = features.where(F.col("style").isin(*styles))
+    if is_sparse(features):
+        salary = F.when(F.col("SALARY_PERIOD") > 0, F.array(F.lit("SALARY_PERIOD"))).otherwise(F.array().cast("array<string>"))
+        anchors = F.filter(SPARSE, lambda name: name.endswith("_DAY_0"))
+        return features.select("style", "date", F.explode(F.concat(anchors, salary)).alias("effect"))
+    flags = [name for name in features.columns if name.endswith("_DAY_0") or name == "SALARY_PERIOD"]
     active = F.explode(F.filter(
         F.array(*[F.when(F.col(name) > 0, F.lit(name)) for name in flags]), lambda e: e.isNotNull()))
     return features.select("style", "date", active.alias("effect"))

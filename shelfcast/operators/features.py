@@ -34,12 +34,16 @@ def calendar_flags(effects: DataFrame, labels: Sequence[str] | None = None) -> D
 
 
 def build_features(sales: DataFrame, products: DataFrame, effects: DataFrame | None,
-                   settings: Settings, labels: Sequence[str] | None = None) -> DataFrame:
+                   settings: Settings, labels: Sequence[str] | None = None, sparse: bool = False) -> DataFrame:
     """Sales with lifecycle columns, style and calendar flags.
 
-    No job runs here, unless ``labels`` is missing and the calendar's flags have to be named.
+    No job runs here, unless ``labels`` is missing and the calendar's flags have to be named.  With ``sparse`` the flags
+    are one column of names, for calendars with any number of them.
     """
     features = add_style(add_lifecycle(sales_columns(sales), settings), products)
+    if sparse and effects is not None:
+        return calendar.join_sparse_flags(features, calendar.sparse_flags(
+            calendar.label_effect_days(calendar.effect_days(effects))))
     flags = None if effects is None else calendar_flags(effects, labels)
     if flags is None:
         return features

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.functions.categories import numeric_or_zero, salary_period
+from shelfcast.operators.calendar import flag_columns, is_sparse
 from shelfcast.operators.changepoint import EPOCH, RegressorDays, changepoint_values
 from shelfcast.operators.lifecycle import ALL_ROWS, product_rows
 from shelfcast.operators.training import PRODUCT_COLUMNS
@@ -165,6 +166,8 @@ def known_regressors(flags: DataFrame, settings: Settings) -> DataFrame:
     """Every date from the history start to the forecast end with all regressors, past and planned."""
     days = F.explode(F.sequence(F.lit(settings.history_start), F.lit(settings.forecast_end)))
     spine = flags.sparkSession.range(1).select(days.alias("date"))
+    if is_sparse(flags):
+        flags = flag_columns(flags, [name for name in settings.all_regressors if name != "SALARY_PERIOD"])
     present = [name for name in settings.all_regressors if name in flags.columns]
     filled = spine.join(flags.select("date", *present), "date", "left")
     salary = salary_period(F.col("date"), settings.salary_first_day, settings.salary_last_day)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelfcast.operators import forecast as fc
 from shelfcast.operators import incremental as inc
-from shelfcast.operators.calendar import join_flags
+from shelfcast.operators.calendar import effect_days, is_sparse, join_flags, join_sparse_flags, label_effect_days, sparse_flags
 from shelfcast.operators.eligibility import history_cut, qualified_history
 from shelfcast.operators.features import add_style, build_features, calendar_flags
 from shelfcast.operators.lifecycle import sales_columns
@@ -40,9 +40,9 @@ def forecast_demand(features: DataFrame, settings: Settings, trend_model: str =
 
 
 def build_all(spark: SparkSession, sales: DataFrame, products: DataFrame, calendar: DataFrame | None, features_path: str,
-              settings: Settings, labels: Sequence[str] | None = None, keep_state: bool = False) -> None:
+              settings: Settings, labels: Sequence[str] | None = None, keep_state: bool = False, sparse: bool = False) -> None:
     """Write the features of all sales facts.  With ``keep_state``, ``add_new`` can go on from them."""
-    features = build_features(daily_sales(sales), products, calendar, settings, labels)
+    features = build_features(daily_sales(sales), products, calendar, settings, labels, sparse)
     state = inc.lifecycle_state(sales_columns(daily_sales(sales)), settings) if keep_state else None
     write_features(features, features_path, state)
 
@@ -66,7 +66,11 @@ def add_new(spark: SparkSession, sales: DataFrame, products: DataFrame, calendar
     rows, after = inc.increment(new, rewritten, state, stored.select(*new.columns), settings)
     featured = add_style(rows, products)
     labels = [name for name in stored.columns if name not in featured.columns]
-    if labels:
+    if is_sparse(stored):
+        if calendar is None:
+            raise ValueError("the stored features have calendar flags; give the calendar")
+        featured = join_sparse_flags(featured, sparse_flags(label_effect_days(effect_days(calendar))))
+    elif labels:
         flags = None if calendar is None else calendar_flags(calendar, labels)
         if flags is None:
             raise ValueError("the stored features have calendar flags; give the calendar")
@@ -77,8 +81,8 @@ def add_new(spark: SparkSession, sales: DataFrame, products: DataFrame, calendar
 def run(spark: SparkSession, sales: Table, products: Table, calendar: Table, features_path: str,
         runs_path: str, settings: Settings, labels: Sequence[str] | None = None,
         trend_model: str = fc.CHANGEPOINT, run_id: int | None = None, owner: str | None = None,
-        incremental: bool = False) -> int:
-    """Run everything and return the run number.
+        incremental: bool = False, sparse: bool = False) -> int:
+    """Run everything and return the run number.  ``sparse`` keeps the calendar's flags in one column, however many there are.
 
     With ``incremental``, ``sales`` holds only the facts since the last run, once that run has kept its state: the features
     of the days before are not computed again.
@@ -98,10 +102,10 @@ def run(spark: SparkSession, sales: Table, products: Table, calendar: Table, fea
     if before and before.state:
         add_new(spark, sales_rows, product_rows, effects, features_path, settings)
     else:
-        build_all(spark, sales_rows, product_rows, effects, features_path, settings, labels, keep_state=incremental)
+        build_all(spark, sales_rows, product_rows, effects, features_path, settings, labels, incremental, sparse)
     regressors = None
     if settings.use_regressors:
-        flags = calendar_flags(effects, labels)
+        flags = sparse_flags(label_effect_days(effect_days(effects))) if sparse else calendar_flags(effects, labels)
         regressors = None if flags is None else fc.known_regressors(flags, settings)
     owner = owner or new_owner()
     if run_id is None:
@@ -125,6 +129,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--trend-model", choices=TREND_MODELS, default=fc.CHANGEPOINT)
     parser.add_argument("--incremental", action="store_true",
                         help="the sales table holds only facts that earlier runs have not seen")
+    parser.add_argument("--sparse-flags", action="store_true", help="keep calendar flags in one column")
     parser.add_argument("--use-regressors", action="store_true",
                         help="let the changepoint model see the calendar")
     args = parser.parse_args(argv)
@@ -133,7 +138,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     spark = build_session("shelfcast daily forecast")
     tables = [Table(path, args.format) for path in (args.sales, args.products, args.calendar)]
     print(run(spark, *tables, args.features, args.runs, settings, trend_model=args.trend_model,
-              run_id=args.run_id, owner=args.owner, incremental=args.incremental))
+              run_id=args.run_id, owner=args.owner, incremental=args.incremental, sparse=args.sparse_flags))
 
 
 if __name__ == "__main__":

@@ -3,6 +3,7 @@ from shelfcast.operators import calendar as cal
 from shelfcast.operators import evaluation as ev
 from shelfcast.operators import features as ft
 from shelfcast.operators import lifecycle as lc
+from shelfcast.operators.forecast import known_regressors
 from shelfcast.settings import Settings
 from tests.helpers import day, products, sales, values
 import pytest
@@ -81,3 +82,37 @@ def test_active_effects(spark):
 def test_numeric_or_zero(spark):
     df = spark.createDataFrame([("1.5",), ("x",), (None,), ("NaN",), ("-2",)], "v string")
     assert values(df.select(numeric_or_zero(F.col("v")).alias("n")), "n") == [1.5, 0.0, 0.0, 0.0, -2.0]
+
+
+def test_any_number_of_flags_fits_one_column(spark):
+    """Five thousand flags, no job to name them while the plan is built, and both forms say the same of the few that both have."""
+    effects = spark.range(5000).select(
+        F.concat(F.lit("KIND"), "id").alias("calendar_effect"), F.concat(F.lit("KIND"), "id").alias("calendar_effect_type"),
+        F.date_add(F.lit(day(0)), (F.col("id") % 30).cast("int")).alias("date")).withColumns(
+        {"start_date": F.col("date"), "end_date": F.date_add("date", 1)})
+    labelled = cal.label_effect_days(cal.effect_days(effects))
+    with pytest.raises(ValueError, match="sparse_flags"):
+        cal.distinct_labels(labelled)
+    sold = spark.createDataFrame([(day(i), i) for i in (0, 3, 31, 40)], "date date, n int")
+    joined = cal.join_sparse_flags(sold, cal.sparse_flags(labelled))
+    sizes = dict(values(joined.select("n", F.size("flags").alias("size")), "n", "size"))
+    assert sizes[40] == 0 and sizes[31] == 0 and sizes[0] == len(range(0, 5000, 30)) and sizes[3] == 2 * sizes[0]
+    names = ["KIND3_DAY_0", "KIND2_DAY_PLUS_1", "KIND4_DAY_0", "NONE_DAY_0"]
+    wide = cal.flag_columns(joined, names)
+    assert "flags" not in wide.columns and wide.schema["NONE_DAY_0"].dataType.simpleString() == "int"
+    assert sorted(values(wide, "n", *names)) == [(0, 0, 0, 0, 0), (3, 1, 1, 0, 0), (31, 0, 0, 0, 0), (40, 0, 0, 0, 0)]
+    few = cal.join_flags(sold, cal.pivot_flags(labelled, names[:3]))
+    assert sorted(values(few, "n", *names[:3])) == sorted(values(wide, "n", *names[:3]))
+
+
+def test_regressors_and_active_effects_read_either_form(spark):
+    effects = spark.createDataFrame([("EID_FITR", "EID_FITR", day(4), day(3), day(5)), ("ARAFAT_DAY", "ARAFAT_DAY", day(4), day(4), day(4))],
+                                    "calendar_effect string, calendar_effect_type string, date date, start_date date, end_date date")
+    settings = Settings(history_start=day(0), history_end=day(15))
+    labelled = cal.label_effect_days(cal.effect_days(effects))
+    wide, narrow = cal.pivot_flags(labelled, cal.distinct_labels(labelled)), cal.sparse_flags(labelled)
+    assert sorted(map(str, known_regressors(wide, settings).collect())) == sorted(map(str, known_regressors(narrow, settings).collect()))
+    rows = sales(spark, {"a": [1] * 16})
+    both = [ft.build_features(rows, products(spark, "a"), effects, settings, sparse=sparse) for sparse in (False, True)]
+    found = [sorted(map(str, ev.active_effects(features).collect())) for features in both]
+    assert found[0] == found[1] and any("ARAFAT_DAY_DAY_0" in row for row in found[0])

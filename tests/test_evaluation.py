@@ -1,6 +1,8 @@
 import math
+import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from shelfcast.functions.accuracy import bin_table
 from shelfcast.operators import evaluation as ev
@@ -135,3 +137,43 @@ def test_accuracy_by_category_equals_one_category_at_a_time(spark):
         tuple(r) for r in ev.accuracy_distribution(_evaluation(spark), "bias", sales_category="02| Very Low").collect()]
     with pytest.raises(ValueError):
         ev.accuracy_by_category(_evaluation(spark), "other")
+
+
+def test_bitmaps_of_days_answer_for_any_window(spark):
+    rng = random.Random(5)
+    rows = [(f"p{rng.randrange(70_000)}", day(rng.randrange(6)), rng.choice(["00| Draft", "04| Mature", None])) for _ in range(100_000)]
+    features = spark.createDataFrame([*rows, (None, day(0), "00| Draft"), ("p1", None, "00| Draft")],
+                                     "product_id string, date date, age_category string")
+    numbers = ev.product_numbers(features)
+    got = sorted(values(numbers, "number"))
+    assert got == list(range(len({r[0] for r in [*rows, ("p1",)]})))
+    bitmaps = ev.age_bitmaps(features, numbers)
+    assert bitmaps.count() <= 6 * 3 * 3  # three blocks of numbers
+    for first, last in ((0, 5), (2, 3), (4, 4)):
+        inside = F.col("date").between(F.lit(day(first)), F.lit(day(last)))
+        want = features.where(inside & F.col("product_id").isNotNull()).groupBy("age_category").agg(F.countDistinct("product_id").alias("n"))
+        united = ev.products_of(bitmaps.where(inside), "age_category")
+        assert sorted(map(str, values(united, "age_category", "product_count"))) == sorted(map(str, values(want, "age_category", "n")))
+
+
+def test_the_summary_reads_the_evaluation_once(spark, tmp_path):
+    rows = [(f"p{i}", f"ST{i}", i % 3, float((7 * i) % 11), ["02| Very Low", "05| Medium"][i % 2]) for i in range(60)]
+    scored = ev.add_bias_and_error(spark.createDataFrame(
+        rows, "product_id string, style string, sales_units bigint, forecast double, sales_category string"))
+    scored.write.parquet(str(tmp_path / "evaluation"))
+    stored = spark.read.parquet(str(tmp_path / "evaluation"))
+    summed = ev.summary(stored)
+    plan = summed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") == 1
+    summed.write.parquet(str(tmp_path / "summary"))
+    summed = spark.read.parquet(str(tmp_path / "summary"))
+    for method in ("bias", "error"):
+        for category in (None, "05| Medium"):
+            want = ev.accuracy_distribution(stored, method, sales_category=category)
+            assert ev.accuracy_of(summed, method, category).collect() == want.collect()
+    total = summed.where("view = 'total'").first()
+    assert (total.product_count, total.rows) == (60, 60)
+    assert total.worst_product == values(ev.worst_products(stored, 1), "product_id")[0]
+    by_category = {r.sales_category: r for r in summed.where("view = 'category'").collect()}
+    perf = ev.category_performance(stored.where("sales_category = '05| Medium'"), "product_id").first()
+    assert by_category["05| Medium"].product_count == perf.product_count and by_category["05| Medium"].forecast == pytest.approx(perf.forecast)
