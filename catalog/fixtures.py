@@ -121,7 +121,8 @@ def brand_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = daily_sales(part_facts(spark, sf_dir))
     daily = _daily(parts.join(brands, "product_id").select(
         F.col("p_brand").alias("product_id"), "day", "units_sold", "sales_amount"))
-    return densify(daily, *day_range(daily))
+    # Every line's part has a brand, so the range is that of the lines: one column, before anything is joined.
+    return densify(daily, *day_range(part_facts(spark, sf_dir)))
 
 
 def catalogue_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,7 +143,8 @@ def user_sales(spark: SparkSession, sf_dir: str, purchases_only: bool = True,
         F.col("user_id").alias("product_id"), F.col("ts").cast("date").alias("day"),
         F.when(counted, 1).otherwise(0).cast("long").alias("units_sold"),
         F.when(counted, _money("value")).otherwise(0).alias("sales_amount")))
-    return densify(daily, *day_range(daily)) if dense else daily
+    # Dense, every event counts as a row of its day, so the range is that of the events.
+    return densify(daily, *day_range(events.select(F.col("ts").cast("date").alias("day")))) if dense else daily
 
 
 def part_products(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -50,6 +50,12 @@ def forecast_rounded(df: DataFrame) -> DataFrame:
 # Sources and sinks
 
 def scan_filtered(spark, sf):
+    return tb.scan(fx.table(spark, sf, "lineitem"), SCAN_FILTERS).select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+
+
+def scan_ordered(spark, sf):
+    """The same rows in order of their day, latest first, for a reader that needs them so."""
     return tb.scan(fx.table(spark, sf, "lineitem"), SCAN_FILTERS, order_by="l_shipdate", descending=True).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
 
@@ -568,6 +574,7 @@ def product_card(spark, sf):
 QUERIES: dict[str, Query] = {
     # sources and sinks
     "scan_filtered": scan_filtered,
+    "scan_ordered": scan_ordered,
     "scan_sales_since": scan_sales_since,
     "sales_profile": sales_profile,
     "features_roundtrip": features_roundtrip,

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from shelfcast.operators.lifecycle import without_nan
 
+EARLIEST = "0001-01-01"
+
 
 def daily_sales(facts: DataFrame) -> DataFrame:
     """Sum ``units_sold`` and ``sales_amount`` to one row per product and day; keep the least of its ids.
@@ -33,27 +35,22 @@ def densify(daily: DataFrame, first: date | Column, last: date | Column,
 
     Row windows and look-back by rows are only right on such a panel.  Products are all of ``daily``,
     those whose rows lie outside the range too, and those of ``products`` (``product_id``), sold or not.
-    Each row in the range is followed by zero rows up to the product's next one, and the product's first row
-    also brings the zero rows before it.  So no product-by-date spine is built or joined, and the rows stay
-    partitioned by product.
+    Each row brings the zero rows up to the product's next one, and the product's first row those from the start of the range as well.
+    So no product-by-date spine is built or joined, and the rows stay partitioned by product.
     """
     first = F.lit(first) if isinstance(first, date) else first
     last = F.lit(last) if isinstance(last, date) else last
     rows = daily.select("product_id", "day", "units_sold", "sales_amount")
     if products is not None:
         rows = rows.unionByName(products.select("product_id").distinct(), allowMissingColumns=True)
-    product = Window.partitionBy("product_id").orderBy(F.col("day").asc_nulls_first())
-    inside = F.col("day").between(first, last)
-    marked = rows.select(
-        "*", F.row_number().over(product).alias("position"), F.lead("day").over(product).alias("next"),
-        F.min(F.when(inside, F.col("day"))).over(
-            product.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("first_inside"))
+    # A row without a day stands before all others.
+    placed = rows.withColumn("place", F.coalesce("day", F.lit(EARLIEST).cast("date")))
+    product = Window.partitionBy("product_id").orderBy("place")
+    marked = placed.withColumns({"position": F.row_number().over(product), "next": F.lead("place").over(product)})
+    begin = F.when(F.col("position") == 1, first).otherwise(F.greatest("place", first))
     until = F.least(F.coalesce(F.date_sub("next", 1), last), last)
-    none = F.array().cast("array<date>")
-    before = F.when((F.col("position") == 1) & F.coalesce(F.col("first_inside") > first, F.lit(True)),
-                    F.sequence(first, F.coalesce(F.date_sub("first_inside", 1), last))).otherwise(none)
-    own = F.when(inside, F.sequence("day", until)).otherwise(none)
-    filled = marked.withColumn("calendar_day", F.explode(F.concat(before, own)))
+    filled = marked.withColumn("calendar_day", F.explode(
+        F.when(begin <= until, F.sequence(begin, until)).otherwise(F.array().cast("array<date>"))))
     sold = F.coalesce(F.col("calendar_day") == F.col("day"), F.lit(False))
     return filled.select(
         "product_id", F.col("calendar_day").alias("day"),
