@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shelfcast.llm import (
     decontaminate, hard_negatives, jaccard_join, language, licenses, personal_data, pieces, resampling, sharding,
     substring_dedup, token_files, top_k, url_filter)
+from shelfcast.session import shared_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,7 +48,7 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed, _ = sharding.into_shards(table(spark, sf_dir, "documents"), 8)
+    placed, _ = sharding.into_shards(table(spark, sf_dir, "documents"), shared_path(spark, "slot-map"), 8)
     return placed.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")}) \
         .select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 

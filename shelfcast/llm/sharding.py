@@ -2,7 +2,7 @@
 
 Every document hashes into one of SLOTS virtual slots, for good.  Bytes are summed by slot, and a map of SLOTS rows says
 which shard holds which slot.  Rebalancing edits that map: it moves the slots that it takes, and no others,
-from full shards to shards below their share, and gives the map the next version.  So documents follow sizes and not
+from full shards to shards below their share, and gives the map the next version, which is written below the maps before it.  So documents follow sizes and not
 ids, and adding a shard moves about one share of the bytes.  The only thing that is gathered is the map and the bytes
 by slot, SLOTS rows whatever the corpus holds.
 
@@ -23,6 +23,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from shelfcast.sources.files import names, version_path, versions
+
 SLOTS = 4096
 SHARDS = 8
 TOLERANCE = 0.001
@@ -104,16 +106,36 @@ def slot_sizes(rows: DataFrame, slots: int = SLOTS) -> tuple[list[int], list[int
     return sizes, counts
 
 
-def into_shards(docs: DataFrame, shards: int = SHARDS, current: SlotMap | None = None,
-                slots: int = SLOTS) -> tuple[DataFrame, SlotMap]:
+def write_map(spark: SparkSession, plan: SlotMap, path: str) -> None:
+    """Store a map beside those before it.  A version is written once."""
+    plan.rows(spark).coalesce(1).write.parquet(f"{path.rstrip('/')}/v{plan.version}")
+
+
+def stored_map(spark: SparkSession, path: str) -> SlotMap | None:
+    """The newest map that is stored whole at ``path``, or None: as many rows as there are virtual slots."""
+    for version in reversed(versions(spark, path)):
+        folder = version_path(path.rstrip("/"), version)
+        if "_SUCCESS" not in names(spark, folder):  # a job died while it wrote this one
+            continue
+        rows = spark.read.schema("vslot int, shard int, version int").parquet(folder).orderBy("vslot").collect()
+        return SlotMap(version, max(row.shard for row in rows) + 1, tuple(row.shard for row in rows))
+    return None
+
+
+def into_shards(docs: DataFrame, path: str, shards: int = SHARDS, slots: int = SLOTS) -> tuple[DataFrame, SlotMap]:
     """Every document with its shard and its position there, and the map that was used.
 
-    ``current`` is the map in force; without one the slots are dealt round and then rebalanced.
+    The newest map stored at ``path`` is edited for the sizes of today and stored as the next version; where there is none the
+    slots are dealt round first.  Documents are placed by the map as it is read back.
     """
     spark = docs.sparkSession
     rows = sized(docs, slots)
     sizes, counts = slot_sizes(rows, slots)
-    plan = (current or SlotMap.fresh(shards, slots)).edited(sizes, shards)
+    current = stored_map(spark, path) or SlotMap.fresh(shards, slots)
+    if len(current.shard_of) != slots:
+        raise ValueError(f"the map at {path} has {len(current.shard_of)} slots, not {slots}")
+    write_map(spark, current.edited(sizes, shards), path)
+    plan = stored_map(spark, path)
     before, seen = [], [0] * shards
     for slot, shard in enumerate(plan.shard_of):
         before.append((slot, shard, seen[shard], plan.version))

@@ -1,8 +1,10 @@
 """Decontamination, top-k, licences, URL rules, shards and languages."""
 
 import itertools
+import os
 import random
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.llm import decontaminate, language, licenses, queries, sharding, top_k, url_filter
 from shelfcast.llm.words import text_bytes
+from shelfcast.session import shared_path
 
 from ..compare import connect, differences
 from .tables import ID_TEXT, awkward_documents, prose
@@ -122,7 +125,7 @@ def test_empty_tables(spark):
     some = spark.createDataFrame([(1, "a b c")], ID_TEXT)
     assert decontaminate.without_leaks(some, items.limit(0)).count() == 1
     assert licenses.scan_licenses(docs).count() == 0
-    assert sharding.into_shards(docs)[0].count() == 0
+    assert sharding.into_shards(docs, shared_path(spark, "map"))[0].count() == 0
     assert top_k.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
     assert url_filter.judged(spark.createDataFrame([], "page_id long, url string"), queries.URL_RULES).count() == 0
     full = spark.createDataFrame([], ID_TEXT + ", lang string, source string")
@@ -236,15 +239,45 @@ def test_editing_a_slot_map_moves_no_more_than_it_must():
 
 def test_shards_of_awkward_rows(spark):
     docs = spark.createDataFrame([(*r, 9) for r in ROWS], ID_TEXT + ", shard int")
-    placed, plan = sharding.into_shards(docs, 3)
+    placed, plan = sharding.into_shards(docs, shared_path(spark, "map"), 3)
     rows = placed.collect()
     assert len(rows) == len(ROWS) and {r.version for r in rows} == {plan.version}
+    assert sorted((str(r.doc_id), r.size, r.text_crc32) for r in rows) == sorted(
+        (str(i), len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in ROWS)
     for shard in range(3):
         places = sorted(r.slot for r in rows if r.shard == shard)
         assert places == list(range(len(places)))
     assert plan.rows(spark).count() == sharding.SLOTS
 
 
+def test_a_stored_slot_map_is_edited_twice(spark):
+    path = shared_path(spark, "map")
+    assert sharding.stored_map(spark, path) is None
+    rng = random.Random(3)
+    rows = [(i, "x" * rng.randrange(2000)) for i in range(3000)]
+
+    def placed(count: int, shards: int):
+        table, plan = sharding.into_shards(spark.createDataFrame(rows[:count], ID_TEXT), path, shards)
+        found = {r.doc_id: (r.shard, r.size, r.vslot) for r in table.collect()}
+        load = [sum(size for shard, size, _ in found.values() if shard == k) for k in range(shards)]
+        assert len(found) == count and max(load) - min(load) < 0.02 * sum(load)
+        assert sharding.stored_map(spark, path) == plan
+        assert all(plan.shard_of[vslot] == shard for shard, _, vslot in found.values())
+        return plan, found
+
+    first, before = placed(2000, 8)
+    second, after = placed(3000, 8)
+    third, grown = placed(3000, 9)
+    assert [plan.version for plan in (first, second, third)] == [2, 3, 4]
+    moved = sum(size for i, (shard, size, _) in grown.items() if after[i][0] != shard)
+    assert moved < 1.1 * sum(size for _, size, _ in after.values()) / 9
+    # What the first map placed is moved only as far as today's sizes ask for.
+    assert sum(before[i][0] != after[i][0] for i in before) < 0.2 * len(before)
+    spark.createDataFrame([(0, 0, 5)], "vslot int, shard int, version int").write.parquet(f"{path}/part")
+    os.makedirs(f"{path.removeprefix('file://')}/v9")  # a writer that died
+    assert sharding.stored_map(spark, path) == third
+
+
 def test_licences_on_held_out_paragraphs():
     rng = np.random.default_rng(99)
     plain = [prose(random.Random(i), 30) for i in range(300)]
