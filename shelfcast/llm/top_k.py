@@ -8,8 +8,9 @@ compacted away.  Each task keeps k candidates for each query, and the k best of
 Components are floor(SCALE * x).  Sums stay below 2**53 where both norms allow it, and are then exact in doubles; other
 blocks add up 64-bit integers, which wrap around as a long does.
 
-The queries go out in rounds of bounded size, ROUND_BYTES of vectors at most, and each round reads the candidates once.  So
-nothing that grows with the data is ever broadcast whole.
+Spark deals out the work: candidates in slices and queries in blocks, both of bounded size, meet as pairs (slice, block), one
+group each, and the k best of every group are merged by query.  So nothing that grows with the data is broadcast, gathered or
+read by one task.
 
 Defined results.  Vectors that are null or hold null or non-finite components take no part.  Rows with a null id are candidates
 for nobody and ask nothing.  Vectors of different length compare as if the shorter had zeros behind it.  Rows with one vec_id
@@ -19,14 +20,13 @@ vec_id.  Other columns are ignored.
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfcast.llm.chunks import ship
+from shelfcast.llm.graph import stored
 
 SCALE = 1024
 STEP = 16
@@ -34,7 +34,8 @@ STEP = 16
 BLOCK = 2048
 TILE = 64
 """Queries that share one pruning."""
-ROUND_BYTES = 32 << 20
+ROUND_BYTES, SLICE_BYTES = 16 << 20, 32 << 20
+"""Vectors of a block of queries, and of a slice of candidates."""
 EXACT = float(1 << 53)
 _ROWS = "query_id long, vec_id long, score long"
 
@@ -102,35 +103,41 @@ class Best:
                 self.least[i] = score[order[-1]]
 
 
-def _search(shared, k: int):
-    def search(batches):
-        ids, vectors = shared.value
-        width = max((len(v) for v in vectors), default=0)
-        tiles = []
-        for batch in batches:
-            values = batch["v"]
-            flat = np.array(values.values.slice(values.offsets[0].as_py()) if len(values) else [], dtype=np.int64)
-            ends = np.array(values.offsets, dtype=np.int64) - (values.offsets[0].as_py() if len(values) else 0)
-            vec_ids = np.array(batch["vec_id"], dtype=np.int64)
+def _flat(values) -> tuple[np.ndarray, np.ndarray]:
+    """All components of a column of vectors, and n + 1 offsets."""
+    values = values.combine_chunks() if isinstance(values, pa.ChunkedArray) else values
+    ends = np.array(values.offsets, dtype=np.int64)
+    return np.array(values.values, dtype=np.int64)[ends[0]:ends[-1]], ends - ends[0]
+
+
+def _search(k: int):
+    """One slice of candidates against one block of queries."""
+    def search(candidates: pa.Table, asked: pa.Table) -> pa.Table:
+        tiles: list[Best] = []
+        if len(candidates) and len(asked):
+            ids, (query, bounds) = np.array(asked["vec_id"], dtype=np.int64), _flat(asked["v"])
+            vectors = [query[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+            flat, ends = _flat(candidates["v"])
+            vec_ids, copies = np.array(candidates["vec_id"], dtype=np.int64), np.array(candidates["copies"], dtype=np.int64)
+            width = max(len(v) for v in vectors)
+            widest = max(width, int(np.diff(ends).max()))
+            tiles = [Best(ids[i:i + TILE], _vertical(vectors[i:i + TILE], max(width, 1)), k) for i in range(0, len(ids), TILE)]
             for low in range(0, len(vec_ids), BLOCK):
                 high = min(len(vec_ids), low + BLOCK)
                 sizes = np.diff(ends[low:high + 1])
-                widest = max(width, int(sizes.max(initial=0)))
-                if len(set(sizes.tolist())) == 1 and sizes[0] == widest:
-                    columns = np.ascontiguousarray(flat[ends[low]:ends[high]].reshape(high - low, widest).T)
+                if (sizes == widest).all():
+                    columns = flat[ends[low]:ends[high]].reshape(high - low, widest).T
                 else:
                     columns = _vertical([flat[ends[i]:ends[i + 1]] for i in range(low, high)], widest)
-                columns = columns[:max(width, 1)] if widest > width else columns
-                if not tiles:
-                    tiles = [Best(ids[i:i + TILE], _vertical(vectors[i:i + TILE], len(columns)), k)
-                             for i in range(0, len(ids), TILE)]
+                # What lies behind the longest query meets zeros.
+                columns = np.ascontiguousarray(columns[:max(width, 1)]) if widest else np.zeros((1, high - low), dtype=np.int64)
+                columns = np.repeat(columns, copies[low:high], axis=1)
                 behind = remaining(columns)
                 for tile in tiles:
-                    tile.offer(vec_ids[low:high], columns, behind)
-        for tile in tiles:
-            counts = [len(s) for s in tile.score]
-            yield pa.record_batch([pa.array(np.repeat(tile.ids, counts)), pa.array(np.concatenate(tile.vec)),
-                                   pa.array(np.concatenate(tile.score))], names=["query_id", "vec_id", "score"])
+                    tile.offer(np.repeat(vec_ids[low:high], copies[low:high]), columns, behind)
+        found = [(np.repeat(tile.ids, [len(s) for s in tile.score]), np.concatenate(tile.vec), np.concatenate(tile.score)) for tile in tiles]
+        columns = [np.concatenate(c) for c in zip(*found)] if found else [np.zeros(0, dtype=np.int64)] * 3
+        return pa.table([pa.array(c, pa.int64()) for c in columns], names=["query_id", "vec_id", "score"])
     return search
 
 
@@ -138,16 +145,18 @@ def top_k(vectors: DataFrame, every: int = 100, k: int = 10) -> DataFrame:
     """query_id, rank, vec_id, score for every row whose vec_id is divisible by ``every``, against all other rows."""
     spark = vectors.sparkSession
     ship(spark)
-    rows = usable(vectors)
-    asked = rows.filter(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
-    count, cells = asked.agg(F.count(F.lit(1)), F.sum(F.size("v"))).first()
-    rounds = max(1, -(-8 * int(cells or 0) // ROUND_BYTES))
-    found = []
-    for number in range(rounds):
-        part = asked.filter(F.pmod(F.xxhash64("vec_id"), F.lit(rounds)) == number).orderBy("vec_id").collect()
-        shared = spark.sparkContext.broadcast((np.array([r[0] for r in part], dtype=np.int64),
-                                               [np.array(r[1], dtype=np.int64) for r in part]))
-        found.append(rows.mapInArrow(_search(shared, k), _ROWS))
+    # Equal rows are one row with its number: more than k of them never appear.
+    rows = stored(usable(vectors).groupBy("vec_id", "v").agg(F.least(F.count(F.lit(1)), F.lit(k)).alias("copies")), "vectors")
+    is_query = F.col("vec_id") % every == 0
+    cells, query_cells = rows.agg(F.sum(F.size("v")), F.sum(F.when(is_query, F.size("v")))).first()
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    slices, blocks = max(parts, -(-8 * int(cells or 0) // SLICE_BYTES)), max(1, -(-8 * int(query_cells or 0) // ROUND_BYTES))
+    asked = rows.filter(is_query).groupBy("vec_id").agg(F.min("v").alias("v")) \
+        .withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")) \
+        .withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
+    candidates = rows.withColumn("slice", F.pmod(F.xxhash64("vec_id", "v"), F.lit(slices)).cast("int")) \
+        .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    found = candidates.groupBy("slice", "block").cogroup(asked.groupBy("slice", "block")).applyInArrow(_search(k), _ROWS)
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return reduce(DataFrame.union, found).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k) \
+    return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k) \
         .select("query_id", "rank", "vec_id", "score")
