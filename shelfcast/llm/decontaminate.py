@@ -5,15 +5,18 @@ look at 6 of at most 11 successive tokens and ignore the others; they are chosen
 wherever its replaced words are, has a seed of one of them (tests go through all placements).  Seeds of
 the items and of the documents are joined on their hash; a bit filter of the item seeds, of bounded
 size, keeps documents' seeds that cannot match from being sent.  Where the filter lets seeds through, the tokens
-around them go on as one region.  Joined seeds name a diagonal of region and item, and on it the stretch
-of highest score (1 for an equal token, -2 for another) must have MATCHED equal tokens and a share of IDENTITY.
+around them go on as one region.  Joined seeds name diagonals of region and item; all of a pair are checked in one row, and on one of
+them the stretch of highest score (1 for an equal token, -2 for another) must have MATCHED equal tokens and a share of IDENTITY.
+
+Short items have seeds and rules by their length.  One of 6 tokens and more may have one token replaced, anywhere: up to MATCHED its
+seeds are all of its tokens but one, beyond them the masks hit.  One of 5 tokens is sought unchanged.  One of 1 to 4 tokens, which any text may hold by chance, is
+found where it is all that a document says.
 
 Skew: a passage that a third of all documents hold gives one region for each occurrence and no pairs of
 documents; item tables carry no hint, Spark broadcasts them only if they are measured small.
 
-Defined results.  An item of at most MATCHED tokens is sought whole and unchanged; one of fewer than 5, or null,
-matches nothing.  Null and empty texts are clean.  One row for each document row and item, with the best stretch;
-equal rows are reported once.  Rows without doc_id are reported with a null doc_id.  Other columns are ignored.
+Defined results.  An item without tokens, or null, matches nothing.  Null and empty texts are clean.  One row for each document row and item, with the best stretch;
+equal rows are reported once.  Rows without doc_id, and items without item_id, are reported with a null in its place.  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,6 +33,7 @@ from shelfcast.llm.words import LOWER, mix, slices, split_words, text_bytes, win
 MASKS = ("11100100101", "11010111", "10100011011", "1110111")
 SPAN = 11
 SHORTEST = 5
+"""Shorter items are sought as whole documents, this one unchanged, and longer ones with replaced tokens."""
 MATCHED = 10
 IDENTITY = 0.75
 REACH = 64
@@ -60,6 +64,17 @@ def seeds(hashes: np.ndarray, first: np.ndarray, mask: str) -> tuple[np.ndarray,
     return starts, mix(total)
 
 
+def short_seeds(hashes: np.ndarray, starts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions and seeds of runs of n tokens, at most MATCHED: of the whole run up to SHORTEST, of all but one token beyond."""
+    total = np.full(len(starts), np.uint64((1 << (SPAN + 1)) + n), dtype=np.uint64)
+    for j in range(n):
+        total += hashes[starts + j] * _FACTORS[j]
+    if n <= SHORTEST:
+        return starts, mix(total)
+    holes = [mix(total - hashes[starts + j] * _FACTORS[j] + np.uint64(j << 20)) for j in range(n)]
+    return np.tile(starts, n), np.concatenate(holes) if holes else np.zeros(0, dtype=np.uint64)
+
+
 def _item_rows(batches):
     for batch in batches:
         words = _tokens(batch["text"])
@@ -69,13 +84,10 @@ def _item_rows(batches):
         for mask in MASKS:
             starts, h = seeds(hashes, words.first, mask)
             at.append(starts), seed.append(h), item.append(words.owner()[starts])
-        for n in range(SHORTEST, MATCHED):
+        for n in range(1, MATCHED + 1):
             own = np.flatnonzero(counts == n)
-            starts = words.first[own]
-            total = np.full(len(own), np.uint64((1 << n) - 1), dtype=np.uint64)
-            for j in range(n):
-                total += hashes[starts + j] * _FACTORS[j]
-            at.append(starts), seed.append(mix(total)), item.append(own)
+            starts, h = short_seeds(hashes, words.first[own], n)
+            at.append(starts), seed.append(h), item.append(words.owner()[starts])
         at, seed, item = np.concatenate(at), np.concatenate(seed), np.concatenate(item)
         order = np.argsort(item, kind="stable")
         at, seed, item = at[order], seed[order], item[order]
@@ -83,13 +95,13 @@ def _item_rows(batches):
         for i in range(len(counts)):
             low, high = words.first[i], words.first[i + 1]
             yield pa.record_batch([
-                batch["item_id"][i:i + 1], pa.array([hashes[low:high].astype("<u8").tobytes()], pa.binary()),
+                batch["item_id"][i:i + 1], batch["item"][i:i + 1], pa.array([hashes[low:high].astype("<u8").tobytes()], pa.binary()),
                 pa.array([seed[cut[i]:cut[i + 1]].view(np.int64)], pa.list_(pa.int64())),
                 pa.array([(at[cut[i]:cut[i + 1]] - low).astype(np.int32)], pa.list_(pa.int32())),
-                pa.array([int(counts[i])], pa.int32())], names=["item_id", "tokens", "seeds", "places", "n"])
+                pa.array([int(counts[i])], pa.int32())], names=["item_id", "item", "tokens", "seeds", "places", "n"])
 
 
-_ITEMS = "item_id long, tokens binary, seeds array<long>, places array<int>, n int"
+_ITEMS = "item_id long, item long, tokens binary, seeds array<long>, places array<int>, n int"
 
 
 def _probes(hashes: np.ndarray, bits: int):
@@ -151,8 +163,11 @@ def _regions(filter_table, bits: int, lengths: tuple[int, ...]):
                 words = split_words(LOWER[data[part[0]:part[-1]]], part - part[0], _BETWEEN)
                 hashes = words.hashes()
                 at, seed = [], []
-                for mask in (*MASKS, *("1" * n for n in lengths)):
-                    starts, h = seeds(hashes, words.first, mask)
+                found = [seeds(hashes, words.first, mask) for mask in MASKS]
+                for n in lengths:
+                    whole = words.first[:-1][words.counts == n] if n < SHORTEST else window_starts(words.first, n)
+                    found.append(short_seeds(hashes, whole, n))
+                for starts, h in found:
                     hit = _passing(h, table, bits)
                     at.append(starts[hit]), seed.append(h[hit])
                 at, seed = np.concatenate(at), np.concatenate(seed)
@@ -189,17 +204,32 @@ def best_stretch(equal: np.ndarray) -> tuple[int, int, int]:
 _FOUND = "doc_id long, key long, item_id long, matched int, length int, first_token long"
 
 
+def stretch(equal: np.ndarray, n: int) -> tuple[int, int, int] | None:
+    """Begin, end and equal tokens of the stretch on a diagonal by which an item of n tokens counts as found."""
+    whole = int(np.count_nonzero(equal)) if len(equal) == n else 0
+    if n > MATCHED:
+        a, b, matched = best_stretch(equal)
+        if matched >= MATCHED and matched >= IDENTITY * (b - a):
+            return a, b, matched
+    return (0, n, whole) if whole >= n - (n > SHORTEST) else None
+
+
 def _check(batches):
     for batch in batches:
         out = []
-        for doc_id, key, begin, item_id, n, diagonal, mine, theirs in zip(*(
-                batch[c].to_pylist() for c in ("doc_id", "key", "begin", "item_id", "n", "diagonal", "tokens", "item_tokens"))):
+        for doc_id, key, begin, item_id, n, diagonals, mine, theirs in zip(*(
+                batch[c].to_pylist() for c in ("doc_id", "key", "begin", "item_id", "n", "diagonals", "tokens", "item_tokens"))):
             x, y = np.frombuffer(mine, dtype="<u8"), np.frombuffer(theirs, dtype="<u8")
-            low, high = max(0, diagonal), min(len(x), len(y) + diagonal)
-            equal = x[low:high] == y[low - diagonal:high - diagonal]
-            a, b, matched = best_stretch(equal)
-            if matched >= min(MATCHED, n) and matched >= IDENTITY * (b - a):
-                out.append((doc_id, key, item_id, matched, b - a, begin + low + a))
+            best = None
+            for diagonal in sorted(diagonals):
+                low, high = max(0, diagonal), min(len(x), len(y) + diagonal)
+                found = stretch(x[low:high] == y[low - diagonal:high - diagonal], n)
+                if found:
+                    a, b, matched = found
+                    own = (matched, a - b, -(begin + low + a))
+                    best = own if best is None or own > best else best
+            if best:
+                out.append((doc_id, key, item_id, best[0], -best[1], -best[2]))
         if out:
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64())
             yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out), kinds)],
@@ -218,9 +248,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     ship(spark)
     items = stored(benchmark.select(F.col("item_id").cast("long").alias("item_id"),
                                     F.col("text").cast("string").alias("text"))
+                   .distinct().withColumn("item", F.xxhash64("item_id", "text"))
                    .mapInArrow(_item_rows, _ITEMS), "items")
     table, bits = seed_filter(items)
-    short = tuple(sorted(r[0] for r in items.filter(f"n >= {SHORTEST} and n < {MATCHED}").select("n").distinct().collect()))
+    short = tuple(sorted(r[0] for r in items.filter(f"n >= 1 and n <= {MATCHED}").select("n").distinct().collect()))
     shared = spark.sparkContext.broadcast(table)
     regions = stored(docs.alias("docs").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                                  row_digest().alias("key"))
@@ -228,12 +259,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     regions = regions.dropDuplicates(["key", "begin", "tokens"])
     mine = regions.select("key", "begin", F.explode(F.arrays_zip("seeds", "places")).alias("s")) \
         .select("key", "begin", F.col("s.seeds").alias("seed"), F.col("s.places").alias("place"))
-    theirs = items.select("item_id", F.explode(F.arrays_zip("seeds", "places")).alias("s")) \
-        .select("item_id", F.col("s.seeds").alias("seed"), F.col("s.places").alias("item_place"))
+    theirs = items.select("item", F.explode(F.arrays_zip("seeds", "places")).alias("s")) \
+        .select("item", F.col("s.seeds").alias("seed"), F.col("s.places").alias("item_place"))
     hits = mine.join(theirs, "seed").select(
-        "key", "begin", "item_id", (F.col("place") - F.col("item_place")).alias("diagonal")).distinct()
-    whole = hits.join(regions.select("doc_id", "key", "begin", "tokens"), ["key", "begin"]) \
-        .join(items.select("item_id", F.col("tokens").alias("item_tokens"), "n"), "item_id")
+        "key", "begin", "item", (F.col("place") - F.col("item_place")).alias("diagonal"))
+    # A pair's diagonals are no more than the tokens of its region and its item.
+    pairs = hits.groupBy("key", "begin", "item").agg(F.collect_set("diagonal").alias("diagonals"))
+    whole = pairs.join(regions.select("doc_id", "key", "begin", "tokens"), ["key", "begin"]) \
+        .join(items.select("item", "item_id", F.col("tokens").alias("item_tokens"), "n"), "item")
     return whole.mapInArrow(_check, _FOUND).groupBy("doc_id", "key", "item_id").agg(
         F.max(F.struct("matched", (-F.col("length")).alias("shorter"), (-F.col("first_token")).alias("sooner"))).alias("m")) \
         .select("doc_id", "key", "item_id", "m.matched", (-F.col("m.shorter")).alias("length"),

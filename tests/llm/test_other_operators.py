@@ -4,6 +4,7 @@ import itertools
 import os
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -42,10 +43,57 @@ def test_leaks_with_replaced_words_are_found(spark):
     benchmark = spark.createDataFrame(items, "item_id long, text string").withColumn("seeds", F.lit(1))
     found = decontaminate.contaminated(table, benchmark).collect()
     assert sorted((str(r.doc_id), r.item_id) for r in found) == sorted(
-        [(str(100 + i), i) for i in range(12)] + [("300", 20), ("None", 3)])
+        [(str(100 + i), i) for i in range(12)] + [("300", 20), ("302", 21), ("None", 3)])
     left = decontaminate.without_leaks(table, benchmark)
     assert left.columns == table.columns
-    assert sorted(r.doc_id for r in left.collect()) == sorted([i for i, _ in clean] + [301, 302, 400, 401])
+    assert sorted(r.doc_id for r in left.collect()) == sorted([i for i, _ in clean] + [301, 400, 401])
+
+
+def test_short_items_are_found_by_rules_of_their_length(spark):
+    """Every placement of one replaced word from 6 tokens on, at any place of a document; fewer tokens unchanged or alone."""
+    rng = random.Random(12)
+    items, docs, want = [], [], set()
+    for n in range(1, 15):
+        words = [f"t{n}x{j}" for j in range(n)]
+        items.append((n, " ".join(words)))
+        for j in range(n):
+            changed = " ".join(w if i != j else "other" for i, w in enumerate(words))
+            for place, text in enumerate((f"{changed} {prose(rng, 20)}", f"{prose(rng, 20)} {changed}", changed)):
+                docs.append((1000 * n + 10 * j + place, text))
+                if n >= 6:
+                    want.add((docs[-1][0], n))
+        docs += [(1000 * n + 500, f"{prose(rng, 9)} {' '.join(words)} {prose(rng, 9)}"), (1000 * n + 501, " ".join(words))]
+        want |= {(1000 * n + 501, n)} | ({(1000 * n + 500, n)} if n >= 5 else set())
+    two = [(90_000 + n, " ".join(w if i not in (1, n - 2) else "other" for i, w in enumerate(f"t{n}x{j}" for j in range(n)))) for n in range(6, 11)]
+    table, benchmark = spark.createDataFrame(docs + two, ID_TEXT), spark.createDataFrame(items, "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated(table, benchmark).collect()} == want
+    asked = spark.createDataFrame([(1, "what is the capital city of france")], "item_id long, text string")
+    said = spark.createDataFrame([(1, "tell me what is the main city of france today"), (2, "what is the main town of france")], ID_TEXT)
+    assert [r.doc_id for r in decontaminate.contaminated(said, asked).collect()] == [1]
+
+
+def test_leaks_of_awkward_rows(spark):
+    item = prose(random.Random(77), 30, 9000)
+    rows = [*ROWS, (None, item), (None, f"x {item}"), (80, item), (80, item), (80, f"{item} more"), (81, "y " * 50_000 + item)]
+    table = spark.createDataFrame(rows, ID_TEXT).withColumns({name: F.lit(1) for name in ("key", "begin", "tokens", "seeds", "item_id")})
+    benchmark = spark.createDataFrame([(1, item), (None, item), (2, None), (3, ""), (1, item)], "item_id long, text string")
+    found = decontaminate.contaminated(table, benchmark).collect()
+    assert sorted((str(r.doc_id), str(r.item_id), r.matched, r.first_token) for r in found) == sorted(
+        (i, item_id, 30, first) for item_id in ("1", "None")
+        for i, first in (("None", 0), ("None", 1), ("80", 0), ("80", 0), ("81", 50_000)))  # two different texts of doc 80
+
+
+def test_time_on_one_repeated_word_grows_with_its_length(spark):
+    benchmark = spark.createDataFrame([(1, "word " * 30)], "item_id long, text string")
+
+    def seconds(n: int) -> float:
+        table = spark.createDataFrame([(1, "word " * n)], ID_TEXT)
+        begin = time.perf_counter()
+        assert [r.matched for r in decontaminate.contaminated(table, benchmark).collect()] == [30]
+        return time.perf_counter() - begin
+
+    seconds(100)
+    assert seconds(40_000) < 2 * 5 * seconds(8_000)
 
 
 def test_best_stretch():
