@@ -69,6 +69,37 @@ def host_suffix(host):
     return F.lower(F.regexp_extract(host, r"\.([A-Za-z]{2,})(?::\d+)?$", 1))
 
 
+def markup_language(html):
+    """What a page's own markup declares: the lang attribute of its html element, or else its content-language."""
+    page = html.cast("string")
+    own = F.regexp_extract(page, r"""(?i)<html\b[^>]*?\s(?:xml:)?lang\s*=\s*["']?\s*([A-Za-z][A-Za-z0-9_-]*)""", 1)
+    meta = F.regexp_extract(page, r"""(?i)<meta\b[^>]*?http-equiv\s*=\s*["']?content-language["']?[^>]*?content\s*=\s*["']?\s*([A-Za-z][A-Za-z0-9_-]*)""", 1)
+    return F.coalesce(F.nullif(own, F.lit("")), F.nullif(meta, F.lit("")))
+
+
+def url_host(url):
+    """The host of an address, lower-cased, without user and port; null where there is none."""
+    host = F.regexp_extract(url.cast("string"), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)
+    return F.nullif(F.lower(host), F.lit(""))
+
+
+def page_text(html):
+    """What a page shows, as far as letters go: scripts, styles, comments, tags and entities are out."""
+    inner = F.regexp_replace(html.cast("string"), r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&[A-Za-z0-9#]+;", " ")
+    return F.trim(inner)
+
+
+def identify_pages(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
+    """``identify`` for raw pages: the declared language from the markup, host and suffix from the address.
+
+    One row for each page: ``page`` (its columns), ``language``, ``confidence``, ``keep``.  A null page is ``und``.
+    """
+    rows = pages.select(F.struct("*").alias("page")).select(
+        "page", page_text(F.col(f"page.{html}")).alias("text"), markup_language(F.col(f"page.{html}")).alias("lang"),
+        url_host(F.col(f"page.{url}")).alias("source"))
+    return identify(rows).select("doc.page", "language", "confidence", "keep")
+
+
 def trigrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Slots of the letter trigrams of all texts, and n + 1 offsets; what is not a letter counts as one space."""
     letter = _LETTER[data]

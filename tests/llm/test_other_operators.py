@@ -435,3 +435,36 @@ def test_trigram_counts_do_not_depend_on_how_many_languages_a_task_holds():
             total[out["language"][0].as_py()] += language.unsqueeze(out["counts"][0].as_py())
         sums.append(total)
     assert (sums[0] == sums[2]).all() and (sums[1] == sums[2]).all() and sums[0].sum(axis=1).all()
+
+
+def test_markup_and_addresses_of_pages_count(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    rows = language.identify_pages(pages).select("page.page_id", "language", "keep").collect()
+    assert len(rows) == pages.count() and {"page_id", "language", "keep"} == set(rows[0].asDict())
+    stated = {r.page_id: r.code for r in pages.select("page_id", language.declared_code(language.markup_language(F.col("html"))).alias("code")).collect()}
+    both = [(stated[r.page_id], r.language) for r in rows if stated[r.page_id]]
+    assert len(both) > 10 and np.mean([a == b for a, b in both]) > 0.9
+
+
+def test_only_the_markup_or_only_the_address_decides(spark):
+    """Words that two languages share alike: what the page declares, or where it lies, tips the balance."""
+    rng = random.Random(4)
+    own = {"fr": ["bonjour", "maison", "fromage", "jamais"], "de": ["guten", "haus", "niemals", "woche"]}
+    shared = ["radio", "hotel", "taxi", "museum", "piano", "sofa"]
+
+    def words(code: str | None, n: int) -> str:
+        return " ".join(rng.choice(shared + (own[code] if code else [])) for _ in range(n))
+
+    rows = [(i, f"https://h{i % 7}.example.com/{i}", f'<html lang="{code}"><script>var guten = "guten guten"</script><p>{words(code, 40)}</p></html>')
+            for i, code in enumerate(["fr", "de"] * 60)]
+    text = " ".join(shared)
+    rows += [(900, "https://one.example.com/", f"<html lang='fr'><p>{text}</p></html>"),
+             (901, "https://two.example.com/", f'<HTML class=x lang=de-AT><p>{text}</p></html>'),
+             (902, "http://user@three.example.fr:80/x", f"<p>{text}</p>"), (903, "https://four.example.de", f"<p>{text}</p>"),
+             (904, "https://five.example.com", f'<head><meta http-equiv="Content-Language" content="fr"></head>{text}'),
+             (905, None, None), (906, "no address", "<p></p>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("language", F.lit("x"))
+    got = {r.page_id: r for r in language.identify_pages(pages).select("page.page_id", "language", "keep").collect()}
+    assert [got[i].language for i in range(900, 905)] == ["fr", "de", "fr", "de", "fr"]
+    assert not got[905].keep and not got[906].keep and len(got) == len(rows)
+    assert all(got[i].language == ("fr", "de")[i % 2] for i in range(120))
