@@ -181,7 +181,8 @@ def write_token_files(docs: DataFrame, out: str, path: str | None = None, end_id
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     size = extent(docs)
     parts = max(size.parts, -(-size.n_bytes // PART_BYTES))
-    docs.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id") \
+    # The text's hash orders rows of one id, or of none, so that a hot one is spread over partitions.
+    docs.withColumn("mark", F.xxhash64("text")).repartitionByRange(parts, "doc_id", "mark").sortWithinPartitions("doc_id", "mark") \
         .mapInArrow(_write(path, end_id), SECTIONS).write.parquet(out)
 
 

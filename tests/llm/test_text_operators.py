@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfcast.llm import decontaminate, jaccard_join, pieces, queries, range_coder, segments, substring_dedup, token_files
+from shelfcast.session import shared_path
 from shelfcast.llm.words import shingle_sets, split_words, text_bytes
 
 from .tables import ID_TEXT, awkward_documents, components_by_hand, prose, removed_by_hand, shingles, words
@@ -262,6 +263,19 @@ def test_token_files_with_awkward_rows(awkward):
     assert order == sorted(order, key=lambda i: (i is not None, i or 0))
 
 
+def test_token_files_of_one_hot_id_are_spread(spark):
+    """A third of the rows without an id, a third with one: no file holds more than a few shares, and all ids come back."""
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, f"{prose(random.Random(i), 12)}") for i in range(3000)]
+    out = shared_path(spark, "tokens")
+    token_files.write_token_files(spark.createDataFrame(rows, ID_TEXT).repartition(6), out)
+    back = token_files.read_token_files(spark, out)
+    by_part = [r["count"] for r in back.groupBy("part").count().collect()]
+    assert sum(by_part) == len(rows) and max(by_part) < 3 * len(rows) / len(by_part) and len(by_part) >= 7
+    found = sorted(back.collect(), key=lambda r: r.start)
+    assert [r.start for r in found] == [0, *np.cumsum([r.n_tokens for r in found])[:-1].tolist()]
+    assert [r.doc_id for r in found] == sorted((r[0] for r in rows), key=lambda i: (i is not None, i or 0))
+
+
 def test_empty_tables(spark):
     empty = spark.createDataFrame([], ID_TEXT)
     assert substring_dedup.remove_repeats(empty).count() == 0
