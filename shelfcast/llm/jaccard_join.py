@@ -21,7 +21,15 @@ come in two rounds.  In the first, each document meets one document of every pos
 the fewest shingles of its own, and of those the one that it shares most with is verified: one pair for each document,
 whatever the size of the group.  In the second, posting lists yield only pairs that are not yet in one component, all
 of them, and those that share enough prefix shingles are verified.  So no link between different components is
-missed, and a group of n near copies needs about n pairs.  Verification compares whole sets, with
+missed, and a group of n near copies needs about n pairs.
+
+Hot lists.  A chunk sends a prefix shingle once, with its number of documents, so the first exchange has no hot list.  A list of
+HOT_LIST entries and more is dealt over as many groups as there are buckets, by chunk.  In the first round each group finds leaders
+of its own, and these meet the list's smallest leader.  Before the second round the documents of hot lists are counted by
+component: a list of one component is not sent at all; of another, the largest component's documents stay dealt out
+and only the others go to every group.
+
+Verification compares whole sets, with
 the first text of a pair sent once to each chunk that holds partners of it.
 
 Defined results.  Null or empty text, or no words: an empty set, linked with nothing.  Fewer than five words:
@@ -58,10 +66,14 @@ PAIRS_AT_ONCE = 1 << 20
 LONG_LIST = 32
 MAP_WORDS = 8
 """64-bit words of a document's bit map of shared prefix shingles."""
+HOT_LIST = 1 << 16
+"""Entries from which a posting list is dealt over many groups."""
+NOBODY = -(1 << 63)
 
 _ROWS = "kind int, chunk int, key long, same long, doc_id long, n int, d1 long, d2 long, blob binary"
 _LISTS = "bucket int, chunk int, blob binary"
 _PAIRS = "a long, ca int, b long, cb int, shared int, need int"
+_LEADERS = _PAIRS + ", token long, size int, own long"
 _TEXTS = "chunk int, a long, text string, bs array<long>"
 
 
@@ -192,17 +204,27 @@ def _prefix_entries(packs: pa.Table, nodes: pa.Table, frequency, shift: int):
 
 
 def _send_tokens(frequency, buckets: int, shift: int):
-    """The prefix shingles alone."""
+    """The prefix shingles alone, each with how many documents of the chunk have it."""
     def send(packs: pa.Table, nodes: pa.Table) -> pa.Table:
         if not packs.num_rows or not nodes.num_rows:
             return _no_lists()
-        tokens = _prefix_entries(packs, nodes, frequency, shift)[0]
+        tokens, counts = np.unique(_prefix_entries(packs, nodes, frequency, shift)[0], return_counts=True)
         at = cuts(tokens, buckets)
-        return _lists(packs, [(i, squeeze_sorted(tokens[at[i]:at[i + 1]] >> np.uint64(shift)))
+        return _lists(packs, [(i, _joined(squeeze_sorted(tokens[at[i]:at[i + 1]] >> np.uint64(shift)),
+                                          squeeze(counts[at[i]:at[i + 1]].astype(np.uint32))))
                               for i in np.flatnonzero(np.diff(at)).tolist()])
     return send
 
 
+def _joined(*parts: bytes) -> bytes:
+    return np.array([len(p) for p in parts], dtype=np.int64).tobytes() + b"".join(parts)
+
+
+def _parted(blob: bytes, n: int) -> list[bytes]:
+    ends = 8 * n + np.cumsum(np.frombuffer(blob[:8 * n], dtype=np.int64))
+    return [blob[low:high] for low, high in zip([8 * n, *ends[:-1].tolist()], ends.tolist())]
+
+
 def _no_lists() -> pa.Table:
     return pa.table({"bucket": pa.array([], pa.int32()), "chunk": pa.array([], pa.int32()),
                      "blob": pa.array([], pa.binary())})
@@ -214,46 +236,124 @@ def _lists(packs: pa.Table, blobs: list) -> pa.Table:
                      "blob": pa.array([blob for _, blob in blobs], pa.binary())})
 
 
-def _shared_tokens(table: pa.Table) -> pa.Table:
-    """Two bits for each sent shingle: does another entry have it, and is its list long?"""
-    lists = [unsqueeze_sorted(blob) for blob in table["blob"].to_pylist()]
-    values, counts = np.unique(np.concatenate(lists), return_counts=True)
-    blobs = []
-    for tokens in lists:
-        size = counts[np.searchsorted(values, tokens)]
-        blobs.append(np.packbits(np.concatenate((size > 1, size >= LONG_LIST))).tobytes())
+def _shared_tokens(most: int):
+    """Three bits for each sent shingle: does another entry have it, is its list long, is it hot (of ``most`` entries)?"""
+    def shared(table: pa.Table) -> pa.Table:
+        parts = [_parted(blob, 2) for blob in table["blob"].to_pylist()]
+        lists, counts = [unsqueeze_sorted(p[0]) for p in parts], [unsqueeze(p[1], np.uint32) for p in parts]
+        values, place = np.unique(np.concatenate(lists), return_inverse=True)
+        size = np.bincount(place, np.concatenate(counts))[place]
+        blobs, hot, low = [], [], 0
+        for tokens in lists:
+            own, low = size[low:low + len(tokens)], low + len(tokens)
+            blobs.append(np.packbits(np.concatenate((own > 1, own >= LONG_LIST, own >= most))).tobytes())
+            hot.append(bool((own >= most).any()))
+        return pa.table({"bucket": table["bucket"].cast(pa.int32()), "chunk": table["chunk"].cast(pa.int32()),
+                         "blob": pa.array(blobs, pa.binary()), "hot": pa.array(hot, pa.bool_())})
+    return shared
+
+
+class _Known:
+    """What a chunk knows of its prefix shingles, each once: which are shared, long and hot, and whose hot ones are."""
+
+    def __init__(self, tokens: np.ndarray, inputs: pa.Table, buckets: int):
+        self.tokens, self.counts = np.unique(tokens, return_counts=True)
+        at = cuts(self.tokens, buckets)
+        self.shared, self.long, self.hot = (np.zeros(len(self.tokens), dtype=bool) for _ in range(3))
+        for bucket, blob in _answers(inputs, 1):
+            low, high = at[bucket], at[bucket + 1]
+            bits = np.unpackbits(np.frombuffer(blob, dtype=np.uint8), count=3 * (high - low)).reshape(3, -1)
+            self.shared[low:high], self.long[low:high], self.hot[low:high] = bits
+        self.majority = np.full(len(self.tokens), NOBODY, dtype=np.int64)
+        mine = np.flatnonzero(self.hot)
+        at = cuts(self.tokens[mine], buckets)
+        for bucket, blob in _answers(inputs, 2):
+            self.majority[mine[at[bucket]:at[bucket + 1]]] = unsqueeze(blob, np.int64)
+
+    def spread(self, values: np.ndarray) -> np.ndarray:
+        """A value of each shingle for every entry of it."""
+        return np.repeat(values, self.counts)
+
+
+def _answers(inputs: pa.Table, kind: int):
+    mine = inputs.filter(pc.equal(inputs["kind"], kind))
+    return zip(mine["bucket"].to_pylist(), mine["blob"].to_pylist())
+
+
+def _send_labels(frequency, buckets: int, shift: int):
+    """Of the hot shingles alone: the components that hold each in this chunk, and how many documents of them."""
+    def send(packs: pa.Table, inputs: pa.Table) -> pa.Table:
+        nodes = inputs.filter(pc.equal(inputs["kind"], 0))
+        if not packs.num_rows or not nodes.num_rows or not any(True for _ in _answers(inputs, 1)):
+            return _no_lists()
+        tokens, owner, _, label, _, _ = _prefix_entries(packs, nodes, frequency, shift)
+        known = _Known(tokens, inputs, buckets)
+        hot = known.spread(known.hot)
+        pairs = np.stack((tokens[hot].view(np.int64), label[owner[hot]]), axis=1)
+        pairs, counts = np.unique(pairs, axis=0, return_counts=True) if len(pairs) else (pairs, np.zeros(0, dtype=np.int64))
+        token = pairs[:, 0].copy().view(np.uint64)
+        order = np.argsort(token, kind="stable")
+        token, holder, counts = token[order], pairs[order, 1], counts[order]
+        at = cuts(token, buckets)
+        return _lists(packs, [(i, _joined(squeeze(token[at[i]:at[i + 1]]), squeeze(holder[at[i]:at[i + 1]]), squeeze(counts[at[i]:at[i + 1]])))
+                              for i in np.flatnonzero(np.diff(at)).tolist()])
+    return send
+
+
+def _majorities(table: pa.Table) -> pa.Table:
+    """For each chunk's hot shingles the component with most documents, or NOBODY where there is no other."""
+    parts = [_parted(blob, 3) for blob in table["blob"].to_pylist()]
+    tokens = [unsqueeze(p[0]) for p in parts]
+    token, holder, counts = np.concatenate(tokens), np.concatenate([unsqueeze(p[1], np.int64) for p in parts]), np.concatenate(
+        [unsqueeze(p[2], np.int64) for p in parts])
+    order = np.lexsort((holder, token))
+    t, h, c = token[order], holder[order], counts[order]
+    opens = np.flatnonzero(np.concatenate(([True], (t[1:] != t[:-1]) | (h[1:] != h[:-1]))))
+    t, h, c = t[opens], h[opens], np.add.reduceat(c, opens)
+    order = np.lexsort((h, -c, t))
+    t, h = t[order], h[order]
+    first = np.flatnonzero(np.concatenate(([True], t[1:] != t[:-1])))
+    alone = np.diff(np.append(first, len(t))) == 1
+    most = np.where(alone, NOBODY, h[first])
+    blobs = [squeeze(most[np.searchsorted(t[first], np.unique(own))]) for own in tokens]
     return pa.table({"bucket": table["bucket"].cast(pa.int32()), "chunk": table["chunk"].cast(pa.int32()),
                      "blob": pa.array(blobs, pa.binary())})
 
 
-def _send_lists(frequency, buckets: int, shift: int):
+def _send_lists(frequency, buckets: int, shift: int, second_round: bool):
     """The entries that another document shares, with what candidate pairs are judged by."""
     def send(packs: pa.Table, inputs: pa.Table) -> pa.Table:
-        nodes = inputs.filter(pc.is_valid(inputs["key"]))
+        nodes = inputs.filter(pc.equal(inputs["kind"], 0))
         if not packs.num_rows or not nodes.num_rows:
             return _no_lists()
         tokens, owner, keys, label, n, matches = _prefix_entries(packs, nodes, frequency, shift)
-        at = cuts(tokens, buckets)
-        shared, long = np.zeros(len(tokens), dtype=bool), np.zeros(len(tokens), dtype=bool)
-        answers = inputs.filter(pc.is_valid(inputs["blob"]))
-        for bucket, blob in zip(answers["bucket"].to_pylist(), answers["blob"].to_pylist()):
-            low, high = at[bucket], at[bucket + 1]
-            bits = np.unpackbits(np.frombuffer(blob, dtype=np.uint8), count=2 * (high - low))
-            shared[low:high], long[low:high] = bits[:high - low], bits[high - low:]
+        known = _Known(tokens, inputs, buckets)
+        shared, long, hot, majority = (known.spread(x) for x in (known.shared, known.long, known.hot, known.majority))
         common = np.bincount(owner[shared], minlength=len(n)).astype(np.int32)
-        tokens, owner, long = tokens[shared], owner[shared], long[shared]
         maps = np.zeros((len(n), MAP_WORDS), dtype=np.uint64)
-        place = mix(tokens) % np.uint64(64 * MAP_WORDS)
-        np.bitwise_or.at(maps, (owner, (place >> np.uint64(6)).astype(np.int64)), np.uint64(1) << (place & np.uint64(63)))
-        at = cuts(tokens, buckets)
-        blobs = []
-        for i in np.flatnonzero(np.diff(at)).tolist():
-            own = owner[at[i]:at[i + 1]]
-            parts = [squeeze_sorted(tokens[at[i]:at[i + 1]] >> np.uint64(shift)), squeeze(keys[own]), squeeze(label[own]),
-                     squeeze(n[own]), squeeze(matches[own].astype(np.int32)), squeeze(common[own]),
-                     squeeze(long[at[i]:at[i + 1]].astype(np.uint8)), squeeze(maps[own[long[at[i]:at[i + 1]]]].ravel())]
-            blobs.append((i, np.array([len(p) for p in parts], dtype=np.int64).tobytes() + b"".join(parts)))
-        return _lists(packs, blobs)
+        place = mix(tokens[shared]) % np.uint64(64 * MAP_WORDS)
+        np.bitwise_or.at(maps, (owner[shared], (place >> np.uint64(6)).astype(np.int64)), np.uint64(1) << (place & np.uint64(63)))
+        # Documents of different components never share a shingle that one component holds alone.
+        sent = shared & ~(hot & (majority == NOBODY)) if second_round else shared
+        everywhere = second_round & hot & (label[owner] != majority)
+        salt = packs["chunk"][0].as_py() % buckets
+
+        def blobs_of(chosen: np.ndarray, to: list[int], copied: bool) -> list:
+            some = np.flatnonzero(chosen)
+            token, own, far = tokens[some], owner[some], long[some]
+            at, out = cuts(token, buckets), []
+            for i in np.flatnonzero(np.diff(at)).tolist():
+                mine, long_ones = own[at[i]:at[i + 1]], far[at[i]:at[i + 1]]
+                blob = _joined(squeeze_sorted(token[at[i]:at[i + 1]] >> np.uint64(shift)), squeeze(keys[mine]), squeeze(label[mine]),
+                               squeeze(n[mine]), squeeze(matches[mine].astype(np.int32)), squeeze(common[mine]),
+                               squeeze(long_ones.astype(np.uint8)), squeeze(maps[mine[long_ones]].ravel()),
+                               squeeze(np.full(len(mine), copied, dtype=np.uint8)))
+                out += [(base + i, blob) for base in to]
+            return out
+
+        return _lists(packs, [*blobs_of(sent & ~hot, [0], False),
+                              *blobs_of(sent & hot & ~everywhere, [buckets * (1 + salt)], False),
+                              *blobs_of(sent & hot & everywhere, [buckets * (1 + other) for other in range(buckets)], True)])
     return send
 
 
@@ -261,19 +361,19 @@ def _read_lists(table: pa.Table) -> dict[str, np.ndarray]:
     """Entries of a bucket by token (``rank``), of those documents that may have a partner in the token's list."""
     parts = []
     for chunk, blob in zip(table["chunk"].to_pylist(), table["blob"].to_pylist()):
-        ends = 64 + np.cumsum(np.frombuffer(blob[:64], dtype=np.int64))
-        raw = [blob[low:high] for low, high in zip([64, *ends[:-1]], ends)]
+        raw = _parted(blob, 9)
         token, long = unsqueeze_sorted(raw[0]), unsqueeze(raw[6], np.uint8).astype(bool)
         maps = np.zeros((len(token), MAP_WORDS), dtype=np.uint64)
         maps[long] = unsqueeze(raw[7]).reshape(-1, MAP_WORDS)
         parts.append((token, unsqueeze(raw[1], np.int64), unsqueeze(raw[2], np.int64),
                       *(unsqueeze(r, np.int32).astype(np.int64) for r in raw[3:6]), long, maps,
-                      np.full(len(token), chunk, dtype=np.int32)))
-    columns = dict(zip(("rank", "key", "label", "n", "matches", "common", "long", "map", "chunk"),
+                      np.full(len(token), chunk, dtype=np.int32), unsqueeze(raw[8], np.uint8).astype(bool)))
+    columns = dict(zip(("rank", "key", "label", "n", "matches", "common", "long", "map", "chunk", "copied"),
                        (np.concatenate(c) for c in zip(*parts))))
     order = np.argsort(columns["rank"], kind="stable")
     columns = {name: column[order] for name, column in columns.items()}
     token = columns["rank"]
+    columns["token"] = token.view(np.int64)
     columns["rank"] = np.cumsum(np.concatenate(([0], token[1:] != token[:-1])))
     return _hopeful(columns)
 
@@ -318,27 +418,46 @@ def _most_shared(maps: np.ndarray, common: np.ndarray, i: np.ndarray, j: np.ndar
     return np.minimum(common[i] - lacking, common[j] - other)
 
 
-def _leader_pairs(table: pa.Table) -> pa.Table:
-    """Each document with the one of its list and size class that has the fewest prefix shingles of its own."""
-    c = _read_lists(table)
-    size = np.floor(np.log(np.maximum(c["n"], 1)) / np.log(100 / PERCENT)).astype(np.int64)
-    own = c["n"] - least_shared(c["n"]) + c["matches"] - c["common"]
-    order = np.lexsort((c["key"], own, size, c["rank"]))
-    rank, size, key, chunk = (x[order] for x in (c["rank"], size, c["key"], c["chunk"]))
-    opens = np.concatenate(([True], (rank[1:] != rank[:-1]) | (size[1:] != size[:-1]))) \
-        if len(rank) else np.zeros(0, dtype=bool)
-    leader = np.maximum.accumulate(np.where(opens, np.arange(len(rank)), 0))
-    other = key != key[leader]
-    at = leader[other]
-    return pa.table(_counted(key[at], chunk[at], key[other], chunk[other], np.ones(len(at), dtype=np.int64)))
-
+def _leader_pairs(buckets: int):
+    """Each document with the one of its list and size class that has the fewest prefix shingles of its own.
 
-def _cross_pairs(table: pa.Table) -> pa.Table:
+    A group of hot lists also puts out its leaders, to be merged with those of the lists' other groups.
+    """
+    def pairs(table: pa.Table) -> pa.Table:
+        c = _read_lists(table)
+        size = np.floor(np.log(np.maximum(c["n"], 1)) / np.log(100 / PERCENT)).astype(np.int64)
+        own = c["n"] - least_shared(c["n"]) + c["matches"] - c["common"]
+        order = np.lexsort((c["key"], own, size, c["rank"]))
+        rank, size, key, chunk, token, own = (x[order] for x in (c["rank"], size, c["key"], c["chunk"], c["token"], own))
+        opens = np.concatenate(([True], (rank[1:] != rank[:-1]) | (size[1:] != size[:-1]))) \
+            if len(rank) else np.zeros(0, dtype=bool)
+        leader = np.maximum.accumulate(np.where(opens, np.arange(len(rank)), 0))
+        other = key != key[leader]
+        at = leader[other]
+        found = _counted(key[at], chunk[at], key[other], chunk[other], np.ones(len(at), dtype=np.int64))
+        first = np.flatnonzero(opens) if table["bucket"][0].as_py() >= buckets else np.zeros(0, dtype=np.int64)
+        none, rest = len(found["a"]), pa.nulls(len(first), pa.int64())
+        both = {"a": (found["a"], pa.array(key[first])), "ca": (found["ca"], pa.array(chunk[first], pa.int32())), "b": (found["b"], rest),
+                "cb": (found["cb"], rest.cast(pa.int32())), "shared": (found["shared"], rest.cast(pa.int32())),
+                "need": (found["need"], rest.cast(pa.int32())), "token": (pa.nulls(none, pa.int64()), pa.array(token[first])),
+                "size": (pa.nulls(none, pa.int32()), pa.array(size[first], pa.int32())),
+                "own": (pa.nulls(none, pa.int64()), pa.array(own[first], pa.int64()))}
+        return pa.table({name: pa.chunked_array(parts) for name, parts in both.items()})
+    return pairs
+
+
+def _cross_pairs(buckets: int):
     """Pairs of one token and different labels, with how many tokens of this bucket they share."""
-    c = _read_lists(table)
+    def pairs(table: pa.Table) -> pa.Table:
+        # Two documents that go to every group of a hot list meet in the first of these alone.
+        return _pairs_across(_read_lists(table), table["bucket"][0].as_py() >= 2 * buckets)
+    return pairs
+
+
+def _pairs_across(c: dict[str, np.ndarray], met: bool) -> pa.Table:
     order = np.lexsort((c["label"], c["rank"]))
-    rank, key, label, n, matches, common, long, maps, chunk = (
-        c[name][order] for name in ("rank", "key", "label", "n", "matches", "common", "long", "map", "chunk"))
+    rank, key, label, n, matches, common, long, maps, chunk, copied = (
+        c[name][order] for name in ("rank", "key", "label", "n", "matches", "common", "long", "map", "chunk", "copied"))
     index = np.arange(len(rank))
     group_end = np.searchsorted(rank, rank, side="right")
     turns = np.flatnonzero(np.concatenate(((rank[1:] != rank[:-1]) | (label[1:] != label[:-1]), [True]))) + 1 \
@@ -354,6 +473,8 @@ def _cross_pairs(table: pa.Table) -> pa.Table:
         j = np.arange(part.sum()) - np.repeat(np.cumsum(part) - part, part) + np.repeat(run_end[low:high], part)
         need = needed_in_prefixes(n[i], matches[i], n[j], matches[j])
         fit = (100 * np.minimum(n[i], n[j]) >= PERCENT * np.maximum(n[i], n[j])) & (np.minimum(common[i], common[j]) >= need)
+        if met:
+            fit &= ~(copied[i] & copied[j])
         i, j, need = i[fit], j[fit], need[fit]
         fit = ~long[i]
         check = np.flatnonzero(long[i])
@@ -426,25 +547,41 @@ def _linked(chunks: DataFrame, size: Extent) -> DataFrame:
 
     tokens = chunks.groupBy("chunk").cogroup(nodes.withColumn("label", F.col("key")).groupBy("chunk")) \
         .applyInArrow(_send_tokens(frequency, buckets, shift), _LISTS)
-    shared = stored(tokens.groupBy("bucket").applyInArrow(_shared_tokens, _LISTS), "shared")
-    answers = shared.select("chunk", F.lit(None).cast("long").alias("key"), F.lit(None).cast("long").alias("label"),
-                            "bucket", "blob")
-
-    def lists(labelled: DataFrame) -> DataFrame:
-        inputs = labelled.select("chunk", "key", "label", F.lit(None).cast("int").alias("bucket"),
-                                 F.lit(None).cast("binary").alias("blob")).union(answers)
-        return chunks.groupBy("chunk").cogroup(inputs.groupBy("chunk")) \
-            .applyInArrow(_send_lists(frequency, buckets, shift), _LISTS)
-
-    leaders = lists(nodes.withColumn("label", F.col("key"))).groupBy("bucket").applyInArrow(_leader_pairs, _PAIRS)
-    best = leaders.groupBy("a", "ca", "b", "cb").agg(F.sum("shared").alias("shared")) \
+    shared = stored(tokens.groupBy("bucket").applyInArrow(_shared_tokens(HOT_LIST), _LISTS + ", hot boolean"), "shared")
+    hot = bool(shared.filter("hot").limit(1).count())
+
+    def answers(rows: DataFrame, kind: int) -> DataFrame:
+        return rows.select("chunk", F.lit(None).cast("long").alias("key"), F.lit(None).cast("long").alias("label"),
+                           "bucket", "blob", F.lit(kind).alias("kind"))
+
+    def asked(labelled: DataFrame) -> DataFrame:
+        return labelled.select("chunk", "key", "label", F.lit(None).cast("int").alias("bucket"),
+                               F.lit(None).cast("binary").alias("blob"), F.lit(0).alias("kind"))
+
+    def sent(work, inputs: DataFrame) -> DataFrame:
+        return chunks.groupBy("chunk").cogroup(inputs.groupBy("chunk")).applyInArrow(work, _LISTS)
+
+    inputs = asked(nodes.withColumn("label", F.col("key"))).union(answers(shared, 1))
+    leaders = sent(_send_lists(frequency, buckets, shift, False), inputs).groupBy("bucket").applyInArrow(_leader_pairs(buckets), _LEADERS)
+    leaders = stored(leaders, "leaders") if hot else leaders
+    best = leaders.filter("token is null").groupBy("a", "ca", "b", "cb").agg(F.sum("shared").alias("shared")) \
         .groupBy("b", "cb").agg(F.max(F.struct("shared", (-F.col("a")).alias("minus"), "ca")).alias("top")) \
         .select((-F.col("top.minus")).alias("a"), "top.ca", "b", "cb")
+    if hot:
+        first = leaders.filter("token is not null").groupBy("token", "size").agg(F.min(F.struct("own", "a", "ca")).alias("first"))
+        merged = leaders.filter("token is not null").select("token", "size", F.col("a").alias("b"), F.col("ca").alias("cb")) \
+            .join(first, ["token", "size"]).select("first.a", "first.ca", "b", "cb").filter("a <> b")
+        best = best.union(merged).distinct()
     links = stored(_verified(chunks, best), "verified")
     labels = components(links)
     labelled = nodes.join(labels.withColumnRenamed("v", "key"), "key", "left") \
         .select("key", "chunk", F.coalesce("label", "key").alias("label"))
-    cross = lists(labelled).groupBy("bucket").applyInArrow(_cross_pairs, _PAIRS)
+    inputs = asked(labelled).union(answers(shared, 1))
+    if hot:
+        held = asked(labelled).union(answers(shared.join(shared.filter("hot").select("chunk").distinct(), "chunk", "left_semi"), 1))
+        majorities = sent(_send_labels(frequency, buckets, shift), held).groupBy("bucket").applyInArrow(_majorities, _LISTS)
+        inputs = inputs.union(answers(stored(majorities, "majorities"), 2))
+    cross = sent(_send_lists(frequency, buckets, shift, True), inputs).groupBy("bucket").applyInArrow(_cross_pairs(buckets), _PAIRS)
     rest = cross.groupBy("a", "ca", "b", "cb") \
         .agg(F.sum("shared").alias("shared"), F.max("need").alias("need")).filter("shared >= need")
     more = stored(_verified(chunks, rest), "verified")

@@ -94,6 +94,36 @@ def test_jaccard_join_of_one_large_group_of_near_copies(spark, edits):
     assert got == components_by_hand(rows)
 
 
+@pytest.mark.parametrize("hot, parts", [(2, 3), (5, 8), (1 << 16, 8)])
+def test_hot_lists_are_dealt_out_and_lose_no_link(spark, monkeypatch, hot, parts):
+    """Near copies of some texts, texts that share half of these, and bridges between groups: every list counts as hot."""
+    rng = random.Random(hot)
+    rows, bases = [], [prose(rng, 60) for _ in range(4)]
+    for base in bases:
+        for _ in range(40):
+            own = base.split()
+            for at in rng.sample(range(60), rng.randrange(0, 4)):
+                own[at] = f"e{rng.randrange(9)}"
+            rows.append(" ".join(own))
+    for _ in range(30):  # parts of two texts, some of them linked with one or none
+        first, second = (rng.choice(bases).split() for _ in range(2))
+        cut = rng.choice([20, 40, 54, 57])
+        rows.append(" ".join([*first[:cut], *second[cut:]]))
+    rows = list(enumerate(rows))
+    rng.shuffle(rows)
+    monkeypatch.setattr(jaccard_join, "HOT_LIST", hot)
+    written, store = [], jaccard_join.stored
+    monkeypatch.setattr(jaccard_join, "stored", lambda df, name: written.append(name) or store(df, name))
+    parts_before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        got = {r.doc_id: r.component_id for r in jaccard_join.similar_components(spark.createDataFrame(rows, ID_TEXT)).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts_before)
+    assert got == components_by_hand(rows)
+    assert ("leaders" in written and "majorities" in written) == (hot < len(rows))
+
+
 def test_prefixes_of_similar_sets_share_what_is_asked():
     rng = np.random.default_rng(3)
     frequency = rng.integers(0, 50, 1 << jaccard_join.SKETCH_BITS).astype(np.uint32)
