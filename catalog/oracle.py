@@ -611,6 +611,10 @@ ORACLE: dict[str, str] = {
         "SELECT l.*, 'ST' || l.product_id AS style, coalesce(f.flags, '') AS flags FROM part_life l LEFT JOIN (SELECT date, "
         "string_agg(DISTINCT calendar_effect_day, ',' ORDER BY calendar_effect_day) AS flags FROM order_cal_labels GROUP BY date) f "
         "USING (date)", "part_life", "order_cal_labels"),
+    "lifecycle_state": _sql(
+        "SELECT product_id, min(date) FILTER (sales_units > 0) AS first_sale, CAST(sum(sales_units) AS BIGINT) AS units, "
+        "max(date) AS last_date, string_agg(sales_units, ',' ORDER BY date) FILTER (back <= 13) AS last_units FROM (SELECT *, "
+        "row_number() OVER (PARTITION BY product_id ORDER BY date DESC) AS back FROM part_sales) GROUP BY 1", "part_sales"),
     "features_incremental": _sql("SELECT * FROM part_features", "part_features"),
     "feature_totals": _sql("SELECT count(*) AS total_records, CAST(coalesce(sum(sales_units), 0) AS BIGINT) "
                            "AS total_sales_units FROM part_sales", "part_sales"),

@@ -16,6 +16,7 @@ from shelfcast.operators import eligibility as el
 from shelfcast.operators import evaluation as ev
 from shelfcast.operators import features as ft
 from shelfcast.operators import forecast as fc
+from shelfcast.operators import incremental as inc
 from shelfcast.operators import lifecycle as lc
 from shelfcast.operators import panel
 from shelfcast.operators import runs as rn
@@ -202,6 +203,12 @@ def features_sparse_flags(spark, sf):
     return rows.withColumn("flags", F.array_join("flags", ","))
 
 
+def lifecycle_state(spark, sf):
+    """What a run keeps of every part for the next one; the last units are joined by commas."""
+    state = inc.lifecycle_state(_part_rows(spark, sf), fx.ITEM)
+    return state.withColumn("last_units", F.array_join(F.transform("last_units", lambda units: units.cast("string")), ","))
+
+
 def features_incremental(spark, sf):
     """The features again, from a base and two increments that read no history but that of products with late lines."""
     path = shared_path(spark, "features")
@@ -604,6 +611,7 @@ QUERIES: dict[str, Query] = {
     # features
     "sales_with_style": sales_with_style,
     "features": features,
+    "lifecycle_state": lifecycle_state,
     "features_incremental": features_incremental,
     "features_sparse_flags": features_sparse_flags,
     "feature_totals": feature_totals,

@@ -53,7 +53,7 @@ def test_latest_run_is_chosen_per_date(spark):
 
 
 def test_two_jobs_never_claim_one_number(spark):
-    for _ in range(25):
+    for _ in range(100):
         path = shared_path(spark, "runs")
         with ThreadPoolExecutor(8) as pool:
             claimed = list(pool.map(lambda _: run_store.claim_run_id(spark, path), range(8)))
