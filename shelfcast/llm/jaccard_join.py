@@ -29,8 +29,7 @@ of its own, and these meet the list's smallest leader.  Before the second round
 component: a list of one component is not sent at all; of another, the largest component's documents stay dealt out
 and only the others go to every group.
 
-Verification compares whole sets, with
-the first text of a pair sent once to each chunk that holds partners of it.
+Verification compares whole sets; the first text of a pair leaves its chunk once and is joined to the chunks that hold partners of it.
 
 Defined results.  Null or empty text, or no words: an empty set, linked with nothing.  Fewer than five words:
 the whole sequence is the one shingle.  Rows with one doc_id are one document: each row has its own set,
@@ -74,7 +73,6 @@ _ROWS = "kind int, chunk int, key long, same long, doc_id long, n int, d1 long,
 _LISTS = "bucket int, chunk int, blob binary"
 _PAIRS = "a long, ca int, b long, cb int, shared int, need int"
 _LEADERS = _PAIRS + ", token long, size int, own long"
-_TEXTS = "chunk int, a long, text string, bs array<long>"
 
 
 def least_shared(n: np.ndarray) -> np.ndarray:
@@ -487,17 +485,16 @@ def _pairs_across(c: dict[str, np.ndarray], met: bool) -> pa.Table:
     return pa.table(_counted(*(np.concatenate(column) for column in zip(*found))))
 
 
-def _send_texts(packs: pa.Table, requests: pa.Table) -> pa.Table:
-    schema = pa.schema([("chunk", pa.int32()), ("a", pa.int64()), ("text", pa.string()),
-                        ("bs", pa.list_(pa.int64()))])
-    if not packs.num_rows or not requests.num_rows:
+def _send_texts(packs: pa.Table, wanted: pa.Table) -> pa.Table:
+    """The texts of a chunk's documents that are compared with others, each once."""
+    schema = pa.schema([("a", pa.int64()), ("text", pa.string())])
+    if not packs.num_rows or not wanted.num_rows:
         return schema.empty_table()
     table = unpack(packs["pack"].to_pylist())
     keys, _ = _node_keys(table)
-    first = np.searchsorted(np.sort(keys), requests["a"].to_numpy())
+    first = np.searchsorted(np.sort(keys), wanted["a"].to_numpy())
     rows = np.argsort(keys, kind="stable")[first]
-    return pa.table({"chunk": requests["cb"], "a": requests["a"], "text": table["text"].take(pa.array(rows)),
-                     "bs": requests["bs"]}).cast(schema)
+    return pa.table({"a": wanted["a"], "text": table["text"].take(pa.array(rows))}).cast(schema)
 
 
 def _verify(packs: pa.Table, sent: pa.Table) -> pa.Table:
@@ -526,8 +523,15 @@ def _verify(packs: pa.Table, sent: pa.Table) -> pa.Table:
 
 
 def _verified(chunks: DataFrame, pairs: DataFrame) -> DataFrame:
-    requests = pairs.groupBy(F.col("ca").alias("chunk"), "a", "cb").agg(F.collect_list("b").alias("bs"))
-    sent = chunks.groupBy("chunk").cogroup(requests.groupBy("chunk")).applyInArrow(_send_texts, _TEXTS)
+    """Pairs whose whole sets are similar.
+
+    A text leaves its chunk once; a plain join, which Spark splits for a text that thousands of chunks ask for, takes it to them.
+    """
+    pairs = stored(pairs.select("a", "ca", "b", "cb"), "pairs")
+    wanted = pairs.select(F.col("ca").alias("chunk"), "a").distinct()
+    texts = chunks.groupBy("chunk").cogroup(wanted.groupBy("chunk")).applyInArrow(_send_texts, "a long, text string")
+    requests = pairs.groupBy("a", F.col("cb").alias("chunk")).agg(F.collect_list("b").alias("bs"))
+    sent = requests.join(texts, "a").select("chunk", "a", "text", "bs")
     return chunks.groupBy("chunk").cogroup(sent.groupBy("chunk")).applyInArrow(_verify, "a long, b long")
 
 
