@@ -152,20 +152,22 @@ class Best:
 
 def positives(ids, labels, shared: SharedList, anchor_ids, anchor_labels, k: int) -> list[tuple[int, Best]]:
     """The k best candidates of its own label for every member, from one walk for each label."""
-    found = [Best(k) for _ in anchor_ids]
+    found, least = [Best(k) for _ in anchor_ids], np.full(len(anchor_ids), -np.inf)
     walk_labels = labels[shared.order]
     for label in np.unique(anchor_labels):
         places, alive = np.flatnonzero(walk_labels == label), np.flatnonzero(anchor_labels == label)
         for low in range(0, len(places), TILE):
-            alive = alive[shared.most(places[low], alive) >= [found[i].least for i in alive]]
+            alive = alive[shared.most(places[low], alive) >= least[alive]]
             if not len(alive):
                 break
             at = shared.order[places[low:low + TILE]]
             scores = shared.scores(alive, at)
-            for row, i in enumerate(alive.tolist()):
-                hopeful = (scores[row] >= found[i].least) & (ids[at] != anchor_ids[i])
+            for row in np.flatnonzero((scores >= least[alive, None]).any(axis=1)).tolist():
+                i = int(alive[row])
+                hopeful = (scores[row] >= least[i]) & (ids[at] != anchor_ids[i])
                 if hopeful.any():
                     found[i].offer(scores[row, hopeful], ids[at][hopeful])
+                    least[i] = found[i].least
     return list(enumerate(found))
 
 
@@ -178,18 +180,21 @@ def negatives(ids, labels, shared: SharedList, anchor_ids, anchor_labels, wanted
         return min((max(best.least, LEAST * int(score) / 100) for best, score in zip(found[i], wanted[i]) if score >= 0), default=np.inf)
 
     alive = np.arange(len(anchor_ids))
+    need = np.array([needed(i) for i in alive.tolist()])
     for low in range(0, len(ids), TILE):
-        alive = alive[shared.most(low, alive) >= [needed(i) for i in alive.tolist()]]
+        alive = alive[shared.most(low, alive) >= need[alive]]
         if not len(alive):
             break
         at = shared.order[low:low + TILE]
         scores = shared.scores(alive, at)
-        for row, i in enumerate(alive.tolist()):
+        for row in np.flatnonzero((scores >= need[alive, None]).any(axis=1)).tolist():
+            i = int(alive[row])
             mine, other = scores[row], labels[at] != anchor_labels[i]
             for best, score in zip(found[i], wanted[i].tolist()):
                 inside = other & (100 * mine >= LEAST * score) & (100 * mine <= MOST * score) & (mine >= best.least)
                 if inside.any():
                     best.offer(mine[inside], ids[at][inside])
+            need[i] = needed(i)
     return found
 
 
