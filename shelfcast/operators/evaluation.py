@@ -228,10 +228,13 @@ def age_bitmaps(features: DataFrame, numbers: DataFrame) -> DataFrame:
     """Products of every date and age category as bitmaps: one row for each 32,768 numbers that have any.
 
     Stored, they answer for any window of dates by an OR of small rows, where distinct counts of days cannot be added.
+    Rows meet before a bitmap is made of them: a product's task has few rows of any one bitmap, and each would leave it as 4 KB.
     """
     numbered = features.where(F.col("date").isNotNull()).select("date", "age_category", "product_id").join(numbers, "product_id")
-    return numbered.groupBy("date", "age_category", F.bitmap_bucket_number("number").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("products"))
+    places = numbered.select("date", "age_category", F.bitmap_bucket_number("number").alias("bucket"),
+                             F.bitmap_bit_position("number").alias("place"))
+    keys = ("date", "age_category", "bucket")
+    return places.repartition(*keys).groupBy(*keys).agg(F.bitmap_construct_agg("place").alias("products"))
 
 
 def products_of(bitmaps: DataFrame, *group_by: str) -> DataFrame:

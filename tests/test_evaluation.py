@@ -156,6 +156,16 @@ def test_bitmaps_of_days_answer_for_any_window(spark):
         assert sorted(map(str, values(united, "age_category", "product_count"))) == sorted(map(str, values(want, "age_category", "n")))
 
 
+def test_bitmaps_are_made_of_rows_that_have_met(spark):
+    """No bitmap is shuffled: the rows of one are in one task before it is made."""
+    features = spark.createDataFrame([(f"p{i}", day(i % 6), "04| Mature") for i in range(60)], "product_id string, date date, age_category string")
+    plan = ev.age_bitmaps(features, ev.product_numbers(features))._jdf.queryExecution().executedPlan().toString().splitlines()
+    partial = next(i for i, line in enumerate(plan) if "partial_bitmap_construct_agg" in line)
+    made = next(i for i, line in enumerate(plan) if "functions=[bitmap_construct_agg" in line)
+    assert made < partial and not any("Exchange" in line for line in plan[made:partial])
+    assert "Exchange" in plan[partial + 1] or "Exchange" in plan[partial + 2]
+
+
 def test_the_summary_reads_the_evaluation_once(spark, tmp_path):
     rows = [(f"p{i}", f"ST{i}", i % 3, float((7 * i) % 11), ["02| Very Low", "05| Medium"][i % 2]) for i in range(60)]
     scored = ev.add_bias_and_error(spark.createDataFrame(
