@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfcast.operators.lifecycle import (
     ALL_ROWS, add_category_labels, add_lifecycle, add_salary_period, product_rows)
@@ -29,16 +30,27 @@ def _added(first: Column, second: Column) -> Column:
 def lifecycle_state(sales: DataFrame, settings: Settings) -> DataFrame:
     """One row per product from its rows (``sales_columns`` names): first sale, units so far, last date, last units.
 
-    ``last_units`` has the units of the last ``recent_rows - 1`` rows, oldest first, so its length has a bound.
+    ``last_units`` has the units of the last ``recent_rows - 1`` rows, oldest first, so its length has a bound.  A product's last row
+    sees all of it in one pass of running and shifted windows, so nothing is grouped or collected after them.
     """
-    rows = product_rows(sales)
-    back = F.count(F.lit(1)).over(rows.rowsBetween(*ALL_ROWS)) - F.row_number().over(rows)
-    numbered = sales.withColumn("back", back)
-    last = F.when(F.col("back") < settings.recent_rows - 1, F.struct((-F.col("back")).alias("place"), "sales_units"))
-    return numbered.groupBy("product_id").agg(
-        F.min(F.when(F.col("sales_units") > 0, F.col("date"))).alias("first_sale"),
-        F.sum("sales_units").alias("units"), F.max("date").alias("last_date"),
-        F.transform(F.array_sort(F.collect_list(last)), lambda row: row["sales_units"]).alias("last_units"))
+    rows, kept = product_rows(sales), settings.recent_rows - 1
+    so_far = rows.rowsBetween(Window.unboundedPreceding, 0)
+    units = [F.lag("sales_units", back).over(rows) if back else F.col("sales_units") for back in range(kept - 1, -1, -1)]
+    placed = sales.withColumns({
+        "first_sale": F.min(F.when(F.col("sales_units") > 0, F.col("date"))).over(so_far),
+        "units": F.sum("sales_units").over(so_far), "last_date": F.max("date").over(so_far),
+        "place": F.least(F.row_number().over(rows), F.lit(kept)), "is_last": F.lead(F.lit(True)).over(rows).isNull(),
+        "frame": F.array(*units).cast(T.ArrayType(sales.schema["sales_units"].dataType))})
+    return placed.where("is_last").select("product_id", "first_sale", "units", "last_date",
+                                          F.slice("frame", F.lit(kept + 1) - F.col("place"), F.col("place")).alias("last_units"))
+
+
+def one_per_day(features: DataFrame) -> DataFrame:
+    """product_id, date and units of stored features, once for each product and day, whatever was joined to them since."""
+    product = Window.partitionBy("product_id").orderBy("date")
+    placed = features.select("product_id", "date", "sales_units").withColumns(
+        {"place": F.row_number().over(product), "before": F.lag("date").over(product)})
+    return placed.where((F.col("place") == 1) | ~F.col("date").eqNullSafe(F.col("before"))).drop("place", "before")
 
 
 def needing_history(new: DataFrame, state: DataFrame) -> DataFrame:
@@ -97,15 +109,19 @@ def merged_rows(stored: DataFrame, new: DataFrame) -> DataFrame:
                                                   F.sum("sales_amount").alias("sales_amount")).select(*new.columns)
 
 
-def increment(new: DataFrame, rewritten: DataFrame, state: DataFrame, stored: DataFrame,
+def whole_history(new: DataFrame, rewritten: DataFrame, stored: DataFrame) -> DataFrame:
+    """All rows of the products of ``rewritten``, from ``stored``, the sales columns of the rows before, and the new ones."""
+    return merged_rows(stored.join(rewritten, "product_id", "left_semi"), new.join(rewritten, "product_id", "left_semi"))
+
+
+def increment(new: DataFrame, rewritten: DataFrame, state: DataFrame, whole: DataFrame,
               settings: Settings) -> tuple[DataFrame, DataFrame]:
     """Rows to add and the state after them, of new sales rows (one per product and day).
 
-    ``rewritten`` is the result of ``needing_history``; only these products are read from ``stored``, the sales columns of
-    the rows before.
+    ``rewritten`` is the result of ``needing_history``, ``whole`` that of ``whole_history``.  Rows and state each read every input,
+    so a caller writes down what is dear to compute.
     """
     clean = new.join(rewritten, "product_id", "left_anti")
-    whole = merged_rows(stored.join(rewritten, "product_id", "left_semi"), new.join(rewritten, "product_id", "left_semi"))
     rows = extend(clean, state, settings).unionByName(add_lifecycle(whole, settings))
     after = extended_state(clean, state.join(rewritten, "product_id", "left_anti"), settings).unionByName(lifecycle_state(whole, settings))
     return rows, after

@@ -21,6 +21,7 @@ from shelfcast.operators.panel import daily_sales
 from shelfcast.operators.training import training_window
 from shelfcast.session import shared_path
 from shelfcast.settings import Settings
+from shelfcast.sources import files
 from shelfcast.sources.feature_store import append_features, newest, read_features, read_state, write_features
 from shelfcast.sources.run_store import claim_run_id, new_owner, write_run
 from shelfcast.sources.tables import Table, load_inputs
@@ -41,29 +42,40 @@ def forecast_demand(features: DataFrame, settings: Settings, trend_model: str =
 
 def build_all(spark: SparkSession, sales: DataFrame, products: DataFrame, calendar: DataFrame | None, features_path: str,
               settings: Settings, labels: Sequence[str] | None = None, keep_state: bool = False, sparse: bool = False) -> None:
-    """Write the features of all sales facts.  With ``keep_state``, ``add_new`` can go on from them."""
-    features = build_features(daily_sales(sales), products, calendar, settings, labels, sparse)
-    state = inc.lifecycle_state(sales_columns(daily_sales(sales)), settings) if keep_state else None
-    write_features(features, features_path, state)
+    """Write the features of all sales facts.  With ``keep_state``, ``add_new`` can go on from them.
+
+    The state comes from the features as written, so facts are read and brought to days once.
+    """
+    def state_of(stored: DataFrame) -> DataFrame:
+        return inc.lifecycle_state(inc.one_per_day(stored), settings)
+
+    write_features(build_features(daily_sales(sales), products, calendar, settings, labels, sparse), features_path,
+                   state_of if keep_state else None)
+
+
+def _written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The rows from a fresh path that they were written to, and that path."""
+    spark, path = df.sparkSession, shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 def add_new(spark: SparkSession, sales: DataFrame, products: DataFrame, calendar: DataFrame | None, features_path: str,
             settings: Settings) -> None:
     """Bring the stored features up to date with sales facts that they have not seen yet, late ones included.
 
-    Reads the state and the new facts; stored rows are read for products whose past changes.  Flags are those that the
-    table has; a new one, like a change of settings, products' styles or past effects, asks for ``build_all``.
+    Reads the state and the new facts; stored rows are read for products whose past changes.  The days of the new facts and the rows
+    of these products are written down, as the steps below read them several times.  Flags are those that the table has; a new one, like a change of settings, products' styles or past effects, asks for ``build_all``.
     """
     before = newest(spark, features_path)
     state = None if before is None else read_state(spark, features_path, before)
     if state is None:
         raise ValueError(f"{features_path} has no lifecycle state; build it with keep_state first")
-    new = sales_columns(daily_sales(sales))
     stored = read_features(spark, features_path, before)
-    place = shared_path(spark, "rewritten")
-    inc.needing_history(new, state).write.parquet(place)
-    rewritten = spark.read.parquet(place)
-    rows, after = inc.increment(new, rewritten, state, stored.select(*new.columns), settings)
+    new, new_path = _written(sales_columns(daily_sales(sales)), "new")
+    rewritten, rewritten_path = _written(inc.needing_history(new, state), "rewritten")
+    whole, whole_path = _written(inc.whole_history(new, rewritten, stored.select(*new.columns)), "history")
+    rows, after = inc.increment(new, rewritten, state, whole, settings)
     featured = add_style(rows, products)
     labels = [name for name in stored.columns if name not in featured.columns]
     if is_sparse(stored):
@@ -76,6 +88,8 @@ def add_new(spark: SparkSession, sales: DataFrame, products: DataFrame, calendar
             raise ValueError("the stored features have calendar flags; give the calendar")
         featured = join_flags(featured, flags)
     append_features(featured, rewritten, after, features_path, before)
+    for path in (new_path, rewritten_path, whole_path):
+        files.remove(spark, path)
 
 
 def run(spark: SparkSession, sales: Table, products: Table, calendar: Table, features_path: str,

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 from dataclasses import asdict, dataclass, field
 from functools import reduce
 
@@ -91,11 +92,16 @@ def _in_date_order(features: DataFrame) -> DataFrame:
     return features.sortWithinPartitions("date", "product_id")
 
 
-def write_features(features: DataFrame, path: str, state: DataFrame | None = None) -> None:
-    """Replace the stored features, and the lifecycle state that goes with them.  Runs a job; every task writes its own files."""
+def write_features(features: DataFrame, path: str, state: DataFrame | Callable[[DataFrame], DataFrame] | None = None) -> None:
+    """Replace the stored features, and the lifecycle state that goes with them.  Runs a job; every task writes its own files.
+
+    ``state`` may be made from the features as they were written.
+    """
     spark = features.sparkSession
     before = newest(spark, path)
     part = _write(_in_date_order(features), path, "parts")
+    if callable(state):
+        state = state(spark.read.schema(features.schema).parquet(f"{path.rstrip('/')}/{part}"))
     _publish(spark, path, Snapshot([part], [None], json.loads(features.schema.json()),
                                    None if state is None else _write(state, path, "states")), before.number if before else 0)
 

@@ -66,6 +66,41 @@ def test_increments_equal_the_whole(spark, sparse):
     assert max(values(state.select(F.size("last_units").alias("n")), "n")) == 13
 
 
+def test_facts_are_read_once(spark):
+    """Neither the whole build with its state nor an increment goes back to the facts for a second output."""
+    path, read = shared_path(spark, "features"), spark.sparkContext.accumulator(0)
+
+    def counted(rows):
+        def seen(row):
+            read.add(1)
+            return row
+        return spark.createDataFrame(spark.sparkContext.parallelize(rows, 2).map(seen), FACTS)
+
+    known = products(spark, "a", "b", "b")
+    daily.build_all(spark, counted([("a", day(i), 1, 1.0) for i in range(20)] + [("b", day(1), 0, 0.0), ("b", day(1), 2, 2.0)]),
+                    known, None, path, SETTINGS, keep_state=True)
+    assert read.value == 22
+    state = feature_store.read_state(spark, path, feature_store.newest(spark, path)).orderBy("product_id").collect()
+    # A product that is known twice has its features twice, but not its state.
+    assert [tuple(r) for r in state] == [("a", day(0), 20, day(19), [1] * 13), ("b", day(1), 2, day(1), [2])]
+    daily.add_new(spark, counted([("a", day(3), 1, 1.0), ("a", day(20), 1, 1.0), ("c", day(20), 1, 1.0)]), known, None, path, SETTINGS)
+    assert read.value == 25
+    stored = feature_store.read_features(spark, path)
+    assert sorted(values(stored.groupBy("product_id").count(), "product_id", "count")) == [("a", 21), ("b", 2), ("c", 1)]
+
+
+@pytest.mark.parametrize("recent_rows", [1, 2, 5])
+def test_the_state_keeps_the_last_units_in_order(spark, recent_rows):
+    rows = [("a", day(i), [None, 3, 0, 4][i], 1.0) for i in range(4)] + [("n", day(0), None, None), (None, day(1), 2, 1.0), ("d", None, 7, 1.0)]
+    settings = Settings(history_start=day(0), history_end=day(60), recent_rows=recent_rows)
+    got = {r.product_id: tuple(r)[1:] for r in inc.lifecycle_state(sales_columns(_facts(spark, rows)), settings).collect()}
+
+    def last(*units):
+        return list(units)[max(0, len(units) - recent_rows + 1):]
+    assert got == {"a": (day(1), 7, day(3), last(None, 3, 0, 4)), "n": (None, None, day(0), last(None)),
+                   None: (day(1), 2, day(1), last(2)), "d": (None, 7, None, last(7))}
+
+
 def test_only_products_whose_past_changes_need_their_history(spark):
     state = inc.lifecycle_state(sales_columns(_facts(spark, [
         ("sold", day(0), 3, 1.0), ("sold", day(1), 0, 0.0), ("unsold", day(1), 0, 0.0), ("silent", day(1), 0, 0.0)])), SETTINGS)
