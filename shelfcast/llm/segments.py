@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
 
 from shelfcast.llm.words import byte_hashes
 
@@ -16,11 +17,11 @@ class SegmentCache:
     """Remembers the ids of the segments it has seen.  ``encode`` gives ids and counts of a list of segments.
 
     Segments are known by one hash and checked by a second; where two different ones share the first, all of the
-    call are encoded anew.
+    call are encoded anew.  ``most`` stands in for MOST_KEPT.
     """
 
-    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]):
-        self.encode = encode
+    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], most: int | None = None):
+        self.encode, self.most = encode, most
         self.forget()
 
     def forget(self) -> None:
@@ -32,10 +33,18 @@ class SegmentCache:
         """Ids of the segments that begin at ``starts`` (each ends where the next begins), and len(starts) + 1 offsets."""
         ends = np.append(starts[1:], len(data))
         hashes, checks = byte_hashes(data, starts, ends), byte_hashes(data, starts, ends, 1)
-        unique, where, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.known) > MOST_KEPT:
+        # Only the different hashes are sorted.
+        coded = pa.array(hashes).dictionary_encode()
+        unique, inverse = coded.dictionary.to_numpy(), coded.indices.to_numpy()
+        ascending = np.argsort(unique)
+        where = np.flatnonzero(np.diff(np.maximum.accumulate(inverse), prepend=-1))[ascending]
+        unique = unique[ascending]
+        if len(self.known) > (self.most or MOST_KEPT):
             self.forget()
-        fresh = where[~np.isin(unique, self.known, assume_unique=True)]
+        at = np.searchsorted(self.known, unique)
+        seen = at < len(self.known)
+        seen[seen] = self.known[at[seen]] == unique[seen]
+        fresh = where[~seen]
         if len(fresh):
             ids, counts = self._encoded(data, starts[fresh], ends[fresh])
             begins = len(self.ids) + np.cumsum(counts) - counts
@@ -46,7 +55,9 @@ class SegmentCache:
             self.begins = np.concatenate((self.begins, begins))[order]
             self.counts = np.concatenate((self.counts, counts))[order]
             self.ids = np.concatenate((self.ids, ids.astype(np.int32)))
-        at = np.searchsorted(self.known, unique)[inverse]
+        at = np.empty(len(unique), dtype=np.int64)
+        at[ascending] = np.searchsorted(self.known, unique)
+        at = at[inverse]
         if (self.checks[at] != checks).any():
             ids, counts = self._encoded(data, starts, ends)
             return ids.astype(np.int32), np.concatenate(([0], np.cumsum(counts)))
